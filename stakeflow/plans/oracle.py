@@ -153,14 +153,79 @@ def pipeline_ctes(upto: str = "events") -> str:
     lower(dayname(timestamp)) as dayOfWeek, entryPoint from ev1)""")
     if upto == "events":
         return ",\n".join(ctes)
-    ctes.append("""fe as (select *, cast(exitType = 'quick_exit' as int) as is_quick_exit,
+    ctes.extend(feature_ctes("events", ""))
+    return ",\n".join(ctes)
+
+
+def feature_ctes(src: str, p: str = "") -> list[str]:
+    """Feature-table CTEs over the events CTE ``src``; names get prefix ``p``:
+    {p}fe, {p}maxts, {p}user_game, {p}user_features, {p}game_features."""
+    fe = f"{p}fe"
+    c = [f"""{fe} as (select *, cast(exitType = 'quick_exit' as int) as is_quick_exit,
     cast(outcome = 'net_positive' as int) as is_positive_outcome,
     ln(1 + greatest(durationSeconds, 0.0)) * 0.5 + greatest(roundsPlayed, 0) * 0.3
       + (case stakeLevelCategory when 'low' then 1 when 'medium' then 2 when 'high' then 3 else 1 end) * 0.2
       as engagement_intensity
-  from events)""")
-    ctes.append("maxts as (select max(timestamp) as max_ts from fe)")
-    return ",\n".join(ctes)
+  from {src})""",
+         f"{p}maxts as (select max(timestamp) as max_ts from {fe})",
+         f"""{p}ug0 as (select userId, gameId, count(sessionId) as interaction_count,
+    avg(durationSeconds) as avg_duration_sec, avg(roundsPlayed) as avg_rounds,
+    avg(is_positive_outcome) as positive_outcome_rate, avg(cast(returnedWithin10mins as double)) as return_10m_rate,
+    avg(engagement_intensity) as avg_engagement_intensity, max(timestamp) as last_interaction_ts
+  from {fe} group by userId, gameId)""",
+         f"{p}ug_gt as ({sql_mode(fe, ['userId', 'gameId'], 'gameType', 'live_dealer', 'dominant_game_type')})",
+         f"{p}ug_pv as ({sql_mode(fe, ['userId', 'gameId'], 'provider', 'unknown', 'dominant_provider')})",
+         f"""{p}ug1 as (select u.*, coalesce(g.dominant_game_type, 'live_dealer') as dominant_game_type,
+    coalesce(v.dominant_provider, 'unknown') as dominant_provider,
+    ((epoch_us(m.max_ts) - epoch_us(u.last_interaction_ts)) / 1e6) / 86400.0 as recency_days
+  from {p}ug0 u join {p}maxts m on true
+  left join {p}ug_gt g on g.userId = u.userId and g.gameId = u.gameId
+  left join {p}ug_pv v on v.userId = u.userId and v.gameId = u.gameId)""",
+         f"{p}p95 as (select greatest(quantile_cont(avg_engagement_intensity, 0.95), 1e-6) as p from {p}ug1)",
+         f"""{p}user_game as (select u.*, round(0.40 * least(interaction_count / 20.0, 1.0)
+    + 0.25 * least(avg_engagement_intensity / q.p, 1.0)
+    + 0.15 * coalesce(positive_outcome_rate, 0.0)
+    + 0.20 * (case when recency_days <= 7 then 1.0 when recency_days <= 30 then 0.7
+                   when recency_days <= 90 then 0.4 else 0.2 end), 4) as implicit_score
+  from {p}ug1 u join {p}p95 q on true)""",
+         f"""{p}uf0 as (select userId, count(sessionId) as total_sessions, count(distinct gameId) as unique_games,
+    count(distinct provider) as unique_providers, count(distinct gameType) as unique_game_types,
+    avg(durationSeconds) as avg_duration_sec, avg(roundsPlayed) as avg_rounds,
+    avg(is_quick_exit) as quick_exit_rate, avg(cast(returnedWithin10mins as double)) as return_10m_rate,
+    avg(is_positive_outcome) as positive_outcome_rate, avg(engagement_intensity) as avg_engagement_intensity,
+    max(timestamp) as last_event_ts from {fe} group by userId)""",
+         f"{p}um1 as ({sql_mode(fe, ['userId'], 'timeOfDay', 'late_night', 'preferred_time_of_day')})",
+         f"{p}um2 as ({sql_mode(fe, ['userId'], 'dayOfWeek', 'friday', 'preferred_day_of_week')})",
+         f"{p}um3 as ({sql_mode(fe, ['userId'], 'deviceType', 'unknown', 'preferred_device')})",
+         f"{p}um4 as ({sql_mode(fe, ['userId'], 'entryPoint', 'unknown', 'preferred_entry_point')})",
+         f"""{p}user_features as (select u.userId, total_sessions, unique_games, unique_providers, unique_game_types,
+    avg_duration_sec, avg_rounds, quick_exit_rate, return_10m_rate, positive_outcome_rate, avg_engagement_intensity,
+    coalesce(m1.preferred_time_of_day, 'late_night') as preferred_time_of_day,
+    coalesce(m2.preferred_day_of_week, 'friday') as preferred_day_of_week,
+    coalesce(m3.preferred_device, 'unknown') as preferred_device,
+    coalesce(m4.preferred_entry_point, 'unknown') as preferred_entry_point,
+    last_event_ts, ((epoch_us(mx.max_ts) - epoch_us(last_event_ts)) / 1e6) / 86400.0 as recency_days
+  from {p}uf0 u join {p}maxts mx on true left join {p}um1 m1 on m1.userId = u.userId
+  left join {p}um2 m2 on m2.userId = u.userId left join {p}um3 m3 on m3.userId = u.userId
+  left join {p}um4 m4 on m4.userId = u.userId)""",
+         f"""{p}gf0 as (select gameId, count(sessionId) as game_sessions, count(distinct userId) as unique_users,
+    avg(durationSeconds) as avg_duration_sec, avg(roundsPlayed) as avg_rounds, avg(is_quick_exit) as quick_exit_rate,
+    avg(cast(returnedWithin10mins as double)) as return_10m_rate, avg(is_positive_outcome) as positive_outcome_rate
+  from {fe} group by gameId)""",
+         f"{p}gm1 as ({sql_mode(fe, ['gameId'], 'gameType', 'live_dealer', 'game_type')})",
+         f"{p}gm2 as ({sql_mode(fe, ['gameId'], 'provider', 'unknown', 'provider')})",
+         f"""{p}game_features as (select g.gameId, game_sessions, unique_users,
+    coalesce(m1.game_type, 'live_dealer') as game_type, coalesce(m2.provider, 'unknown') as provider,
+    avg_duration_sec, avg_rounds, quick_exit_rate, return_10m_rate, positive_outcome_rate,
+    ln(1 + game_sessions) as popularity_score
+  from {p}gf0 g left join {p}gm1 m1 on m1.gameId = g.gameId left join {p}gm2 m2 on m2.gameId = g.gameId)""",
+         ]
+    return c
+
+
+def round_cols(cols, digits: int = 6) -> str:
+    """``round(c, 6) as c`` for float columns, plain names otherwise (list of (name, is_float))."""
+    return ", ".join(f"round({c}, {digits}) as {c}" if f else c for c, f in cols)
 
 
 def with_ctes(*bodies: str, final: str) -> str:

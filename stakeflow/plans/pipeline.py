@@ -15,6 +15,7 @@ from stakeflow.operators import enrich as E
 from stakeflow.operators.events import align_to_schema
 from stakeflow.operators.features import FeatureTables, build_feature_tables
 from stakeflow.sources.fixtures import Tables
+from stakeflow.session import cut_lineage
 from stakeflow.sources.ingest import load_activity
 
 # Events are sparse in the test tables (10,000 over 30 days at sf0.01), so the
@@ -67,15 +68,24 @@ def session_enriched(t: Tables, settings: Settings = DEFAULT) -> DataFrame:
 
 
 def enriched_bets(t: Tables, settings: Settings = DEFAULT) -> DataFrame:
-    return _memo(t, "enriched", lambda: E.enrich_device(
+    """Enriched bets, written to the shared checkpoint folder: the table is read
+    by the alignment and by the coverage reports, and cutting lineage keeps the
+    downstream plans small."""
+    return _memo(t, "enriched", lambda: cut_lineage(E.enrich_device(
         session_enriched(t, settings), t.fx_players, fixture_activity(t),
-        tolerance_hours=FIXTURE_DEVICE_TOLERANCE_H, settings=settings, activity_tie="actId"))
+        tolerance_hours=FIXTURE_DEVICE_TOLERANCE_H, settings=settings, activity_tie="actId")))
 
 
 def events(t: Tables, settings: Settings = DEFAULT) -> DataFrame:
-    return _memo(t, "events", lambda: align_to_schema(
-        enriched_bets(t, settings), id_col="txnId", game_type_col="gameType_raw", settings=settings))
+    """The canonical events table, checkpointed (read by 4+ branches)."""
+    return _memo(t, "events", lambda: cut_lineage(align_to_schema(
+        enriched_bets(t, settings), id_col="txnId", game_type_col="gameType_raw", settings=settings)))
 
 
 def features(t: Tables, settings: Settings = DEFAULT) -> FeatureTables:
     return _memo(t, "features", lambda: build_feature_tables(events(t, settings), settings))
+
+
+def dataset(t: Tables, settings: Settings = DEFAULT):
+    from stakeflow.operators.dataset import build_dataset
+    return _memo(t, "dataset", lambda: build_dataset(events(t, settings), settings))

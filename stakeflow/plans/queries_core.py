@@ -34,28 +34,7 @@ def top_games(t):
 
 
 _FEATURE_CTES = pipeline_ctes("fe")
-
-_UG_SQL_CTES = f"""{_FEATURE_CTES},
-ug0 as (select userId, gameId, count(sessionId) as interaction_count, avg(durationSeconds) as avg_duration_sec,
-    avg(roundsPlayed) as avg_rounds, avg(is_positive_outcome) as positive_outcome_rate,
-    avg(cast(returnedWithin10mins as double)) as return_10m_rate,
-    avg(engagement_intensity) as avg_engagement_intensity, max(timestamp) as last_interaction_ts
-  from fe group by userId, gameId),
-ug_gt as ({sql_mode('fe', ['userId', 'gameId'], 'gameType', 'live_dealer', 'dominant_game_type')}),
-ug_pv as ({sql_mode('fe', ['userId', 'gameId'], 'provider', 'unknown', 'dominant_provider')}),
-ug1 as (select ug0.*, coalesce(ug_gt.dominant_game_type, 'live_dealer') as dominant_game_type,
-    coalesce(ug_pv.dominant_provider, 'unknown') as dominant_provider,
-    ((epoch_us(maxts.max_ts) - epoch_us(ug0.last_interaction_ts)) / 1e6) / 86400.0 as recency_days
-  from ug0 join maxts on true
-  left join ug_gt on ug_gt.userId = ug0.userId and ug_gt.gameId = ug0.gameId
-  left join ug_pv on ug_pv.userId = ug0.userId and ug_pv.gameId = ug0.gameId),
-p95 as (select greatest(quantile_cont(avg_engagement_intensity, 0.95), 1e-6) as p from ug1),
-user_game as (select ug1.*, round(0.40 * least(interaction_count / 20.0, 1.0)
-    + 0.25 * least(avg_engagement_intensity / p95.p, 1.0)
-    + 0.15 * coalesce(positive_outcome_rate, 0.0)
-    + 0.20 * (case when recency_days <= 7 then 1.0 when recency_days <= 30 then 0.7
-                   when recency_days <= 90 then 0.4 else 0.2 end), 4) as implicit_score
-  from ug1 join p95 on true)"""
+_UG_SQL_CTES = _FEATURE_CTES
 
 TOP_GAMES_SQL = f"""with {_UG_SQL_CTES},
 g as (select gameId, round(sum(implicit_score), 4) as sum_implicit_score, count(*) as n_players,
@@ -184,29 +163,14 @@ def violations(t):
     return enum_violations(P.events(t))
 
 
-USER_FEATURES_SQL = f"""with {_FEATURE_CTES},
-uf as (select userId, count(sessionId) as total_sessions, count(distinct gameId) as unique_games,
-    count(distinct provider) as unique_providers, count(distinct gameType) as unique_game_types,
-    avg(durationSeconds) as avg_duration_sec, avg(roundsPlayed) as avg_rounds,
-    avg(is_quick_exit) as quick_exit_rate, avg(cast(returnedWithin10mins as double)) as return_10m_rate,
-    avg(is_positive_outcome) as positive_outcome_rate, avg(engagement_intensity) as avg_engagement_intensity,
-    max(timestamp) as last_event_ts from fe group by userId),
-m1 as ({sql_mode('fe', ['userId'], 'timeOfDay', 'late_night', 'preferred_time_of_day')}),
-m2 as ({sql_mode('fe', ['userId'], 'dayOfWeek', 'friday', 'preferred_day_of_week')}),
-m3 as ({sql_mode('fe', ['userId'], 'deviceType', 'unknown', 'preferred_device')}),
-m4 as ({sql_mode('fe', ['userId'], 'entryPoint', 'unknown', 'preferred_entry_point')})
-select uf.userId, total_sessions, unique_games, unique_providers, unique_game_types,
+USER_FEATURES_SQL = f"""with {_FEATURE_CTES}
+select userId, total_sessions, unique_games, unique_providers, unique_game_types,
   round(avg_duration_sec, 6) as avg_duration_sec, round(avg_rounds, 6) as avg_rounds,
   round(quick_exit_rate, 6) as quick_exit_rate, round(return_10m_rate, 6) as return_10m_rate,
   round(positive_outcome_rate, 6) as positive_outcome_rate,
-  round(avg_engagement_intensity, 6) as avg_engagement_intensity,
-  coalesce(m1.preferred_time_of_day, 'late_night') as preferred_time_of_day,
-  coalesce(m2.preferred_day_of_week, 'friday') as preferred_day_of_week,
-  coalesce(m3.preferred_device, 'unknown') as preferred_device,
-  coalesce(m4.preferred_entry_point, 'unknown') as preferred_entry_point,
-  last_event_ts, round(((epoch_us(maxts.max_ts) - epoch_us(last_event_ts)) / 1e6) / 86400.0, 6) as recency_days
-from uf join maxts on true left join m1 on m1.userId = uf.userId left join m2 on m2.userId = uf.userId
-  left join m3 on m3.userId = uf.userId left join m4 on m4.userId = uf.userId"""
+  round(avg_engagement_intensity, 6) as avg_engagement_intensity, preferred_time_of_day, preferred_day_of_week,
+  preferred_device, preferred_entry_point, last_event_ts, round(recency_days, 6) as recency_days
+from user_features"""
 
 
 @register("user_features", "D1 D2 D3 B25 B26", USER_FEATURES_SQL)
@@ -214,19 +178,12 @@ def user_features(t):
     return rounded(P.features(t).users)
 
 
-GAME_FEATURES_SQL = f"""with {_FEATURE_CTES},
-gf as (select gameId, count(sessionId) as game_sessions, count(distinct userId) as unique_users,
-    avg(durationSeconds) as avg_duration_sec, avg(roundsPlayed) as avg_rounds, avg(is_quick_exit) as quick_exit_rate,
-    avg(cast(returnedWithin10mins as double)) as return_10m_rate, avg(is_positive_outcome) as positive_outcome_rate
-  from fe group by gameId),
-g1 as ({sql_mode('fe', ['gameId'], 'gameType', 'live_dealer', 'game_type')}),
-g2 as ({sql_mode('fe', ['gameId'], 'provider', 'unknown', 'provider')})
-select gf.gameId, game_sessions, unique_users, coalesce(g1.game_type, 'live_dealer') as game_type,
-  coalesce(g2.provider, 'unknown') as provider, round(avg_duration_sec, 6) as avg_duration_sec,
+GAME_FEATURES_SQL = f"""with {_FEATURE_CTES}
+select gameId, game_sessions, unique_users, game_type, provider, round(avg_duration_sec, 6) as avg_duration_sec,
   round(avg_rounds, 6) as avg_rounds, round(quick_exit_rate, 6) as quick_exit_rate,
   round(return_10m_rate, 6) as return_10m_rate, round(positive_outcome_rate, 6) as positive_outcome_rate,
-  round(ln(1 + game_sessions), 6) as popularity_score
-from gf left join g1 on g1.gameId = gf.gameId left join g2 on g2.gameId = gf.gameId"""
+  round(popularity_score, 6) as popularity_score
+from game_features"""
 
 
 @register("game_features", "D4 D2", GAME_FEATURES_SQL)

@@ -18,6 +18,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", os.environ.get("STAKEFLOW_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
