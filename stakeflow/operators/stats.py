@@ -1,76 +1,144 @@
-"""Distributed building blocks: exact quantiles and contiguous indexes.
-
-Neither helper gathers a data-sized group in one task or on the driver:
-
-* ``quantiles`` sorts the column with a range-partitioned sort, numbers the
-  rows with ``zipWithIndex`` (one small job counting partition sizes) and pulls
-  back only the two rows around each requested rank.  The driver receives
-  ``2 * len(probs)`` values.  With ``accuracy`` set it uses the mergeable
-  ``percentile_approx`` sketch instead (one partial aggregation, no sort).
-* ``dense_index`` gives sorted distinct keys the ids ``0..n-1`` the same way:
-  a distributed sort followed by ``zipWithIndex``.  No single-partition
-  window is used, so it works for hundreds of millions of users.
+"""Distributed building blocks: global positions, exact quantiles, ranks, prefix sums.
+
+All of them start from ``positions``: a range-partitioned sort (a key holding
+a third of all rows is spread over many range partitions), written once to the
+shared checkpoint folder, then numbered with
+``offset[partition] + row-in-partition``.  The per-partition counts are one
+small aggregate (one row per partition) and the offsets a broadcast of that
+bounded table.  Rows never pass through Python and no group is gathered in one
+task or on the driver.  From it:
+
+* ``quantiles`` / ``grouped_quantiles`` - exact linear-interpolation quantiles
+  (pandas / Spark ``percentile`` / DuckDB ``quantile_cont`` semantics) that only
+  fetch the two rows around each requested rank;
+* ``dense_index`` - sorted distinct keys numbered 0..n-1;
+* ``average_ranks`` - ranks with ties averaged (Spearman);
+* ``prefix_share`` - cumulative share of a value in sort order (Lorenz).
+
+With ``accuracy`` set, ``quantiles`` uses the mergeable ``percentile_approx``
+sketch instead (one partial aggregation, no sort).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from stakeflow.session import cut_lineage
 
-def quantiles(df: DataFrame, column: str, probs, accuracy: int | None = None) -> list:
-    """Linear-interpolation quantiles of ``column`` (NULLs ignored).
 
-    Equals pandas ``Series.quantile``, Spark ``percentile`` and DuckDB
-    ``quantile_cont``.  Returns ``None`` entries on empty input.
+def positions(df: DataFrame, order: list, pos: str = "__pos") -> DataFrame:
+    """``df`` plus ``pos`` = 0-based position in the total order ``order``.
+
+    ``order`` should be a total order (add an id column) when positions are
+    attached to rows; for quantiles ties do not matter.
     """
+    s = df.sort(*order).withColumn("__pid", F.spark_partition_id()).withColumn(
+        "__mid", F.monotonically_increasing_id())
+    s = cut_lineage(s)
+    counts = s.groupBy("__pid").agg(F.count("*").alias("__c"))
+    offsets = counts.withColumn(
+        "__off", F.sum("__c").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
+    offsets = offsets.select("__pid", F.coalesce("__off", F.lit(0)).alias("__off"))
+    # one row per partition: a proven bound, so the broadcast is safe
+    out = s.join(F.broadcast(offsets), "__pid")
+    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
+    return out.withColumn(pos, F.col("__off") + local).drop("__pid", "__mid", "__off")
+
+
+def quantiles(df: DataFrame, column: str, probs, accuracy: int | None = None) -> list:
+    """Exact quantiles of ``column`` (NULLs ignored); ``None`` entries on empty input."""
     probs = list(probs)
     vals = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     if accuracy is not None:
         row = vals.agg(F.percentile_approx("v", probs, accuracy).alias("q")).first()
         return list(row["q"]) if row and row["q"] is not None else [None] * len(probs)
-
     n = vals.count()
     if n == 0:
         return [None] * len(probs)
-    indexed = vals.sort("v").rdd.map(lambda r: r[0]).zipWithIndex()
-    wanted = set()
-    spots = []
+    spots, wanted = [], set()
     for p in probs:
-        pos = p * (n - 1)
-        lo, hi = int(math.floor(pos)), int(math.ceil(pos))
+        at = p * (n - 1)
+        lo, hi = int(math.floor(at)), int(math.ceil(at))
         wanted.update((lo, hi))
-        spots.append((pos, lo, hi))
-    wanted_b = frozenset(wanted)
-    picked = dict(
-        (idx, v) for v, idx in indexed.filter(lambda t: t[1] in wanted_b).collect()
-    )
-    out = []
-    for pos, lo, hi in spots:
-        a, b = picked[lo], picked[hi]
-        out.append(a + (b - a) * (pos - lo))
-    return out
-
-
-def dense_index(df: DataFrame, key: str, index_name: str = "idx",
-                checkpoint: bool = False) -> DataFrame:
-    """Distinct ``key`` values sorted ascending, numbered ``0..n-1`` (LongType).
-
-    The range-partitioned sort is deterministic, so a recomputed partition
-    (executor loss) gets the same numbers.  ``checkpoint=True`` additionally
-    writes the map to the shared checkpoint folder to cut lineage.
+        spots.append((at, lo, hi))
+    picked = {r["__pos"]: r["v"] for r in
+              positions(vals, ["v"]).where(F.col("__pos").isin(sorted(wanted))).collect()}
+    return [picked[lo] + (picked[hi] - picked[lo]) * (at - lo) for at, lo, hi in spots]
+
+
+def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs, names=None) -> DataFrame:
+    """Exact per-group quantiles: one row per group with one column per prob.
+
+    One global sort by (keys, value); each group's start position is a
+    ``min`` aggregate, so hot groups are split across range partitions.
     """
-    spark = df.sparkSession
-    keys = df.select(F.col(key)).where(F.col(key).isNotNull()).distinct().sort(key)
-    field = keys.schema[key]
-    rdd = keys.rdd.map(lambda r: r[0]).zipWithIndex()
-    schema = T.StructType([T.StructField(key, field.dataType, False),
-                           T.StructField(index_name, T.LongType(), False)])
-    out = spark.createDataFrame(rdd, schema)
-    if checkpoint:
-        from stakeflow.session import cut_lineage
-        out = cut_lineage(out)
-    return out
+    names = names or [f"q{int(round(p * 100))}" for p in probs]
+    base = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    pos = positions(base, [*keys, "__v"])
+    start = pos.groupBy(*keys).agg(F.min("__pos").alias("__start"), F.count("*").alias("__n"))
+    j = pos.join(start, keys).withColumn("__r", F.col("__pos") - F.col("__start"))
+    conds, aggs = [], []
+    for p, nm in zip(probs, names):
+        at = F.lit(float(p)) * (F.col("__n") - 1)
+        lo, hi = F.floor(at), F.ceil(at)
+        conds += [F.col("__r") == lo, F.col("__r") == hi]
+        aggs += [F.max(F.when(F.col("__r") == lo, F.col("__v"))).alias(f"__lo_{nm}"),
+                 F.max(F.when(F.col("__r") == hi, F.col("__v"))).alias(f"__hi_{nm}"),
+                 F.first(at).alias(f"__at_{nm}")]
+    any_cond = conds[0]
+    for c in conds[1:]:
+        any_cond = any_cond | c
+    g = j.where(any_cond).groupBy(*keys).agg(*aggs)
+    outs = []
+    for nm in names:
+        lo_v, hi_v, at = F.col(f"__lo_{nm}"), F.col(f"__hi_{nm}"), F.col(f"__at_{nm}")
+        outs.append((lo_v + (hi_v - lo_v) * (at - F.floor(at))).alias(nm))
+    return g.select(*keys, *outs)
+
+
+def dense_index(df: DataFrame, key: str, index_name: str = "idx", checkpoint: bool = False) -> DataFrame:
+    """Distinct ``key`` values sorted ascending, numbered ``0..n-1`` (LongType)."""
+    keys = df.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
+    return positions(keys, [key], index_name).select(key, index_name)
+
+
+def average_ranks(df: DataFrame, id_col: str, value: str, out: str) -> DataFrame:
+    """1-based rank of ``value`` with ties averaged, per ``id_col`` row
+    (NULL values are left out)."""
+    base = df.select(id_col, F.col(value).alias("__v")).where(F.col("__v").isNotNull())
+    pos = positions(base, ["__v", id_col])
+    ties = pos.groupBy("__v").agg(((F.min("__pos") + F.max("__pos")) / 2.0 + 1.0).alias(out))
+    return pos.join(ties, "__v").select(id_col, out)
+
+
+def prefix_share(df: DataFrame, id_col: str, value: str) -> DataFrame:
+    """Rows sorted by (value, id); ``cum_users`` = position / n and
+    ``cum_value`` = running sum / total.  Partition sums give the offsets."""
+    base = df.select(id_col, F.col(value).cast("double").alias("__v"))
+    pos = positions(base, ["__v", id_col]).withColumn("__pid", F.spark_partition_id())
+    pos = cut_lineage(pos)
+    part = pos.groupBy("__pid").agg(F.sum("__v").alias("__s"))
+    off = part.select("__pid", F.coalesce(F.sum("__s").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("__off"))
+    total = base.agg(F.sum("__v")).scalar()
+    n = base.agg(F.count("*")).scalar()
+    w = Window.partitionBy("__pid").orderBy("__pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = pos.join(F.broadcast(off), "__pid").withColumn("__run", F.col("__off") + F.sum("__v").over(w))
+    return out.select(id_col, F.col("__v").alias(value), (F.col("__pos") + 1).alias("position"),
+                      ((F.col("__pos") + 1) / n).alias("cum_users"), (F.col("__run") / total).alias("cum_value"))
+
+
+def quantile_bucket(df: DataFrame, id_col: str, value: str, labels: list[str], out: str) -> DataFrame:
+    """E5 / E6 rule for any table size: rank by (value, id), q = min(len(labels), n),
+    bucket = max(1, ceil((rank - 1) * q / (n - 1))).  Distributed positions, no
+    single-partition window."""
+    base = df.where(F.col(value).isNotNull())
+    pos = positions(base, [value, id_col], "__pos")
+    n = base.agg(F.count("*")).scalar()
+    q = F.least(n, F.lit(len(labels)))
+    b = F.when(q <= 1, F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor((F.col("__pos") * q + (n - 2)) / (n - 1))))
+    arr = F.array(*[F.lit(x) for x in labels])
+    return pos.withColumn(out, F.element_at(arr, b.cast("int"))).drop("__pos")
