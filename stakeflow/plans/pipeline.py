@@ -89,3 +89,29 @@ def features(t: Tables, settings: Settings = DEFAULT) -> FeatureTables:
 def dataset(t: Tables, settings: Settings = DEFAULT):
     from stakeflow.operators.dataset import build_dataset
     return _memo(t, "dataset", lambda: build_dataset(events(t, settings), settings))
+
+
+ENRICHED_COLUMNS = ["txnId", "userId", "gameId_raw", "betAmount", "result", "timestamp", "gameId", "minBet",
+                    "maxBet", "gameType_raw", "providerName", "win", "gameGroup", "session_duration_sec",
+                    "entryPoint_raw", "deviceType_raw"]
+
+
+def plays(t: Tables, settings: Settings = DEFAULT) -> DataFrame:
+    """Notebook-style transactions: matched bets with minutes of session,
+    mapped type, hour / weekday, whole days before the latest bet and the
+    player's segment (archetype)."""
+    from stakeflow.operators.analytics import days_since
+
+    def build():
+        e = enriched_bets(t, settings).where(F.col("gameId").isNotNull())
+        ref = e.agg(F.max("timestamp")).scalar()
+        seg = t.fx_players.select(M.clean_id("userId").alias("userId"), "archetype")
+        p = e.select(
+            "txnId", M.clean_id("userId").alias("userId"), "gameId",
+            F.col("betAmount").cast("double").alias("betAmount"),
+            (F.coalesce("session_duration_sec", F.lit(0.0)) / 60.0).alias("sessionDuration"),
+            "timestamp", M.map_game_type("gameType_raw").alias("gameType"), "gameType_raw",
+            F.hour("timestamp").alias("hourOfDay"), M.day_name("timestamp").alias("dayOfWeek"),
+            "maxBet", "win", days_since(F.col("timestamp"), ref).alias("days_ago"))
+        return p.join(seg, "userId", "left")
+    return _memo(t, "plays", build)
