@@ -104,9 +104,11 @@ def global_attribution(contribs: DataFrame, weight: str) -> DataFrame:
         (F.sum(F.col(weight) * F.col("contribution")) / F.greatest(F.sum(weight), F.lit(1e-9))).alias("contribution"))
 
 
-def sample_keep(cols, sample: int):
-    """Deterministic ~70 % selection of a pair for stability sample ``sample``."""
-    key = F.concat_ws("/", *[F.col(c).cast("string") for c in cols], F.lit(str(sample)))
+def sample_keep(cols, sample):
+    """Deterministic ~70 % selection of a pair for stability sample ``sample``
+    (an int or a Column holding the sample id)."""
+    sid = sample.cast("string") if not isinstance(sample, int) else F.lit(str(sample))
+    key = F.concat_ws("/", *[F.col(c).cast("string") for c in cols], sid)
     return F.substring(F.md5(key), 1, 4) < F.lit(SAMPLE_HEX_CUT)
 
 
@@ -115,10 +117,9 @@ def stability(contribs: DataFrame, weight: str, samples: int = 6) -> DataFrame:
     mean, population std, stability = |m| / (|m| + s + 1e-9), sign consistency
     (share of non-zero sample values with the mean's sign; 1.0 if none or the
     mean is zero) and the number of samples that saw the feature."""
-    parts = None
-    for s in range(samples):
-        part = contribs.where(sample_keep(["userId", "gameId"], s)).withColumn("sample_id", F.lit(s))
-        parts = part if parts is None else parts.unionByName(part)
+    # one scan: every contribution row is offered to each sample, the hash keeps ~70 %
+    ids = F.explode(F.array(*[F.lit(s) for s in range(samples)]))
+    parts = contribs.withColumn("sample_id", ids).where(sample_keep(["userId", "gameId"], F.col("sample_id")))
     per = parts.groupBy("sample_id", "side", "feature").agg(
         (F.sum(F.col(weight) * F.col("contribution")) / F.greatest(F.sum(weight), F.lit(1e-9))).alias("c"))
     g = per.groupBy("side", "feature").agg(

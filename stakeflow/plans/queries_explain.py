@@ -15,6 +15,7 @@ from stakeflow.operators import scoring as S
 from stakeflow.plans import pipeline as P
 from stakeflow.plans.catalog import register, rounded
 from stakeflow.plans.queries_scoring import SCORE_CTES
+from stakeflow.session import cut_lineage
 
 USER_TOKEN_VEC_BASE = 200
 ITEM_TOKEN_VEC_BASE = 300
@@ -38,8 +39,9 @@ def fixture_model(t):
                               F.lit(0.0).alias("bias")))
         u_ef = X.entity_features(d.user_index, "userId", d.user_tokens)
         i_ef = X.entity_features(d.item_index, "gameId", d.item_tokens)
-        u_rep = X.representations(u_ef, u_fv, "userId")
-        i_rep = X.representations(i_ef, i_fv, "gameId")
+        # representations are read by every explanation: cut lineage once
+        u_rep = cut_lineage(X.representations(u_ef, u_fv, "userId"))
+        i_rep = cut_lineage(X.representations(i_ef, i_fv, "gameId"))
         return dict(d=d, u_fv=u_fv, i_fv=i_fv, u_ef=u_ef, i_ef=i_ef, u_rep=u_rep, i_rep=i_rep)
     return P._memo(t, "fixture_model", build)
 
