@@ -204,3 +204,16 @@ def build_dataset(events: DataFrame, settings: Settings = DEFAULT, check: bool =
         user_index=uidx, item_index=iidx, user_tokens=utok, item_tokens=itok,
         user_vocab=vocabulary(utok), item_vocab=vocabulary(itok),
     )
+
+
+def join_with_suffix(left: DataFrame, right: DataFrame, on: str, right_suffix: str, left_suffix: str | None = None,
+                     how: str = "left") -> DataFrame:
+    """Join and rename only the colliding non-key columns (``left_suffix``
+    on the left side when given, ``right_suffix`` on the right side)."""
+    clash = [c for c in right.columns if c in left.columns and c != on]
+    l, r = left, right
+    for c in clash:
+        if left_suffix:
+            l = l.withColumnRenamed(c, c + left_suffix)
+        r = r.withColumnRenamed(c, c + right_suffix)
+    return l.join(r, on, how)

@@ -277,3 +277,49 @@ def recommend(requests: DataFrame, user_vectors: DataFrame, user_index: DataFram
         .withColumn("game_type", F.coalesce("game_type", F.lit("unknown"))) \
         .withColumn("provider", F.coalesce("provider", F.lit("unknown")))
     return out, rejects
+
+
+def hash48(text: str) -> int:
+    """First 48 bits of md5(text) as an integer (engine-independent order key)."""
+    import hashlib
+    return int(hashlib.md5(text.encode("utf-8")).hexdigest()[:12], 16)
+
+
+NEG_SCHEMA = T.StructType([T.StructField("rid", T.StringType()), T.StructField("gameId", T.StringType())])
+
+
+def _neg_fn(bc, seed):
+    def run(batches):
+        blk = bc.value
+        ids = blk["ids"]
+        index = {g: j for j, g in enumerate(ids)}
+        hi = np.array([hash48(f"{g}/{seed}") for g in ids], dtype=np.int64)
+        tie = blk["tie"]
+        for pdf in batches:
+            rr, gg = [], []
+            for rid, n, excl in zip(pdf["rid"], pdf["n"], pdf["excl"]):
+                valid = np.ones(len(ids), dtype=bool)
+                m = _mask(excl, index)
+                if m:
+                    valid[m] = False
+                cand = np.flatnonzero(valid)
+                if len(cand) == 0 or not n:
+                    continue
+                key = np.bitwise_xor(np.int64(hash48(str(rid))), hi[cand])
+                order = np.lexsort((tie[cand], key))[: int(n)]
+                for j in cand[order]:
+                    rr.append(rid)
+                    gg.append(ids[j])
+            if rr:
+                yield pd.DataFrame({"rid": rr, "gameId": gg})
+    return run
+
+
+def hashed_negatives(rows: DataFrame, block: ItemBlock, rid: str, n_col: str, exclude: str, seed: int = 42) -> DataFrame:
+    """H17 (G4 without materialising it): for each row, ``n`` items outside
+    ``exclude`` with the smallest ``md5(rid) xor md5(item/seed)`` keys (48-bit
+    prefixes; ties by item id).  The complement set is scanned inside the task
+    against the broadcast catalog, so only the chosen rows are emitted."""
+    inp = rows.select(F.col(rid).cast("string").alias("rid"), F.col(n_col).cast("long").alias("n"),
+                      F.col(exclude).alias("excl"))
+    return inp.mapInPandas(_neg_fn(block.bc, seed), NEG_SCHEMA)

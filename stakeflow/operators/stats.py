@@ -142,3 +142,21 @@ def quantile_bucket(df: DataFrame, id_col: str, value: str, labels: list[str], o
     b = F.when(q <= 1, F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor((F.col("__pos") * q + (n - 2)) / (n - 1))))
     arr = F.array(*[F.lit(x) for x in labels])
     return pos.withColumn(out, F.element_at(arr, b.cast("int"))).drop("__pos")
+
+
+def cumulative_sums(df: DataFrame, order: list, values: list[str], tie: str | None = None) -> DataFrame:
+    """Running sums of ``values`` in the total order ``order`` (add an id for a
+    total order).  Per-partition sums of the checkpointed sort give each
+    partition's offset (one row per partition, broadcast); inside a partition a
+    window over that partition only finishes the sum.  Output adds
+    ``cum_<value>`` columns and ``__pos``."""
+    pos = positions(df, order).withColumn("__pid", F.spark_partition_id())
+    pos = cut_lineage(pos)
+    part = pos.groupBy("__pid").agg(*[F.sum(v).alias(f"__s_{v}") for v in values])
+    w0 = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = part.select("__pid", *[F.coalesce(F.sum(f"__s_{v}").over(w0), F.lit(0)).alias(f"__o_{v}") for v in values])
+    w = Window.partitionBy("__pid").orderBy("__pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = pos.join(F.broadcast(off), "__pid")
+    for v in values:
+        out = out.withColumn(f"cum_{v}", F.col(f"__o_{v}") + F.sum(v).over(w))
+    return out.drop("__pid", *[f"__o_{v}" for v in values])

@@ -55,7 +55,7 @@ def load_all() -> dict[str, Query]:
     # importing the query modules fills the registry
     from stakeflow.plans import queries_core  # noqa: F401
     for mod in ("queries_dataset", "queries_scoring", "queries_analytics", "queries_train",
-                "queries_explain", "queries_sinks"):
+                "queries_explain", "queries_sinks", "queries_more"):
         try:
             __import__(f"stakeflow.plans.{mod}")
         except ModuleNotFoundError as exc:
