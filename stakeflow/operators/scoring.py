@@ -188,18 +188,76 @@ def _rank_fn(bc):
     return run
 
 
-def positive_ranks(rows: DataFrame, block: ItemBlock, rid: str, positives: str, vec: str = "embedding",
+def _count_fn(bc):
+    """Per block: for each (row, positive score) the valid items scored higher."""
+    def run(batches):
+        blk = bc.value
+        ids = blk["ids"]
+        index = {g: j for j, g in enumerate(ids)}
+        n = len(ids)
+        step = max(1, SCORE_CELLS // max(n, 1))
+        for pdf in batches:
+            for s0 in range(0, len(pdf), step):
+                part = pdf.iloc[s0:s0 + step]
+                scores = _rounded_scores(_vec_matrix(part["v"]), part["b"].to_numpy(dtype=np.float64), blk)
+                rr, gg, hh, cc = [], [], [], []
+                for row, (rid, ps, excl) in enumerate(zip(part["rid"], part["ps"], part["excl"])):
+                    valid = np.ones(n, dtype=bool)
+                    m = _mask(excl, index)
+                    if m:
+                        valid[m] = False
+                    srt = np.sort(scores[row][valid])
+                    for item in (ps if ps is not None else []):
+                        g, sc = item["gameId"], item["score"]
+                        rr.append(rid)
+                        gg.append(g)
+                        hh.append(int(len(srt) - np.searchsorted(srt, sc, side="right")))
+                        cc.append(int(len(srt)))
+                if rr:
+                    yield pd.DataFrame({"rid": rr, "gameId": gg, "higher": np.asarray(hh, dtype=np.int64),
+                                        "n_candidates": np.asarray(cc, dtype=np.int64)})
+    return run
+
+
+COUNT_SCHEMA = T.StructType([
+    T.StructField("rid", T.StringType()), T.StructField("gameId", T.StringType()),
+    T.StructField("higher", T.LongType()), T.StructField("n_candidates", T.LongType()),
+])
+
+
+def positive_ranks(rows: DataFrame, block, rid: str, positives: str, vec: str = "embedding",
                    bias: str | None = None, exclude: str | None = None) -> DataFrame:
     """For each positive item of each row: ``higher`` = number of candidate items
     (all items minus ``exclude``) with a strictly greater rounded score, and the
-    candidate count.  One output row per positive; the basis of P@K, AUC, NDCG."""
+    candidate count.  One output row per positive; the basis of P@K, AUC, NDCG.
+
+    ``block`` is one ``ItemBlock`` or the list from ``item_blocks``.  With
+    several blocks (catalog above the broadcast limit) a first pass finds each
+    positive's score in the block holding it, a second pass counts higher-scored
+    candidates per block, and the counts are summed per (row, positive)."""
+    blocks = block if isinstance(block, list) else [block]
     inp = rows.select(
         F.col(rid).cast("string").alias("rid"), F.col(vec).alias("v"),
         (F.col(bias) if bias else F.lit(0.0)).cast("double").alias("b"),
         F.col(positives).alias("pos"),
         (F.col(exclude) if exclude else F.lit(None).cast("array<string>")).alias("excl"),
     ).where(F.col("v").isNotNull())
-    return inp.mapInPandas(_rank_fn(block.bc), RANK_SCHEMA)
+    if len(blocks) == 1:
+        return inp.mapInPandas(_rank_fn(blocks[0].bc), RANK_SCHEMA)
+    found = None
+    for blk in blocks:
+        part = inp.mapInPandas(_rank_fn(blk.bc), RANK_SCHEMA).select("rid", "gameId", "score")
+        found = part if found is None else found.unionByName(part)
+    # one entry per positive of the row: bounded by the row's positives
+    ps = found.groupBy("rid").agg(F.collect_list(F.struct("gameId", "score")).alias("ps"))
+    inp2 = inp.join(ps, "rid").select("rid", "v", "b", "excl", "ps")
+    counts = None
+    for blk in blocks:
+        part = inp2.mapInPandas(_count_fn(blk.bc), COUNT_SCHEMA)
+        counts = part if counts is None else counts.unionByName(part)
+    tot = counts.groupBy("rid", "gameId").agg(F.sum("higher").alias("higher"),
+                                              F.sum("n_candidates").alias("n_candidates"))
+    return found.join(tot, ["rid", "gameId"]).select("rid", "gameId", "score", "higher", "n_candidates")
 
 
 def pair_scores(pairs: DataFrame, users: DataFrame, items: DataFrame, user_key: str = "userId",
@@ -315,11 +373,24 @@ def _neg_fn(bc, seed):
     return run
 
 
-def hashed_negatives(rows: DataFrame, block: ItemBlock, rid: str, n_col: str, exclude: str, seed: int = 42) -> DataFrame:
+def hashed_negatives(rows: DataFrame, block, rid: str, n_col: str, exclude: str, seed: int = 42) -> DataFrame:
     """H17 (G4 without materialising it): for each row, ``n`` items outside
     ``exclude`` with the smallest ``md5(rid) xor md5(item/seed)`` keys (48-bit
     prefixes; ties by item id).  The complement set is scanned inside the task
-    against the broadcast catalog, so only the chosen rows are emitted."""
+    against the broadcast catalog, so only the chosen rows are emitted; with
+    several catalog blocks each block proposes its best ``n`` and a per-row
+    window over at most ``n * blocks`` rows keeps the overall best ``n``."""
+    blocks = block if isinstance(block, list) else [block]
     inp = rows.select(F.col(rid).cast("string").alias("rid"), F.col(n_col).cast("long").alias("n"),
                       F.col(exclude).alias("excl"))
-    return inp.mapInPandas(_neg_fn(block.bc, seed), NEG_SCHEMA)
+    parts = [inp.mapInPandas(_neg_fn(b.bc, seed), NEG_SCHEMA) for b in blocks]
+    if len(parts) == 1:
+        return parts[0]
+    allp = parts[0]
+    for p in parts[1:]:
+        allp = allp.unionByName(p)
+    uh = F.conv(F.substring(F.md5(F.col("rid")), 1, 12), 16, 10).cast("long")
+    ih = F.conv(F.substring(F.md5(F.concat(F.col("gameId"), F.lit(f"/{seed}"))), 1, 12), 16, 10).cast("long")
+    w = Window.partitionBy("rid").orderBy(uh.bitwiseXOR(ih), "gameId")
+    return (allp.join(inp.select("rid", "n"), "rid").withColumn("__r", F.row_number().over(w))
+            .where(F.col("__r") <= F.col("n")).select("rid", "gameId"))

@@ -68,7 +68,7 @@ def negatives(t):
         d, users, blocks = model(t)
         rows = (d.test_pairs.groupBy("userId").agg(F.count("*").alias("n"))
                 .join(_lists(d.full_pairs, "seen"), "userId", "left"))
-        return S.hashed_negatives(rows, blocks[0], "userId", "n", "seen", seed=42).withColumnRenamed("rid", "userId")
+        return S.hashed_negatives(rows, blocks, "userId", "n", "seen", seed=42).withColumnRenamed("rid", "userId")
     return P._memo(t, "negatives", build)
 
 
@@ -188,7 +188,7 @@ def q_ablation(t):
     def evaluate(u_ef, i_ef):
         u_rep = X.representations(u_ef, m["u_fv"], "userId")
         i_rep = X.representations(i_ef, m["i_fv"], "gameId")
-        blk = S.item_blocks(i_rep)[0]
+        blk = S.item_blocks(i_rep)
         rows = u_rep.join(_lists(d.test_pairs, "pos"), "userId").join(_lists(d.train_pairs, "seen"), "userId", "left")
         return MT.mean_metrics(MT.per_user_metrics(
             S.positive_ranks(rows, blk, "userId", "pos", exclude="seen"), K)).first()

@@ -40,13 +40,13 @@ def _lists(pairs, name):
 def test_ranks(t):
     d, users, blocks = model(t)
     rows = users.join(_lists(d.test_pairs, "pos"), "userId").join(_lists(d.train_pairs, "seen"), "userId", "left")
-    return _memo(t, "test_ranks", lambda: S.positive_ranks(rows, blocks[0], "userId", "pos", exclude="seen"))
+    return _memo(t, "test_ranks", lambda: S.positive_ranks(rows, blocks, "userId", "pos", exclude="seen"))
 
 
 def train_ranks(t):
     d, users, blocks = model(t)
     rows = users.join(_lists(d.train_pairs, "pos"), "userId")
-    return _memo(t, "train_ranks", lambda: S.positive_ranks(rows, blocks[0], "userId", "pos"))
+    return _memo(t, "train_ranks", lambda: S.positive_ranks(rows, blocks, "userId", "pos"))
 
 
 def test_user_metrics(t):

@@ -30,8 +30,8 @@ def evaluate(t, users, items):
     blocks = S.item_blocks(items)
     te_rows = users.join(_lists(d.test_pairs, "pos"), "userId").join(_lists(d.train_pairs, "seen"), "userId", "left")
     tr_rows = users.join(_lists(d.train_pairs, "pos"), "userId")
-    te = MT.mean_metrics(MT.per_user_metrics(S.positive_ranks(te_rows, blocks[0], "userId", "pos", exclude="seen"), K))
-    tr = MT.mean_metrics(MT.per_user_metrics(S.positive_ranks(tr_rows, blocks[0], "userId", "pos"), K))
+    te = MT.mean_metrics(MT.per_user_metrics(S.positive_ranks(te_rows, blocks, "userId", "pos", exclude="seen"), K))
+    tr = MT.mean_metrics(MT.per_user_metrics(S.positive_ranks(tr_rows, blocks, "userId", "pos"), K))
     return tr, te
 
 

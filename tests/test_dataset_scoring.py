@@ -96,3 +96,27 @@ def test_recommend_cold_warm_and_rejects(spark):
 def test_event_schema_is_fixed():
     assert EV.EVENT_COLUMNS == [f.name for f in EV.EVENT_SCHEMA.fields]
     assert len(EV.EVENT_COLUMNS) == 17
+
+
+def test_multi_block_scoring_equals_single_block(spark):
+    from stakeflow.config import Settings
+    rng = np.random.default_rng(5)
+    U, I = rng.normal(size=(12, 6)), rng.normal(size=(40, 6))
+    users = spark.createDataFrame(
+        [(f"u{i}", U[i].tolist(), [f"i{j}" for j in range(i, 40, 9)], [f"i{j}" for j in range(i + 1, 40, 13)])
+         for i in range(12)], "userId string, embedding array<double>, seen array<string>, pos array<string>")
+    items = spark.createDataFrame([(f"i{j}", I[j].tolist()) for j in range(40)], "gameId string, embedding array<double>")
+    one = S.item_blocks(items)
+    many = S.item_blocks(items, settings=Settings(broadcast_row_limit=7))
+    assert len(one) == 1 and len(many) > 1
+    key = ["rid", "gameId"]
+    a = S.positive_ranks(users, one, "userId", "pos", exclude="seen").toPandas().sort_values(key).reset_index(drop=True)
+    b = S.positive_ranks(users, many, "userId", "pos", exclude="seen").toPandas().sort_values(key).reset_index(drop=True)
+    assert a.equals(b[a.columns])
+    ta = S.top_k(users, one, 5, "userId", exclude="seen").toPandas().sort_values(["rid", "rank"]).reset_index(drop=True)
+    tb = S.top_k(users, many, 5, "userId", exclude="seen").toPandas().sort_values(["rid", "rank"]).reset_index(drop=True)
+    assert list(ta.gameId) == list(tb.gameId)
+    n = users.select("userId", F.lit(3).alias("n"), "seen")
+    na = S.hashed_negatives(n, one, "userId", "n", "seen").toPandas().sort_values(key).reset_index(drop=True)
+    nb = S.hashed_negatives(n, many, "userId", "n", "seen").toPandas().sort_values(key).reset_index(drop=True)
+    assert na.equals(nb)
