@@ -130,14 +130,20 @@ def enrich_device(
     settings: Settings = DEFAULT,
     activity_tie: str | None = None,
     sub_buckets: int = 1,
+    id_col: str | None = None,
 ) -> DataFrame:
     """C4 + C5: ``deviceType_raw`` by a cascade of backward as-of joins.
 
     Each pair fills only rows still without a device value; a match whose
     device is NULL leaves the row open for the next pair.  Because a match
-    never depends on other rows, the cascade equals ``coalesce`` of the pair
-    matches in priority order, which is how it is computed here (one as-of
-    join per applicable pair, all lazily chained).
+    never depends on other rows, the cascade equals "first non-NULL match in
+    priority order".  With a unique row id (``id_col``) it runs as ONE as-of
+    join: every transaction contributes one narrow row per applicable pair
+    (id, pair, key, time), activity rows are tagged with their pair, the join
+    is keyed by (pair, key), ``min_by(device, pair)`` per id picks the first
+    non-NULL match, and one join brings it back.  The wide transaction rows are
+    shuffled once instead of once per pair.  Without an id the pairs are
+    chained (one as-of join each).
     ``activity`` is the output of ``load_activity`` (``_activity_ts``,
     ``deviceType_raw`` and the id columns present in the source).
     """
@@ -153,20 +159,39 @@ def enrich_device(
         tx = tx.join(bridge, tx["userId"] == bridge["__bu"], "left").drop("__bu")
     pairs = device_pairs(tx.columns, activity.columns)
     tie_cols = [activity_tie] if activity_tie else []
+    if not pairs:
+        return tx.withColumn("deviceType_raw", F.lit(None).cast("string")).drop("playerId_bridge")
+
+    def key(c):
+        return F.when(~M.is_null_like(c), M.clean_id(c))
+
+    if id_col is not None:
+        narrow = tx.select(F.col(id_col).alias("__id"), "timestamp", F.explode(F.array(*[
+            F.struct(F.lit(i).alias("p"), key(tk).alias("k")) for i, (tk, _) in enumerate(pairs)])).alias("__pk"))
+        narrow = narrow.select("__id", "timestamp", F.col("__pk.p").alias("__p"), F.col("__pk.k").alias("__k"))
+        right = None
+        for i, (_, ak) in enumerate(pairs):
+            r = activity.select(F.lit(i).alias("__rp"), key(ak).alias("__rk"), "_activity_ts", "deviceType_raw",
+                                *tie_cols)
+            right = r if right is None else right.unionByName(r)
+        m = asof_join(narrow, right, "timestamp", "_activity_ts", by=[("__p", "__rp"), ("__k", "__rk")],
+                      payload={"deviceType_raw": "__dev"}, tolerance_seconds=tol * 3600.0,
+                      right_tie=activity_tie, sub_buckets=sub_buckets)
+        first = (m.where(F.col("__dev").isNotNull()).groupBy("__id")
+                 .agg(F.min_by("__dev", "__p").alias("deviceType_raw")))
+        out = tx.join(first, tx[id_col] == first["__id"], "left").drop("__id")
+        return out.drop("playerId_bridge")
+
     fills = []
     for i, (tk, ak) in enumerate(pairs):
-        tx = tx.withColumn(f"__k{i}", F.when(~M.is_null_like(tk), M.clean_id(tk)))
-        act = activity.select(
-            F.when(~M.is_null_like(ak), M.clean_id(ak)).alias("__ak"),
-            "_activity_ts", "deviceType_raw", *tie_cols,
-        )
+        tx = tx.withColumn(f"__k{i}", key(tk))
+        act = activity.select(key(ak).alias("__ak"), "_activity_ts", "deviceType_raw", *tie_cols)
         tx = asof_join(tx, act, "timestamp", "_activity_ts", by=[(f"__k{i}", "__ak")],
                        payload={"deviceType_raw": f"__dev{i}"},
                        tolerance_seconds=tol * 3600.0, right_tie=activity_tie,
                        sub_buckets=sub_buckets).drop(f"__k{i}")
         fills.append(F.col(f"__dev{i}"))
-    device = F.coalesce(*fills) if fills else F.lit(None).cast("string")
-    out = tx.withColumn("deviceType_raw", device)
+    out = tx.withColumn("deviceType_raw", F.coalesce(*fills))
     return out.drop(*[f"__dev{i}" for i in range(len(pairs))], "playerId_bridge")
 
 

@@ -73,7 +73,8 @@ def enriched_bets(t: Tables, settings: Settings = DEFAULT) -> DataFrame:
     downstream plans small."""
     return _memo(t, "enriched", lambda: cut_lineage(E.enrich_device(
         session_enriched(t, settings), t.fx_players, fixture_activity(t),
-        tolerance_hours=FIXTURE_DEVICE_TOLERANCE_H, settings=settings, activity_tie="actId")))
+        tolerance_hours=FIXTURE_DEVICE_TOLERANCE_H, settings=settings, activity_tie="actId",
+        id_col="txnId")))
 
 
 def events(t: Tables, settings: Settings = DEFAULT) -> DataFrame:

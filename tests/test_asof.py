@@ -66,3 +66,20 @@ def test_next_event_gap_matches_window(spark):
     exp = ((nxt - pdf["ts"]).dt.total_seconds() <= 600).fillna(False)
     for sid, e in zip(pdf["sid"], exp):
         assert got[sid] == bool(e)
+
+
+def test_device_cascade_single_pass_equals_chained(spark):
+    from stakeflow.operators.enrich import enrich_device
+    rnd = random.Random(11)
+    tx = spark.createDataFrame([(i, str(rnd.randint(0, 5)), T0 + dt.timedelta(hours=rnd.randint(0, 200)))
+                                for i in range(300)], "txnId int, userId string, timestamp timestamp_ntz")
+    users = spark.createDataFrame([(str(u), str(u + 100)) for u in range(6)], "userId string, playerId string")
+    act = spark.createDataFrame(
+        [(i, rnd.choice([str(rnd.randint(100, 105)), None]), rnd.choice([str(rnd.randint(0, 5)), None, "nan"]),
+          T0 + dt.timedelta(hours=rnd.randint(0, 200)), rnd.choice(["Android", "Windows", None]))
+         for i in range(200)], "actId int, playerId string, loginId string, _activity_ts timestamp_ntz, deviceType_raw string")
+    a = enrich_device(tx, users, act, tolerance_hours=24, activity_tie="actId", id_col="txnId")
+    b = enrich_device(tx, users, act, tolerance_hours=24, activity_tie="actId")
+    ga = {r["txnId"]: r["deviceType_raw"] for r in a.collect()}
+    gb = {r["txnId"]: r["deviceType_raw"] for r in b.collect()}
+    assert ga == gb and len(ga) == 300 and any(v is not None for v in ga.values())
