@@ -4,7 +4,7 @@ Scale notes:
 * The per-user steps of the split (distinct games per user, last-touched
   pair) are aggregations (``count`` + ``max_by`` over a struct), not per-user
   windows, so a user with a third of all events is reduced map-side.
-* Dictionaries use a distributed sort + ``zipWithIndex`` (``stats.dense_index``).
+* Dictionaries use distributed positions of a range sort (``stats.dense_index``).
 * Only the item catalog is ranked with a global window (popularity buckets):
   the catalog is the small, bounded side of the model.
 """

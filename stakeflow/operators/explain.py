@@ -180,3 +180,41 @@ def diverse_pick(candidates: DataFrame, order_users: DataFrame, n_users: int) ->
         used.add(pick[1])
         out.append({"userId": u, "gameId": pick[1], "score": pick[2], "pick_order": len(out) + 1})
     return out
+
+
+def permute_feature(ef: DataFrame, index: DataFrame, key: str, feature: str, seed: int = 42) -> DataFrame:
+    """Shuffle one feature column over all entities (zeros included).
+
+    The value held by the entity at position i of the id order moves to the
+    entity at position i of the md5(id/feature/seed) order.  Positions come
+    from the distributed ``positions`` helper, so no entity set is collected.
+    """
+    from stakeflow.operators.stats import positions
+    col = index.select(key).join(ef.where(F.col("feature") == feature).select(key, "value"), key, "left") \
+        .fillna(0.0, subset=["value"])
+    by_id = positions(col, [key], "__pa")
+    by_hash = positions(col.withColumn("__h", F.md5(F.concat_ws("/", F.col(key), F.lit(feature), F.lit(str(seed))))),
+                        ["__h", key], "__pb")
+    moved = by_id.select("__pa", F.col(key).alias("__dst")).join(
+        by_hash.select(F.col("__pb").alias("__pa"), F.col("value").alias("__v")), "__pa")
+    new_rows = moved.where(F.col("__v") > 0).select(F.col("__dst").alias(key), F.lit(feature).alias("feature"),
+                                                    F.col("__v").alias("value"), F.lit(True).alias("is_token"))
+    return ef.where(F.col("feature") != feature).unionByName(new_rows)
+
+
+# fixed values: token groups of the feature-group ablation variants
+FEATURE_GROUPS = {
+    "drop_user_context": ["preferred_time_of_day:", "preferred_day_of_week:"],
+    "drop_user_behavior": ["preferred_device:", "preferred_entry_point:"],
+    "drop_item_metadata": ["game_type:", "provider:"],
+    "drop_item_popularity": ["popularity_bucket:"],
+}
+
+
+def drop_groups(ef: DataFrame, prefixes: list[str]) -> DataFrame:
+    """Remove every token of the given groups (by prefix)."""
+    cond = None
+    for p in prefixes:
+        c = F.col("feature").startswith(p)
+        cond = c if cond is None else cond | c
+    return ef.where(~cond) if cond is not None else ef

@@ -221,3 +221,54 @@ def q_pca(t):
                      F.lit(dims).alias("dims"))
     from stakeflow.operators.stats import quantile_bucket
     return rounded(quantile_bucket(out, "userId", "pc1", ["low", "mid", "high"], "pc1_tertile"))
+
+
+def _eval_variant(t, u_ef, i_ef):
+    m = fixture_model(t)
+    d = m["d"]
+    u_rep = X.representations(u_ef, m["u_fv"], "userId")
+    i_rep = X.representations(i_ef, m["i_fv"], "gameId")
+    blocks = S.item_blocks(i_rep)
+    rows = u_rep.join(_lists(d.test_pairs, "pos"), "userId").join(_lists(d.train_pairs, "seen"), "userId", "left")
+    return MT.mean_metrics(MT.per_user_metrics(
+        S.positive_ranks(rows, blocks, "userId", "pos", exclude="seen"), K)).first()
+
+
+@register("permutation_importance", "H27 C16 (rows)")
+def q_permutation(t):
+    """Shuffle each of the top-8 attributed features over its side's entities,
+    recompute the representations and report the precision / AUC change,
+    joined to the attribution table."""
+    m = fixture_model(t)
+    d = m["d"]
+    g = X.global_attribution(train_contribs(t), "implicit_score")
+    top = X.top_by_abs(g, "contribution", DEFAULT.permutation_top_features, None, ["side", "feature"]).collect()
+    base = _eval_variant(t, m["u_ef"], m["i_ef"])
+    rows = []
+    for r in top:
+        if r["side"] == "user":
+            u_ef, i_ef = X.permute_feature(m["u_ef"], d.user_index, "userId", r["feature"]), m["i_ef"]
+        else:
+            u_ef, i_ef = m["u_ef"], X.permute_feature(m["i_ef"], d.item_index, "gameId", r["feature"])
+        v = _eval_variant(t, u_ef, i_ef)
+        rows.append((r["side"], r["feature"], v["precision_at_k"] - base["precision_at_k"], v["auc"] - base["auc"]))
+    perm = t.spark.createDataFrame(rows, "side string, feature string, delta_p double, delta_auc double")
+    return rounded(g.join(perm, ["side", "feature"], "inner"))
+
+
+@register("feature_group_ablation", "H29 F5 (rows)")
+def q_group_ablation(t):
+    """Variants without one token group each; metric deltas against the full
+    model and the best / worst variant flags.  The trainer's factors do not
+    depend on side tokens, so variants re-derive representations instead of
+    retraining."""
+    m = fixture_model(t)
+    base = _eval_variant(t, m["u_ef"], m["i_ef"])
+    rows = [("full", base["precision_at_k"], base["auc"], 0.0)]
+    for name, prefixes in X.FEATURE_GROUPS.items():
+        v = _eval_variant(t, X.drop_groups(m["u_ef"], prefixes), X.drop_groups(m["i_ef"], prefixes))
+        rows.append((name, v["precision_at_k"], v["auc"], v["precision_at_k"] - base["precision_at_k"]))
+    df = t.spark.createDataFrame(rows, "variant string, precision_at_k double, auc double, delta_p double")
+    best = df.where("variant != 'full'").agg(F.max_by("variant", F.struct("delta_p", F.col("variant")))).scalar()
+    worst = df.where("variant != 'full'").agg(F.min_by("variant", F.struct("delta_p", F.col("variant")))).scalar()
+    return rounded(df.withColumn("is_best", F.col("variant") == best).withColumn("is_worst", F.col("variant") == worst))
