@@ -272,3 +272,142 @@ def q_group_ablation(t):
     best = df.where("variant != 'full'").agg(F.max_by("variant", F.struct("delta_p", F.col("variant")))).scalar()
     worst = df.where("variant != 'full'").agg(F.min_by("variant", F.struct("delta_p", F.col("variant")))).scalar()
     return rounded(df.withColumn("is_best", F.col("variant") == best).withColumn("is_worst", F.col("variant") == worst))
+
+
+# ---------------------------------------------------------------------------
+# E2 + B24: EDA session view; B33 tokens; C15; H2; G6; I3; A6
+# ---------------------------------------------------------------------------
+from stakeflow.operators.asof import next_event_gap, previous_event_gap  # noqa: E402
+from stakeflow.operators.events import EVENT_COLUMNS, enum_violations, missing_columns  # noqa: E402
+from stakeflow.plans.oracle import pipeline_ctes  # noqa: E402
+from stakeflow.plans.queries_analytics import PLAYS_CTES, UB_SQL, ub  # noqa: E402
+from stakeflow.sources.fixtures import fixture_ctes  # noqa: E402
+
+
+@register("eda_session_view", "E2 B24 E1 (minutes since previous bet, EDA exit type)", f"""with {PLAYS_CTES},
+e as (select p.txnId, p.userId, p.timestamp, en.session_duration_sec as dur from plays p
+  join enriched en on en.txnId = p.txnId),
+g as (select *, lag(timestamp) over (partition by userId order by timestamp, txnId) as prev_ts,
+    lead(timestamp) over (partition by userId order by timestamp, txnId) as next_ts from e)
+select txnId, userId, round(coalesce((epoch_us(timestamp) - epoch_us(prev_ts)) / 60000000.0, 1e6), 6)
+    as minutes_since_prev,
+  case when dur is null then 'no_session_data' when dur < 30 then 'quick_exit'
+       when coalesce(epoch_us(next_ts) - epoch_us(timestamp) <= 600000000, false) then 'returned_quickly'
+       else 'natural_end' end as eda_exit_type
+from g""")
+def q_eda(t):
+    p = P.plays(t).select("txnId", "userId", "timestamp").join(
+        P.enriched_bets(t).select("txnId", F.col("session_duration_sec").alias("dur")), "txnId")
+    g = previous_event_gap(p, "userId", "timestamp", "txnId", "minutes_since_prev")
+    g = next_event_gap(g, "userId", "timestamp", "txnId", "returned", 600)
+    return rounded(g.select("txnId", "userId", "minutes_since_prev",
+                            M.eda_exit_type("dur", "returned").alias("eda_exit_type")))
+
+
+@register("selected_user_tokens", "B33 C14 (requested token groups only, NULL values skipped)", f"""with {PLAYS_CTES}, {UB_SQL}
+select p.userId, list_filter([case when p.archetype is not null then concat('archetype:', p.archetype) end,
+    case when ub.preferred_game_type is not null then concat('preferred_game_type:', ub.preferred_game_type) end],
+    lambda x: x is not null) as tokens
+from fx_players p left join ub on ub.userId = p.userId""")
+def q_sel_tokens(t):
+    u = t.fx_players.select("userId", "archetype").join(ub(t).select("userId", "preferred_game_type"), "userId", "left")
+    return u.select("userId", M.tokens(["archetype", "preferred_game_type"]).alias("tokens"))
+
+
+@register("dimension_match_coverage", "C15", f"""with {pipeline_ctes('merged')}
+select count(*) as fact_rows, count(g.gameId) as matched_rows, round(count(g.gameId) / count(*), 6) as match_share
+from fx_bets b left join fx_games g on g.gameId = b.gameId_raw""")
+def q_match(t):
+    j = t.fx_bets.join(t.fx_games.select(F.col("gameId"), F.col("gameId").alias("__g")),
+                       t.fx_bets["gameId_raw"] == F.col("gameId"), "left")
+    return rounded(j.agg(F.count("*").alias("fact_rows"), F.count("__g").alias("matched_rows"),
+                         (F.count("__g") / F.count("*")).alias("match_share")))
+
+
+def random_split(pairs, seed: int = DEFAULT.seed):
+    """H2: stable hash split: ``substr(md5(user/item/seed), 1, 4) < '2666'``
+    (~15 %) is test, the rest train."""
+    key = F.md5(F.concat_ws("/", F.col("userId"), F.col("gameId"), F.lit(str(seed))))
+    return pairs.withColumn("split", F.when(F.substring(key, 1, 4) < F.lit("2666"), "test").otherwise("train"))
+
+
+@register("random_hash_split", "H2", f"""with {SCORE_CTES}
+select userId, gameId, case when substr(md5(concat_ws('/', userId, gameId, '{DEFAULT.seed}')), 1, 4) < '2666'
+  then 'test' else 'train' end as split from full_pairs""")
+def q_random_split(t):
+    return random_split(P.dataset(t).full_pairs.select("userId", "gameId"))
+
+
+@register("missing_schema_columns", "G6 (rows)")
+def q_missing(t):
+    """Event-schema columns absent from the merged bet table (a schema check)."""
+    miss = missing_columns(P.merged_bets(t))
+    return t.spark.createDataFrame([(c,) for c in miss], "column string")
+
+
+_VIOL_SQL = """select 'enum_violation' as section, concat(col, '=', value) as item, 1.0 as value from (
+  select 'entryPoint' as col, entryPoint as value from events where entryPoint not in
+    ('livecasino', 'casino', 'sportsbook', 'direct', 'search', 'lobby', 'unknown')
+  union select 'provider', provider from events where provider not in
+    ('HUB88', 'Evolution', 'EZUGI', 'Spribe', 'OnlyPlay', 'PeterAndSons', 'unknown')
+  union select 'gameType', gameType from events where gameType not in
+    ('slot', 'table', 'live_dealer', 'crash', 'instant_win', 'unknown')
+  union select 'deviceType', deviceType from events where deviceType not in ('mobile', 'desktop', 'tablet', 'unknown'))"""
+
+
+def _kr(c):
+    return (f"select 'known_rate' as section, '{c}' as item, round(coalesce(avg(case when lower(trim(coalesce(cast({c} "
+            f"as varchar), 'nan'))) in ('unknown', 'nan', 'none', 'null', '') then 0.0 else 1.0 end), 0.0), 6) "
+            f"from events")
+
+
+@register("readiness_report", "I3 G3 G6 D10", f"""with {pipeline_ctes('events')}
+{_VIOL_SQL}
+union all {' union all '.join(_kr(c) for c in ['deviceType', 'entryPoint', 'provider', 'gameType'])}
+union all select 'count', 'events', cast(count(*) as double) from events
+union all select 'count', 'users', cast(count(distinct userId) as double) from events
+union all select 'count', 'games', cast(count(distinct gameId) as double) from events""")
+def q_readiness(t):
+    from stakeflow.operators.analytics import known_rate
+    e = P.events(t)
+    viol = enum_violations(e).select(F.lit("enum_violation").alias("section"),
+                                     F.concat("column", F.lit("="), "value").alias("item"), F.lit(1.0).alias("value"))
+    miss = [(c,) for c in missing_columns(e, EVENT_COLUMNS)]
+    schema = t.spark.createDataFrame(miss, "item string").select(
+        F.lit("missing_column").alias("section"), "item", F.lit(1.0).alias("value"))
+    rates = e.agg(*[known_rate(c).alias(c) for c in ["deviceType", "entryPoint", "provider", "gameType"]])
+    rates = rates.unpivot([], rates.columns, "item", "value").select(F.lit("known_rate").alias("section"), "item",
+                                                                     F.round("value", 6).alias("value"))
+    counts = e.agg(F.count("*").cast("double").alias("events"), F.count_distinct("userId").cast("double").alias("users"),
+                   F.count_distinct("gameId").cast("double").alias("games"))
+    counts = counts.unpivot([], counts.columns, "item", "value").select(F.lit("count").alias("section"), "item", "value")
+    return viol.unionByName(schema).unionByName(rates).unionByName(counts)
+
+
+@register("input_contract_report", "A6 (rows)")
+def q_contracts(t):
+    """Contract checks on the derived inputs: empty inputs, required columns,
+    and typed NULL enrichment columns when a source is missing."""
+    from stakeflow.errors import DataValidationError
+    from stakeflow.operators import enrich as E
+    from stakeflow.plans.queries_sinks import raw_bets, raw_games
+    from stakeflow.sources import ingest as I
+    rows = []
+
+    def check(name, fn):
+        try:
+            fn()
+            rows.append((name, True, ""))
+        except DataValidationError as exc:
+            rows.append((name, False, str(exc)))
+
+    check("transactions_non_empty", lambda: I.load_transactions(raw_bets(t), check=True))
+    check("games_have_category", lambda: I.require_columns(raw_games(t), ["category"], "game details"))
+    check("games_missing_column_detected", lambda: I.require_columns(raw_games(t).drop("category"), ["category"],
+                                                                     "game details"))
+    check("empty_filter_detected", lambda: I.require_rows(raw_bets(t).where("false"), "bet transactions"))
+    no_sess = E.enrich_sessions(P.merged_bets(t), None)
+    n_filled = no_sess.agg(F.count("session_duration_sec")).first()[0]
+    rows.append(("missing_session_source_gives_nulls", n_filled == 0,
+                 dict(no_sess.dtypes)["session_duration_sec"]))
+    return t.spark.createDataFrame(rows, "check string, ok boolean, detail string")

@@ -83,3 +83,17 @@ def test_device_cascade_single_pass_equals_chained(spark):
     ga = {r["txnId"]: r["deviceType_raw"] for r in a.collect()}
     gb = {r["txnId"]: r["deviceType_raw"] for r in b.collect()}
     assert ga == gb and len(ga) == 300 and any(v is not None for v in ga.values())
+
+
+def test_previous_event_gap_matches_lag(spark):
+    from stakeflow.operators.asof import previous_event_gap
+    rnd = random.Random(5)
+    rows = [(f"u{rnd.randint(0, 4)}", T0 + dt.timedelta(minutes=rnd.randint(0, 6 * 24 * 60)), f"s{i:04d}")
+            for i in range(500)]
+    df = spark.createDataFrame(rows, "u string, ts timestamp_ntz, sid string")
+    got = {r["sid"]: r["m"] for r in previous_event_gap(df, "u", "ts", "sid", "m").collect()}
+    pdf = pd.DataFrame(rows, columns=["u", "ts", "sid"]).sort_values(["u", "ts", "sid"])
+    prev = pdf.groupby("u")["ts"].shift(1)
+    exp = ((pdf["ts"] - prev).dt.total_seconds() / 60).fillna(1e6)
+    for sid, e in zip(pdf["sid"], exp):
+        assert abs(got[sid] - e) < 1e-9
