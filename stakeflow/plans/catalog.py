@@ -31,11 +31,56 @@ _TABLES: dict[tuple, Tables] = {}
 
 def register(name: str, covers: str, sql: str | None = None):
     def deco(fn):
-        REGISTRY[name] = Query(name, fn, sql, covers)
+        REGISTRY[name] = Query(name, fn, unify_round6(sql) if sql else sql, covers)
         return fn
     return deco
 
 
+def round6(c):
+    """6-digit rounding that Spark and DuckDB evaluate identically: scale, round
+    to an integer (both round halves away from zero), unscale.  ``round(x, 6)``
+    itself differs between the engines on values with short decimal expansions."""
+    return F.round(c * 1e6) / 1e6
+
+
+def unify_round6(sql: str) -> str:
+    """Rewrite every ``round(expr, 6)`` of an oracle query into the same
+    ``round(expr * 1e6) / 1e6`` form used by ``rounded``."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        for k in range(j + 5, len(sql)):
+            if sql[k] in "([":
+                depth += 1
+            elif sql[k] in ")]":
+                depth -= 1
+                if depth == 0:
+                    break
+        inner = sql[j + 6:k]
+        d, last = 0, -1
+        for m, ch in enumerate(inner):
+            if ch in "([":
+                d += 1
+            elif ch in ")]":
+                d -= 1
+            elif ch == "," and d == 0:
+                last = m
+        out.append(sql[i:j])
+        if last >= 0 and inner[last + 1:].strip() == "6":
+            out.append(f"(round(({unify_round6(inner[:last])}) * 1e6) / 1e6)")
+        else:
+            out.append("round(" + unify_round6(inner) + ")")
+        i = k + 1
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     key = (id(spark), sf_dir)
     if key not in _TABLES:
@@ -43,10 +88,13 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return _TABLES[key]
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double/float column (hash-stable comparisons)."""
+def rounded(df: DataFrame, digits: int = 6, exclude=()) -> DataFrame:
+    """Round every double/float column (hash-stable comparisons).  Columns in
+    ``exclude`` are already bit-identical across engines and stay unrounded
+    (rounding an exact half would differ between engines)."""
     return df.select(*[
-        F.round(F.col(c), digits).alias(c) if t in ("double", "float") else F.col(c)
+        (round6(F.col(c)) if digits == 6 else F.round(F.col(c), digits)).alias(c)
+        if t in ("double", "float") and c not in exclude else F.col(c)
         for c, t in df.dtypes
     ])
 

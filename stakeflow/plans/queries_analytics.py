@@ -68,20 +68,21 @@ def q_ia(t):
 
 
 @register("user_behaviour", "D30 D31 D37", f"""with {PLAYS_CTES}, {UB_SQL}
-select userId, total_sessions, round(round(total_bet, 2) / total_sessions, 6) as avg_bet, round(total_bet, 6) as total_bet,
+select userId, total_sessions, round(total_bet, 2) / total_sessions as avg_bet, round(total_bet, 6) as total_bet,
   round(avg_session_duration, 6) as avg_session_duration, unique_games_played, preferred_hour, preferred_day,
   last_active_days_ago, sessions_last_7d, sessions_last_30d, preferred_game_type from ub""")
 def q_ub(t):
     # bets carry 2 decimals: the rounded sum is exact, so the mean is the same
     # double in every engine
-    return rounded(ub(t).withColumn("avg_bet", F.round("total_bet", 2) / F.col("total_sessions")))
+    return rounded(ub(t).withColumn("avg_bet", F.round("total_bet", 2) / F.col("total_sessions")),
+                   exclude=["avg_bet"])
 
 
 @register("item_popularity", "D32 C14", f"""with {PLAYS_CTES},
 a as (select gameId, count(betAmount) as total_plays, count(distinct userId) as unique_players,
     round(sum(betAmount), 2) / count(betAmount) as avg_bet_on_game, avg(sessionDuration) as avg_session_on_game from plays group by gameId)
 select g.gameId, g.gameName, coalesce(a.total_plays, 0) as total_plays, coalesce(a.unique_players, 0) as unique_players,
-  round(coalesce(a.avg_bet_on_game, 0.0), 6) as avg_bet_on_game,
+  coalesce(a.avg_bet_on_game, 0.0) as avg_bet_on_game,
   round(coalesce(a.avg_session_on_game, 0.0), 6) as avg_session_on_game,
   round(ln(1 + coalesce(a.total_plays, 0)), 6) as popularity_score
 from fx_games g left join a on a.gameId = g.gameId""")
@@ -90,7 +91,7 @@ def q_item_pop(t):
     sums = plays(t).groupBy("gameId").agg(F.round(F.sum("betAmount"), 2).alias("__s"))
     pop = pop.join(sums, "gameId", "left").withColumn(
         "avg_bet_on_game", F.coalesce(F.col("__s") / F.col("total_plays"), F.lit(0.0))).drop("__s")
-    return rounded(pop)
+    return rounded(pop, exclude=["avg_bet_on_game"])
 
 
 @register("user_aggressiveness_loyalty", "D33 B31", f"""with {PLAYS_CTES}, {IA_SQL}

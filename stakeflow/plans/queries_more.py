@@ -16,7 +16,7 @@ from stakeflow.operators import explain as X
 from stakeflow.operators import metrics as MT
 from stakeflow.operators import scoring as S
 from stakeflow.plans import pipeline as P
-from stakeflow.plans.catalog import register, rounded
+from stakeflow.plans.catalog import register, round6, rounded
 from stakeflow.plans.queries_explain import EXPLAIN_CTES, fixture_model, train_contribs
 from stakeflow.plans.queries_scoring import RECS_CTES, SCORE_CTES, _lists, model, recommendations
 
@@ -149,7 +149,7 @@ def q_seg_p20(t):
 
 
 @register("popularity_bias", "D34", f"""with {RECS_CTES}
-select r.game_id, count(*) as n, round(avg(r.score), 6) as mean_score,
+select r.game_id, count(*) as n, round(sum(r.score), 4) / count(*) as mean_score,
   round(avg(i.popularity_score), 6) as mean_popularity
 from recs r join ife i on i.gameId = r.game_id where not r.is_cold_start group by r.game_id""")
 def q_pop_bias(t):
@@ -157,8 +157,10 @@ def q_pop_bias(t):
     recs, _ = recommendations(t)
     j = recs.where(~F.col("is_cold_start")).join(d.ife.select(F.col("gameId").alias("game_id"), "popularity_score"),
                                                  "game_id")
-    return rounded(j.groupBy("game_id").agg(F.count("*").alias("n"), F.avg("score").alias("mean_score"),
-                                            F.avg("popularity_score").alias("mean_popularity")))
+    # scores carry 4 decimals: the rounded sum is exact, so the mean is engine-independent
+    g = j.groupBy("game_id").agg(F.count("*").alias("n"), F.round(F.sum("score"), 4).alias("__s"),
+                                 F.avg("popularity_score").alias("mean_popularity"))
+    return rounded(g.withColumn("mean_score", F.col("__s") / F.col("n")).drop("__s"), exclude=["mean_score"])
 
 
 @register("score_calibration_deciles", "D35 E6", f"""with {SCORE_CTES},
@@ -377,7 +379,7 @@ def q_readiness(t):
         F.lit("missing_column").alias("section"), "item", F.lit(1.0).alias("value"))
     rates = e.agg(*[known_rate(c).alias(c) for c in ["deviceType", "entryPoint", "provider", "gameType"]])
     rates = rates.unpivot([], rates.columns, "item", "value").select(F.lit("known_rate").alias("section"), "item",
-                                                                     F.round("value", 6).alias("value"))
+                                                                     round6(F.col("value")).alias("value"))
     counts = e.agg(F.count("*").cast("double").alias("events"), F.count_distinct("userId").cast("double").alias("users"),
                    F.count_distinct("gameId").cast("double").alias("games"))
     counts = counts.unpivot([], counts.columns, "item", "value").select(F.lit("count").alias("section"), "item", "value")

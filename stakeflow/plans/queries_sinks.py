@@ -18,7 +18,7 @@ from stakeflow.functions import mappers as M
 from stakeflow.operators import dataset as D
 from stakeflow.operators import scoring as S
 from stakeflow.plans import pipeline as P
-from stakeflow.plans.catalog import register, rounded
+from stakeflow.plans.catalog import register, round6, rounded
 from stakeflow.plans.queries_dataset import DATASET_CTES
 from stakeflow.plans.queries_explain import EXPLAIN_CTES, fixture_model
 from stakeflow.session import shared_path
@@ -184,7 +184,7 @@ union all select 'Game', gameId, list_transform(embedding, lambda x: round(x, 6)
 def q_graph(t):
     m = fixture_model(t)
     ts = P.events(t).agg(F.max("timestamp")).scalar()
-    rnd = lambda df: df.withColumn("embedding", F.transform("embedding", lambda x: F.round(x, 6)))
+    rnd = lambda df: df.withColumn("embedding", F.transform("embedding", round6))
     u = K.graph_node_rows(rnd(m["u_rep"]), "userId", updated_at=ts).select(F.lit("Player").alias("label"), "*")
     g = K.graph_node_rows(rnd(m["i_rep"]), "gameId", updated_at=ts).select(F.lit("Game").alias("label"), "*")
     return u.unionByName(g)
