@@ -68,6 +68,17 @@ TOKEN_LABEL_PREFIXES = [
 ]
 
 
+def round_to(c, digits: int) -> Column:
+    """Round to ``digits`` decimals as ``round(c * 10^d) / 10^d``.
+
+    This follows the binary value (as Python's ``round`` does) and is evaluated
+    identically by Spark and DuckDB; Spark's own ``round(c, d)`` rounds the
+    decimal string half-up and disagrees on values such as 0.13445.
+    """
+    scale = float(10 ** digits)
+    return F.round(_c(c) * scale) / scale
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -283,12 +294,12 @@ def implicit_score(n, engagement, p95, win_rate, recency_days) -> Column:
     freq = F.least(_c(n) / 20.0, F.lit(1.0))
     eng = F.least(_c(engagement) / F.lit(max(p95 if p95 is not None else 0.0, 1e-6)), F.lit(1.0))
     quality = F.coalesce(_c(win_rate), F.lit(0.0))
-    return F.round(0.40 * freq + 0.25 * eng + 0.15 * quality + 0.20 * recency_weight(recency_days), 4)
+    return round_to(0.40 * freq + 0.25 * eng + 0.15 * quality + 0.20 * recency_weight(recency_days), 4)
 
 
 def implicit_score_simple(freq_n, total_bet, minutes, recency_days) -> Column:
     """B29 variant: 0.35 freq + 0.25 bet + 0.20 minutes + 0.20 recency."""
-    return F.round(
+    return round_to(
         0.35 * F.least(_c(freq_n) / 20.0, F.lit(1.0))
         + 0.25 * F.least(_c(total_bet) / 500000.0, F.lit(1.0))
         + 0.20 * F.least(_c(minutes) / 60.0, F.lit(1.0))

@@ -53,7 +53,7 @@ def interaction_agg(plays: DataFrame) -> DataFrame:
         F.min("days_ago").alias("last_played_days_ago"),
     )
     rec = M.recency_weight("last_played_days_ago")
-    score = F.round(
+    score = M.round_to(
         0.35 * F.least(F.col("play_count") / 20.0, F.lit(1.0))
         + 0.25 * F.least(F.col("total_bet") / 500000.0, F.lit(1.0))
         + 0.20 * F.least(F.col("avg_session_min") / 60.0, F.lit(1.0))
@@ -206,7 +206,7 @@ def describe(df: DataFrame, col: str, digits: int = 3) -> DataFrame:
                F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"))
     out = a.select("count", "mean", "std", "min", F.lit(qs[0]).alias("q25"), F.lit(qs[1]).alias("q50"),
                    F.lit(qs[2]).alias("q75"), "max")
-    return out.select("count", *[F.round(c, digits).alias(c) for c in out.columns[1:]])
+    return out.select("count", *[M.round_to(c, digits).alias(c) for c in out.columns[1:]])
 
 
 def null_counts(df: DataFrame) -> DataFrame:

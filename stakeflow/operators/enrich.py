@@ -215,5 +215,5 @@ def enrichment_coverage(tx: DataFrame) -> DataFrame:
     out = tx.agg(*aggs)
     for name in ["duration", "entry_point", "device"]:
         if f"{name}_matched" in out.columns:
-            out = out.withColumn(f"{name}_pct", F.round(F.col(f"{name}_matched") * 100.0 / F.col("total"), 4))
+            out = out.withColumn(f"{name}_pct", M.round_to(F.col(f"{name}_matched") * 100.0 / F.col("total"), 4))
     return out

@@ -269,7 +269,7 @@ def pair_scores(pairs: DataFrame, users: DataFrame, items: DataFrame, user_key:
     i = items.select(F.col(item_key), F.col(vec).alias("__iv"),
                      (F.col("bias") if "bias" in items.columns else F.lit(0.0)).alias("__ib"))
     out = pairs.join(u, user_key).join(i, item_key)
-    return out.withColumn("score", F.round(M.dot("__uv", "__iv") + F.col("__ub") + F.col("__ib"), SCORE_DIGITS)) \
+    return out.withColumn("score", M.round_to(M.dot("__uv", "__iv") + F.col("__ub") + F.col("__ib"), SCORE_DIGITS)) \
         .drop("__uv", "__iv", "__ub", "__ib")
 
 
@@ -318,7 +318,7 @@ def recommend(requests: DataFrame, user_vectors: DataFrame, user_index: DataFram
     warm_out = (warm.select("__rid", "user_id", "top_k", "exclude_played")
                 .join(recs.withColumnRenamed("rid", "__rid"), "__rid")
                 .select("user_id", "top_k", "exclude_played", F.col("gameId").alias("game_id"),
-                        F.round("score", 4).alias("score"), "rank",
+                        M.round_to("score", 4).alias("score"), "rank",
                         F.lit(False).alias("is_cold_start"), F.lit("model").alias("source")))
     # cold users: expand ranks 1..top_k and equi-join the (<= max_k row) popularity head
     head = popularity.where(F.col("pop_rank") <= max_k).select(F.col("gameId").alias("game_id"),

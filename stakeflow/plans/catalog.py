@@ -37,15 +37,15 @@ def register(name: str, covers: str, sql: str | None = None):
 
 
 def round6(c):
-    """6-digit rounding that Spark and DuckDB evaluate identically: scale, round
-    to an integer (both round halves away from zero), unscale.  ``round(x, 6)``
-    itself differs between the engines on values with short decimal expansions."""
-    return F.round(c * 1e6) / 1e6
+    """6-digit rounding that Spark and DuckDB evaluate identically (see
+    ``mappers.round_to``)."""
+    from stakeflow.functions.mappers import round_to
+    return round_to(c, 6)
 
 
 def unify_round6(sql: str) -> str:
-    """Rewrite every ``round(expr, 6)`` of an oracle query into the same
-    ``round(expr * 1e6) / 1e6`` form used by ``rounded``."""
+    """Rewrite every ``round(expr, d)`` of an oracle query into the same
+    ``round(expr * 10^d) / 10^d`` form the Spark side uses (``round_to``)."""
     out, i = [], 0
     while True:
         j = sql.find("round(", i)
@@ -74,8 +74,10 @@ def unify_round6(sql: str) -> str:
             elif ch == "," and d == 0:
                 last = m
         out.append(sql[i:j])
-        if last >= 0 and inner[last + 1:].strip() == "6":
-            out.append(f"(round(({unify_round6(inner[:last])}) * 1e6) / 1e6)")
+        digits = inner[last + 1:].strip() if last >= 0 else ""
+        if digits.isdigit():
+            scale = f"1e{int(digits)}"
+            out.append(f"(round(({unify_round6(inner[:last])}) * {scale}) / {scale})")
         else:
             out.append("round(" + unify_round6(inner) + ")")
         i = k + 1
@@ -88,12 +90,17 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return _TABLES[key]
 
 
+def _round_to(c, digits):
+    from stakeflow.functions.mappers import round_to
+    return round_to(c, digits)
+
+
 def rounded(df: DataFrame, digits: int = 6, exclude=()) -> DataFrame:
     """Round every double/float column (hash-stable comparisons).  Columns in
     ``exclude`` are already bit-identical across engines and stay unrounded
     (rounding an exact half would differ between engines)."""
     return df.select(*[
-        (round6(F.col(c)) if digits == 6 else F.round(F.col(c), digits)).alias(c)
+        (round6(F.col(c)) if digits == 6 else _round_to(F.col(c), digits)).alias(c)
         if t in ("double", "float") and c not in exclude else F.col(c)
         for c, t in df.dtypes
     ])

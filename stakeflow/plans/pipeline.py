@@ -111,6 +111,7 @@ def plays(t: Tables, settings: Settings = DEFAULT) -> DataFrame:
             "txnId", M.clean_id("userId").alias("userId"), "gameId",
             F.col("betAmount").cast("double").alias("betAmount"),
             (F.coalesce("session_duration_sec", F.lit(0.0)) / 60.0).alias("sessionDuration"),
+            F.coalesce("session_duration_sec", F.lit(0.0)).alias("sessionSeconds"),
             "timestamp", M.map_game_type("gameType_raw").alias("gameType"), "gameType_raw",
             F.hour("timestamp").alias("hourOfDay"), M.day_name("timestamp").alias("dayOfWeek"),
             "maxBet", "win", days_since(F.col("timestamp"), ref).alias("days_ago"))

@@ -15,6 +15,7 @@ from stakeflow.plans.queries_dataset import DATASET_CTES
 
 PLAYS_SQL = f"""plays as (select e.txnId, trim(cast(e.userId as varchar)) as userId, e.gameId,
     cast(e.betAmount as double) as betAmount, coalesce(e.session_duration_sec, 0.0) / 60.0 as sessionDuration,
+    coalesce(e.session_duration_sec, 0.0) as sessionSeconds,
     e.timestamp, {sql_game_type('e.gameType_raw')} as gameType, e.gameType_raw,
     cast(hour(e.timestamp) as integer) as hourOfDay, dayname(e.timestamp) as dayOfWeek, e.maxBet, e.win,
     cast(floor((epoch_us(r.ref) - epoch_us(e.timestamp)) / 86400000000.0) as bigint) as days_ago, p.archetype
@@ -68,14 +69,19 @@ def q_ia(t):
 
 
 @register("user_behaviour", "D30 D31 D37", f"""with {PLAYS_CTES}, {UB_SQL}
-select userId, total_sessions, round(total_bet, 2) / total_sessions as avg_bet, round(total_bet, 6) as total_bet,
-  round(avg_session_duration, 6) as avg_session_duration, unique_games_played, preferred_hour, preferred_day,
-  last_active_days_ago, sessions_last_7d, sessions_last_30d, preferred_game_type from ub""")
+select ub.userId, total_sessions, round(total_bet, 2) / total_sessions as avg_bet, round(total_bet, 6) as total_bet,
+  ss.s / total_sessions / 60.0 as avg_session_duration, unique_games_played, preferred_hour, preferred_day,
+  last_active_days_ago, sessions_last_7d, sessions_last_30d, preferred_game_type
+from ub join (select userId, round(sum(sessionSeconds), 6) as s from plays group by userId) ss on ss.userId = ub.userId""")
 def q_ub(t):
     # bets carry 2 decimals: the rounded sum is exact, so the mean is the same
     # double in every engine
-    return rounded(ub(t).withColumn("avg_bet", F.round("total_bet", 2) / F.col("total_sessions")),
-                   exclude=["avg_bet"])
+    # durations have at most 6 decimals of seconds: the rounded sum is exact too
+    secs = plays(t).groupBy("userId").agg(M.round_to(F.sum("sessionSeconds"), 6).alias("__s"))
+    u = ub(t).join(secs, "userId").withColumn(
+        "avg_session_duration", F.col("__s") / F.col("total_sessions") / 60.0).drop("__s")
+    return rounded(u.withColumn("avg_bet", M.round_to("total_bet", 2) / F.col("total_sessions")),
+                   exclude=["avg_bet", "avg_session_duration"])
 
 
 @register("item_popularity", "D32 C14", f"""with {PLAYS_CTES},
@@ -88,7 +94,7 @@ select g.gameId, g.gameName, coalesce(a.total_plays, 0) as total_plays, coalesce
 from fx_games g left join a on a.gameId = g.gameId""")
 def q_item_pop(t):
     pop = A.item_popularity(t.fx_games, plays(t))
-    sums = plays(t).groupBy("gameId").agg(F.round(F.sum("betAmount"), 2).alias("__s"))
+    sums = plays(t).groupBy("gameId").agg(M.round_to(F.sum("betAmount"), 2).alias("__s"))
     pop = pop.join(sums, "gameId", "left").withColumn(
         "avg_bet_on_game", F.coalesce(F.col("__s") / F.col("total_plays"), F.lit(0.0))).drop("__s")
     return rounded(pop, exclude=["avg_bet_on_game"])

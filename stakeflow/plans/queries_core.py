@@ -21,7 +21,7 @@ from stakeflow.sources.fixtures import fixture_ctes
 def top_games(t):
     ug = P.features(t).user_game
     g = ug.groupBy("gameId").agg(
-        F.round(F.sum("implicit_score"), 4).alias("sum_implicit_score"),
+        M.round_to(F.sum("implicit_score"), 4).alias("sum_implicit_score"),
         F.count("*").alias("n_players"),
         F.sum("interaction_count").alias("n_sessions"),
     )

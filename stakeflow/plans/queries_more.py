@@ -158,7 +158,7 @@ def q_pop_bias(t):
     j = recs.where(~F.col("is_cold_start")).join(d.ife.select(F.col("gameId").alias("game_id"), "popularity_score"),
                                                  "game_id")
     # scores carry 4 decimals: the rounded sum is exact, so the mean is engine-independent
-    g = j.groupBy("game_id").agg(F.count("*").alias("n"), F.round(F.sum("score"), 4).alias("__s"),
+    g = j.groupBy("game_id").agg(F.count("*").alias("n"), M.round_to(F.sum("score"), 4).alias("__s"),
                                  F.avg("popularity_score").alias("mean_popularity"))
     return rounded(g.withColumn("mean_score", F.col("__s") / F.col("n")).drop("__s"), exclude=["mean_score"])
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stakeflow.config import DEFAULT, Settings
 from stakeflow.errors import ArtifactError, DataValidationError
+from stakeflow.functions.mappers import round_to
 
 BUNDLE_PARTS = ["interactions", "user_features_matrix", "item_features_matrix", "user_id_map", "item_id_map",
                 "game_metadata", "popularity_ranking"]
@@ -59,7 +60,7 @@ def _s(c):
 
 
 def _r(c, n):
-    return F.round(F.col(c), n).cast("string")
+    return round_to(c, n).cast("string")
 
 
 # fixed values: the fields written per user / game and their rounding

@@ -66,8 +66,9 @@ def compare(spark, con, name, build, sql, sf_dir):
     info = dict(name=name, ok=ok, rows=len(s), oracle_rows=len(d), spark_s=round(t1 - t0, 2))
     if not ok:
         info["cols"] = (scols, dcols) if scols != dcols else None
-        diff = [x for x in s if x not in set(d)][:3]
-        diff2 = [x for x in d if x not in set(s)][:3]
+        ds, ss = set(d), set(s)
+        diff = [x for x in s if x not in ds][:3]
+        diff2 = [x for x in d if x not in ss][:3]
         info["spark_only"] = diff
         info["oracle_only"] = diff2
     return info
