@@ -485,15 +485,16 @@ def q_bucket_counts(t):
 
 
 @register("bet_concentration_lorenz", "E9", f"""with {PLAYS_CTES},
-u as (select userId, sum(betAmount) as total_bet from plays group by userId)
-select userId, round(total_bet, 6) as total_bet, row_number() over (order by total_bet, userId) as position,
+u as (select userId, round(sum(betAmount), 2) as total_bet from plays group by userId)
+select userId, total_bet, row_number() over (order by total_bet, userId) as position,
   round(row_number() over (order by total_bet, userId) / count(*) over (), 6) as cum_users,
   round(sum(total_bet) over (order by total_bet, userId rows between unbounded preceding and current row)
     / sum(total_bet) over (), 6) as cum_value
 from u""")
 def q_lorenz(t):
-    u = plays(t).groupBy("userId").agg(F.sum("betAmount").alias("total_bet"))
-    return rounded(ST.prefix_share(u, "userId", "total_bet"))
+    # bets carry 2 decimals: ordering on the exact rounded total keeps ties identical in every engine
+    u = plays(t).groupBy("userId").agg(M.round_to(F.sum("betAmount"), 2).alias("total_bet"))
+    return rounded(ST.prefix_share(u, "userId", "total_bet"), exclude=["total_bet"])
 
 
 _SPEARMAN_COLS = ["total_sessions", "avg_bet", "total_bet", "avg_session_duration", "unique_games_played",
