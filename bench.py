@@ -61,6 +61,12 @@ def stages(spark, sf_dir):
         m = TR.fit_als(D.triplets(d.train_pairs, d.user_index, d.item_index), max_iter=1)
         run(m.userFactors)
     timed("train_epoch", epoch)
+    # (e') one sharded WARP epoch (cogrouped applyInPandas + parameter mixing)
+    def warp_epoch():
+        from stakeflow.operators.warp import train_warp
+        d = P.dataset(t)
+        train_warp(d.train_pairs, d.user_tokens, d.item_tokens, d.user_index, d.item_index, epochs=1)
+    timed("warp_epoch", warp_epoch)
     # extras: ranking metrics, batch recommend, flagship
     timed("ranking_metrics", lambda: run(reg["user_ranking_metrics"].build(t)))
     timed("batch_recommend", lambda: run(reg["recommendations"].build(t)))

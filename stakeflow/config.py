@@ -51,6 +51,9 @@ class Settings:
     # ``None`` = exact quantiles (distributed sort); an int = percentile_approx
     # accuracy for very large inputs.
     quantile_accuracy: int | None = None
+    # Most (user, game) pairs one WARP shard trains on per epoch; the shard
+    # count grows with the data so no task holds an unbounded share.
+    warp_rows_per_shard: int = 2_000_000
 
 
 DEFAULT = Settings()
