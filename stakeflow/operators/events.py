@@ -65,7 +65,7 @@ def align_to_schema(
         raise DataValidationError("Cannot align empty transactions dataframe to schema.")
     cols = tx.columns
     ts = F.col("timestamp") if dict(tx.dtypes)["timestamp"].startswith("timestamp") \
-        else F.try_to_timestamp(F.col("timestamp").cast("string"))
+        else F.col("timestamp").cast("string").try_cast("timestamp_ntz")
     ident = "_id" if "_id" in cols else id_col
     if ident is None:
         raise DataValidationError("align_to_schema needs a stable row id column (_id or id_col).")

@@ -86,7 +86,7 @@ def load_transactions(raw: DataFrame, settings: Settings = DEFAULT, check: bool
     )
     if check:
         require_rows(df, "bet transactions for the configured filters")
-    ts = F.try_to_timestamp(F.col("createdDate").cast("string"))
+    ts = F.col("createdDate").cast("string").try_cast("timestamp_ntz")
     first = F.get(F.col("betParts"), 0)
     out = df.select(
         F.col("loginId").alias("userId"),
@@ -150,5 +150,5 @@ def load_activity(raw: DataFrame, keep=()) -> DataFrame | None:
         return None
     keys = [c for c in ACTIVITY_KEYS if c in raw.columns]
     device = F.col("device_type") if "device_type" in raw.columns else F.lit(None).cast("string")
-    ts = F.col(tcol) if dict(raw.dtypes)[tcol].startswith("timestamp") else F.try_to_timestamp(F.col(tcol).cast("string"))
+    ts = F.col(tcol) if dict(raw.dtypes)[tcol].startswith("timestamp") else F.col(tcol).cast("string").try_cast("timestamp_ntz")
     return raw.select(*keep, *keys, ts.alias("_activity_ts"), device.alias("deviceType_raw"))
