@@ -51,6 +51,10 @@ class Settings:
     # ``None`` = exact quantiles (distributed sort); an int = percentile_approx
     # accuracy for very large inputs.
     quantile_accuracy: int | None = None
+    # Inputs up to this many rows (counted first) may be handled inside one task
+    # (exact quantiles by a sorted list, dictionaries by a single-partition
+    # row_number); larger inputs use the distributed positions path.
+    small_table_rows: int = 1_000_000
     # Most (user, game) pairs one WARP shard trains on per epoch; the shard
     # count grows with the data so no task holds an unbounded share.
     warp_rows_per_shard: int = 2_000_000

@@ -48,9 +48,13 @@ def positions(df: DataFrame, order: list, pos: str = "__pos") -> DataFrame:
     return out.withColumn(pos, F.col("__off") + local).drop("__pid", "__mid", "__off")
 
 
-def quantiles(df: DataFrame, column: str, probs, accuracy: int | None = None) -> list:
+def quantiles(df: DataFrame, column: str, probs, accuracy: int | None = None,
+              small_rows: int | None = None) -> list:
     """Exact quantiles of ``column`` (NULLs ignored); ``None`` entries on empty input."""
     probs = list(probs)
+    if small_rows is None:
+        from stakeflow.config import DEFAULT
+        small_rows = DEFAULT.small_table_rows
     vals = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     if accuracy is not None:
         row = vals.agg(F.percentile_approx("v", probs, accuracy).alias("q")).first()
@@ -58,6 +62,15 @@ def quantiles(df: DataFrame, column: str, probs, accuracy: int | None = None) ->
     n = vals.count()
     if n == 0:
         return [None] * len(probs)
+    if n <= small_rows:
+        # proven bound: at most ``small_rows`` values are sorted in one task
+        ordered = vals.agg(F.sort_array(F.collect_list("v")).alias("s")).first()["s"]
+        out = []
+        for p in probs:
+            at = p * (n - 1)
+            lo, hi = int(math.floor(at)), int(math.ceil(at))
+            out.append(ordered[lo] + (ordered[hi] - ordered[lo]) * (at - lo))
+        return out
     spots, wanted = [], set()
     for p in probs:
         at = p * (n - 1)
@@ -99,9 +112,19 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs, names=N
     return g.select(*keys, *outs)
 
 
-def dense_index(df: DataFrame, key: str, index_name: str = "idx", checkpoint: bool = False) -> DataFrame:
-    """Distinct ``key`` values sorted ascending, numbered ``0..n-1`` (LongType)."""
+def dense_index(df: DataFrame, key: str, index_name: str = "idx", checkpoint: bool = False,
+                small_rows: int | None = None) -> DataFrame:
+    """Distinct ``key`` values sorted ascending, numbered ``0..n-1`` (LongType).
+
+    Up to ``small_rows`` distinct keys (counted first: a proven bound) one
+    task numbers them with ``row_number``; above it, distributed positions."""
+    if small_rows is None:
+        from stakeflow.config import DEFAULT
+        small_rows = DEFAULT.small_table_rows
     keys = df.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
+    if keys.count() <= small_rows:
+        w = Window.orderBy(F.col(key))
+        return keys.select(key, (F.row_number().over(w) - 1).cast("long").alias(index_name))
     return positions(keys, [key], index_name).select(key, index_name)
 
 

@@ -62,3 +62,16 @@ def test_prefix_share(spark):
     s = np.sort([5, 1, 3, 3, 10]).astype(float)
     assert np.allclose(got["cum_value"], np.cumsum(s) / s.sum())
     assert np.allclose(got["cum_users"], np.arange(1, 6) / 5)
+
+
+def test_small_and_distributed_paths_agree(spark):
+    rnd = random.Random(9)
+    vals = [rnd.random() for _ in range(501)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
+    a = ST.quantiles(df, "x", [0.33, 0.66, 0.95], small_rows=10**9)
+    b = ST.quantiles(df, "x", [0.33, 0.66, 0.95], small_rows=0)
+    assert a == b
+    keys = spark.createDataFrame([(str(i % 61),) for i in range(400)], "k string")
+    ia = {r.k: r.idx for r in ST.dense_index(keys, "k", small_rows=10**9).collect()}
+    ib = {r.k: r.idx for r in ST.dense_index(keys, "k", small_rows=0).collect()}
+    assert ia == ib and sorted(ia.values()) == list(range(61))
