@@ -40,6 +40,11 @@ def holdout_pairs(events: DataFrame, check_fallback: bool = True) -> DataFrame:
         F.max_by("gameId", F.struct("last_ts", "gameId")).alias("gameId"),
     )
     hold = per_user.where(F.col("distinct_games_for_user") >= 2).select("userId", "gameId")
+    if check_fallback:
+        # one row per user, read by the fallback check, both split sides and the
+        # test pairs: materialise it once in the checkpoint folder
+        from stakeflow.session import cut_lineage
+        hold = cut_lineage(hold)
     if check_fallback and hold.isEmpty():
         latest = pairs.agg(F.max_by(F.struct("userId", "gameId"), F.struct("last_ts", "userId", "gameId")).alias("p"))
         hold = latest.where(F.col("p").isNotNull()).select("p.userId", "p.gameId")
@@ -51,8 +56,14 @@ def split_events(events: DataFrame, holdout: DataFrame, check_fallback: bool = T
     empty while test is not, train := test (the source system's fallback)."""
     test = events.join(holdout, ["userId", "gameId"], "left_semi")
     train = events.join(holdout, ["userId", "gameId"], "left_anti")
-    if check_fallback and train.isEmpty() and not test.isEmpty():
-        train = test
+    if check_fallback:
+        # both emptiness checks in one aggregation job
+        flags = (events.select("userId", "gameId")
+                 .join(holdout.select("userId", "gameId", F.lit(1).alias("__h")), ["userId", "gameId"], "left")
+                 .agg(F.count_if(F.col("__h").isNull()).alias("n_train"),
+                      F.count_if(F.col("__h").isNotNull()).alias("n_test")).first())
+        if flags["n_train"] == 0 and flags["n_test"] > 0:
+            train = test
     return train, test
 
 
