@@ -1,0 +1 @@
+"""Pure Column expressions (mappers, buckets, scores, tokens, rounding)."""

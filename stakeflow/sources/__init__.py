@@ -1,0 +1 @@
+"""Readers (test tables, fixture views, raw collections with declared schemas) and sinks."""
