@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from stakeflow.operators import dataset as D  # noqa: E402
 from stakeflow.operators import train as TR  # noqa: E402
-from stakeflow.plans import pipeline as P  # noqa: E402
+from stakeflow.plans import stages as P  # noqa: E402
 from stakeflow.plans.catalog import load_all  # noqa: E402
 from stakeflow.session import get_spark  # noqa: E402
 from stakeflow.sources.fixtures import Tables  # noqa: E402
@@ -84,7 +84,7 @@ def main():
     q = stages(spark, sf_dir)
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({
-        "metric": "pipeline_total_seconds",
+        "metric": "total_stage_seconds",
         "value": round(sum(q.values()), 3),
         "unit": "sec",
         "queries": q,

@@ -8,7 +8,7 @@ operators independently.  Mapper keyword lists are the same fixed values.
 from __future__ import annotations
 
 from stakeflow.functions import mappers as M
-from stakeflow.plans.pipeline import FIXTURE_DEVICE_TOLERANCE_H, FIXTURE_SESSION_TOLERANCE_MIN
+from stakeflow.plans.stages import FIXTURE_DEVICE_TOLERANCE_H, FIXTURE_SESSION_TOLERANCE_MIN
 from stakeflow.sources.fixtures import fixture_ctes
 
 

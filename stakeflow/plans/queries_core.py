@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stakeflow.functions import mappers as M
 from stakeflow.operators import enrich as E
 from stakeflow.operators.events import enum_violations
-from stakeflow.plans import pipeline as P
+from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, rounded
 from stakeflow.plans.oracle import (pipeline_ctes, sql_device, sql_entry, sql_game_type, sql_mode,
                                     sql_provider, with_ctes)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stakeflow.config import DEFAULT
 from stakeflow.operators import explain as X
 from stakeflow.operators import scoring as S
-from stakeflow.plans import pipeline as P
+from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, rounded
 from stakeflow.plans.queries_scoring import SCORE_CTES
 from stakeflow.session import cut_lineage

@@ -15,7 +15,7 @@ from stakeflow.operators import dataset as D
 from stakeflow.operators import explain as X
 from stakeflow.operators import metrics as MT
 from stakeflow.operators import scoring as S
-from stakeflow.plans import pipeline as P
+from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, round6, rounded
 from stakeflow.plans.queries_explain import EXPLAIN_CTES, fixture_model, train_contribs
 from stakeflow.plans.queries_scoring import RECS_CTES, SCORE_CTES, _lists, model, recommendations

@@ -17,7 +17,7 @@ from stakeflow.config import DEFAULT
 from stakeflow.functions import mappers as M
 from stakeflow.operators import dataset as D
 from stakeflow.operators import scoring as S
-from stakeflow.plans import pipeline as P
+from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, round6, rounded
 from stakeflow.plans.queries_dataset import DATASET_CTES
 from stakeflow.plans.queries_explain import EXPLAIN_CTES, fixture_model

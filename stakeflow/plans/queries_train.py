@@ -9,7 +9,7 @@ from stakeflow.operators import dataset as D
 from stakeflow.operators import metrics as MT
 from stakeflow.operators import scoring as S
 from stakeflow.operators import train as TR
-from stakeflow.plans import pipeline as P
+from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, rounded
 
 K = DEFAULT.eval_k
