@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeflow.llm import line_dedup, quality_rules
+from stakeflow.llm import bpe, lang_id, line_dedup, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op8_language_id": lang_id.op8_language_id,
     "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_bpe": bpe.op10_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
