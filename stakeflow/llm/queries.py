@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeflow.llm import bpe, html_extract, lang_id, line_dedup, quality_rules
+from stakeflow.llm import bpe, html_extract, kneser_ney, lang_id, line_dedup, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_extract": html_extract.op3_html_extract,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_quality_classifier": kneser_ney.op5_quality_classifier,
     "op8_language_id": lang_id.op8_language_id,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_bpe": bpe.op10_bpe,
