@@ -20,6 +20,7 @@ from __future__ import annotations
 import functools
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from stakeflow.llm.tables import read
 
 #: Fragments and words that a worker remembers before it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Bytes of text that become one output batch.
 BATCH_BYTES = 4 << 20
 
@@ -71,66 +72,83 @@ class BpeVocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.suffix: str = model.get("end_of_word_suffix") or ""
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.rank = {tuple(p): i for i, p in enumerate(pairs)}
+        #: merges by pair of ids (left << 32 | right): rank << 32 | id of the merged token
+        self.merge = {self.ids[a] << 32 | self.ids[b]: i << 32 | self.ids[a + b] for i, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pre_token = regex.compile(split)
         self.special_split = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
-        self.symbols = byte_symbols()
-        byte_of = {c: b for b, c in enumerate(self.symbols)}
-        #: joined[x, y]: some token has byte y right after byte x
-        self.joined = np.zeros((256, 256), bool)
+        symbols = byte_symbols()
+        #: id of each byte inside a word and at its end
+        self.inner = [self.ids[c] for c in symbols]
+        self.final = [self.ids[c + self.suffix] for c in symbols]
+        byte_of = {c: b for b, c in enumerate(symbols)}
+        joined = np.zeros((256, 256), bool)
         for token in self.ids:
             raw = token.removesuffix(self.suffix) if self.suffix else token
             codes = [byte_of[c] for c in raw if c in byte_of]
-            self.joined[codes[:-1], codes[1:]] = True
+            joined[codes[:-1], codes[1:]] = True
+        #: joined[x << 8 | y]: some token has byte y right after byte x
+        self.joined = joined.tobytes()
         self.pieces = _Memo(self._encode_piece)
+        self.words = _Memo(self._encode_word)
         self.chunks = _Memo(self._encode_chunk)
         tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
         self.tokens = pa.array([tokens.get(i) for i in range(max(tokens) + 1)])
 
     def cuts(self, word: bytes) -> list[bytes]:
         """``word`` cut at its forced boundaries."""
-        out, begin = [], 0
-        for i in range(1, len(word)):
-            if not self.joined[word[i - 1], word[i]]:
-                out.append(word[begin:i])
-                begin = i
-        out.append(word[begin:])
-        return out
+        joined, before, at = self.joined, word[0], []
+        for i, b in enumerate(word):
+            if i and not joined[before << 8 | b]:
+                at.append(i)
+            before = b
+        if not at:
+            return [word]
+        return [word[i:j] for i, j in zip([0, *at], [*at, len(word)])]
 
     def _encode_piece(self, key: tuple[bytes, bool]) -> list[int]:
         """Ids of one fragment; the flag tells whether it ends its word."""
         raw, last = key
-        parts = [self.symbols[b] for b in raw]
+        inner, merge = self.inner, self.merge.get
+        ids = [inner[b] for b in raw]
         if last:
-            parts[-1] += self.suffix
-        while len(parts) > 1:
-            ranks = [self.rank.get(p, 1 << 60) for p in zip(parts, parts[1:])]
-            best = min(ranks)
-            if best == 1 << 60:
+            ids[-1] = self.final[raw[-1]]
+        none = 1 << 62
+        steps = [merge(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while steps:
+            best = min(steps)
+            if best == none:
                 break
-            merged, i = [], 0
-            while i < len(parts):
-                if i < len(ranks) and ranks[i] == best:
-                    merged.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    merged.append(parts[i])
-                    i += 1
-            parts = merged
-        return [self.ids[p] for p in parts if p in self.ids]
+            i = steps.index(best)
+            ids[i:i + 2] = [best & 0xFFFFFFFF]
+            del steps[i]
+            if i < len(steps):
+                steps[i] = merge(ids[i] << 32 | ids[i + 1], none)
+            if i:
+                steps[i - 1] = merge(ids[i - 1] << 32 | ids[i], none)
+        return ids
+
+    def _encode_word(self, word: str) -> list[int]:
+        raw = word.encode()
+        fragments = self.cuts(raw)
+        if len(fragments) == 1:
+            return self._encode_piece((raw, True))
+        ids: list[int] = []
+        for f in fragments[:-1]:
+            ids += self.pieces[f, False]
+        return ids + self.pieces[fragments[-1], True]
 
     def _encode_chunk(self, chunk: str) -> bytes:
         """Ids (int32 bytes) of a run of text without white space, or of any text."""
-        ids: list[int] = []
-        for word in self.pre_token.findall(chunk):
-            fragments = self.cuts(word.encode())
-            for f in fragments[:-1]:
-                ids += self.pieces[f, False]
-            ids += self.pieces[fragments[-1], True]
-        return np.array(ids, np.int32).tobytes()
+        if chunk.isalpha():
+            ids = self._encode_word(chunk)
+        else:
+            ids = []
+            for word in self.pre_token.findall(chunk):
+                ids += self.words[word]
+        return array("i", ids).tobytes()
 
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
