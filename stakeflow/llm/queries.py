@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeflow.llm import bpe, html_extract, kneser_ney, lang_id, line_dedup, ngram_join, quality_rules
+from stakeflow.llm import bpe, html_extract, kneser_ney, lang_id, line_dedup, ngram_join, quality_rules, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_html_extract": html_extract.op3_html_extract,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_quality_classifier": kneser_ney.op5_quality_classifier,
