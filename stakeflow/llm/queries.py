@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeflow.llm import bpe, html_extract, kneser_ney, lang_id, lattice_dedup, line_dedup, ngram_join, quality_rules, substring_dedup
+from stakeflow.llm import bpe, html_extract, kneser_ney, lang_id, lattice_dedup, line_dedup, mixing, ngram_join, quality_rules, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_quality_classifier": kneser_ney.op5_quality_classifier,
     "op6_lattice_dedup": lattice_dedup.op6_lattice_dedup,
+    "op7_mixing": mixing.op7_mixing,
     "op8_language_id": lang_id.op8_language_id,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_bpe": bpe.op10_bpe,
@@ -23,5 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": quality_rules.ORACLE,
     "op6_lattice_dedup": lattice_dedup.ORACLE,
+    "op7_mixing": mixing.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
 }
