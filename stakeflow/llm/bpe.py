@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stakeflow.llm.tables import read
 
@@ -173,9 +174,9 @@ def vocabulary(path: str) -> BpeVocabulary:
     return BpeVocabulary(path)
 
 
-def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """``doc_id, ids array<int>`` per input row."""
+def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+               carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, ids array<int>`` and the columns to carry, per input row."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(tokenizer_path)
@@ -190,16 +191,16 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                     np.cumsum([len(x) // 4 for x in held], out=off[1:])
                     values = pa.array(np.frombuffer(b"".join(held), np.int32))
                     ids = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), values)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").slice(begin, len(held)), ids], names=["doc_id", "ids"])
+                    part = batch.slice(begin, len(held)).drop_columns(["text"])
+                    yield part.append_column("ids", ids)
                     begin, held, size = i + 1, [], 0
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(encode, "doc_id bigint, ids array<int>")
+    rows = docs.select(F.col(id_col).alias("doc_id"), *carry, F.col(text_col).alias("text"))
+    return rows.mapInArrow(encode, T.StructType([*rows.drop("text").schema, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def bpe_decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
-    """``doc_id, ids, decoded``: the tokens' texts joined by a space (the file names no decoder)."""
+    """The rows with ``decoded``: the tokens' texts joined by a space (the file names no decoder)."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(tokenizer_path)
@@ -212,11 +213,9 @@ def bpe_decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
                 off = np.zeros(len(ids) + 1, np.int32)
                 np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False), out=off[1:])
                 tokens = pa.ListArray.from_arrays(pa.array(off), vocab.tokens.take(flat))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), ids, pc.binary_join(tokens, " ")],
-                    names=["doc_id", "ids", "decoded"])
+                yield part.append_column("decoded", pc.binary_join(tokens, " "))
 
-    return encoded.mapInArrow(decode, "doc_id bigint, ids array<int>, decoded string")
+    return encoded.mapInArrow(decode, T.StructType([*encoded.schema, T.StructField("decoded", T.StringType())]))
 
 
 def public_path(name: str = "word_bpe_49k.json") -> str:

@@ -32,11 +32,11 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(BLANKS)), UPPER, LOWER)
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """One row per input row: ``doc_id, n_lines, n_dropped, kept_text``."""
-    base = docs.select(F.col(id_col).alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def _deduplicated(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int) -> DataFrame:
+    """``doc_id, n_lines, n_dropped, kept_text`` and ``row``, the other columns, per input row."""
+    others = [F.col(c) for c in docs.columns if c not in (id_col, text_col)]
+    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                       F.struct(F.lit(0), *others).alias("row"))
     # a repeated doc_id with another text needs its own positions
     base = base.withColumn("text_id", F.xxhash64("text"))
     lines = (
@@ -66,12 +66,26 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.array_except(F.sequence(F.lit(0), F.size(a) - 1), F.col("dropped")),
         lambda i: F.get(a, i)), "\n"))[0]
     return joined.select(
-        "doc_id",
+        "doc_id", "row",
         F.size(split).cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept).alias("kept_text"))
 
 
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+    """One row per input row: ``doc_id, n_lines, n_dropped, kept_text``."""
+    return _deduplicated(docs.select(id_col, text_col), id_col, text_col, min_chars, min_docs).drop("row")
+
+
+def without_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+    """The rows and columns of ``docs`` with the kept lines as their text."""
+    named = {id_col: F.col("doc_id"), text_col: F.col("kept_text")}
+    return _deduplicated(docs, id_col, text_col, min_chars, min_docs).select(
+        *[named.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped",
