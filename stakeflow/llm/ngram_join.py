@@ -1,23 +1,29 @@
 """N-gram Jaccard join by size-aware heavy-light candidate search.
 
 1. Each document becomes its set of word shingles; equal sets are one class.
-2. Every shingle of every class meets its like once, dealt by shingle, to get
-   its document frequency.  A shingle of one class alone can link nothing, so
-   only the others return to their class.  Shingles that a bounded sample of
-   documents shows to be very common skip that round (they would all meet in
-   one task) and count as the most frequent ones; any order is right, it only
-   has to be the same for all.
-3. Sets are ordered from rare to frequent shingle.  Linked sets share a shingle
+2. A first round deals a fixed share of each class's shingles by shingle.  A
+   shingle of one class alone links nothing, so a class with more such ones
+   than a link may leave out is finished; this ends nearly all documents
+   without a near copy.  Only the others' texts move on.
+3. Their shingles meet by shingle again, now all of them, for their document
+   frequency, and those of two or more classes return to their class.
+   Shingles that a bounded sample of documents shows to be very common skip
+   these rounds (they would all meet in one task) and count as shared and as
+   the most frequent ones; any order is right if it is the same for all.
+4. Sets are ordered from rare to frequent shingle.  Linked sets share a shingle
    of their prefixes, and two of their longer prefixes.  Sets up to a size
    boundary enumerate the pairs (fixed-size subsets) of the longer prefix;
    sets above it scan the inverted lists of the prefix shingles, in which
    smaller sets within reach stand too.  The boundary is the one of least cost,
    from sums of both costs by size.
-4. In each list every set is first held against the list's most central set of
-   like size, which ties near copies together without all their pairs.  Then
-   all pairs of a list that still lie in different components are verified.
-   So no link between components is lost, whatever the lists' lengths.
-5. Verification counts the common shingles exactly.
+5. Two sets are in reach of each other only if their sizes and the shingles
+   that each has alone leave room for the similarity; a list keeps only sets
+   with another in reach.  Each set is first held against the list's most
+   central set of like size, which ties near copies together without all their
+   pairs.  Then all pairs of a list in reach that still lie in different
+   components are verified.  So no link between components is lost, whatever
+   the lists' lengths.
+6. Verification counts the common shingles exactly.
 
 Class keys and shingles are hashes of 64 and 48 bits.
 
@@ -30,11 +36,13 @@ of the input are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +56,9 @@ ROWS_PER_TASK = 2_000_000
 SAMPLED_DOCS = 16_384
 COMMON_IN_SAMPLE = 32
 COMMON = 1 << 30
+#: Pairs of a list that are left for verification, as a share of its length, against one enumerated subset: most are tied
+#: by the central sets and never made (measured: 0.00003 to 0.001).
+OPEN_SHARE = 0.01
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -78,49 +89,91 @@ def class_key(tokens: np.ndarray) -> int:
                    .view(np.int64)[0])
 
 
-def _fingerprints(k: int):
+def sampling(percent: int) -> int:
+    """One in so many shingles takes part in the first round: well over the share that a link may leave out."""
+    return max(1, int(100 / (1.6 * (100 - percent)))) if percent < 100 else 16
+
+
+def _fingerprints(k: int, share: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, off in T.chunks(batch.column("text")):
                 sets = list(shingle_sets(data, off, k))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([class_key(s) if len(s) else None for s in sets], pa.int64())],
-                    names=["doc_id", "n_shingles", "k"])
+                     pa.array([class_key(s) if len(s) else None for s in sets], pa.int64()),
+                     pa.array([int((s % np.uint64(share) == 0).sum()) for s in sets], pa.int64())],
+                    names=["doc_id", "n_shingles", "k", "n_sampled"])
     return run
 
 
-def _token_rows(k: int, common: np.ndarray | None = None, known: int = 100_000):
-    """(token, k, n, df) of each class, once per task; ``df`` is set for common tokens."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for i, j, data, off in T.chunks(batch.column("text")):
-                tokens, keys, sizes = [], [], []
-                for s in shingle_sets(data, off, k):
-                    if not len(s):
-                        continue
-                    key = class_key(s)
-                    if key in seen:
-                        continue
-                    if len(seen) >= known:
-                        seen.clear()
-                    seen.add(key)
-                    tokens.append(s)
-                    keys.append(key)
-                    sizes.append(len(s))
-                if not tokens:
+def _classes(batches: Iterator[pa.RecordBatch], k: int, known: int = 100_000) -> Iterator[tuple[int, np.ndarray]]:
+    """(key, set) of each class, in general once per task.  Batches hold ``text``, or ``packed`` and
+    the key ``k`` that is asked for."""
+    seen: set[int] = set()
+    unpack = zstandard.ZstdDecompressor()
+    for batch in batches:
+        asked = None
+        if "packed" in batch.schema.names:
+            asked = batch.column("k").to_pylist()
+            texts = pa.array([unpack.decompress(x.as_py()) for x in batch.column("packed")], pa.large_binary())
+        else:
+            texts = batch.column("text")
+        for i, _, data, off in T.chunks(texts):
+            for d, s in enumerate(shingle_sets(data, off, k)):
+                if not len(s):
                     continue
-                flat = np.concatenate(tokens).view(np.int64)
-                df = np.zeros(len(flat), np.int32)
-                if common is not None and len(common):
-                    place = np.minimum(np.searchsorted(common[:, 0], flat), len(common) - 1)
-                    hit = common[place, 0] == flat
-                    df[hit] = COMMON + common[place[hit], 1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(flat), pa.array(np.repeat(np.array(keys, np.int64), sizes)),
-                     pa.array(np.repeat(np.array(sizes, np.int32), sizes)), pa.array(df)],
-                    names=["token", "k", "n", "df"])
+                key = class_key(s)
+                if key in seen or asked is not None and asked[i + d] != key:
+                    continue
+                if len(seen) >= known:
+                    seen.clear()
+                seen.add(key)
+                yield key, s
+
+
+def _frequency_of(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Frequency rank of the common tokens, 0 for all others."""
+    df = np.zeros(len(tokens), np.int32)
+    if len(common):
+        place = np.minimum(np.searchsorted(common[:, 0], tokens), len(common) - 1)
+        hit = common[place, 0] == tokens
+        df[hit] = COMMON + common[place[hit], 1]
+    return df
+
+
+def _in_runs(items: Iterator, size: int = 1000) -> Iterator[list]:
+    while run := list(itertools.islice(items, size)):
+        yield run
+
+
+def _token_rows(k: int, common: np.ndarray):
+    """(token, k, n, df) of each class; ``df`` is set for common tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _in_runs(_classes(batches, k)):
+            sizes = [len(s) for _, s in held]
+            flat = np.concatenate([s for _, s in held]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat), pa.array(np.repeat(np.array([key for key, _ in held], np.int64), sizes)),
+                 pa.array(np.repeat(np.array(sizes, np.int32), sizes)), pa.array(_frequency_of(flat, common))],
+                names=["token", "k", "n", "df"])
+    return run
+
+
+def _sampled_rows(k: int, share: int, common: np.ndarray):
+    """(token, k, c) of the sampled share of each class; its common tokens are one row with their
+    number, under a token below 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _in_runs(_classes(batches, k)):
+            some = [s[s % np.uint64(share) == 0].view(np.int64) for _, s in held]
+            keys = np.repeat(np.array([key for key, _ in held], np.int64), [len(s) for s in some])
+            flat = np.concatenate(some)
+            often = _frequency_of(flat, common) > 0
+            once, number = np.unique(keys[often], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([flat[~often], -1 - (once >> 16 & (1 << 47) - 1)])),
+                 pa.array(np.concatenate([keys[~often], once])),
+                 pa.array(np.concatenate([np.ones((~often).sum()), number]).astype(np.int32))], names=["token", "k", "c"])
     return run
 
 
@@ -135,6 +188,22 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray] | None
     return {c: table.column(c).to_numpy() for c in table.column_names}
 
 
+def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k, shared): a row for each token of a class that other classes have too, so that the number of
+    rows does not depend on the number of tasks; the sums are partial before they are shuffled."""
+    rows = _gathered(batches)
+    if rows is None:
+        return
+    order = np.lexsort((rows["k"], rows["token"]))
+    token, k, c = (rows[x][order] for x in ("token", "k", "c"))
+    keep = np.append(True, (token[1:] != token[:-1]) | (k[1:] != k[:-1]))  # copies of a class from other tasks
+    token, k, c = token[keep], k[keep], c[keep]
+    first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    size = np.diff(np.append(first, len(token)))
+    shared = (np.repeat(size, size) >= 2) | (token < 0)
+    yield pa.RecordBatch.from_arrays([pa.array(k[shared]), pa.array(c[shared].astype(np.int64))], names=["k", "shared"])
+
+
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of the partition whose token is in two or more classes, with their number."""
     rows = _gathered(batches)
@@ -153,7 +222,8 @@ def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         names=["token", "k", "n", "df"])
 
 
-def _ordered_sets(percent: int):
+def _ordered_sets(percent: int, share: int):
+    """``share``: documents for each sampled one, to estimate how long the lists of common tokens are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sets that may link: their shared tokens from rare to frequent, and their prefixes."""
         rows = _gathered(batches)
@@ -170,7 +240,8 @@ def _ordered_sets(percent: int):
         least = -(-percent * total // 100)  # tokens in common with any partner
         alone = total - size
         prefix = total - least + 1 - alone
-        run_df = np.concatenate([[0], np.cumsum(np.minimum(df, COMMON).astype(np.float64))])
+        length = np.where(df < COMMON, df, (df - COMMON).astype(np.int64) * share)
+        run_df = np.concatenate([[0], np.cumsum(1 + OPEN_SHARE * length)])
         out = np.flatnonzero(prefix > 0)
         if not len(out):
             return
@@ -206,20 +277,41 @@ def size_boundary(sets: DataFrame) -> int:
 
 
 def postings(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """``key, k, n, alone, light``: subset keys of light sets, prefix tokens of heavy ones and of
-    the light sets that are large enough to link with a heavy one."""
-    light = (sets.where(F.col("n") <= boundary).select("k", "n", "alone", F.slice("tokens", 1, F.col("p2")).alias("t"))
-             .select("k", "n", "alone", F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.size("t")), lambda i: F.transform(
-                 F.slice("t", i + 1, F.size("t")), lambda b: F.xxhash64(F.element_at("t", i.cast("int")), b))))).alias("key"),
-                 F.lit(True).alias("light")))
-    heavy = (sets.where(F.col("n") * 100 > boundary * percent)
-             .select("k", "n", "alone", F.explode(F.slice("tokens", 1, F.col("p1"))).alias("key"), F.lit(False).alias("light")))
-    cols = ["key", "k", "n", "alone", "light"]
-    return light.select(cols).union(heavy.select(cols))
+    """``key, k, n, room, light``: subset keys of light sets, prefix tokens of heavy ones and of
+    the light sets that are large enough to link with a heavy one.
+
+    ``room`` is the most tokens a set can share with another if the key's tokens
+    are the first that they have in common."""
+    base = sets.select("k", "n", "alone", "p1", F.slice("tokens", 1, F.col("p2")).alias("t"))
+    subset = F.flatten(F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda i: F.transform(
+        F.sequence(i + 1, F.size("t")), lambda j: F.struct(
+            F.xxhash64(F.element_at("t", i), F.element_at("t", j)).alias("key"),
+            (F.col("n") - F.col("alone") - j + 2).alias("room")))))
+    light = base.where((F.col("n") <= boundary) & (F.size("t") > 1)).select(
+        "k", "n", F.explode(subset).alias("p"), F.lit(True).alias("light"))
+    single = F.transform(F.slice("t", 1, F.col("p1")), lambda t, i: F.struct(
+        t.alias("key"), (F.col("n") - F.col("alone") - i).alias("room")))
+    heavy = base.where(F.col("n") * 100 > boundary * percent).select(
+        "k", "n", F.explode(single).alias("p"), F.lit(False).alias("light"))
+    return light.union(heavy).select("p.key", "k", "n", "p.room", "light")
 
 
 def _in_reach(a: str, b: str, percent: int):
-    return ((100 * F.least(f"{a}n", f"{b}n") >= percent * F.greatest(f"{a}n", f"{b}n")))
+    """Whether sets of these sizes, with this room each, can be similar enough."""
+    room = F.least(F.col(f"{a}room"), F.col(f"{b}room"))
+    return percent * (F.col(f"{a}n") + F.col(f"{b}n")) <= (100 + percent) * room
+
+
+def with_partner(lists: DataFrame, percent: int) -> DataFrame:
+    """Rows of the lists in which some other set may be in reach.
+
+    Each list is held against its sizes only (with the most room of each)."""
+    sizes = (lists.groupBy("key", "light", "n").agg(F.max("room").alias("room"), F.count("*").alias("m"))
+             .select("key", "light", F.col("n").alias("b_n"), F.col("room").alias("b_room"), "m"))
+    a = lists.withColumnsRenamed({"n": "a_n", "room": "a_room"})
+    kept = a.join(sizes, (a["key"] == sizes["key"]) & (a["light"] == sizes["light"]) & _in_reach("a_", "b_", percent)
+                  & ((F.col("a_n") != F.col("b_n")) | (F.col("m") > 1)), "left_semi")
+    return kept.withColumnsRenamed({"a_n": "n", "a_room": "room"})
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -233,21 +325,20 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def star_pairs(lists: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """Each set with the most central set of like size in each of its lists: that with the least
-    share of tokens of its own."""
+    """Each set with the most central set of like size in each of its lists: that with the most room."""
     band = F.floor(F.log(F.col("n")) / math.log(100 / percent))
     rows = lists.withColumn("band", band)
     centre = rows.groupBy("key", "light", "band").agg(
-        F.min(F.struct((F.col("alone") / F.col("n")).alias("share"), F.col("k"), F.col("n"))).alias("c"))
+        F.min(F.struct((-F.col("room") / F.col("n")).alias("share"), F.col("k"), F.col("n"), F.col("room"))).alias("c"))
     centre = centre.select("key", "light", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-                           F.col("c.k").alias("ck"), F.col("c.n").alias("cn"))
+                           F.col("c.k").alias("ck"), F.col("c.n").alias("cn"), F.col("c.room").alias("croom"))
     return (rows.join(centre, ["key", "light", "band"]).where("k <> ck").where(_in_reach("", "c", percent))
             .where(F.col("light") | (F.greatest("n", "cn") > boundary))
             .select(F.least("k", "ck").alias("u"), F.greatest("k", "ck").alias("v")).distinct())
 
 
 def open_pairs(lists: DataFrame, roots: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """All pairs of a list that lie in different components.
+    """All pairs of a list in reach that lie in different components.
 
     The sets of a list's largest component stand on one side only, so a long
     list of near copies and a few others costs their product, not its square."""
@@ -258,8 +349,9 @@ def open_pairs(lists: DataFrame, roots: DataFrame, boundary: int, percent: int)
             .where("parts > 1").select("key", "light", F.col("top.root").alias("top")))
     rows = materialise(rows.join(most, ["key", "light"]).withColumn("is_top", F.col("root") == F.col("top")).drop("top"),
                        "open_lists")
-    a = rows.where(~F.col("is_top")).select("key", "light", *[F.col(c).alias(f"a_{c}") for c in ("k", "n", "root")])
-    b = rows.select("key", "light", "is_top", *[F.col(c).alias(f"b_{c}") for c in ("k", "n", "root")])
+    cols = ("k", "n", "room", "root")
+    a = rows.where(~F.col("is_top")).select("key", "light", *[F.col(c).alias(f"a_{c}") for c in cols])
+    b = rows.select("key", "light", "is_top", *[F.col(c).alias(f"b_{c}") for c in cols])
     return (a.join(b, ["key", "light"])
             .where((F.col("a_root") != F.col("b_root")) & _in_reach("a_", "b_", percent)
                    & (F.col("is_top") | (F.col("a_k") < F.col("b_k")))
@@ -267,18 +359,59 @@ def open_pairs(lists: DataFrame, roots: DataFrame, boundary: int, percent: int)
             .select(F.least("a_k", "b_k").alias("u"), F.greatest("a_k", "b_k").alias("v")).distinct())
 
 
-def ordered_sets(rows: DataFrame, n_docs: int, n_tokens: int, k: int, percent: int) -> DataFrame:
-    """Sets that may link with another, as rows of ``_SET``."""
-    share = max(1, n_docs // SAMPLED_DOCS)
-    sampled = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text")
-    common = (sampled.mapInArrow(_token_rows(k), _TOKEN_ROW).groupBy("token").agg(F.count("*").alias("c"))
-              .where(F.col("c") >= COMMON_IN_SAMPLE).collect())  # at most sampled tokens / COMMON_IN_SAMPLE
-    common = np.array(sorted((r["token"], min(r["c"], COMMON - 1)) for r in common), np.int64).reshape(-1, 2)
+def _common(counts: DataFrame) -> np.ndarray:
+    """(token, count) of the tokens in many of the sampled documents, sorted (at most sampled
+    tokens / COMMON_IN_SAMPLE)."""
+    rows = counts.where(F.col("c") >= COMMON_IN_SAMPLE).collect()
+    return np.array(sorted((r["token"], min(r["c"], COMMON - 1)) for r in rows), np.int64).reshape(-1, 2)
+
+
+def _sample(rows: DataFrame, n_docs: int) -> DataFrame:
+    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n_docs // SAMPLED_DOCS))) == 0)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = [squeeze.compress((t.as_py() or "").encode()) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+
+
+def open_classes(rows: DataFrame, prints: DataFrame, k: int, percent: int) -> DataFrame:
+    """``doc_id, k, packed``: text of one document of each class that the first round leaves open."""
+    share = sampling(percent)
+    n_docs, n_tokens = prints.agg(F.count("*"), F.coalesce(F.sum("n_sampled"), F.lit(0))).first()
+    none = np.zeros((0, 2), np.int64)
+    token_row = "token bigint, k bigint, c int"
+    common = _common(_sample(rows, n_docs).select("text").mapInArrow(_sampled_rows(k, share, none), token_row)
+                     .groupBy("token").agg(F.count("*").alias("c")))
     tasks = max(1, -(-n_tokens // ROWS_PER_TASK))
-    tokens = rows.select("text").mapInArrow(_token_rows(k, common), _TOKEN_ROW)
-    shared = (tokens.where("df = 0").repartition(tasks, "token").mapInArrow(_shared_tokens, _TOKEN_ROW))
+    shared = (rows.select("text").mapInArrow(_sampled_rows(k, share, common), token_row)
+              .repartition(tasks, "token").mapInArrow(_shared_counts, "k bigint, shared bigint")
+              .groupBy("k").agg(F.sum("shared").alias("shared")))
+    classes = (prints.where("k is not null and doc_id is not null").groupBy("k")
+               .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("n_sampled").alias("n_sampled")))
+    least = F.ceil(percent * F.col("n") / 100)
+    still = (classes.join(shared, "k", "left")
+             .where(F.col("n_sampled") - F.coalesce("shared", F.lit(0)) <= F.col("n") - least).select("doc_id", "k"))
+    packed = rows.where("doc_id is not null").mapInArrow(_pack, "doc_id bigint, packed binary")
+    return packed.join(still.hint("shuffle_hash"), "doc_id")
+
+
+def ordered_sets(classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Sets that may link with another, as rows of ``_SET``, from ``doc_id, k, packed``."""
+    tokens = classes.select("k", "packed")
+    n_docs = classes.count()
+    common = _common(_sample(classes, n_docs).select("k", "packed").mapInArrow(_token_rows(k, np.zeros((0, 2), np.int64)), _TOKEN_ROW)
+                     .groupBy("token").agg(F.count("*").alias("c")))
+    tokens = tokens.mapInArrow(_token_rows(k, common), _TOKEN_ROW)
+    # an upper bound of the tokens: two compressed bytes or more for each
+    size = classes.agg(F.sum(F.octet_length("packed"))).first()[0] or 0
+    tasks = max(1, -(-size // (2 * ROWS_PER_TASK)))
+    shared = tokens.where("df = 0").repartition(tasks, "token").mapInArrow(_shared_tokens, _TOKEN_ROW)
     frequent = tokens.where("df > 0")
-    return shared.union(frequent).repartition(tasks, "k").mapInArrow(_ordered_sets(percent), _SET)
+    share = max(1, n_docs // SAMPLED_DOCS)
+    return shared.union(frequent).repartition(tasks, "k").mapInArrow(_ordered_sets(percent, share), _SET)
 
 
 def ngram_join(docs: DataFrame, k: int = 4, percent: int = 85, id_col="doc_id", text_col="text",
@@ -286,14 +419,13 @@ def ngram_join(docs: DataFrame, k: int = 4, percent: int = 85, id_col="doc_id",
     """``doc_id, n_shingles, component_id`` per input row: components of the documents whose sets of
     ``k``-word shingles have Jaccard similarity ``percent`` / 100 or more."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    prints = materialise(rows.mapInArrow(_fingerprints(k), "doc_id bigint, n_shingles bigint, k bigint"), "prints")
-    n_docs, n_tokens = prints.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
-    sets = materialise(ordered_sets(rows, n_docs, n_tokens, k, percent), "sets")
+    prints = materialise(rows.mapInArrow(_fingerprints(k, sampling(percent)),
+                                         "doc_id bigint, n_shingles bigint, k bigint, n_sampled bigint"), "prints")
+    classes = materialise(open_classes(rows, prints, k, percent), "open_classes")
+    sets = materialise(ordered_sets(classes, k, percent), "sets")
     if boundary is None:
         boundary = size_boundary(sets)
-    lists = postings(sets, boundary, percent)
-    shared = lists.groupBy("key", "light").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    lists = materialise(lists.join(shared, ["key", "light"]), "lists")
+    lists = materialise(with_partner(materialise(postings(sets, boundary, percent), "postings"), percent), "lists")
     links = materialise(verified(star_pairs(lists, boundary, percent), sets, percent), "star_links")
     roots = components(links, "star_components")
     more = materialise(verified(open_pairs(lists, roots, boundary, percent), sets, percent), "open_links")
@@ -311,3 +443,28 @@ def ngram_join(docs: DataFrame, k: int = 4, percent: int = 85, id_col="doc_id",
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents
+), s as (
+  select doc_id, array_to_string(w, ' ') as gram from w where len(w) between 1 and 3
+  union
+  select doc_id, array_to_string(w[i:i + 3], ' ')
+  from (select doc_id, w, unnest(generate_series(1, len(w) - 3)) as i from w where len(w) >= 4)
+), n as (select doc_id, count(*) as n from s group by doc_id),
+l as (
+  select a.doc_id as a, b.doc_id as b from s a join s b on a.gram = b.gram and a.doc_id <> b.doc_id
+  join n na on na.doc_id = a.doc_id join n nb on nb.doc_id = b.doc_id
+  where 100 * least(na.n, nb.n) >= 85 * greatest(na.n, nb.n)
+  group by a.doc_id, b.doc_id, na.n, nb.n having 100 * count(*) >= 85 * (na.n + nb.n - count(*))
+), r as (
+  select doc_id as a, doc_id as b from w
+  union
+  select r.a, l.b from r join l on r.b = l.a
+), c as (select a as doc_id, min(b) as component_id from r group by a)
+select c.doc_id, coalesce(n.n, 0) as n_shingles, component_id from c left join n on c.doc_id = n.doc_id
+"""
