@@ -22,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_join": ngram_join.ORACLE,
+    "op2_substring_dedup": substring_dedup.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op6_lattice_dedup": lattice_dedup.ORACLE,
     "op7_mixing": mixing.ORACLE,

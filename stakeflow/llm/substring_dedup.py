@@ -353,3 +353,27 @@ def substring_dedup(docs: DataFrame, size: int = 20, id_col="doc_id", text_col="
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+with w as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents
+), g as (
+  select doc_id, i, array_to_string(w[i:i + 19], ' ') as gram
+  from (select doc_id, w, unnest(generate_series(1, len(w) - 19)) as i from w where len(w) >= 20)
+), f as (
+  select doc_id, i from (select doc_id, i, row_number() over (partition by gram order by doc_id, i) as n from g) where n > 1
+), c as (
+  select distinct doc_id, i + o as pos from f, unnest(generate_series(0, 19)) t(o)
+), p as (
+  select doc_id, unnest(w) as word, generate_subscripts(w, 1) as pos from w
+), k as (
+  select p.doc_id, count(*) filter (where c.pos is not null) as n_removed,
+         string_agg(word, ' ' order by p.pos) filter (where c.pos is null) as kept
+  from p left join c on p.doc_id = c.doc_id and p.pos = c.pos group by p.doc_id
+)
+select w.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from w left join k on w.doc_id = k.doc_id
+"""
