@@ -65,7 +65,7 @@ def stages(spark, sf_dir):
     def warp_epoch():
         from stakeflow.operators.warp import train_warp
         d = P.dataset(t)
-        train_warp(d.train_pairs, d.user_tokens, d.item_tokens, d.user_index, d.item_index, epochs=1)
+        train_warp(d.train_pairs, d.user_tokens, d.item_tokens, d.user_index, d.item_index, epochs=1, local_epochs=1)
     timed("warp_epoch", warp_epoch)
     # extras: ranking metrics, batch recommend, flagship
     timed("ranking_metrics", lambda: run(reg["user_ranking_metrics"].build(t)))

@@ -35,7 +35,6 @@ class Settings:
     feature_ttl_seconds: int = 90000
     graph_batch_size: int = 500
     # -- fixed values: diagnostics -------------------------------------------
-    max_attribution_interactions: int = 20000
     top_attribution_features: int = 8
     stability_samples: int = 6
     stability_fraction: float = 0.7
@@ -46,15 +45,8 @@ class Settings:
     # -- scale knobs (not part of the source system) -------------------------
     # Width of the time buckets used to split hot users in per-user windows.
     window_bucket_seconds: int = 86400
-    # Largest side (rows) allowed to be broadcast in scoring / lookups.
-    broadcast_row_limit: int = 2_000_000
-    # ``None`` = exact quantiles (distributed sort); an int = percentile_approx
-    # accuracy for very large inputs.
-    quantile_accuracy: int | None = None
-    # Inputs up to this many rows (counted first) may be handled inside one task
-    # (exact quantiles by a sorted list, dictionaries by a single-partition
-    # row_number); larger inputs use the distributed positions path.
-    small_table_rows: int = 1_000_000
+    # Bytes of item vectors in one scoring block.
+    item_block_bytes: int = 2 << 20
     # Most (user, game) pairs one WARP shard trains on per epoch; the shard
     # count grows with the data so no task holds an unbounded share.
     warp_rows_per_shard: int = 2_000_000

@@ -5,22 +5,22 @@ Scale notes:
   pair) are aggregations (``count`` + ``max_by`` over a struct), not per-user
   windows, so a user with a third of all events is reduced map-side.
 * Dictionaries use distributed positions of a range sort (``stats.dense_index``).
-* Only the item catalog is ranked with a global window (popularity buckets):
-  the catalog is the small, bounded side of the model.
+* Popularity buckets use the same positions over the catalog.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stakeflow.config import DEFAULT, Settings
 from stakeflow.errors import DataValidationError
 from stakeflow.functions import mappers as M
 from stakeflow.operators.features import FeatureTables, build_feature_tables, mode_or
-from stakeflow.operators.stats import dense_index
+from stakeflow.operators.stats import dense_index, quantile_bucket
+from stakeflow.session import cut_lineage
 
 ITEM_NUMERIC_COLUMNS = ["game_sessions", "unique_users", "avg_duration_sec", "avg_rounds",
                         "quick_exit_rate", "return_10m_rate", "positive_outcome_rate", "popularity_score"]
@@ -43,7 +43,6 @@ def holdout_pairs(events: DataFrame, check_fallback: bool = True) -> DataFrame:
     if check_fallback:
         # one row per user, read by the fallback check, both split sides and the
         # test pairs: materialise it once in the checkpoint folder
-        from stakeflow.session import cut_lineage
         hold = cut_lineage(hold)
     if check_fallback and hold.isEmpty():
         latest = pairs.agg(F.max_by(F.struct("userId", "gameId"), F.struct("last_ts", "userId", "gameId")).alias("p"))
@@ -92,14 +91,7 @@ def popularity_bucket(items: DataFrame, score: str = "popularity_score", key: st
                       out: str = "popularity_bucket") -> DataFrame:
     """E5: rank items by score (ties: key order), cut the ranks into
     q = min(4, n) equal-count bins labelled cold/warm/hot/blockbuster."""
-    w = Window.orderBy(F.col(score).asc_nulls_first(), F.col(key))
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    ranked = items.withColumn("__rn", F.row_number().over(w)).withColumn("__n", n)
-    q = F.least(F.col("__n"), F.lit(4))
-    b = F.when(q <= 1, F.lit(1)).otherwise(
-        F.greatest(F.lit(1), F.expr("cast(((__rn - 1) * least(__n, 4) + (__n - 2)) div (__n - 1) as int)")))
-    labels = F.array(*[F.lit(x) for x in M.POPULARITY_LABELS])
-    return ranked.withColumn(out, F.element_at(labels, b.cast("int"))).drop("__rn", "__n")
+    return quantile_bucket(items, key, score, M.POPULARITY_LABELS, out)
 
 
 def active_ids(train_pairs: DataFrame, test: DataFrame, col: str) -> DataFrame:

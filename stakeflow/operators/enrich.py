@@ -33,19 +33,16 @@ def lookup_dimension(
     columns: list[str],
     order: list | None = None,
     check_inflation: bool = False,
-    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """Left join a dimension deduplicated to one row per key.
 
     Because the dimension is deduplicated first, the join cannot add rows; with
-    ``check_inflation`` the row counts are still compared (two actions).  The
-    dimension is broadcast only when its distinct-key count is proven below
-    ``broadcast_limit``; otherwise a shuffle join is used.
+    ``check_inflation`` the row counts are still compared (two actions).  Spark
+    broadcasts the dimension below its own byte threshold, at planning or, by
+    its measured size, at run time.
     """
     d = dim.select(F.col(dim_key).alias("__dk"), *columns).where(F.col("__dk").isNotNull())
     d = dedup_first(d, "__dk", order or [F.col(c) for c in columns])
-    if broadcast_limit is not None and d.count() <= broadcast_limit:
-        d = F.broadcast(d)
     out = fact.join(d, fact[fact_key] == d["__dk"], "left").drop("__dk")
     if check_inflation:
         before, after = fact.count(), out.count()
@@ -69,8 +66,7 @@ def clean_and_merge(
         tx = tx.replace(dict(settings.game_name_map), subset=["gameName"])
     cols = [c for c in ["gameId", "gamevendor", "minBet", "maxBet", "gameType_raw"] if c in games.columns]
     merged = lookup_dimension(tx, games, key, games_key or key, cols,
-                              check_inflation=check_inflation,
-                              broadcast_limit=settings.broadcast_row_limit)
+                              check_inflation=check_inflation)
     raw_provider = F.col("providerName_raw") if "providerName_raw" in merged.columns else F.lit(None).cast("string")
     merged = merged.withColumn("providerName", F.coalesce(raw_provider, F.col("gamevendor"))).drop("gamevendor")
     return merged.withColumn("win", M.win_flag("result"))

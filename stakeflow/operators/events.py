@@ -43,7 +43,7 @@ def stake_cutoffs(tx: DataFrame, stake_col: str = "betAmount", settings: Setting
     """The 0.33 / 0.66 quantiles of the lenient stake (NULL -> 0), taken over
     all rows before any row is dropped."""
     stake = tx.select(F.coalesce(F.col(stake_col).try_cast("double"), F.lit(0.0)).alias("s"))
-    return quantiles(stake, "s", [0.33, 0.66], settings.quantile_accuracy)
+    return quantiles(stake, "s", [0.33, 0.66])
 
 
 def align_to_schema(

@@ -15,8 +15,8 @@ Everything below is joins and aggregations over those two tables:
   (``substr(md5(pair/sample), 1, 4) < 'b333'`` keeps ~70 %) that every engine
   reproduces.
 
-The vocabulary (token vectors) is the small side and is broadcast after a
-row-count check; pairs and entities stay partitioned.
+Spark broadcasts the vocabulary (token vectors) below its own byte threshold;
+pairs and entities stay partitioned.
 """
 
 from __future__ import annotations
@@ -30,10 +30,6 @@ from stakeflow.functions import mappers as M
 SAMPLE_HEX_CUT = "b333"  # fixed value: 0xb333 / 0x10000 = 0.7 keep share
 
 
-def _maybe_broadcast(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    return F.broadcast(df) if df.count() <= settings.broadcast_row_limit else df
-
-
 def entity_features(index: DataFrame, key: str, token_table: DataFrame) -> DataFrame:
     """(key, feature, value, is_token): identity + tokens, each 1/(k+1)."""
     t = index.select(key).join(token_table, key, "left").select(
@@ -93,9 +89,13 @@ def explain_summary(pairs: DataFrame, contribs: DataFrame, u_rep: DataFrame, i_r
 
 
 def top_by_abs(df: DataFrame, value: str, n: int, partition: list[str] | None = None, tie: list[str] | None = None):
-    """The n rows with the largest |value| per partition (or overall)."""
-    w = Window.partitionBy(*(partition or [])).orderBy(F.desc(F.abs(F.col(value))), *(tie or []))
-    return df.withColumn("abs_rank", F.row_number().over(w)).where(F.col("abs_rank") <= n)
+    """The n rows with the largest |value| per partition (or overall).
+
+    Overall, the window ranks only the ``n`` rows of a distributed top-n."""
+    order = [F.desc(F.abs(F.col(value))), *(tie or [])]
+    rows = df if partition else df.orderBy(*order).limit(n)
+    w = Window.partitionBy(*(partition or [])).orderBy(*order)
+    return rows.withColumn("abs_rank", F.row_number().over(w)).where(F.col("abs_rank") <= n)
 
 
 def global_attribution(contribs: DataFrame, weight: str) -> DataFrame:

@@ -115,7 +115,7 @@ def user_game_base(fe: DataFrame, max_ts=None) -> DataFrame:
 def with_implicit_score(user_game: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """B27 + B28: implicit preference score; the engagement cap is the 0.95
     quantile of the pair-level engagement (exact, distributed)."""
-    (p95,) = quantiles(user_game, "avg_engagement_intensity", [0.95], settings.quantile_accuracy)
+    (p95,) = quantiles(user_game, "avg_engagement_intensity", [0.95])
     return user_game.withColumn(
         "implicit_score",
         M.implicit_score("interaction_count", "avg_engagement_intensity", p95 or 0.0,

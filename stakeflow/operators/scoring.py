@@ -1,263 +1,229 @@
 """Scoring, top-k recommendation and per-positive ranks.
 
 Physical plan at scale:
-* The item side (catalog) is the bounded side.  Its vectors are collected
-  once, after a size check, and shipped to executors as a broadcast variable.
-  Beyond ``broadcast_row_limit`` items the catalog is processed in blocks of at
-  most that many items, each block giving per-user partial top-k rows that a
-  final per-user window merges (k x blocks rows per user).
-* Users stream through ``mapInPandas``; each task scores users in chunks of
-  ``score_cells // n_items`` rows (bounded memory) with one matrix product,
-  masks excluded items and emits only the top-k rows, or only one row per
-  positive item for metrics.  No user x item pair is ever materialised as a
-  row.
-* Scores are rounded to 6 digits before ranking so every engine orders them
-  the same; ties are broken by item id (ascending).
+* Items are a table of blocks: their dense index cuts the catalog into runs of
+  ``item_block_bytes`` bytes of vectors, one row per block.
+* Users are a table of chunks of about ``CHUNK_ROWS`` rows.  Each chunk meets
+  each block through an equi-join on the block number; a joined row is one
+  matrix product in an Arrow batch, and only its best ``k`` rows, or one row
+  per positive item, leave it.  Neither side passes through the driver and no
+  user x item pair becomes a row.
+* Partial results of the blocks are merged per user (k rows per block).
+* Scores are integers of 6 decimal digits before ranking, so every engine
+  orders them the same; ties are broken by item id (ascending index).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stakeflow.config import DEFAULT, Settings
 from stakeflow.functions import mappers as M
+from stakeflow.operators.stats import dense_index, positions
+from stakeflow.session import cut_lineage
 
 SCORE_DIGITS = 6
-SCORE_CELLS = 4_000_000  # user x item scores held in memory per chunk
+CHUNK_ROWS = 256
 
 
-class ItemBlock:
-    """A broadcast block of item vectors (ids, matrix, biases, id order)."""
+@dataclass
+class ItemBlocks:
+    """``table`` (block, first, ids, vecs, bias), ``index`` (gameId, idx) and the two counts."""
 
-    def __init__(self, spark, ids, mat, bias):
-        order = np.argsort(np.asarray(ids, dtype=object).astype(str), kind="stable")
-        tie = np.empty(len(ids), dtype=np.int64)
-        tie[order] = np.arange(len(ids))
-        self.n = len(ids)
-        self.bc = spark.sparkContext.broadcast(
-            {"ids": list(ids), "mat": mat, "bias": bias, "tie": tie})
+    table: DataFrame
+    index: DataFrame
+    n_items: int
+    n_blocks: int
+    size: int
 
 
 def item_blocks(items: DataFrame, key: str = "gameId", vec: str = "embedding", bias: str | None = None,
-                settings: Settings = DEFAULT) -> list[ItemBlock]:
-    """Collect the catalog vectors in blocks of at most ``broadcast_row_limit`` rows."""
-    spark = items.sparkSession
-    limit = settings.broadcast_row_limit
-    cols = [F.col(key).cast("string").alias("id"), F.col(vec).alias("v"),
-            (F.col(bias) if bias else F.lit(0.0)).cast("double").alias("b")]
-    base = items.select(*cols).where(F.col("v").isNotNull())
-    n = base.count()
-    n_blocks = max(1, -(-n // limit))
-    blocks = []
-    for b in range(n_blocks):
-        part = base if n_blocks == 1 else base.where((F.abs(F.xxhash64("id")) % n_blocks) == b)
-        pdf = part.toPandas()
-        if len(pdf) == 0:
-            continue
-        mat = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["v"]])
-        blocks.append(ItemBlock(spark, pdf["id"].tolist(), mat, pdf["b"].to_numpy(dtype=np.float64)))
-    return blocks
-
-
-def _vec_matrix(series: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in series])
-
-
-def _rounded_scores(U, ub, blk):
-    s = U @ blk["mat"].T + ub[:, None] + blk["bias"][None, :]
-    return np.round(s, SCORE_DIGITS)
-
-
-def _mask(row_ids, blk_index):
-    return [blk_index[g] for g in (row_ids if row_ids is not None else []) if g in blk_index]
-
-
-TOPK_SCHEMA = T.StructType([
-    T.StructField("rid", T.StringType()), T.StructField("gameId", T.StringType()),
-    T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType()),
-])
-
-
-def _topk_fn(bc, k_max):
-    def run(batches):
-        blk = bc.value
-        ids, tie = blk["ids"], blk["tie"]
-        index = {g: j for j, g in enumerate(ids)}
+                settings: Settings = DEFAULT) -> ItemBlocks:
+    """The catalog as a table of blocks of at most ``item_block_bytes`` of vectors each."""
+    base = items.select(F.col(key).cast("string").alias("gameId"), F.col(vec).cast("array<double>").alias("v"),
+                        (F.col(bias) if bias else F.lit(0.0)).cast("double").alias("b")).where(F.col("v").isNotNull())
+    index = cut_lineage(dense_index(base, "gameId"))
+    n, dim = base.agg(F.count("*"), F.max(F.size("v"))).first()
+    size = max(1, settings.item_block_bytes // (8 * max(dim or 1, 1)))
+    block = F.floor(F.col("idx") / F.lit(size)).cast("int")
+    rows = base.join(index, "gameId").groupBy(block.alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("idx", "gameId", "v", "b"))).alias("r"))  # ``size`` rows at most
+    table = rows.select("block", F.col("r")[0]["idx"].alias("first"), F.col("r.gameId").alias("ids"),
+                        F.flatten("r.v").alias("vecs"), F.col("r.b").alias("bias"))
+    return ItemBlocks(cut_lineage(table), index, n, max(1, -(-n // size)), size)
+
+
+def _indexes(rows: DataFrame, blocks: ItemBlocks, rid: str, column: str, out: str) -> DataFrame:
+    """(rid, out): the item indexes of the ids in array ``column``."""
+    ids = rows.select(F.col(rid).cast("string").alias("rid"), F.explode(column).alias("gameId"))
+    return ids.join(blocks.index, "gameId").groupBy("rid").agg(F.sort_array(F.collect_set("idx")).alias(out))
+
+
+def _chunks(rows: DataFrame, blocks: ItemBlocks, columns: list[str]) -> DataFrame:
+    """Rows in chunks, each next to every block: ``chunk`` (array of structs) and the block's columns."""
+    n = max(1, -(-rows.count() // CHUNK_ROWS))
+    chunk = F.pmod(F.xxhash64("rid"), F.lit(n))
+    packed = rows.groupBy(chunk.alias("__c")).agg(F.collect_list(F.struct(*columns)).alias("chunk"))
+    return packed.select("chunk", F.explode(F.sequence(F.lit(0), F.lit(blocks.n_blocks - 1))).alias("block")).join(
+        blocks.table, "block")
+
+
+def _vectors(rows: DataFrame, rid: str, vec: str, bias: str | None) -> DataFrame:
+    return rows.select(F.col(rid).cast("string").alias("rid"), F.col(vec).cast("array<double>").alias("v"),
+                       (F.col(bias) if bias else F.lit(0.0)).cast("double").alias("b"),
+                       *[c for c in rows.columns if c.startswith("__")]).where(F.col("v").isNotNull())
+
+
+def _each(batches, names):
+    """For each joined row: the chunk's columns by name, the block's ids and first index, and the
+    integer scores of chunk x block."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            chunk = batch.column("chunk")[r].values
+            col = {n: chunk.field(n) for n in names}
+            bias = batch.column("bias")[r].values.to_numpy()
+            scores = None
+            if "v" in col:
+                users = col["v"].flatten().to_numpy().reshape(len(chunk), -1)
+                items = batch.column("vecs")[r].values.to_numpy().reshape(len(bias), -1)
+                s = users @ items.T + col["b"].to_numpy()[:, None] + bias[None, :]
+                scores = np.rint(s * 10**SCORE_DIGITS).astype(np.int64)
+            yield col, batch.column("ids")[r].values, batch.column("first")[r].as_py(), scores
+
+
+def _inside(lists, first: int, n: int):
+    """(row, column) of the indexes in a list column that lie in the block."""
+    off = np.append(0, np.cumsum(lists.fill_null([]).value_lengths().to_numpy(zero_copy_only=False))) \
+        if lists.null_count else lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    here = (flat >= first) & (flat < first + n)
+    return row[here], flat[here] - first, np.flatnonzero(here)
+
+
+def _best(batches):
+    for col, ids, first, scores in _each(batches, ("rid", "v", "b", "k", "excl")):
         n = len(ids)
-        step = max(1, SCORE_CELLS // max(n, 1))
-        for pdf in batches:
-            for s0 in range(0, len(pdf), step):
-                part = pdf.iloc[s0:s0 + step]
-                U = _vec_matrix(part["v"])
-                scores = _rounded_scores(U, part["b"].to_numpy(dtype=np.float64), blk)
-                out_r, out_g, out_s, out_k = [], [], [], []
-                for row, (rid, excl, k) in enumerate(zip(part["rid"], part["excl"], part["k"])):
-                    s = scores[row].copy()
-                    m = _mask(excl, index)
-                    valid = np.ones(n, dtype=bool)
-                    if m:
-                        valid[m] = False
-                    cand = np.flatnonzero(valid)
-                    kk = int(min(k if k is not None else k_max, k_max, len(cand)))
-                    if kk <= 0:
-                        continue
-                    sc = s[cand]
-                    if kk < len(cand):
-                        thr = np.partition(sc, len(sc) - kk)[len(sc) - kk]
-                        cand = cand[sc >= thr]
-                        sc = s[cand]
-                    order = np.lexsort((tie[cand], -sc))[:kk]
-                    for r, j in enumerate(cand[order]):
-                        out_r.append(rid)
-                        out_g.append(ids[j])
-                        out_s.append(float(s[j]))
-                        out_k.append(r + 1)
-                if out_r:
-                    yield pd.DataFrame({"rid": out_r, "gameId": out_g, "score": out_s,
-                                        "rank": np.asarray(out_k, dtype=np.int32)})
-    return run
-
-
-def top_k(rows: DataFrame, blocks: list[ItemBlock], k_max: int, rid: str, vec: str = "embedding",
+        # one key per cell: score, then the smaller index; keys differ, so the cut is exact
+        key = scores * n + (n - 1 - np.arange(n))
+        low = -(1 << 62)  # its negative exists too
+        row, at, _ = _inside(col["excl"], first, n)
+        key[row, at] = low
+        k = col["k"].to_numpy()
+        width = int(min(n, max(k.max(initial=0), 0)))
+        if not width:
+            continue
+        top = np.argpartition(-key, width - 1, axis=1)[:, :width] if width < n else np.tile(np.arange(n), (len(key), 1))
+        picked = np.take_along_axis(key, top, 1)
+        order = np.argsort(-picked, axis=1)
+        top, picked = np.take_along_axis(top, order, 1), np.take_along_axis(picked, order, 1)
+        keep = (picked > low) & (np.arange(width)[None, :] < k[:, None])
+        r, c = np.nonzero(keep)
+        items = top[r, c]
+        yield pa.RecordBatch.from_arrays(
+            [col["rid"].take(pa.array(r)), ids.take(pa.array(items)), pa.array(items + first),
+             pa.array(scores[r, items] / 10**SCORE_DIGITS)], names=["rid", "gameId", "idx", "score"])
+
+
+def top_k(rows: DataFrame, blocks: ItemBlocks, k_max: int, rid: str, vec: str = "embedding",
           bias: str | None = None, exclude: str | None = None, k_col: str | None = None) -> DataFrame:
     """E10 + C11 + C12: for every input row (a user or a request) the ``k`` best
     items by rounded score (ties: item id), skipping the ids in array column
     ``exclude``.  Returns (rid, gameId, score, rank)."""
-    inp = rows.select(
-        F.col(rid).cast("string").alias("rid"), F.col(vec).alias("v"),
-        (F.col(bias) if bias else F.lit(0.0)).cast("double").alias("b"),
-        (F.col(exclude) if exclude else F.lit(None).cast("array<string>")).alias("excl"),
-        (F.col(k_col) if k_col else F.lit(k_max)).cast("int").alias("k"),
-    ).where(F.col("v").isNotNull())
-    parts = [inp.mapInPandas(_topk_fn(b.bc, k_max), TOPK_SCHEMA) for b in blocks]
-    if len(parts) == 1:
-        return parts[0]
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    w = Window.partitionBy("rid").orderBy(F.desc("score"), "gameId")
-    return allp.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k_max)
-
-
-RANK_SCHEMA = T.StructType([
-    T.StructField("rid", T.StringType()), T.StructField("gameId", T.StringType()),
-    T.StructField("score", T.DoubleType()), T.StructField("higher", T.LongType()),
-    T.StructField("n_candidates", T.LongType()),
-])
-
-
-def _rank_fn(bc):
-    def run(batches):
-        blk = bc.value
-        ids = blk["ids"]
-        index = {g: j for j, g in enumerate(ids)}
-        n = len(ids)
-        step = max(1, SCORE_CELLS // max(n, 1))
-        for pdf in batches:
-            for s0 in range(0, len(pdf), step):
-                part = pdf.iloc[s0:s0 + step]
-                U = _vec_matrix(part["v"])
-                scores = _rounded_scores(U, part["b"].to_numpy(dtype=np.float64), blk)
-                rr, gg, ss, hh, cc = [], [], [], [], []
-                for row, (rid, pos, excl) in enumerate(zip(part["rid"], part["pos"], part["excl"])):
-                    s = scores[row]
-                    valid = np.ones(n, dtype=bool)
-                    m = _mask(excl, index)
-                    if m:
-                        valid[m] = False
-                    cand = s[valid]
-                    srt = np.sort(cand)
-                    for g in (pos if pos is not None else []):
-                        j = index.get(g)
-                        if j is None:
-                            continue
-                        higher = len(srt) - np.searchsorted(srt, s[j], side="right")
-                        rr.append(rid)
-                        gg.append(g)
-                        ss.append(float(s[j]))
-                        hh.append(int(higher))
-                        cc.append(int(valid.sum()))
-                if rr:
-                    yield pd.DataFrame({"rid": rr, "gameId": gg, "score": ss,
-                                        "higher": np.asarray(hh, dtype=np.int64),
-                                        "n_candidates": np.asarray(cc, dtype=np.int64)})
-    return run
-
-
-def _count_fn(bc):
-    """Per block: for each (row, positive score) the valid items scored higher."""
-    def run(batches):
-        blk = bc.value
-        ids = blk["ids"]
-        index = {g: j for j, g in enumerate(ids)}
+    wanted = F.least((F.col(k_col) if k_col else F.lit(k_max)).cast("int"), F.lit(k_max))
+    inp = _vectors(rows.withColumn("__k", F.coalesce(wanted, F.lit(k_max))), rid, vec, bias).select("rid", "v", "b", F.col("__k").alias("k"))
+    excl = _indexes(rows, blocks, rid, exclude, "excl") if exclude else inp.select("rid", F.lit(None).cast("array<bigint>").alias("excl")).limit(0)
+    inp = inp.join(excl, "rid", "left").withColumn("excl", F.coalesce("excl", F.array().cast("array<bigint>")))
+    part = _chunks(inp, blocks, ["rid", "v", "b", "k", "excl"]).mapInArrow(
+        _best, "rid string, gameId string, idx bigint, score double")
+    w = Window.partitionBy("rid").orderBy(F.desc("score"), "idx")  # k rows per block at most
+    out = part.withColumn("rank", F.row_number().over(w)).join(inp.select("rid", "k"), "rid")
+    return out.where(F.col("rank") <= F.col("k")).select("rid", "gameId", "score", "rank")
+
+
+def _positive_scores(batches):
+    for col, ids, first, scores in _each(batches, ("rid", "v", "b", "pos")):
+        row, at, _ = _inside(col["pos"], first, len(ids))
+        yield pa.RecordBatch.from_arrays([col["rid"].take(pa.array(row)), pa.array(at + first), pa.array(scores[row, at])],
+                                         names=["rid", "idx", "q"])
+
+
+def _counts(batches):
+    """Per positive: candidates of the block with a higher score, with the same one, and of these
+    those before it."""
+    for col, ids, first, scores in _each(batches, ("rid", "v", "b", "excl", "at", "q")):
         n = len(ids)
-        step = max(1, SCORE_CELLS // max(n, 1))
-        for pdf in batches:
-            for s0 in range(0, len(pdf), step):
-                part = pdf.iloc[s0:s0 + step]
-                scores = _rounded_scores(_vec_matrix(part["v"]), part["b"].to_numpy(dtype=np.float64), blk)
-                rr, gg, hh, cc = [], [], [], []
-                for row, (rid, ps, excl) in enumerate(zip(part["rid"], part["ps"], part["excl"])):
-                    valid = np.ones(n, dtype=bool)
-                    m = _mask(excl, index)
-                    if m:
-                        valid[m] = False
-                    srt = np.sort(scores[row][valid])
-                    for item in (ps if ps is not None else []):
-                        g, sc = item["gameId"], item["score"]
-                        rr.append(rid)
-                        gg.append(g)
-                        hh.append(int(len(srt) - np.searchsorted(srt, sc, side="right")))
-                        cc.append(int(len(srt)))
-                if rr:
-                    yield pd.DataFrame({"rid": rr, "gameId": gg, "higher": np.asarray(hh, dtype=np.int64),
-                                        "n_candidates": np.asarray(cc, dtype=np.int64)})
-    return run
-
-
-COUNT_SCHEMA = T.StructType([
-    T.StructField("rid", T.StringType()), T.StructField("gameId", T.StringType()),
-    T.StructField("higher", T.LongType()), T.StructField("n_candidates", T.LongType()),
-])
-
-
-def positive_ranks(rows: DataFrame, block, rid: str, positives: str, vec: str = "embedding",
+        row, at, _ = _inside(col["excl"], first, n)
+        scores[row, at] = np.iinfo(np.int64).min
+        order = np.argsort(scores, axis=1, kind="stable")
+        ranked = np.take_along_axis(scores, order, 1)
+        off = col["at"].offsets.to_numpy() - col["at"].offsets[0].as_py()
+        places, qs = col["at"].flatten().to_numpy(), col["q"].flatten().to_numpy()
+        owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
+        out = np.zeros((3, len(owner)), np.int64)
+        for r in np.unique(owner):
+            mine = slice(off[r], off[r + 1])
+            lo, hi = np.searchsorted(ranked[r], qs[mine], "left"), np.searchsorted(ranked[r], qs[mine], "right")
+            out[0, mine], out[1, mine] = n - hi, hi - lo
+            # of equal scores the stable order is by index
+            out[2, mine] = [np.searchsorted(order[r, a:b], p - first) for a, b, p in zip(lo, hi, places[mine])]
+        yield pa.RecordBatch.from_arrays(
+            [col["rid"].take(pa.array(owner)), pa.array(places), *[pa.array(x) for x in out]],
+            names=["rid", "idx", "higher", "equal", "before"])
+
+
+def positive_ranks(rows: DataFrame, blocks: ItemBlocks, rid: str, positives: str, vec: str = "embedding",
                    bias: str | None = None, exclude: str | None = None) -> DataFrame:
-    """For each positive item of each row: ``higher`` = number of candidate items
-    (all items minus ``exclude``) with a strictly greater rounded score, and the
-    candidate count.  One output row per positive; the basis of P@K, AUC, NDCG.
-
-    ``block`` is one ``ItemBlock`` or the list from ``item_blocks``.  With
-    several blocks (catalog above the broadcast limit) a first pass finds each
-    positive's score in the block holding it, a second pass counts higher-scored
-    candidates per block, and the counts are summed per (row, positive)."""
-    blocks = block if isinstance(block, list) else [block]
-    inp = rows.select(
-        F.col(rid).cast("string").alias("rid"), F.col(vec).alias("v"),
-        (F.col(bias) if bias else F.lit(0.0)).cast("double").alias("b"),
-        F.col(positives).alias("pos"),
-        (F.col(exclude) if exclude else F.lit(None).cast("array<string>")).alias("excl"),
-    ).where(F.col("v").isNotNull())
-    if len(blocks) == 1:
-        return inp.mapInPandas(_rank_fn(blocks[0].bc), RANK_SCHEMA)
-    found = None
-    for blk in blocks:
-        part = inp.mapInPandas(_rank_fn(blk.bc), RANK_SCHEMA).select("rid", "gameId", "score")
-        found = part if found is None else found.unionByName(part)
-    # one entry per positive of the row: bounded by the row's positives
-    ps = found.groupBy("rid").agg(F.collect_list(F.struct("gameId", "score")).alias("ps"))
-    inp2 = inp.join(ps, "rid").select("rid", "v", "b", "excl", "ps")
-    counts = None
-    for blk in blocks:
-        part = inp2.mapInPandas(_count_fn(blk.bc), COUNT_SCHEMA)
-        counts = part if counts is None else counts.unionByName(part)
-    tot = counts.groupBy("rid", "gameId").agg(F.sum("higher").alias("higher"),
-                                              F.sum("n_candidates").alias("n_candidates"))
-    return found.join(tot, ["rid", "gameId"]).select("rid", "gameId", "score", "higher", "n_candidates")
+    """One row per positive item of each row, the basis of P@K, AUC and NDCG.
+
+    Candidates are all items minus ``exclude``; by rounded score ``higher`` of
+    them stand above the positive, ``ties`` others are level with it, and
+    ``position`` is its 0-based place when ties are ordered by item id.
+
+    A positive without a vector, or of a row without one, is a miss: its score
+    is NULL and it stands after all candidates, level with the row's other
+    misses; ``n_candidates`` counts it too."""
+    base = rows.select(F.col(rid).cast("string").alias("rid"), F.col(vec).cast("array<double>").alias("v"),
+                       (F.col(bias) if bias else F.lit(0.0)).cast("double").alias("b"))
+    wanted = cut_lineage(rows.select(F.col(rid).cast("string").alias("rid"), F.explode(F.array_distinct(positives)).alias("gameId"))
+                         .join(blocks.index, "gameId", "left"))
+    empty = F.array().cast("array<bigint>")
+    pos = wanted.where("idx is not null").groupBy("rid").agg(F.sort_array(F.collect_list("idx")).alias("pos"))
+    if exclude:
+        excl = _indexes(rows, blocks, rid, exclude, "excl")
+        base = base.join(excl, "rid", "left").withColumn("excl", F.coalesce("excl", empty))
+    else:
+        base = base.withColumn("excl", empty)
+    with_vector = cut_lineage(base.where("v is not null").join(pos, "rid"))
+    found = _chunks(with_vector, blocks, ["rid", "v", "b", "pos"]).mapInArrow(_positive_scores, "rid string, idx bigint, q bigint")
+    found = cut_lineage(found)
+    ask = found.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("idx", "q"))).alias("p")).select(
+        "rid", F.col("p.idx").alias("at"), F.col("p.q").alias("q"))  # one entry per positive of the row
+    counted = _chunks(with_vector.join(ask, "rid"), blocks, ["rid", "v", "b", "excl", "at", "q"]).mapInArrow(
+        _counts, "rid string, idx bigint, higher bigint, equal bigint, before bigint")
+    counted = counted.groupBy("rid", "idx").agg(*[F.sum(c).alias(c) for c in ("higher", "equal", "before")])
+    # an excluded positive is no candidate and not level with itself
+    masked = with_vector.select("rid", F.explode("excl").alias("idx"), F.lit(1).alias("masked"))
+    scored = (found.join(counted, ["rid", "idx"]).join(masked, ["rid", "idx"], "left")
+              .withColumn("own", F.coalesce(1 - F.col("masked"), F.lit(1))))
+    sizes = base.select("rid", F.when(F.col("v").isNotNull(), F.lit(blocks.n_items) - F.size("excl")).otherwise(F.lit(0))
+                        .cast("long").alias("n_valid"))
+    out = wanted.join(scored, ["rid", "idx"], "left").join(sizes, "rid")
+    misses = out.where("q is null").groupBy("rid").agg(F.count("*").alias("misses"))
+    out = out.join(misses, "rid", "left").withColumn("misses", F.coalesce("misses", F.lit(0)))
+    missed = F.col("q").isNull()
+    place = F.row_number().over(Window.partitionBy("rid", missed).orderBy("gameId")) - 1
+    return out.withColumn("__m", place).select(
+        "rid", "gameId", (F.col("q") / 10**SCORE_DIGITS).alias("score"),
+        F.when(missed, F.col("n_valid")).otherwise(F.col("higher")).alias("higher"),
+        F.when(missed, F.col("misses") - 1).otherwise(F.col("equal") - F.col("own")).cast("long").alias("ties"),
+        F.when(missed, F.col("n_valid") + F.col("__m")).otherwise(F.col("higher") + F.col("before")).cast("long").alias("position"),
+        (F.col("n_valid") + F.col("misses")).cast("long").alias("n_candidates"))
 
 
 def pair_scores(pairs: DataFrame, users: DataFrame, items: DataFrame, user_key: str = "userId",
@@ -275,8 +241,8 @@ def pair_scores(pairs: DataFrame, users: DataFrame, items: DataFrame, user_key:
 
 def popularity_ranking(ife: DataFrame, score: str = "popularity_score", key: str = "gameId") -> DataFrame:
     """catalog ranked by popularity (desc, ties by id); rank kept as a column."""
-    w = Window.orderBy(F.desc(score), F.col(key))
-    return ife.select(key, score).withColumn("pop_rank", F.row_number().over(w))
+    return positions(ife.select(key, score), [F.desc(score), F.col(key)], "__p").select(
+        key, score, (F.col("__p") + 1).cast("int").alias("pop_rank"))
 
 
 def game_metadata(ife: DataFrame, games: DataFrame | None) -> DataFrame:
@@ -295,17 +261,19 @@ def game_metadata(ife: DataFrame, games: DataFrame | None) -> DataFrame:
 
 
 def recommend(requests: DataFrame, user_vectors: DataFrame, user_index: DataFrame, seen: DataFrame,
-              blocks: list[ItemBlock], popularity: DataFrame, meta: DataFrame, max_k: int = 20) -> tuple:
+              blocks: ItemBlocks, popularity: DataFrame, meta: DataFrame, max_k: int = 20) -> tuple:
     """H7 batch recommend.
 
     ``requests`` (user_id, top_k, exclude_played).  Rows with top_k outside
     1..20 go to the reject table.  Known users (in ``user_index``) get their
     top_k items by score (played items dropped when asked; none left -> no
-    rows).  Unknown users get the popularity list with score 0.0.
+    rows).  Unknown users, and known ones without a vector, get the popularity
+    list with score 0.0.
     Returns (recommendations, rejects)."""
     valid = requests.where(F.col("top_k").between(1, max_k))
     rejects = requests.where(~F.col("top_k").between(1, max_k) | F.col("top_k").isNull())
-    known_ids = user_index.select(F.col("userId").alias("user_id"), F.lit(True).alias("__known"))
+    known_ids = (user_index.select("userId").join(user_vectors.where(F.col("embedding").isNotNull()).select("userId"), "userId", "left_semi")
+                 .select(F.col("userId").alias("user_id"), F.lit(True).alias("__known")))
     req = valid.join(known_ids, "user_id", "left").withColumn("__known", F.coalesce("__known", F.lit(False)))
     req = req.withColumn("__rid", F.concat_ws("|", "user_id", F.col("top_k").cast("string"),
                                               F.col("exclude_played").cast("string")))
@@ -337,60 +305,45 @@ def recommend(requests: DataFrame, user_vectors: DataFrame, user_index: DataFram
     return out, rejects
 
 
-def hash48(text: str) -> int:
-    """First 48 bits of md5(text) as an integer (engine-independent order key)."""
-    import hashlib
-    return int(hashlib.md5(text.encode("utf-8")).hexdigest()[:12], 16)
-
-
-NEG_SCHEMA = T.StructType([T.StructField("rid", T.StringType()), T.StructField("gameId", T.StringType())])
-
-
-def _neg_fn(bc, seed):
-    def run(batches):
-        blk = bc.value
-        ids = blk["ids"]
-        index = {g: j for j, g in enumerate(ids)}
-        hi = np.array([hash48(f"{g}/{seed}") for g in ids], dtype=np.int64)
-        tie = blk["tie"]
-        for pdf in batches:
-            rr, gg = [], []
-            for rid, n, excl in zip(pdf["rid"], pdf["n"], pdf["excl"]):
-                valid = np.ones(len(ids), dtype=bool)
-                m = _mask(excl, index)
-                if m:
-                    valid[m] = False
-                cand = np.flatnonzero(valid)
-                if len(cand) == 0 or not n:
-                    continue
-                key = np.bitwise_xor(np.int64(hash48(str(rid))), hi[cand])
-                order = np.lexsort((tie[cand], key))[: int(n)]
-                for j in cand[order]:
-                    rr.append(rid)
-                    gg.append(ids[j])
-            if rr:
-                yield pd.DataFrame({"rid": rr, "gameId": gg})
-    return run
-
-
-def hashed_negatives(rows: DataFrame, block, rid: str, n_col: str, exclude: str, seed: int = 42) -> DataFrame:
+def _hash48(text) -> F.Column:
+    """First 48 bits of md5 as a number (an order key that every engine reproduces)."""
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+
+
+def _nearest_keys(batches):
+    """The ``n`` smallest ``row hash xor item hash`` of each row in the block, without its excluded items."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            chunk = batch.column("chunk")[r].values
+            first, ids = batch.column("first")[r].as_py(), batch.column("ids")[r].values
+            key = chunk.field("uh").to_numpy()[:, None] ^ batch.column("hashes")[r].values.to_numpy()[None, :]
+            row, at, _ = _inside(chunk.field("excl"), first, len(ids))
+            top = np.iinfo(np.int64).max
+            key[row, at] = top
+            want = chunk.field("n").to_numpy()
+            order = np.argsort(key, axis=1, kind="stable")[:, :int(min(len(ids), want.max(initial=0)))]
+            keep = (np.take_along_axis(key, order, 1) < top) & (np.arange(order.shape[1])[None, :] < want[:, None])
+            rr, cc = np.nonzero(keep)
+            items = order[rr, cc]
+            yield pa.RecordBatch.from_arrays(
+                [chunk.field("rid").take(pa.array(rr)), ids.take(pa.array(items)), pa.array(items + first), pa.array(key[rr, items])],
+                names=["rid", "gameId", "idx", "key"])
+
+
+def hashed_negatives(rows: DataFrame, blocks: ItemBlocks, rid: str, n_col: str, exclude: str, seed: int = 42) -> DataFrame:
     """H17 (G4 without materialising it): for each row, ``n`` items outside
     ``exclude`` with the smallest ``md5(rid) xor md5(item/seed)`` keys (48-bit
-    prefixes; ties by item id).  The complement set is scanned inside the task
-    against the broadcast catalog, so only the chosen rows are emitted; with
-    several catalog blocks each block proposes its best ``n`` and a per-row
-    window over at most ``n * blocks`` rows keeps the overall best ``n``."""
-    blocks = block if isinstance(block, list) else [block]
-    inp = rows.select(F.col(rid).cast("string").alias("rid"), F.col(n_col).cast("long").alias("n"),
-                      F.col(exclude).alias("excl"))
-    parts = [inp.mapInPandas(_neg_fn(b.bc, seed), NEG_SCHEMA) for b in blocks]
-    if len(parts) == 1:
-        return parts[0]
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    uh = F.conv(F.substring(F.md5(F.col("rid")), 1, 12), 16, 10).cast("long")
-    ih = F.conv(F.substring(F.md5(F.concat(F.col("gameId"), F.lit(f"/{seed}"))), 1, 12), 16, 10).cast("long")
-    w = Window.partitionBy("rid").orderBy(uh.bitwiseXOR(ih), "gameId")
-    return (allp.join(inp.select("rid", "n"), "rid").withColumn("__r", F.row_number().over(w))
+    prefixes; ties by item id).  Hashes are columns; each block proposes its
+    best ``n``, and a per-row window over at most ``n * blocks`` rows keeps the
+    overall best ``n``."""
+    inp = rows.select(F.col(rid).cast("string").alias("rid"), F.coalesce(F.col(n_col), F.lit(0)).cast("long").alias("n"),
+                      _hash48(F.col(rid).cast("string")).alias("uh"))
+    inp = inp.join(_indexes(rows, blocks, rid, exclude, "excl"), "rid", "left").withColumn(
+        "excl", F.coalesce("excl", F.array().cast("array<bigint>")))
+    hashed = ItemBlocks(blocks.table.select("block", "first", "ids", F.transform(
+        "ids", lambda g: _hash48(F.concat(g, F.lit(f"/{seed}")))).alias("hashes")), blocks.index, blocks.n_items, blocks.n_blocks, blocks.size)
+    part = _chunks(inp, hashed, ["rid", "n", "uh", "excl"]).mapInArrow(
+        _nearest_keys, "rid string, gameId string, idx bigint, key bigint")
+    w = Window.partitionBy("rid").orderBy("key", "idx")
+    return (part.withColumn("__r", F.row_number().over(w)).join(inp.select("rid", "n"), "rid")
             .where(F.col("__r") <= F.col("n")).select("rid", "gameId"))

@@ -1,22 +1,19 @@
 """Distributed building blocks: global positions, exact quantiles, ranks, prefix sums.
 
-All of them start from ``positions``: a range-partitioned sort (a key holding
-a third of all rows is spread over many range partitions), written once to the
-shared checkpoint folder, then numbered with
-``offset[partition] + row-in-partition``.  The per-partition counts are one
-small aggregate (one row per partition) and the offsets a broadcast of that
-bounded table.  Rows never pass through Python and no group is gathered in one
-task or on the driver.  From it:
+Values are counted first (``groupBy(value).count()``, partial before the
+shuffle), so a value that a third of all rows share is one row from then on.
+``positions`` sorts by range partitions into the shared checkpoint folder and
+numbers rows with ``offset[partition] + row-in-partition``; the offsets are one
+row per partition.  ``cumulative_sums`` adds running sums in the same way.
+There is one path for every table size, no group is gathered in one task, and
+at most two rows per quantile reach the driver:
 
 * ``quantiles`` / ``grouped_quantiles`` - exact linear-interpolation quantiles
-  (pandas / Spark ``percentile`` / DuckDB ``quantile_cont`` semantics) that only
-  fetch the two rows around each requested rank;
+  (pandas / Spark ``percentile`` / DuckDB ``quantile_cont`` semantics) from
+  running counts over the distinct values;
 * ``dense_index`` - sorted distinct keys numbered 0..n-1;
 * ``average_ranks`` - ranks with ties averaged (Spearman);
 * ``prefix_share`` - cumulative share of a value in sort order (Lorenz).
-
-With ``accuracy`` set, ``quantiles`` uses the mergeable ``percentile_approx``
-sketch instead (one partial aggregation, no sort).
 """
 
 from __future__ import annotations
@@ -48,62 +45,50 @@ def positions(df: DataFrame, order: list, pos: str = "__pos") -> DataFrame:
     return out.withColumn(pos, F.col("__off") + local).drop("__pid", "__mid", "__off")
 
 
-def quantiles(df: DataFrame, column: str, probs, accuracy: int | None = None,
-              small_rows: int | None = None) -> list:
+def value_counts(df: DataFrame, column: str, keys: list[str] = ()) -> DataFrame:
+    """Distinct non-NULL values ``__v`` of ``column`` (per ``keys``) with their number ``__c`` and
+    the running count ``cum___c`` in the order of (keys, value)."""
+    counts = (df.select(*keys, F.col(column).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+              .groupBy(*keys, "__v").agg(F.count("*").alias("__c")))
+    return cumulative_sums(counts, [*keys, "__v"], ["__c"])
+
+
+def quantiles(df: DataFrame, column: str, probs) -> list:
     """Exact quantiles of ``column`` (NULLs ignored); ``None`` entries on empty input."""
     probs = list(probs)
-    if small_rows is None:
-        from stakeflow.config import DEFAULT
-        small_rows = DEFAULT.small_table_rows
-    vals = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    if accuracy is not None:
-        row = vals.agg(F.percentile_approx("v", probs, accuracy).alias("q")).first()
-        return list(row["q"]) if row and row["q"] is not None else [None] * len(probs)
-    n = vals.count()
+    counts = cut_lineage(value_counts(df, column))
+    n = counts.agg(F.sum("__c")).first()[0] or 0
     if n == 0:
         return [None] * len(probs)
-    if n <= small_rows:
-        # proven bound: at most ``small_rows`` values are sorted in one task
-        ordered = vals.agg(F.sort_array(F.collect_list("v")).alias("s")).first()["s"]
-        out = []
-        for p in probs:
-            at = p * (n - 1)
-            lo, hi = int(math.floor(at)), int(math.ceil(at))
-            out.append(ordered[lo] + (ordered[hi] - ordered[lo]) * (at - lo))
-        return out
-    spots, wanted = [], set()
-    for p in probs:
-        at = p * (n - 1)
-        lo, hi = int(math.floor(at)), int(math.ceil(at))
-        wanted.update((lo, hi))
-        spots.append((at, lo, hi))
-    picked = {r["__pos"]: r["v"] for r in
-              positions(vals, ["v"]).where(F.col("__pos").isin(sorted(wanted))).collect()}
-    return [picked[lo] + (picked[hi] - picked[lo]) * (at - lo) for at, lo, hi in spots]
+    spots = [(p * (n - 1), math.floor(p * (n - 1)), math.ceil(p * (n - 1))) for p in probs]
+    ranks = sorted({r for _, lo, hi in spots for r in (lo, hi)})
+    hit = F.exists(F.array(*[F.lit(r) for r in ranks]),
+                   lambda r: (r >= F.col("cum___c") - F.col("__c")) & (r < F.col("cum___c")))
+    rows = counts.where(hit).select("__v", "__c", "cum___c").collect()  # one row per rank at most
+    at = {r: next(x["__v"] for x in rows if x["cum___c"] - x["__c"] <= r < x["cum___c"]) for r in ranks}
+    return [at[lo] + (at[hi] - at[lo]) * (x - lo) for x, lo, hi in spots]
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs, names=None) -> DataFrame:
     """Exact per-group quantiles: one row per group with one column per prob.
 
-    One global sort by (keys, value); each group's start position is a
-    ``min`` aggregate, so hot groups are split across range partitions.
+    One global order by (keys, value) over the distinct values; each group's
+    start is a ``min`` aggregate, so hot groups spread over range partitions.
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
-    base = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    pos = positions(base, [*keys, "__v"])
-    start = pos.groupBy(*keys).agg(F.min("__pos").alias("__start"), F.count("*").alias("__n"))
-    j = pos.join(start, keys).withColumn("__r", F.col("__pos") - F.col("__start"))
-    conds, aggs = [], []
+    counts = cut_lineage(value_counts(df, value, list(keys)))
+    begin = F.col("cum___c") - F.col("__c")
+    groups = cut_lineage(counts.groupBy(*keys).agg(F.min(begin).alias("__start"), F.sum("__c").alias("__n")))
+    j = counts.join(groups, keys).withColumn("__from", begin - F.col("__start")).withColumn(
+        "__to", F.col("cum___c") - F.col("__start"))
+    aggs, any_cond = [], F.lit(False)
     for p, nm in zip(probs, names):
         at = F.lit(float(p)) * (F.col("__n") - 1)
-        lo, hi = F.floor(at), F.ceil(at)
-        conds += [F.col("__r") == lo, F.col("__r") == hi]
-        aggs += [F.max(F.when(F.col("__r") == lo, F.col("__v"))).alias(f"__lo_{nm}"),
-                 F.max(F.when(F.col("__r") == hi, F.col("__v"))).alias(f"__hi_{nm}"),
-                 F.first(at).alias(f"__at_{nm}")]
-    any_cond = conds[0]
-    for c in conds[1:]:
-        any_cond = any_cond | c
+        for rank, tag in ((F.floor(at), "lo"), (F.ceil(at), "hi")):
+            here = (rank >= F.col("__from")) & (rank < F.col("__to"))
+            any_cond = any_cond | here
+            aggs.append(F.max(F.when(here, F.col("__v"))).alias(f"__{tag}_{nm}"))
+        aggs.append(F.first(at).alias(f"__at_{nm}"))
     g = j.where(any_cond).groupBy(*keys).agg(*aggs)
     outs = []
     for nm in names:
@@ -112,29 +97,20 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs, names=N
     return g.select(*keys, *outs)
 
 
-def dense_index(df: DataFrame, key: str, index_name: str = "idx", checkpoint: bool = False,
-                small_rows: int | None = None) -> DataFrame:
-    """Distinct ``key`` values sorted ascending, numbered ``0..n-1`` (LongType).
-
-    Up to ``small_rows`` distinct keys (counted first: a proven bound) one
-    task numbers them with ``row_number``; above it, distributed positions."""
-    if small_rows is None:
-        from stakeflow.config import DEFAULT
-        small_rows = DEFAULT.small_table_rows
+def dense_index(df: DataFrame, key: str, index_name: str = "idx") -> DataFrame:
+    """Distinct ``key`` values sorted ascending, numbered ``0..n-1`` (LongType)."""
     keys = df.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    if keys.count() <= small_rows:
-        w = Window.orderBy(F.col(key))
-        return keys.select(key, (F.row_number().over(w) - 1).cast("long").alias(index_name))
     return positions(keys, [key], index_name).select(key, index_name)
 
 
 def average_ranks(df: DataFrame, id_col: str, value: str, out: str) -> DataFrame:
-    """1-based rank of ``value`` with ties averaged, per ``id_col`` row
-    (NULL values are left out)."""
-    base = df.select(id_col, F.col(value).alias("__v")).where(F.col("__v").isNotNull())
-    pos = positions(base, ["__v", id_col])
-    ties = pos.groupBy("__v").agg(((F.min("__pos") + F.max("__pos")) / 2.0 + 1.0).alias(out))
-    return pos.join(ties, "__v").select(id_col, out)
+    """1-based rank of ``value`` with ties averaged, per ``id_col`` row (NULL values are left out).
+
+    The ranks are a written table of distinct values, so a hot value splits on the rows' side."""
+    base = df.select(id_col, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    ranks = cut_lineage(value_counts(base, "__v").select(
+        "__v", (F.col("cum___c") - F.col("__c") + (F.col("__c") + 1) / 2.0).alias(out)))
+    return base.join(ranks, "__v").select(id_col, out)
 
 
 def prefix_share(df: DataFrame, id_col: str, value: str) -> DataFrame:
@@ -155,7 +131,7 @@ def prefix_share(df: DataFrame, id_col: str, value: str) -> DataFrame:
 
 
 def quantile_bucket(df: DataFrame, id_col: str, value: str, labels: list[str], out: str) -> DataFrame:
-    """E5 / E6 rule for any table size: rank by (value, id), q = min(len(labels), n),
+    """E5 / E6 rule: rank by (value, id), q = min(len(labels), n),
     bucket = max(1, ceil((rank - 1) * q / (n - 1))).  Distributed positions, no
     single-partition window."""
     base = df.where(F.col(value).isNotNull())

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stakeflow.functions import mappers as M
 from stakeflow.operators import enrich as E
 from stakeflow.operators.events import enum_violations
+from stakeflow.operators.stats import positions
 from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, rounded
 from stakeflow.plans.oracle import (pipeline_ctes, sql_device, sql_entry, sql_game_type, sql_mode,
@@ -28,9 +28,8 @@ def top_games(t):
     # scores carry 4 decimals, so the rounded sum is exact and the mean is the
     # same double in every engine
     g = g.withColumn("mean_implicit_score", F.col("sum_implicit_score") / F.col("n_players"))
-    # the game table is catalog-sized: a global ranking window is fine here
-    w = Window.orderBy(F.desc("mean_implicit_score"), "gameId")
-    return g.withColumn("rank", F.row_number().over(w))
+    ranked = positions(g, [F.desc("mean_implicit_score"), F.col("gameId")], "__p")
+    return ranked.withColumn("rank", (F.col("__p") + 1).cast("int")).drop("__p")
 
 
 _FEATURE_CTES = pipeline_ctes("fe")

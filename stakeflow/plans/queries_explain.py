@@ -1,8 +1,7 @@
 """Explanation and feature-diagnostics queries over a deterministic fixture model.
 
-Fixture model: user token vectors are ``embeddings`` rows ``200 + token_idx``,
-item token vectors rows ``300 + token_idx``; identity vectors are the fixture
-user / item vectors; biases 0.  This makes every explanation checkable in SQL.
+Fixture model: token vectors are ``embeddings`` rows ``(base + token_idx) %
+count``; identity vectors are the fixture user / item vectors; biases 0.  This makes every explanation checkable in SQL.
 """
 
 from __future__ import annotations
@@ -29,11 +28,12 @@ def fixture_model(t):
     def build():
         d = P.dataset(t)
         emb = t.embeddings.select("vec_id", _dbl("embedding").alias("embedding"))
-        u_fv = d.user_vocab.join(emb, F.col("vec_id") == F.col("token_idx") + USER_TOKEN_VEC_BASE).select(
+        n_vec = emb.agg(F.count("*")).scalar()
+        u_fv = d.user_vocab.join(emb, F.col("vec_id") == (F.col("token_idx") + USER_TOKEN_VEC_BASE) % n_vec).select(
             F.col("token").alias("feature"), "embedding", F.lit(0.0).alias("bias")).unionByName(
             t.fx_userv.select(F.concat(F.lit("id:"), "userId").alias("feature"), _dbl("embedding").alias("embedding"),
                               F.lit(0.0).alias("bias")))
-        i_fv = d.item_vocab.join(emb, F.col("vec_id") == F.col("token_idx") + ITEM_TOKEN_VEC_BASE).select(
+        i_fv = d.item_vocab.join(emb, F.col("vec_id") == (F.col("token_idx") + ITEM_TOKEN_VEC_BASE) % n_vec).select(
             F.col("token").alias("feature"), "embedding", F.lit(0.0).alias("bias")).unionByName(
             t.fx_itemv.select(F.concat(F.lit("id:"), "gameId").alias("feature"), _dbl("embedding").alias("embedding"),
                               F.lit(0.0).alias("bias")))
@@ -61,7 +61,7 @@ def train_contribs(t):
 
 def _side_sql(side, vocab, base, ident_src, key, idx, tok):
     return f"""{side}fv as (select v.token as feature, cast(e.embedding as double[]) as embedding, 0.0 as bias
-    from {vocab} v join embeddings e on e.vec_id = v.token_idx + {base}
+    from {vocab} v join embeddings e on e.vec_id = (v.token_idx + {base}) % (select count(*) from embeddings)
   union all select concat('id:', {key}), cast(embedding as double[]), 0.0 from {ident_src}),
 {side}ef as (select x.{key}, concat('id:', x.{key}) as feature, 1.0 / (len(coalesce(t.tokens, [])) + 1) as value,
     false as is_token from {idx} x left join {tok} t on t.{key} = x.{key}

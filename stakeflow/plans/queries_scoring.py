@@ -53,28 +53,40 @@ def test_user_metrics(t):
     return _memo(t, "test_user_metrics", lambda: MT.per_user_metrics(test_ranks(t), K))
 
 
-SCORE_CTES = DATASET_CTES + ",\n" + fixture_ctes("fx_userv", "fx_itemv") + """,
+_SCORED = DATASET_CTES + ",\n" + fixture_ctes("fx_userv", "fx_itemv") + """,
 sc as (select u.userId, i.gameId,
     round(list_inner_product(cast(uv.embedding as double[]), cast(iv.embedding as double[])) + 0.0 + 0.0, 6) as score
-  from uidx u join fx_userv uv on uv.userId = u.userId join iidx i on true join fx_itemv iv on iv.gameId = i.gameId),
-rk_test as (select userId, gameId, score, rank() over (partition by userId order by score desc) - 1 as higher,
-    count(*) over (partition by userId) as n_candidates
-  from sc s where not exists (select 1 from train_pairs t where t.userId = s.userId and t.gameId = s.gameId)),
+  from uidx u join fx_userv uv on uv.userId = u.userId join iidx i on true join fx_itemv iv on iv.gameId = i.gameId)"""
+
+_RANKED = """,
+cand_test as (select * from sc s where not exists
+  (select 1 from train_pairs t where t.userId = s.userId and t.gameId = s.gameId)),
+rk_test as ({ranked_test}),
 pos_test as (select r.* from rk_test r join test_pairs p on p.userId = r.userId and p.gameId = r.gameId),
-rk_all as (select userId, gameId, score, rank() over (partition by userId order by score desc) - 1 as higher,
-    count(*) over (partition by userId) as n_candidates from sc),
+rk_all as ({ranked_all}),
 pos_train as (select r.* from rk_all r join train_pairs p on p.userId = r.userId and p.gameId = r.gameId)"""
 
 
+def _ranked_sql(src: str) -> str:
+    """Place of each candidate, its average rank from below and its tie group's mean discount."""
+    return f"""select *, same - 1 as ties, n_candidates - rk - (same - 1) / 2.0 + 1 as avg_rank,
+  avg(case when rn <= {K} then 1.0 / log2(rn + 1) else 0.0 end) over (partition by userId, score) as discount
+from (select userId, gameId, score, row_number() over (partition by userId order by score desc, gameId) as rn,
+        rank() over (partition by userId order by score desc) as rk, count(*) over (partition by userId, score) as same,
+        count(*) over (partition by userId) as n_candidates from {src})"""
+
+
+SCORE_CTES = _SCORED + _RANKED.format(ranked_test=_ranked_sql("cand_test"), ranked_all=_ranked_sql("sc"))
+
+
 def _per_user_sql(src: str) -> str:
     return f"""select userId, n_test, hits, n_considered, hits / {float(K)} as precision_at_k, hits > 0 as hit,
   case when n_test = 0 or n_considered - n_test <= 0 then 0.5
-       else 1.0 - (sum_higher - n_test * (n_test - 1) / 2.0) / (n_test * (n_considered - n_test)) end as auc,
+       else (rank_sum - n_test * (n_test + 1) / 2.0) / (n_test * (n_considered - n_test)) end as auc,
   dcg / list_sum(list_transform(range(1, least(n_test, {K}) + 1), lambda r: 1.0 / log2(r + 1))) as ndcg_at_k,
   hits as tp, least({K}, n_considered) - hits as fp, n_test - hits as fn
-from (select userId, count(*) as n_test, count_if(higher < {K}) as hits, sum(higher) as sum_higher,
-        max(n_candidates) as n_considered,
-        sum(case when higher < {K} then 1.0 / log2(higher + 2) else 0.0 end) as dcg
+from (select userId, count(*) as n_test, count_if(rn <= {K}) as hits, sum(avg_rank) as rank_sum,
+        max(n_candidates) as n_considered, sum(discount) as dcg
       from {src} group by userId)"""
 
 
@@ -90,7 +102,7 @@ def q_pair_scores(t):
 
 
 @register("test_positive_ranks", "C11 C12 H11 (ranks)", f"""with {SCORE_CTES}
-select userId as rid, gameId, score, higher, n_candidates from pos_test""")
+select userId as rid, gameId, score, rk - 1 as higher, ties, rn - 1 as position, n_candidates from pos_test""")
 def q_test_ranks(t):
     return test_ranks(t)
 
@@ -208,42 +220,49 @@ def q_rejects(t):
     return recommendations(t)[1]
 
 
+def valid_requests(t):
+    return requests(t).where(F.col("top_k").between(1, 20))
+
+
 @register("serving_summary", "I1", f"""with {RECS_CTES},
-pr as (select user_id, top_k, exclude_played, first(source) as source, first(is_cold_start) as is_cold_start
-  from recs group by user_id, top_k, exclude_played)
-select source, count(*) as requests, count_if(is_cold_start) as cold_start_requests,
-  round(count_if(is_cold_start) / count(*), 6) as cold_start_ratio from pr group by source""")
+a as (select user_id, top_k, exclude_played, first(source) as source from recs group by user_id, top_k, exclude_played),
+pr as (select coalesce(a.source, case when u.userId is null then 'popularity_fallback' else 'model' end) as source
+  from valid v left join a on a.user_id = v.user_id and a.top_k = v.top_k and a.exclude_played = v.exclude_played
+  left join uidx u on u.userId = v.user_id)
+select source, count(*) as requests, count_if(source = 'popularity_fallback') as cold_start_requests,
+  round(count_if(source = 'popularity_fallback') / count(*), 6) as cold_start_ratio from pr group by source""")
 def q_serving(t):
+    d, users, _ = model(t)
     recs, _ = recommendations(t)
-    valid = requests(t).where(F.col("top_k").between(1, 20))
-    return rounded(MT.serving_summary(recs, valid))
+    valid = valid_requests(t)
+    cold = valid.select(F.col("user_id").alias("userId")).join(users.select("userId"), "userId", "left_anti")
+    return rounded(MT.serving_summary(recs, valid, cold))
 
 
 @register("items_returned_histogram", "I2", f"""with {RECS_CTES},
 n as (select v.user_id, v.top_k, v.exclude_played, coalesce(c.n_items, 0) as n_items
-  from (select distinct user_id, top_k, exclude_played from valid) v
-  left join (select user_id, top_k, exclude_played, count(*) as n_items from recs group by 1, 2, 3) c
+  from valid v left join (select user_id, top_k, exclude_played, count(*) as n_items from recs group by 1, 2, 3) c
   on c.user_id = v.user_id and c.top_k = v.top_k and c.exclude_played = v.exclude_played)
 select count_if(n_items <= 0) as le_0, count_if(n_items <= 1) as le_1, count_if(n_items <= 2) as le_2,
   count_if(n_items <= 3) as le_3, count_if(n_items <= 4) as le_4, count_if(n_items <= 5) as le_5,
   count_if(n_items <= 10) as le_10, count_if(n_items <= 20) as le_20, count(*) as le_inf,
-  cast(sum(n_items) as bigint) as sum_items from n""")
+  cast(sum(n_items) as bigint) as sum_items, quantile_cont(n_items, 0.5) as p50, quantile_cont(n_items, 0.95) as p95 from n""")
 def q_hist(t):
     recs, _ = recommendations(t)
-    valid = requests(t).where(F.col("top_k").between(1, 20))
-    return MT.items_returned_histogram(recs, valid)
+    return MT.items_returned_histogram(recs, valid_requests(t))
 
 
 @register("catalog_coverage", "H19", f"""with {RECS_CTES},
 rn as (select game_id as gameId, count(*) as times_recommended from recs group by 1),
-tn as (select gameId, count(*) as train_interactions from train_pairs group by 1)
-select i.gameId, coalesce(rn.times_recommended, 0) as times_recommended,
+tn as (select gameId, count(*) as train_interactions from train_pairs group by 1),
+c as (select i.gameId, coalesce(rn.times_recommended, 0) as times_recommended,
   coalesce(tn.train_interactions, 0) as train_interactions
-from ife i left join rn on rn.gameId = i.gameId left join tn on tn.gameId = i.gameId""")
+from ife i left join rn on rn.gameId = i.gameId left join tn on tn.gameId = i.gameId)
+select *, round((select count_if(times_recommended > 0) / count(*) from c), 6) as coverage from c""")
 def q_coverage(t):
     d = P.dataset(t)
     recs, _ = recommendations(t)
-    return MT.catalog_coverage(recs, d.ife, d.train_pairs)
+    return rounded(MT.catalog_coverage(recs, d.ife, d.train_pairs))
 
 
 @register("top5_all_users", "E10 C11 C12 (top-5 per active user, played items excluded)", f"""with {SCORE_CTES},

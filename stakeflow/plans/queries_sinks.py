@@ -48,7 +48,7 @@ raw_games as (select cast(p_partkey as varchar) as gameId, p_name as gameName, c
     case p_partkey % 9 when 0 then cast([] as STRUCT(name VARCHAR)[]) when 1 then cast(null as STRUCT(name VARCHAR)[])
          else [struct_pack(name := p_type)] end as category,
     p_brand as gamevendor, case when p_partkey % 10 = 0 then 'OFF' else 'ON' end as gameStatus
-  from part where p_partkey < 120),
+  from part),
 raw_players as (select cast(c_custkey + 1000000 as varchar) as playerId, c_name as username,
     cast(c_custkey as varchar) as contactNo, c_custkey % 5 <> 0 as activeStatus from customer)"""
 
@@ -80,7 +80,7 @@ def raw_bets(t):
 
 
 def raw_games(t):
-    p = t.part.where(F.col("p_partkey") < 120)
+    p = t.part
     cat = F.array(F.struct(F.col("p_type").alias("name")))
     return p.select(
         F.col("p_partkey").cast("string").alias("gameId"), F.col("p_name").alias("gameName"),

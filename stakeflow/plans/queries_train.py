@@ -88,16 +88,16 @@ def q_warp(t):
     from stakeflow.operators import warp as W
     d = P.dataset(t)
 
-    def evaluate(user_params, shared):
-        u_rep, i_rep = W.representations(user_params, shared, d.item_tokens, d.item_index)
+    def evaluate(params):
+        u_rep, i_rep = W.representations(params, d.user_tokens, d.user_index, d.item_tokens, d.item_index)
         blocks = S.item_blocks(i_rep, bias="bias")
         rows = u_rep.join(_lists(d.test_pairs, "pos"), "userId").join(_lists(d.train_pairs, "seen"), "userId", "left")
         m = MT.mean_metrics(MT.per_user_metrics(
             S.positive_ranks(rows, blocks, "userId", "pos", exclude="seen", bias="bias"), K)).first()
         return {"test_p5": m["precision_at_k"], "test_auc": m["auc"]}
 
-    _, _, hist = W.train_warp(d.train_pairs, d.user_tokens, d.item_tokens, d.user_index, d.item_index,
-                              epochs=DEFAULT.n_epochs, evaluate=evaluate)
+    _, hist = W.train_warp(d.train_pairs, d.user_tokens, d.item_tokens, d.user_index, d.item_index,
+                           epochs=DEFAULT.n_epochs, evaluate=evaluate)
     h = t.spark.createDataFrame([(r["epoch"], r["test_p5"], r["test_auc"]) for r in hist],
                                 "epoch int, test_p5 double, test_auc double")
     best = h.agg(F.max_by("epoch", F.struct("test_p5", -F.col("epoch")))).scalar()

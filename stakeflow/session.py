@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 
 from pyspark.sql import SparkSession
 
+from stakeflow.errors import ArtifactError
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
               app: str = "stakeflow") -> SparkSession:
@@ -37,21 +39,27 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only when unset."""
+    """The shared folder for checkpoints and written tables.
+
+    It is the session's ``spark.checkpoint.dir``; where that is unset, a folder
+    below ``spark.sql.warehouse.dir`` in local sessions (tests).  On any other
+    master it has to be set: executors cannot see a folder of the driver's machine.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        # Only reached in local tests: no shared folder was configured.
-        conf_dir = tempfile.mkdtemp(prefix="stakeflow-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ArtifactError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder
 
 
 def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
+    """Reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
 

@@ -16,10 +16,15 @@ BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "li
 
 # name -> (sql text, dependencies).  ``{x}`` marks a table or another view.
 FIXTURE_SQL: dict[str, tuple[str, list[str]]] = {
+    # gid: the played game, over a tenth more ids than parts (the rest stay unmatched), low ids more often
     "fx_ev": ("""
-select event_id, ts, user_id, event_type, value,
-       cast(regexp_extract(props, '([0-9]+)', 1) as int) as k
-from {events}""", ["events"]),
+select event_id, ts, user_id, event_type, value, k,
+       cast(floor(n_ids * (h * h) / 1000006000009.0) as bigint) as gid
+from (select e.event_id, e.ts, e.user_id, e.event_type, e.value,
+             cast(regexp_extract(e.props, '([0-9]+)', 1) as int) as k,
+             cast((e.event_id * 7368787 + e.user_id) % 1000003 as double) as h, cast(p.n_ids as double) as n_ids
+      from {events} e join (select count(*) + floor(count(*) / 10) as n_ids from {part}) p on true) x""",
+              ["events", "part"]),
     "fx_games": ("""
 select cast(p_partkey as string) as gameId,
        concat(p_name, ' ', cast(p_partkey as string)) as gameName,
@@ -31,20 +36,20 @@ select cast(p_partkey as string) as gameId,
          when 3 then 'OnlyPlay' when 4 then 'hub88' when 5 then 'Peter & Sons'
          when 6 then 'aaaaaaaaaaaaaaaaaaaaaaaa' else p_brand end as gamevendor,
        p_size as minBet, p_retailprice as maxBet
-from {part} where p_partkey < 90""", ["part"]),
+from {part}""", ["part"]),
     "fx_players": ("""
 select cast(c_custkey as string) as userId, cast(c_custkey + 1000000 as string) as playerId,
        c_mktsegment as archetype, c_nationkey as country
 from {customer}""", ["customer"]),
     "fx_bets": ("""
-select event_id as txnId, cast(user_id as string) as userId, cast(k as string) as gameId_raw,
+select event_id as txnId, cast(user_id as string) as userId, cast(gid as string) as gameId_raw,
        value as betAmount,
        case event_type when 'purchase' then 'WIN'
          when 'error' then case when event_id % 2 = 0 then 'LOSS' else 'lose' end
          else 'DRAW' end as result, ts
 from {fx_ev} where event_type in ('click', 'purchase', 'error')""", ["fx_ev"]),
     "fx_sessions": ("""
-select event_id as sessId, cast(user_id as string) as userId, cast(k % 10 as string) as gameGroup,
+select event_id as sessId, cast(user_id as string) as userId, cast(gid % 10 as string) as gameGroup,
        ts as created_at, ts + cast(floor(value) as int) * interval '1' second as updated_at,
        case event_id % 4 when 0 then 'livecasino' when 1 then 'Home' when 2 then 'sports book'
          else 'promo page' end as source
@@ -58,12 +63,15 @@ select event_id as actId,
        case k % 6 when 0 then 'Android' when 1 then 'Windows' when 2 then 'tablet' when 3 then 'iOS'
          when 4 then 'xyz' else null end as device_type
 from {fx_ev} where event_type = 'signup'""", ["fx_ev"]),
+    # every player and every game has a vector: its id modulo the number of vectors
     "fx_userv": ("""
-select cast(vec_id as string) as userId, embedding from {embeddings} where vec_id < 1500""",
-                 ["embeddings"]),
+select cast(p.c_custkey as string) as userId, v.embedding
+from {customer} p join (select count(*) as n from {embeddings}) c on true
+join {embeddings} v on v.vec_id = p.c_custkey % c.n""", ["customer", "embeddings"]),
     "fx_itemv": ("""
-select cast(vec_id - 400 as string) as gameId, embedding
-from {embeddings} where vec_id between 400 and 499""", ["embeddings"]),
+select cast(g.p_partkey as string) as gameId, v.embedding
+from {part} g join (select count(*) as n from {embeddings}) c on true
+join {embeddings} v on v.vec_id = (g.p_partkey * 7 + 3) % c.n""", ["part", "embeddings"]),
 }
 
 

@@ -107,8 +107,8 @@ def test_multi_block_scoring_equals_single_block(spark):
          for i in range(12)], "userId string, embedding array<double>, seen array<string>, pos array<string>")
     items = spark.createDataFrame([(f"i{j}", I[j].tolist()) for j in range(40)], "gameId string, embedding array<double>")
     one = S.item_blocks(items)
-    many = S.item_blocks(items, settings=Settings(broadcast_row_limit=7))
-    assert len(one) == 1 and len(many) > 1
+    many = S.item_blocks(items, settings=Settings(item_block_bytes=7 * 6 * 8))
+    assert one.n_blocks == 1 and many.n_blocks == 6
     key = ["rid", "gameId"]
     a = S.positive_ranks(users, one, "userId", "pos", exclude="seen").toPandas().sort_values(key).reset_index(drop=True)
     b = S.positive_ranks(users, many, "userId", "pos", exclude="seen").toPandas().sort_values(key).reset_index(drop=True)

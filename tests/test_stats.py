@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from stakeflow.operators import stats as ST
 
@@ -64,14 +65,25 @@ def test_prefix_share(spark):
     assert np.allclose(got["cum_users"], np.arange(1, 6) / 5)
 
 
-def test_small_and_distributed_paths_agree(spark):
+def test_half_of_all_rows_share_a_value(spark):
     rnd = random.Random(9)
-    vals = [rnd.random() for _ in range(501)]
-    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
-    a = ST.quantiles(df, "x", [0.33, 0.66, 0.95], small_rows=10**9)
-    b = ST.quantiles(df, "x", [0.33, 0.66, 0.95], small_rows=0)
-    assert a == b
-    keys = spark.createDataFrame([(str(i % 61),) for i in range(400)], "k string")
-    ia = {r.k: r.idx for r in ST.dense_index(keys, "k", small_rows=10**9).collect()}
-    ib = {r.k: r.idx for r in ST.dense_index(keys, "k", small_rows=0).collect()}
-    assert ia == ib and sorted(ia.values()) == list(range(61))
+    vals = [0.0] * 600 + [rnd.random() for _ in range(601)]
+    rnd.shuffle(vals)
+    df = spark.createDataFrame([(f"r{i:04d}", v, "ab"[i % 7 == 0]) for i, v in enumerate(vals)], "id string, x double, g string").repartition(5)
+    probs = [0.0, 0.33, 0.5, 0.66, 0.95, 1.0]
+    assert np.allclose(ST.quantiles(df, "x", probs), np.quantile(vals, probs))
+    got = {r["g"]: (r["q50"], r["q95"]) for r in ST.grouped_quantiles(df, ["g"], "x", [0.5, 0.95]).collect()}
+    for g in "ab":
+        assert np.allclose(got[g], np.quantile([v for i, v in enumerate(vals) if "ab"[i % 7 == 0] == g], [0.5, 0.95]))
+    ranks = {r["id"]: r["rk"] for r in ST.average_ranks(df, "id", "x", "rk").collect()}
+    want = pd.Series(vals).rank()
+    assert all(ranks[f"r{i:04d}"] == want[i] for i in range(len(vals)))
+    # the shared value is one counted row: no range partition holds more than its share of the distinct values
+    parts = ST.value_counts(df, "x").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == len(set(vals))
+
+
+def test_dense_index(spark):
+    keys = spark.createDataFrame([(str(i % 61),) for i in range(400)], "k string").repartition(4)
+    idx = {r.k: r.idx for r in ST.dense_index(keys, "k").collect()}
+    assert [k for k, _ in sorted(idx.items(), key=lambda x: x[1])] == sorted(idx) and sorted(idx.values()) == list(range(61))
