@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from stakeflow.llm.tables import read
 
 #: Fragments and words that a worker remembers before it starts anew.
-REMEMBERED = 100_000
+REMEMBERED = 50_000
 #: Bytes of text that become one output batch.
 BATCH_BYTES = 4 << 20
 
@@ -95,8 +95,6 @@ class BpeVocabulary:
         self.pieces = _Memo(self._encode_piece)
         self.words = _Memo(self._encode_word)
         self.chunks = _Memo(self._encode_chunk)
-        tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
-        self.tokens = pa.array([tokens.get(i) for i in range(max(tokens) + 1)])
 
     def cuts(self, word: bytes) -> list[bytes]:
         """``word`` cut at its forced boundaries."""
@@ -174,6 +172,15 @@ def vocabulary(path: str) -> BpeVocabulary:
     return BpeVocabulary(path)
 
 
+@functools.lru_cache(maxsize=4)
+def token_texts(path: str) -> pa.Array:
+    """The text of each token, by id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return pa.array([tokens.get(i) for i in range(max(tokens) + 1)])
+
+
 def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, ids array<int>`` and the columns to carry, per input row."""
@@ -203,7 +210,7 @@ def bpe_decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """The rows with ``decoded``: the tokens' texts joined by a space (the file names no decoder)."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(tokenizer_path)
+        texts = token_texts(tokenizer_path)
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
@@ -212,7 +219,7 @@ def bpe_decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
                 flat = ids.flatten()
                 off = np.zeros(len(ids) + 1, np.int32)
                 np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False), out=off[1:])
-                tokens = pa.ListArray.from_arrays(pa.array(off), vocab.tokens.take(flat))
+                tokens = pa.ListArray.from_arrays(pa.array(off), texts.take(flat))
                 yield part.append_column("decoded", pc.binary_join(tokens, " "))
 
     return encoded.mapInArrow(decode, T.StructType([*encoded.schema, T.StructField("decoded", T.StringType())]))

@@ -51,7 +51,7 @@ from stakeflow.llm.graph import components
 from stakeflow.llm.tables import materialise, read
 
 #: Rows that one task of the frequency round sorts in memory.
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 500_000
 #: Documents sampled to find very common shingles, and in how many of them one has to be.
 SAMPLED_DOCS = 16_384
 COMMON_IN_SAMPLE = 32

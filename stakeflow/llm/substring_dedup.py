@@ -46,7 +46,7 @@ from stakeflow.llm.tables import materialise, read
 SAMPLED_DOCS = 16_384
 COMMON_IN_SAMPLE = 32
 #: Piece rows that one task sorts in memory.
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 500_000
 #: Words of references that one shard's automaton holds at once (single anchors may exceed it).
 SHARD_WORDS = 50_000
 

@@ -9,7 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from stakeflow.session import ensure_checkpoint_dir
 
 
+#: Bytes of one Arrow batch on its way to Python, where the session does not say: texts are long, and
+#: the usual bound of 10,000 rows would be tens of megabytes in every worker.
+ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BATCH_BYTES = 4 << 20
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    if spark.conf.get(ARROW_BATCH, None) is None:
+        spark.conf.set(ARROW_BATCH, str(ARROW_BATCH_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    _bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
@@ -20,6 +32,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     (smaller than an RDD checkpoint) and cut the lineage.
     """
     spark = df.sparkSession
+    _bound_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Word separators: space and \x09-\x0D.
 SEPARATORS = b" \t\n\x0b\x0c\r"
 
