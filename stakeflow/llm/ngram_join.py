@@ -58,7 +58,7 @@ COMMON_IN_SAMPLE = 32
 COMMON = 1 << 30
 #: Pairs of a list that are left for verification, as a share of its length, against one enumerated subset: most are tied
 #: by the central sets and never made (measured: 0.00003 to 0.001).
-OPEN_SHARE = 0.01
+OPEN_SHARE = 0.001
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> Iterator[np.ndarray]:
