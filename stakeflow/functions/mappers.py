@@ -191,10 +191,6 @@ def win_flag(c) -> Column:
 # ---------------------------------------------------------------------------
 # B3 / B4 / B11 / B20 / B21  parsing and derived columns
 # ---------------------------------------------------------------------------
-def lenient_double(c) -> Column:
-    return F.expr(f"try_cast({c} as double)") if isinstance(c, str) else c.try_cast("double")
-
-
 def epoch_micros(ts) -> Column:
     """Microseconds since 1970-01-01 for TIMESTAMP_NTZ (or UTC TIMESTAMP) input."""
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
@@ -297,17 +293,6 @@ def implicit_score(n, engagement, p95, win_rate, recency_days) -> Column:
     return round_to(0.40 * freq + 0.25 * eng + 0.15 * quality + 0.20 * recency_weight(recency_days), 4)
 
 
-def implicit_score_simple(freq_n, total_bet, minutes, recency_days) -> Column:
-    """B29 variant: 0.35 freq + 0.25 bet + 0.20 minutes + 0.20 recency."""
-    return round_to(
-        0.35 * F.least(_c(freq_n) / 20.0, F.lit(1.0))
-        + 0.25 * F.least(_c(total_bet) / 500000.0, F.lit(1.0))
-        + 0.20 * F.least(_c(minutes) / 60.0, F.lit(1.0))
-        + 0.20 * recency_weight(recency_days),
-        4,
-    )
-
-
 # ---------------------------------------------------------------------------
 # B32 / B33 / B36  tokens
 # ---------------------------------------------------------------------------

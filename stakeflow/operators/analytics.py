@@ -130,17 +130,19 @@ def rfm(plays: DataFrame, segments: DataFrame | None = None, ref=None) -> DataFr
     return r.join(segments, "userId", "left") if segments is not None else r
 
 
-def cohort_matrix(plays: DataFrame, weeks: int = 5) -> DataFrame:
-    """Users by first-activity week (rows) x weeks since (columns w0..wN),
-    distinct users, 0 fill.  Weeks start on Monday."""
-    wk = F.to_date(F.date_trunc("week", F.col("timestamp")))
-    p = plays.select("userId", wk.alias("activity_week"))
-    first = p.groupBy("userId").agg(F.min("activity_week").alias("cohort_week"))
-    j = p.join(first, "userId").withColumn(
-        "week_offset", (F.datediff("activity_week", "cohort_week") / 7).cast("int"))
-    piv = j.groupBy("cohort_week").pivot("week_offset", list(range(weeks + 1))).agg(F.count_distinct("userId"))
-    piv = piv.select("cohort_week", *[F.coalesce(F.col(str(i)), F.lit(0)).alias(f"w{i}") for i in range(weeks + 1)])
-    return piv
+def week_of(ts) -> F.Column:
+    """Monday of the week of a time."""
+    return F.to_date(F.date_trunc("week", ts))
+
+
+def cohort_matrix(plays: DataFrame, joined: DataFrame) -> DataFrame:
+    """D27 in long form: distinct users by join week and activity week, every activity week of
+    every cohort (``cohort_week, activity_week, n_users``; absent pairs are 0).
+
+    ``joined`` (userId, joined_at) gives the join time; one partial row per user and week moves."""
+    active = plays.select("userId", week_of(F.col("timestamp")).alias("activity_week")).distinct()
+    cohort = joined.groupBy("userId").agg(week_of(F.min("joined_at")).alias("cohort_week"))
+    return active.join(cohort, "userId").groupBy("cohort_week", "activity_week").agg(F.count("*").alias("n_users"))
 
 
 def segment_pivot(plays: DataFrame, segment: str, col: str, values: list, prefix: str) -> DataFrame:
@@ -199,6 +201,30 @@ def equal_width_histogram(values: DataFrame, col: str, bins: int = 10) -> DataFr
                       (lo + (F.col("bin") + 1) * width / bins).alias("bin_end"), "n")
 
 
+def histograms(measures: dict[str, DataFrame], bins: int = 10) -> DataFrame:
+    """Equal-width histograms of each measure (one-column tables) and of its log1p form."""
+    parts = []
+    for name, df in measures.items():
+        x = df.select(F.col(df.columns[0]).cast("double").alias("x"))
+        for form, col in (("raw", F.col("x")), ("log1p", F.log1p("x"))):
+            h = equal_width_histogram(x.select(col.alias("x")), "x", bins)
+            parts.append(h.select(F.lit(name).alias("measure"), F.lit(form).alias("form"), "*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def raw_cut(df: DataFrame, value: str, labels: list[str], out: str) -> DataFrame:
+    """E6 on raw values: edges at the equal-count quantiles of the values, bins closed on the right
+    (the smallest value falls into the first)."""
+    edges = ST.quantiles(df, value, [i / len(labels) for i in range(1, len(labels))])
+    c = F.lit(labels[-1])
+    for edge, label in reversed(list(zip(edges, labels))):
+        c = F.when(F.col(value) <= edge, F.lit(label)).otherwise(c)
+    return df.withColumn(out, F.when(F.col(value).isNotNull(), c))
+
+
 def describe(df: DataFrame, col: str, digits: int = 3) -> DataFrame:
     """Count / mean / std (sample) / min / quartiles / max, rounded."""
     qs = ST.quantiles(df, col, [0.25, 0.5, 0.75])
@@ -266,17 +292,18 @@ def group_stats(df: DataFrame, key: str, user: str, ts: str) -> DataFrame:
 def spearman_matrix(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
     """D36 + E7: Spearman correlation of every column pair (average ranks, then
     Pearson), after dropping columns with at most one distinct value.
-    Long form (col_a, col_b, rho) over the upper triangle incl. the diagonal."""
+    Long form (col_a, col_b, rho) over the upper triangle incl. the diagonal.
+
+    All columns are unpivoted and ranked in one pass over (column, value)."""
     nd = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
     keep = [c for c in columns if nd[c] > 1]
-    ranked = df.select(id_col)
-    for i, c in enumerate(keep):
-        ranked = ranked.join(ST.average_ranks(df, id_col, c, f"__r{i}"), id_col, "left")
-    aggs = []
-    for i, a in enumerate(keep):
-        for j, b in enumerate(keep):
-            if j >= i:
-                aggs.append(F.corr(f"__r{i}", f"__r{j}").alias(f"{a}|{b}"))
+    if not keep:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, rho double")
+    long = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in keep]).unpivot(
+        [id_col], keep, "column", "__v").where(F.col("__v").isNotNull())
+    ranks = ST.grouped_average_ranks(long, ["column"], "__v", "__r")
+    ranked = long.join(ranks, ["column", "__v"]).groupBy(id_col).pivot("column", keep).agg(F.first("__r"))
+    aggs = [F.corr(a, b).alias(f"{a}|{b}") for i, a in enumerate(keep) for b in keep[i:]]
     row = ranked.agg(*aggs)
     return row.unpivot([], row.columns, "pair", "rho").select(
         F.split("pair", r"\|").getItem(0).alias("col_a"), F.split("pair", r"\|").getItem(1).alias("col_b"), "rho")

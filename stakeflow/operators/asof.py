@@ -10,9 +10,12 @@ Design (no pair explosion, hot keys split by time):
   ``(key, bucket)`` and ordered by ``(time, side, tie)``, carries the latest
   right row forward with ``last(..., ignorenulls)``.  That is one shuffle and an
   O(n log n) sort; no left x right pairs are ever produced.
-* A key holding a third of all rows is spread over its time buckets; raise
-  ``sub_buckets`` to cut the per-task share further (copies grow as
-  ``1 + sub_buckets`` on the right side only).
+* A key holding a third of all rows is spread over its time buckets, four per
+  tolerance unless ``sub_buckets`` says otherwise; more of them cut the
+  per-task share further (copies grow as ``1 + sub_buckets`` on the right side
+  only).
+* Left rows with a NULL key or time cannot match; they go around the window and
+  are united with its result, so they never meet in one task.
 * The matched right row is carried as a struct, so a match whose payload is
   NULL still counts as the match (it is not skipped for an older row).
 """
@@ -34,7 +37,7 @@ def asof_join(
     payload: dict[str, str],
     tolerance_seconds: float,
     right_tie: str | None = None,
-    sub_buckets: int = 1,
+    sub_buckets: int = 4,
     matched_time_as: str | None = None,
 ) -> DataFrame:
     """For every left row, the latest right row with the same keys and
@@ -79,7 +82,11 @@ def asof_join(
         .withColumn("__side", F.lit(0))
     )
 
-    l2 = l.select(*lkeys, "__b", "__t", "__side", F.lit(None).cast(r.schema["__tie"].dataType).alias("__tie"),
+    can_match = F.col("__t").isNotNull()
+    for k in lkeys:
+        can_match = can_match & F.col(k).isNotNull()
+    apart = l.where(~can_match)
+    l2 = l.where(can_match).select(*lkeys, "__b", "__t", "__side", F.lit(None).cast(r.schema["__tie"].dataType).alias("__tie"),
                   F.lit(None).cast(r.schema["__m"].dataType).alias("__m"), "__left")
     r2 = r.select(*lkeys, "__b", "__t", "__side", "__tie", "__m",
                   F.lit(None).cast(l.schema["__left"].dataType).alias("__left"))
@@ -90,13 +97,15 @@ def asof_join(
     )
     u = l2.unionByName(r2).withColumn("__hit", F.last("__m", ignorenulls=True).over(w))
     u = u.where(F.col("__side") == 1)
-    ok = F.col("__hit").isNotNull() & (F.col("__hit.t") >= F.col("__t") - F.lit(tol_us)) \
-        & F.col("__t").isNotNull()
+    ok = F.col("__hit").isNotNull() & (F.col("__hit.t") >= F.col("__t") - F.lit(tol_us))
     outs = [F.col(f"__left.{c}").alias(c) for c in left_cols]
     outs += [F.when(ok, F.col(f"__hit.{dst}")).alias(dst) for dst in payload.values()]
     if matched_time_as:
         outs.append(F.when(ok, F.col("__hit.t")).alias(matched_time_as))
-    return u.select(*outs)
+    nothing = u.select(*outs).schema
+    alone = [F.col(f"__left.{c}").alias(c) for c in left_cols]
+    alone += [F.lit(None).cast(nothing[c].dataType).alias(c) for c in [*payload.values(), *([matched_time_as] if matched_time_as else [])]]
+    return u.select(*outs).union(apart.select(*alone))
 
 
 def next_event_gap(

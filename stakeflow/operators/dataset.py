@@ -186,7 +186,7 @@ def build_dataset(events: DataFrame, settings: Settings = DEFAULT, check: bool =
     """The whole training dataset (lazy except the fallback checks, the
     quantile cut of the implicit score and the dictionary numbering)."""
     if check and events.isEmpty():
-        raise DataValidationError("Cannot build the dataset from an empty events dataframe.")
+        raise DataValidationError("no events to build a dataset from")
     hold = holdout_pairs(events, check)
     train_ev, test_ev = split_events(events, hold, check)
     train = build_feature_tables(train_ev, settings)

@@ -47,7 +47,7 @@ def lookup_dimension(
     if check_inflation:
         before, after = fact.count(), out.count()
         if before != after:
-            raise DataValidationError(f"Merge inflated rows: {before} -> {after}")
+            raise DataValidationError(f"the lookup changed the number of rows from {before} to {after}")
     return out
 
 
@@ -80,7 +80,7 @@ def enrich_sessions(
     tolerance_minutes: float | None = None,
     settings: Settings = DEFAULT,
     session_tie: str | None = None,
-    sub_buckets: int = 1,
+    sub_buckets: int = 4,
 ) -> DataFrame:
     """C2 + C3: ``session_duration_sec`` and ``entryPoint_raw`` from the latest
     session (by ``updated_at``) of the same user and game, at most the tolerance
@@ -125,7 +125,7 @@ def enrich_device(
     tolerance_hours: float | None = None,
     settings: Settings = DEFAULT,
     activity_tie: str | None = None,
-    sub_buckets: int = 1,
+    sub_buckets: int = 4,
     id_col: str | None = None,
 ) -> DataFrame:
     """C4 + C5: ``deviceType_raw`` by a cascade of backward as-of joins.

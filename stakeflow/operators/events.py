@@ -62,7 +62,7 @@ def align_to_schema(
       sessionId) is at most 10 minutes later.
     """
     if check and tx.isEmpty():
-        raise DataValidationError("Cannot align empty transactions dataframe to schema.")
+        raise DataValidationError("no transactions to build events from")
     cols = tx.columns
     ts = F.col("timestamp") if dict(tx.dtypes)["timestamp"].startswith("timestamp") \
         else F.col("timestamp").cast("string").try_cast("timestamp_ntz")
@@ -130,3 +130,10 @@ def enum_violations(events: DataFrame) -> DataFrame:
 def missing_columns(df: DataFrame, expected=EVENT_COLUMNS) -> list[str]:
     """Expected schema columns absent from ``df`` (driver-side schema check)."""
     return [c for c in expected if c not in df.columns]
+
+
+def schema_coverage(df: DataFrame, expected=EVENT_COLUMNS) -> DataFrame:
+    """G6 over the rows: for every expected column whether the table has it and how many rows fill it."""
+    filled = df.agg(*[(F.count(c) if c in df.columns else F.lit(0).cast("bigint")).alias(c) for c in expected])
+    present = F.col("column").isin([c for c in expected if c in df.columns])
+    return filled.unpivot([], list(expected), "column", "rows_filled").select("column", present.alias("present"), "rows_filled")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stakeflow.config import DEFAULT, Settings
+from stakeflow.errors import DataValidationError
 from stakeflow.functions import mappers as M
 
 SAMPLE_HEX_CUT = "b333"  # fixed value: 0xb333 / 0x10000 = 0.7 keep share
@@ -57,6 +57,17 @@ def representations(ef: DataFrame, fv: DataFrame, key: str) -> DataFrame:
     return rep.join(b, key)
 
 
+def require_known(pairs: DataFrame, u_ef: DataFrame, i_ef: DataFrame) -> DataFrame:
+    """The pairs as they are, or an error that names how many have an unknown user or item."""
+    u = u_ef.select("userId", F.lit(True).alias("__u")).distinct()
+    i = i_ef.select("gameId", F.lit(True).alias("__i")).distinct()
+    bad = (pairs.select("userId", "gameId").join(u, "userId", "left").join(i, "gameId", "left")
+           .agg(F.count_if(F.col("__u").isNull()), F.count_if(F.col("__i").isNull())).first())
+    if any(bad):
+        raise DataValidationError(f"cannot explain: {bad[0]} pairs have an unknown user, {bad[1]} an unknown item")
+    return pairs
+
+
 def contributions(pairs: DataFrame, u_ef: DataFrame, i_ef: DataFrame, u_fv: DataFrame, i_fv: DataFrame,
                   u_rep: DataFrame, i_rep: DataFrame, weight: str | None = None) -> DataFrame:
     """H24 core: one row per (userId, gameId, side, feature) side token with
@@ -202,19 +213,13 @@ def permute_feature(ef: DataFrame, index: DataFrame, key: str, feature: str, see
     return ef.where(F.col("feature") != feature).unionByName(new_rows)
 
 
-# fixed values: token groups of the feature-group ablation variants
-FEATURE_GROUPS = {
-    "drop_user_context": ["preferred_time_of_day:", "preferred_day_of_week:"],
-    "drop_user_behavior": ["preferred_device:", "preferred_entry_point:"],
-    "drop_item_metadata": ["game_type:", "provider:"],
-    "drop_item_popularity": ["popularity_bucket:"],
-}
-
-
-def drop_groups(ef: DataFrame, prefixes: list[str]) -> DataFrame:
-    """Remove every token of the given groups (by prefix)."""
-    cond = None
-    for p in prefixes:
-        c = F.col("feature").startswith(p)
-        cond = c if cond is None else cond | c
-    return ef.where(~cond) if cond is not None else ef
+# fixed values: token groups that each variant of the feature-group ablation keeps
+USER_GROUPS = ["device", "country", "preferred_game_type", "engagement_bucket", "recency_bucket", "diversity_bucket"]
+ITEM_GROUPS = ["gameType", "vendor", "top_pop_flags", "bet_tier", "popularity_bucket"]
+ABLATION_VARIANTS = [
+    ("full", USER_GROUPS, ITEM_GROUPS),
+    ("drop_user_context", ["engagement_bucket", "recency_bucket", "diversity_bucket"], ITEM_GROUPS),
+    ("drop_user_behavior", ["device", "country", "preferred_game_type"], ITEM_GROUPS),
+    ("drop_item_metadata", USER_GROUPS, ["top_pop_flags", "bet_tier", "popularity_bucket"]),
+    ("drop_item_popularity", USER_GROUPS, ["gameType", "vendor"]),
+]

@@ -135,7 +135,7 @@ class FeatureTables:
 def build_feature_tables(events: DataFrame, settings: Settings = DEFAULT, check: bool = False) -> FeatureTables:
     """All four feature tables from one events table (lazy except the p95 cut)."""
     if check and events.isEmpty():
-        raise DataValidationError("Cannot build feature tables from an empty events dataframe.")
+        raise DataValidationError("no events to build features from")
     fe = with_flags(events)
     max_ts = max_time(fe)
     return FeatureTables(

@@ -47,7 +47,8 @@ def item_blocks(items: DataFrame, key: str = "gameId", vec: str = "embedding", b
     """The catalog as a table of blocks of at most ``item_block_bytes`` of vectors each."""
     base = items.select(F.col(key).cast("string").alias("gameId"), F.col(vec).cast("array<double>").alias("v"),
                         (F.col(bias) if bias else F.lit(0.0)).cast("double").alias("b")).where(F.col("v").isNotNull())
-    index = cut_lineage(dense_index(base, "gameId"))
+    base = cut_lineage(base)  # read three times
+    index = dense_index(base, "gameId")
     n, dim = base.agg(F.count("*"), F.max(F.size("v"))).first()
     size = max(1, settings.item_block_bytes // (8 * max(dim or 1, 1)))
     block = F.floor(F.col("idx") / F.lit(size)).cast("int")
@@ -188,14 +189,16 @@ def positive_ranks(rows: DataFrame, blocks: ItemBlocks, rid: str, positives: str
     A positive without a vector, or of a row without one, is a miss: its score
     is NULL and it stands after all candidates, level with the row's other
     misses; ``n_candidates`` counts it too."""
-    base = rows.select(F.col(rid).cast("string").alias("rid"), F.col(vec).cast("array<double>").alias("v"),
-                       (F.col(bias) if bias else F.lit(0.0)).cast("double").alias("b"))
-    wanted = cut_lineage(rows.select(F.col(rid).cast("string").alias("rid"), F.explode(F.array_distinct(positives)).alias("gameId"))
-                         .join(blocks.index, "gameId", "left"))
+    # read several times, and often the end of a long plan
+    rows = cut_lineage(rows.select(F.col(rid).cast("string").alias("rid"), F.col(vec).cast("array<double>").alias("v"),
+                                   (F.col(bias) if bias else F.lit(0.0)).cast("double").alias("b"),
+                                   F.col(positives).alias("positives"), *([F.col(exclude).alias("exclude")] if exclude else [])))
+    base = rows.select("rid", "v", "b")
+    wanted = rows.select("rid", F.explode(F.array_distinct("positives")).alias("gameId")).join(blocks.index, "gameId", "left")
     empty = F.array().cast("array<bigint>")
     pos = wanted.where("idx is not null").groupBy("rid").agg(F.sort_array(F.collect_list("idx")).alias("pos"))
     if exclude:
-        excl = _indexes(rows, blocks, rid, exclude, "excl")
+        excl = _indexes(rows, blocks, "rid", "exclude", "excl")
         base = base.join(excl, "rid", "left").withColumn("excl", F.coalesce("excl", empty))
     else:
         base = base.withColumn("excl", empty)

@@ -103,14 +103,23 @@ def dense_index(df: DataFrame, key: str, index_name: str = "idx") -> DataFrame:
     return positions(keys, [key], index_name).select(key, index_name)
 
 
-def average_ranks(df: DataFrame, id_col: str, value: str, out: str) -> DataFrame:
-    """1-based rank of ``value`` with ties averaged, per ``id_col`` row (NULL values are left out).
+def grouped_average_ranks(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """(keys, value, out): 1-based rank within the group of each distinct value, ties averaged.
+
+    A written table of distinct values, so that joining it to rows splits a hot value on the rows' side."""
+    counts = cut_lineage(value_counts(df, value, list(keys)))
+    begin = F.col("cum___c") - F.col("__c")
+    rank = begin + (F.col("__c") + 1) / 2.0
+    if keys:
+        start = counts.groupBy(*keys).agg(F.min(begin).alias("__start"))
+        counts, rank = counts.join(start, list(keys)), rank - F.col("__start")
+    return cut_lineage(counts.select(*keys, F.col("__v").alias(value), rank.alias(out)))
+
 
-    The ranks are a written table of distinct values, so a hot value splits on the rows' side."""
-    base = df.select(id_col, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    ranks = cut_lineage(value_counts(base, "__v").select(
-        "__v", (F.col("cum___c") - F.col("__c") + (F.col("__c") + 1) / 2.0).alias(out)))
-    return base.join(ranks, "__v").select(id_col, out)
+def average_ranks(df: DataFrame, id_col: str, value: str, out: str) -> DataFrame:
+    """1-based rank of ``value`` with ties averaged, per ``id_col`` row (NULL values are left out)."""
+    base = df.select(id_col, F.col(value).cast("double").alias("__x")).where(F.col("__x").isNotNull())
+    return base.join(grouped_average_ranks(base, [], "__x", out), "__x").select(id_col, out)
 
 
 def prefix_share(df: DataFrame, id_col: str, value: str) -> DataFrame:

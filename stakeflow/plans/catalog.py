@@ -9,6 +9,7 @@ sides so summation order cannot change the value hash.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from importlib import import_module
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,7 +85,7 @@ def unify_round6(sql: str) -> str:
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TABLES:
         _TABLES[key] = Tables(spark, sf_dir)
     return _TABLES[key]
@@ -107,13 +108,7 @@ def rounded(df: DataFrame, digits: int = 6, exclude=()) -> DataFrame:
 
 
 def load_all() -> dict[str, Query]:
-    # importing the query modules fills the registry
-    from stakeflow.plans import queries_core  # noqa: F401
-    for mod in ("queries_dataset", "queries_scoring", "queries_analytics", "queries_train",
-                "queries_explain", "queries_sinks", "queries_more"):
-        try:
-            __import__(f"stakeflow.plans.{mod}")
-        except ModuleNotFoundError as exc:
-            if exc.name != f"stakeflow.plans.{mod}":
-                raise
+    """Import the query modules, which fill the registry."""
+    for mod in ("core", "dataset", "scoring", "analytics", "train", "explain", "sinks", "more"):
+        import_module(f"stakeflow.plans.queries_{mod}")
     return REGISTRY

@@ -174,15 +174,62 @@ def q_rfm(t):
     return rounded(A.rfm(plays(t), seg))
 
 
+def joined(t):
+    """Join time of each user: the first sign-up, else the first event of any kind."""
+    first = t.fx_ev.groupBy(F.col("user_id").cast("string").alias("userId")).agg(
+        F.min(F.when(F.col("event_type") == "signup", F.col("ts"))).alias("s"), F.min("ts").alias("f"))
+    return first.select("userId", F.coalesce("s", "f").alias("joined_at"))
+
+
 @register("cohort_matrix", "D27", f"""with {PLAYS_CTES},
-p as (select userId, cast(date_trunc('week', timestamp) as date) as activity_week from plays),
-f as (select userId, min(activity_week) as cohort_week from p group by userId),
-j as (select p.userId, f.cohort_week, date_diff('day', f.cohort_week, p.activity_week) // 7 as week_offset
-  from p join f on f.userId = p.userId)
-select cohort_week, {', '.join(f"count(distinct case when week_offset = {i} then userId end) as w{i}" for i in range(6))}
-from j group by cohort_week""")
+jn as (select cast(user_id as varchar) as userId, coalesce(min(case when event_type = 'signup' then ts end), min(ts)) as joined_at
+  from fx_ev group by 1)
+select cast(date_trunc('week', jn.joined_at) as date) as cohort_week, cast(date_trunc('week', p.timestamp) as date) as activity_week,
+  count(distinct p.userId) as n_users from plays p join jn on jn.userId = p.userId group by 1, 2""")
 def q_cohort(t):
-    return A.cohort_matrix(plays(t), weeks=5)
+    return A.cohort_matrix(plays(t), joined(t))
+
+
+def _hist_sql(name, expr, src):
+    """Bins of one measure, raw and log1p."""
+    out = []
+    for form, e in (("raw", expr), ("log1p", f"ln(1 + {expr})")):
+        out.append(f"""select '{name}' as measure, '{form}' as form, b.bin, s.lo + b.bin * (s.hi - s.lo) / 10 as bin_start,
+  s.lo + (b.bin + 1) * (s.hi - s.lo) / 10 as bin_end,
+  (select count(*) from (select cast({e} as double) as x from {src}) v where x is not null and
+     case when s.hi = s.lo then 0 else least(floor((x - s.lo) * 10 / (s.hi - s.lo)), 9) end = b.bin) as n
+from range(10) b(bin), (select min(x) as lo, max(x) as hi from (select cast({e} as double) as x from {src})) s""")
+    return out
+
+
+_HISTS = [*_hist_sql("plays_per_user", "n", "(select userId, count(*) as n from plays group by userId)"),
+          *_hist_sql("games_per_user", "n", "(select userId, count(distinct gameId) as n from plays group by userId)"),
+          *_hist_sql("session_seconds", "sessionSeconds", "plays"), *_hist_sql("bet_amount", "betAmount", "plays")]
+
+
+@register("play_histograms", "D22 (all measures, raw and log1p)", f"""with {PLAYS_CTES}
+select measure, form, bin, round(bin_start, 6) as bin_start, round(bin_end, 6) as bin_end, n from ({' union all '.join(_HISTS)})""")
+def q_histograms(t):
+    p = plays(t)
+    return rounded(A.histograms({
+        "plays_per_user": p.groupBy("userId").count().select("count"),
+        "games_per_user": p.groupBy("userId").agg(F.count_distinct("gameId").alias("n")).select("n"),
+        "session_seconds": p.select("sessionSeconds"), "bet_amount": p.select("betAmount")}))
+
+
+@register("user_tiers", "E6 (bet tier quartiles; diversity tertiles of raw values)", f"""with {PLAYS_CTES}, {UB_SQL},
+u as (select userId, total_bet, unique_games_played / total_sessions as diversity from ub),
+e as (select quantile_cont(diversity, 1.0 / 3) as a, quantile_cont(diversity, 2.0 / 3) as b from u),
+r as (select *, row_number() over (order by round(total_bet, 2), userId) - 1 as pos, count(*) over () as n from u)
+select userId, (['tier1', 'tier2', 'tier3', 'tier4'])[cast(case when least(n, 4) <= 1 then 1 else
+    greatest(1, floor((pos * least(n, 4) + (n - 2)) / (n - 1))) end as int)] as bet_tier,
+  case when diversity <= e.a then 'low' when diversity <= e.b then 'mid' else 'high' end as diversity_tertile
+from r, e""")
+def q_tiers(t):
+    u = ub(t).select("userId", M.round_to(F.col("total_bet"), 2).alias("total_bet"),
+                     (F.col("unique_games_played") / F.col("total_sessions")).alias("diversity"))
+    u = ST.quantile_bucket(u, "userId", "total_bet", A.BET_TIER_LABELS, "bet_tier")
+    return A.raw_cut(u, "diversity", ["low", "mid", "high"], "diversity_tertile").select("userId", "bet_tier", "diversity_tertile")
 
 
 @register("segment_hour_matrix", "D28", f"""with {PLAYS_CTES}

@@ -13,6 +13,7 @@ from stakeflow.plans.catalog import register, rounded
 from stakeflow.plans.oracle import (pipeline_ctes, sql_device, sql_entry, sql_game_type, sql_mode,
                                     sql_provider, with_ctes)
 from stakeflow.sources.fixtures import fixture_ctes
+from stakeflow.sources.ingest import load_sessions
 
 
 # ---------------------------------------------------------------------------
@@ -57,12 +58,34 @@ def merged_bets(t):
         "gameType_raw", "providerName", "win", "gameGroup"))
 
 
-@register("session_asof_enrichment", "C2 C3 B11 A4", with_ctes(pipeline_ctes("enriched"), final="""
+@register("session_asof_enrichment", "C2 C3 B11", with_ctes(pipeline_ctes("enriched"), final="""
 select txnId, round(session_duration_sec, 6) as session_duration_sec, entryPoint_raw from enriched"""))
 def session_asof(t):
     return rounded(P.session_enriched(t).select("txnId", "session_duration_sec", "entryPoint_raw"))
 
 
+_RAW_SESSIONS = """raw_sessions as (select sessId, userId as user_id, gameGroup as game_id, source,
+  case when sessId % 5 = 0 then 'Open' else 'Closed' end as status, created_at, updated_at from fx_sessions)"""
+
+
+@register("closed_sessions_asof_default", "A4 C2 C3 B11 (closed sessions of one source, 60 minutes)", f"""with {pipeline_ctes('merged')},
+{_RAW_SESSIONS},
+m as (select tx.txnId, (epoch_us(r.updated_at) - epoch_us(r.created_at)) / 1e6 as session_duration_sec, r.source as entryPoint_raw,
+    row_number() over (partition by tx.txnId order by r.updated_at desc, r.sessId desc) as rn
+  from tx join raw_sessions r on r.user_id = tx.userId and r.game_id = tx.gameGroup and r.updated_at <= tx.timestamp
+    and r.updated_at >= tx.timestamp - interval 60 minute
+  where r.status = 'Closed' and r.source = 'livecasino')
+select tx.txnId, round(m.session_duration_sec, 6) as session_duration_sec, m.entryPoint_raw
+from tx left join m on m.txnId = tx.txnId and m.rn = 1""")
+def closed_sessions(t):
+    raw = t.fx_sessions.select("sessId", F.col("userId").alias("user_id"), F.col("gameGroup").alias("game_id"), "source",
+                               F.when(F.col("sessId") % 5 == 0, "Open").otherwise("Closed").alias("status"), "created_at", "updated_at")
+    sessions = load_sessions(raw, keep=["sessId"])
+    out = E.enrich_sessions(P.merged_bets(t), sessions, tx_keys=("userId", "gameGroup"), session_keys=("userId", "gameId"),
+                            session_tie="sessId")
+    return rounded(out.select("txnId", "session_duration_sec", "entryPoint_raw"))
+
+
 @register("device_asof_cascade", "C4 C5 A5", with_ctes(pipeline_ctes("enriched"), final="""
 select txnId, deviceType_raw from enriched"""))
 def device_cascade(t):
@@ -101,7 +124,7 @@ def overlap(t):
     return a.unionByName(b)
 
 
-@register("game_catalog_mapped", "A2 B12 B13 B14 B21 B36", with_ctes(fixture_ctes("fx_games"), final=f"""
+@register("game_catalog_mapped", "A2 B12 B13 B14 B21", with_ctes(fixture_ctes("fx_games"), final=f"""
 select gameId, gameName, {sql_game_type('gameType_raw')} as game_type, {sql_provider('gamevendor')} as provider,
        coalesce(regexp_matches(lower(trim(gamevendor)), '^[0-9a-f]{{24}}$'), false) as vendor_is_objectid,
        concat('game_', regexp_replace(regexp_replace(lower(gameName), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'))
@@ -145,19 +168,15 @@ def events_aligned(t):
     return P.events(t)
 
 
-@register("enum_violations", "G3", with_ctes(pipeline_ctes("events"), final="""
-select 'entryPoint' as "column", 'extra' as kind, value from
-  (select distinct entryPoint as value from events where entryPoint is not null)
-  where value not in ('livecasino', 'casino', 'sportsbook', 'direct', 'search', 'lobby', 'unknown')
-union all
-select 'provider', 'invalid', value from (select distinct provider as value from events where provider is not null)
-  where value not in ('HUB88', 'Evolution', 'EZUGI', 'Spribe', 'OnlyPlay', 'PeterAndSons', 'unknown')
-union all
-select 'gameType', 'invalid', value from (select distinct gameType as value from events where gameType is not null)
-  where value not in ('slot', 'table', 'live_dealer', 'crash', 'instant_win', 'unknown')
-union all
-select 'deviceType', 'invalid', value from (select distinct deviceType as value from events where deviceType is not null)
-  where value not in ('mobile', 'desktop', 'tablet', 'unknown')"""))
+def _not_in(column: str, kind: str, allowed) -> str:
+    values = ", ".join(f"'{v}'" for v in allowed)
+    return f"""select '{column}' as "column", '{kind}' as kind, value from
+  (select distinct {column} as value from events where {column} is not null) where value not in ({values})"""
+
+
+@register("enum_violations", "G3", with_ctes(pipeline_ctes("events"), final=" union all ".join([
+    _not_in("entryPoint", "extra", M.VALID_ENTRY_POINTS), _not_in("provider", "invalid", M.VALID_PROVIDERS),
+    _not_in("gameType", "invalid", M.VALID_GAME_TYPES), _not_in("deviceType", "invalid", M.VALID_DEVICE_TYPES)])))
 def violations(t):
     return enum_violations(P.events(t))
 

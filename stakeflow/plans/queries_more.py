@@ -4,6 +4,8 @@ calibration, ablation and PCA."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -15,12 +17,21 @@ from stakeflow.operators import dataset as D
 from stakeflow.operators import explain as X
 from stakeflow.operators import metrics as MT
 from stakeflow.operators import scoring as S
+from stakeflow.operators.asof import next_event_gap, previous_event_gap
+from stakeflow.operators.events import EVENT_COLUMNS, enum_violations, missing_columns, schema_coverage
+from stakeflow.operators.stats import quantile_bucket
 from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, round6, rounded
-from stakeflow.plans.queries_explain import EXPLAIN_CTES, fixture_model, train_contribs
-from stakeflow.plans.queries_scoring import RECS_CTES, SCORE_CTES, _lists, model, recommendations
+from stakeflow.plans.oracle import pipeline_ctes
+from stakeflow.plans.queries_analytics import PLAYS_CTES, UB_SQL, ub
+from stakeflow.plans.queries_explain import EXPLAIN_CTES, GLOBAL_SQL, fixture_model, train_contribs
+from stakeflow.plans.queries_scoring import RECS_CTES, SCORE_CTES, _lists, _per_user_sql, _ranked_sql, model, recommendations
+from stakeflow.plans.queries_sinks import RAW_CTES, raw_bets, raw_games
 
 K = DEFAULT.eval_k
+#: Numeric columns of a pair that are held against its predicted score.
+CORRELATED = ["interaction_count", "avg_duration_sec", "positive_outcome_rate", "return_10m_rate", "avg_engagement_intensity",
+              "recency_days", "implicit_score", "total_sessions", "unique_games", "popularity_score", "unique_users"]
 
 
 @register("wide_model_table", "C10 B34 C14", f"""with {SCORE_CTES},
@@ -177,31 +188,78 @@ def q_calib(t):
     return rounded(A.decile_calibration(sc, "pid", "score", "implicit_score"))
 
 
-@register("ablation_check", "H28 F5 (rows)")
+_ABLATED = """top3 as (select feature from ga order by abs(contribution) desc, side, feature limit 3),
+uef2 as (select * from uef where feature not in (select feature from top3)),
+ief2 as (select * from ief where feature not in (select feature from top3)),
+urx2 as (select ef.userId, ef.value, unnest(fv.embedding) as x, generate_subscripts(fv.embedding, 1) as i
+  from uef2 ef join ufv fv on fv.feature = ef.feature),
+irx2 as (select ef.gameId, ef.value, unnest(fv.embedding) as x, generate_subscripts(fv.embedding, 1) as i
+  from ief2 ef join ifv fv on fv.feature = ef.feature),
+urep2 as (select userId, list(v order by i) as embedding from (select userId, i, sum(value * x) as v from urx2 group by 1, 2) group by 1),
+irep2 as (select gameId, list(v order by i) as embedding from (select gameId, i, sum(value * x) as v from irx2 group by 1, 2) group by 1)"""
+
+
+def _variant_sql(n, u, i):
+    """Test metrics of a variant, by place and average rank as in ``queries_scoring``."""
+    return f"""s{n} as (select u.userId, i.gameId, round(list_inner_product(u.embedding, i.embedding), 6) as score
+  from {u} u join {i} i on true where not exists (select 1 from train_pairs t where t.userId = u.userId and t.gameId = i.gameId)),
+r{n} as ({_ranked_sql(f's{n}')}),
+p{n} as (select r.* from r{n} r join test_pairs p on p.userId = r.userId and p.gameId = r.gameId),
+m{n} as (select avg(precision_at_k) as p, avg(auc) as a from ({_per_user_sql(f'p{n}')}))"""
+
+
+@register("ablation_check", "H28 F5", f"""with {EXPLAIN_CTES}, {GLOBAL_SQL}, {_ABLATED},
+{_variant_sql(1, 'urep', 'irep')}, {_variant_sql(2, 'urep2', 'irep2')},
+d as (select string_agg(feature, ',' order by abs(contribution) desc, side, feature) as dropped from (select * from ga
+  order by abs(contribution) desc, side, feature limit 3))
+select 'full' as variant, dropped, round(m1.p, 6) as precision_at_k, round(m1.a, 6) as auc, 0.0 as precision_drop, 0.0 as auc_drop from m1, d
+union all select 'ablated', dropped, round(m2.p, 6), round(m2.a, 6), round(m1.p - m2.p, 6), round(m1.a - m2.a, 6) from m1, m2, d""")
 def q_ablation(t):
     """Drop the top-3 attributed features (no re-normalisation), recompute the
-    representations and compare test P@K / AUC with the full model."""
+    representations and report the drops of test P@K / AUC (full - ablated)."""
     m = fixture_model(t)
-    d = m["d"]
     g = X.global_attribution(train_contribs(t), "implicit_score")
     top = [r["feature"] for r in X.top_by_abs(g, "contribution", DEFAULT.ablation_top_features, None,
-                                              ["side", "feature"]).collect()]
-
-    def evaluate(u_ef, i_ef):
-        u_rep = X.representations(u_ef, m["u_fv"], "userId")
-        i_rep = X.representations(i_ef, m["i_fv"], "gameId")
-        blk = S.item_blocks(i_rep)
-        rows = u_rep.join(_lists(d.test_pairs, "pos"), "userId").join(_lists(d.train_pairs, "seen"), "userId", "left")
-        return MT.mean_metrics(MT.per_user_metrics(
-            S.positive_ranks(rows, blk, "userId", "pos", exclude="seen"), K)).first()
-
-    full = evaluate(m["u_ef"], m["i_ef"])
-    abl = evaluate(X.ablate(m["u_ef"], top), X.ablate(m["i_ef"], top))
+                                              ["side", "feature"]).orderBy("abs_rank").collect()]
+    full = _eval_variant(t, m["u_ef"], m["i_ef"])
+    abl = _eval_variant(t, X.ablate(m["u_ef"], top), X.ablate(m["i_ef"], top))
     rows = [("full", ",".join(top), full["precision_at_k"], full["auc"], 0.0, 0.0),
             ("ablated", ",".join(top), abl["precision_at_k"], abl["auc"],
-             abl["precision_at_k"] - full["precision_at_k"], abl["auc"] - full["auc"])]
+             full["precision_at_k"] - abl["precision_at_k"], full["auc"] - abl["auc"])]
     return rounded(t.spark.createDataFrame(
-        rows, "variant string, dropped string, precision_at_k double, auc double, delta_p double, delta_auc double"))
+        rows, "variant string, dropped string, precision_at_k double, auc double, precision_drop double, auc_drop double"))
+
+
+@register("score_correlations", "F5 (strongest positive and negative correlations with the predicted score)", f"""with {SCORE_CTES},
+p as (select s.score, t.interaction_count, t.avg_duration_sec, t.positive_outcome_rate, t.return_10m_rate, t.avg_engagement_intensity,
+    t.recency_days, t.implicit_score, u.total_sessions, u.unique_games, i.popularity_score, i.unique_users
+  from train_pairs t join sc s on s.userId = t.userId and s.gameId = t.gameId left join ufe u on u.userId = t.userId
+  left join ife i on i.gameId = t.gameId),
+c as ({" union all ".join(f"select '{c}' as feature, corr({c}, score) as rho from p" for c in CORRELATED)}),
+k as (select feature, round(rho, 6) as rho from c where rho is not null and not isnan(rho))
+select 'positive' as direction, feature, rho from (select * from k where rho > 0 order by rho desc, feature limit 3)
+union all select 'negative', feature, rho from (select * from k where rho < 0 order by rho, feature limit 3)""")
+def q_score_correlations(t):
+    d = P.dataset(t)
+    pairs = S.pair_scores(d.train_pairs, t.fx_userv, t.fx_itemv)
+    pairs = pairs.join(d.ufe.select("userId", "total_sessions", "unique_games"), "userId", "left").join(
+        d.ife.select("gameId", "popularity_score", "unique_users"), "gameId", "left")
+    row = pairs.agg(*[F.corr(F.col(c).cast("double"), F.col("score")).alias(c) for c in CORRELATED])
+    rho = row.unpivot([], CORRELATED, "feature", "rho").where(F.col("rho").isNotNull() & ~F.isnan("rho"))
+    rho = rounded(rho)
+    up = rho.where("rho > 0").orderBy(F.desc("rho"), "feature").limit(3).select(F.lit("positive").alias("direction"), "*")
+    return up.unionByName(rho.where("rho < 0").orderBy("rho", "feature").limit(3).select(F.lit("negative").alias("direction"), "*"))
+
+
+@register("token_labels", "B36 B32", f"""with {SCORE_CTES},
+k as (select 'user' as side, token from uvocab union all select 'item', token from ivocab),
+l as (select side, token, case {" ".join(f"when starts_with(token, '{p}') then concat('{r}', substr(token, {len(p) + 1}))" for p, r in M.TOKEN_LABEL_PREFIXES)}
+    else token end as label from k)
+select side, token, case when length(label) > 36 then concat(substr(label, 1, 35), '...') else label end as label from l""")
+def q_token_labels(t):
+    d = P.dataset(t)
+    k = d.user_vocab.select(F.lit("user").alias("side"), "token").unionByName(d.item_vocab.select(F.lit("item").alias("side"), "token"))
+    return k.withColumn("label", M.token_label("token"))
 
 
 @register("pca_projection", "H31 E6 (rows)")
@@ -221,7 +279,6 @@ def q_pca(t):
     out = out.select("userId", F.col("pc")[0].alias("pc1"), F.col("pc")[1].alias("pc2"),
                      F.lit(var[0]).alias("explained_var_1"), F.lit(var[1]).alias("explained_var_2"),
                      F.lit(dims).alias("dims"))
-    from stakeflow.operators.stats import quantile_bucket
     return rounded(quantile_bucket(out, "userId", "pc1", ["low", "mid", "high"], "pc1_tertile"))
 
 
@@ -236,40 +293,82 @@ def _eval_variant(t, u_ef, i_ef):
         S.positive_ranks(rows, blocks, "userId", "pos", exclude="seen"), K)).first()
 
 
+def _metrics_by(t, u_rep, i_rep):
+    """Mean test metrics for each ``feature`` of (feature, userId, embedding) rows."""
+    d = P.dataset(t)
+    key = F.concat_ws("\u0001", "feature", "userId")
+    rows = u_rep.join(_lists(d.test_pairs, "pos"), "userId").join(_lists(d.train_pairs, "seen"), "userId", "left").withColumn("rid", key)
+    per = MT.per_user_metrics(S.positive_ranks(rows, S.item_blocks(i_rep), "rid", "pos", exclude="seen"), K)
+    return per.groupBy(F.split("userId", "\u0001")[0].alias("feature")).agg(
+        F.avg("precision_at_k").alias("precision_at_k"), F.avg("auc").alias("auc"))
+
+
 @register("permutation_importance", "H27 C16 (rows)")
 def q_permutation(t):
     """Shuffle each of the top-8 attributed features over its side's entities,
-    recompute the representations and report the precision / AUC change,
-    joined to the attribution table."""
+    recompute the representations and report the precision / AUC drop
+    (base - permuted), joined to the attribution table."""
     m = fixture_model(t)
     d = m["d"]
     g = X.global_attribution(train_contribs(t), "implicit_score")
     top = X.top_by_abs(g, "contribution", DEFAULT.permutation_top_features, None, ["side", "feature"]).collect()
-    base = _eval_variant(t, m["u_ef"], m["i_ef"])
+    # all user-side variants are rows of one evaluation against the same item blocks
+    u_side = [r["feature"] for r in top if r["side"] == "user"]
+    i_rep = X.representations(m["i_ef"], m["i_fv"], "gameId")
+    u_reps = [X.representations(X.permute_feature(m["u_ef"], d.user_index, "userId", f) if f else m["u_ef"], m["u_fv"], "userId")
+              .select(F.lit(f or "").alias("feature"), "userId", "embedding") for f in [None, *u_side]]
+    found = {r["feature"]: r for r in _metrics_by(t, reduce(lambda a, b: a.unionByName(b), u_reps), i_rep).collect()}
+    base = found[""]
+    u_base = u_reps[0].withColumn("feature", F.lit(""))
     rows = []
     for r in top:
         if r["side"] == "user":
-            u_ef, i_ef = X.permute_feature(m["u_ef"], d.user_index, "userId", r["feature"]), m["i_ef"]
+            v = found[r["feature"]]
         else:
-            u_ef, i_ef = m["u_ef"], X.permute_feature(m["i_ef"], d.item_index, "gameId", r["feature"])
-        v = _eval_variant(t, u_ef, i_ef)
-        rows.append((r["side"], r["feature"], v["precision_at_k"] - base["precision_at_k"], v["auc"] - base["auc"]))
-    perm = t.spark.createDataFrame(rows, "side string, feature string, delta_p double, delta_auc double")
+            i_perm = X.permute_feature(m["i_ef"], d.item_index, "gameId", r["feature"])
+            v = _metrics_by(t, u_base, X.representations(i_perm, m["i_fv"], "gameId")).first()
+        rows.append((r["side"], r["feature"], base["precision_at_k"] - v["precision_at_k"], base["auc"] - v["auc"]))
+    perm = t.spark.createDataFrame(rows, "side string, feature string, precision_drop double, auc_drop double")
     return rounded(g.join(perm, ["side", "feature"], "inner"))
 
 
-@register("feature_group_ablation", "H29 F5 (rows)")
+ABLATION_EPOCHS, ABLATION_K = 8, 10
+
+
+def ablation_tokens(t):
+    """(user table, item table) with one column for each token group of the ablation variants."""
+    d = P.dataset(t)
+    u = d.user_index.select("userId").join(d.ufe.select("userId", F.col("preferred_device").alias("device"), "avg_engagement_intensity",
+                                                        "recency_days", "unique_games", "total_sessions"), "userId", "left")
+    u = u.join(t.fx_players.select("userId", F.col("country").cast("string").alias("country")), "userId", "left").join(
+        ub(t).select("userId", "preferred_game_type"), "userId", "left")
+    u = u.withColumn("recency_bucket", M.right_closed_bucket("recency_days", A.USER_RECENCY_EDGES, A.USER_RECENCY_LABELS)).withColumn(
+        "diversity_bucket", M.right_closed_bucket(F.col("unique_games") / F.col("total_sessions"), A.DIVERSITY_EDGES, A.LEVEL_LABELS))
+    u = u.join(quantile_bucket(u.select("userId", "avg_engagement_intensity"), "userId", "avg_engagement_intensity", A.QUARTILE_LABELS,
+                               "engagement_bucket").select("userId", "engagement_bucket"), "userId", "left")
+    i = d.item_index.select("gameId").join(d.ife.select("gameId", F.col("game_type").alias("gameType"), F.col("provider").alias("vendor"),
+                                                        "popularity_bucket", "popularity_score"), "gameId", "left")
+    games = t.fx_games.select("gameId", "maxBet")
+    i = i.join(quantile_bucket(games, "gameId", "maxBet", A.BET_TIER_LABELS, "bet_tier").select("gameId", "bet_tier"), "gameId", "left")
+    return u, i.withColumn("top_pop_flags", F.when(F.col("popularity_bucket") == "blockbuster", "top"))
+
+
+@register("feature_group_ablation", "H29 B33 F5 (rows; WARP retrained on each variant's token groups)")
 def q_group_ablation(t):
-    """Variants without one token group each; metric deltas against the full
-    model and the best / worst variant flags.  The trainer's factors do not
-    depend on side tokens, so variants re-derive representations instead of
-    retraining."""
-    m = fixture_model(t)
-    base = _eval_variant(t, m["u_ef"], m["i_ef"])
-    rows = [("full", base["precision_at_k"], base["auc"], 0.0)]
-    for name, prefixes in X.FEATURE_GROUPS.items():
-        v = _eval_variant(t, X.drop_groups(m["u_ef"], prefixes), X.drop_groups(m["i_ef"], prefixes))
-        rows.append((name, v["precision_at_k"], v["auc"], v["precision_at_k"] - base["precision_at_k"]))
+    """Variants without one side's token groups, each trained anew; metric deltas
+    against the full model and the best / worst variant flags."""
+    from stakeflow.operators import warp as W
+    d = P.dataset(t)
+    u, i = ablation_tokens(t)
+    rows = []
+    for name, user_groups, item_groups in X.ABLATION_VARIANTS:
+        ut, it = u.select("userId", M.tokens(user_groups).alias("tokens")), i.select("gameId", M.tokens(item_groups).alias("tokens"))
+        params, _ = W.train_warp(d.train_pairs, ut, it, d.user_index, d.item_index, epochs=ABLATION_EPOCHS, local_epochs=ABLATION_EPOCHS)
+        ur, ir = W.representations(params, ut, d.user_index, it, d.item_index)
+        ask = ur.join(_lists(d.test_pairs, "pos"), "userId").join(_lists(d.train_pairs, "seen"), "userId", "left")
+        m = MT.mean_metrics(MT.per_user_metrics(S.positive_ranks(
+            ask, S.item_blocks(ir, bias="bias"), "userId", "pos", exclude="seen", bias="bias"), ABLATION_K)).first()
+        rows.append((name, m["precision_at_k"], m["auc"], m["precision_at_k"] - (rows[0][1] if rows else m["precision_at_k"])))
     df = t.spark.createDataFrame(rows, "variant string, precision_at_k double, auc double, delta_p double")
     best = df.where("variant != 'full'").agg(F.max_by("variant", F.struct("delta_p", F.col("variant")))).scalar()
     worst = df.where("variant != 'full'").agg(F.min_by("variant", F.struct("delta_p", F.col("variant")))).scalar()
@@ -279,11 +378,6 @@ def q_group_ablation(t):
 # ---------------------------------------------------------------------------
 # E2 + B24: EDA session view; B33 tokens; C15; H2; G6; I3; A6
 # ---------------------------------------------------------------------------
-from stakeflow.operators.asof import next_event_gap, previous_event_gap  # noqa: E402
-from stakeflow.operators.events import EVENT_COLUMNS, enum_violations, missing_columns  # noqa: E402
-from stakeflow.plans.oracle import pipeline_ctes  # noqa: E402
-from stakeflow.plans.queries_analytics import PLAYS_CTES, UB_SQL, ub  # noqa: E402
-from stakeflow.sources.fixtures import fixture_ctes  # noqa: E402
 
 
 @register("eda_session_view", "E2 B24 E1 (minutes since previous bet, EDA exit type)", f"""with {PLAYS_CTES},
@@ -340,21 +434,25 @@ def q_random_split(t):
     return random_split(P.dataset(t).full_pairs.select("userId", "gameId"))
 
 
-@register("missing_schema_columns", "G6 (rows)")
+_MERGED_COLUMNS = {"userId": "userId", "gameId": "gameId", "timestamp": "timestamp"}
+
+
+@register("missing_schema_columns", "G6", f"""with {pipeline_ctes('merged')}
+{" union all ".join(f"select '{c}' as " + chr(34) + "column" + chr(34) + f", {str(c in _MERGED_COLUMNS).lower()} as present, " + (f"count({c})" if c in _MERGED_COLUMNS else "count(null)") + " as rows_filled from tx" for c in EVENT_COLUMNS)}""")
 def q_missing(t):
-    """Event-schema columns absent from the merged bet table (a schema check)."""
-    miss = missing_columns(P.merged_bets(t))
-    return t.spark.createDataFrame([(c,) for c in miss], "column string")
+    """Event-schema columns of the merged bet table: which it has, and how many rows fill them."""
+    return schema_coverage(P.merged_bets(t))
+
+
+def _violations_sql():
+    allowed = {"entryPoint": M.VALID_ENTRY_POINTS, "provider": M.VALID_PROVIDERS, "gameType": M.VALID_GAME_TYPES,
+               "deviceType": M.VALID_DEVICE_TYPES}
+    parts = [f"""select '{c}' as col, {c} as value from events where {c} not in ({", ".join(f"'{v}'" for v in vs)})"""
+             for c, vs in allowed.items()]
+    return "select 'enum_violation' as section, concat(col, '=', value) as item, 1.0 as value from (" + " union ".join(parts) + ")"
 
 
-_VIOL_SQL = """select 'enum_violation' as section, concat(col, '=', value) as item, 1.0 as value from (
-  select 'entryPoint' as col, entryPoint as value from events where entryPoint not in
-    ('livecasino', 'casino', 'sportsbook', 'direct', 'search', 'lobby', 'unknown')
-  union select 'provider', provider from events where provider not in
-    ('HUB88', 'Evolution', 'EZUGI', 'Spribe', 'OnlyPlay', 'PeterAndSons', 'unknown')
-  union select 'gameType', gameType from events where gameType not in
-    ('slot', 'table', 'live_dealer', 'crash', 'instant_win', 'unknown')
-  union select 'deviceType', deviceType from events where deviceType not in ('mobile', 'desktop', 'tablet', 'unknown'))"""
+_VIOL_SQL = _violations_sql()
 
 
 def _kr(c):
@@ -386,30 +484,39 @@ def q_readiness(t):
     return viol.unionByName(schema).unionByName(rates).unionByName(counts)
 
 
-@register("input_contract_report", "A6 (rows)")
+@register("input_contract_report", "A6", f"""with {RAW_CTES},
+tx as (select * from raw_bets where gameType = 'Live Casino' and status = 'SETTLED' and len(betParts) > 0)
+select 'transactions_non_empty' as "check", count(*) > 0 as ok, count(*) as rows from tx
+union all select 'games_have_category', true, count(*) from raw_games
+union all select 'games_missing_column_detected', false, count(*) from raw_games
+union all select 'empty_filter_detected', false, 0
+union all select 'missing_session_source_gives_nulls', true, count(*) from raw_bets""")
 def q_contracts(t):
     """Contract checks on the derived inputs: empty inputs, required columns,
     and typed NULL enrichment columns when a source is missing."""
     from stakeflow.errors import DataValidationError
     from stakeflow.operators import enrich as E
-    from stakeflow.plans.queries_sinks import raw_bets, raw_games
     from stakeflow.sources import ingest as I
     rows = []
 
-    def check(name, fn):
+    def check(name, table, fn):
         try:
             fn()
-            rows.append((name, True, ""))
-        except DataValidationError as exc:
-            rows.append((name, False, str(exc)))
-
-    check("transactions_non_empty", lambda: I.load_transactions(raw_bets(t), check=True))
-    check("games_have_category", lambda: I.require_columns(raw_games(t), ["category"], "game details"))
-    check("games_missing_column_detected", lambda: I.require_columns(raw_games(t).drop("category"), ["category"],
-                                                                     "game details"))
-    check("empty_filter_detected", lambda: I.require_rows(raw_bets(t).where("false"), "bet transactions"))
+            ok = True
+        except DataValidationError:
+            ok = False
+        rows.append((name, ok, table.count()))
+
+    tx = I.load_transactions(raw_bets(t), check=False)
+    filtered = raw_bets(t).where((F.col("gameType") == DEFAULT.game_type_filter) & (F.col("status") == DEFAULT.bet_status_filter)
+                                 & (F.size("betParts") > 0))
+    check("transactions_non_empty", filtered, lambda: I.require_rows(tx, "bet transactions"))
+    check("games_have_category", raw_games(t), lambda: I.require_columns(raw_games(t), ["category"], "game details"))
+    check("games_missing_column_detected", raw_games(t), lambda: I.require_columns(
+        raw_games(t).drop("category"), ["category"], "game details"))
+    none = raw_bets(t).where("false")
+    check("empty_filter_detected", none, lambda: I.require_rows(none, "bet transactions"))
     no_sess = E.enrich_sessions(P.merged_bets(t), None)
-    n_filled = no_sess.agg(F.count("session_duration_sec")).first()[0]
-    rows.append(("missing_session_source_gives_nulls", n_filled == 0,
-                 dict(no_sess.dtypes)["session_duration_sec"]))
-    return t.spark.createDataFrame(rows, "check string, ok boolean, detail string")
+    n, filled = no_sess.agg(F.count("*"), F.count("session_duration_sec")).first()
+    rows.append(("missing_session_source_gives_nulls", filled == 0 and dict(no_sess.dtypes)["session_duration_sec"] == "double", n))
+    return t.spark.createDataFrame(rows, "check string, ok boolean, rows long")

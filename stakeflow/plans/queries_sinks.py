@@ -202,14 +202,37 @@ def q_graph_update(t):
     return per_batch
 
 
-@register("model_bundle_roundtrip", "A7 A8 A12 F1 H23 (rows)")
+@register("graph_updated_nodes", "A11 (the updated node table)", f"""with {EXPLAIN_CTES}
+select cast(c.c_custkey as varchar) as id, c.c_mktsegment as segment, round(list_sum(u.embedding), 6) as component_sum,
+  u.bias, case when u.userId is not null then (select max(timestamp) from events) end as updated_at
+from customer c left join urep u on u.userId = cast(c.c_custkey as varchar) where c.c_custkey % 2 = 0""")
+def q_graph_nodes(t):
+    m = fixture_model(t)
+    nodes = t.customer.where(F.col("c_custkey") % 2 == 0).select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("segment"))
+    rows = K.graph_node_rows(m["u_rep"], "userId", updated_at=P.events(t).agg(F.max("timestamp")).scalar())
+    updated, _ = K.matched_update(nodes, rows)
+    return rounded(updated.select("id", "segment", F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).alias("component_sum"),
+                                  "bias", "updated_at"))
+
+
+@register("model_bundle_roundtrip", "A7 A8 A12 F1 H23 (contents compared)", f"""with {DATASET_CTES}
+select 'interactions' as part, count(*) as rows, 0 as differing from full_pairs
+union all select 'user_features_matrix', sum(1 + coalesce(len(t.tokens), 0)), 0 from uidx u left join utok t on t.userId = u.userId
+union all select 'item_features_matrix', sum(1 + coalesce(len(t.tokens), 0)), 0 from iidx i left join itok t on t.gameId = i.gameId
+union all select 'user_id_map', count(*), 0 from uidx
+union all select 'item_id_map', count(*), 0 from iidx
+union all select 'game_metadata', count(*), 0 from ife
+union all select 'popularity_ranking', count(*), 0 from ife
+union all select 'report_csv', count(*), 0 from ife
+union all select 'report_json', count(*), 0 from ife""")
 def q_bundle(t):
     d = P.dataset(t)
-    fm_u = D.feature_matrix(d.user_index, "userId", d.user_tokens, d.user_vocab)
-    fm_i = D.feature_matrix(d.item_index, "gameId", d.item_tokens, d.item_vocab)
+    report = d.ife.select("gameId", "game_type", "provider", "game_sessions", "popularity_bucket")
     parts = {
         "interactions": D.triplets(d.full_pairs, d.user_index, d.item_index),
-        "user_features_matrix": fm_u, "item_features_matrix": fm_i,
+        "user_features_matrix": D.feature_matrix(d.user_index, "userId", d.user_tokens, d.user_vocab),
+        "item_features_matrix": D.feature_matrix(d.item_index, "gameId", d.item_tokens, d.item_vocab),
         "user_id_map": d.user_index, "item_id_map": d.item_index,
         "game_metadata": S.game_metadata(d.ife, t.fx_games),
         "popularity_ranking": S.popularity_ranking(d.ife),
@@ -217,9 +240,11 @@ def q_bundle(t):
     path = shared_path(t.spark, f"bundle-{uuid.uuid4().hex}")
     K.write_bundle(path, parts)
     back = K.read_bundle(t.spark, path)
-    K.write_report(d.ife, path + "/reports/item_catalog_csv", "csv")
-    K.write_report(d.ife, path + "/reports/item_catalog_json", "json")
-    rows = [(name, back[name].count()) for name in K.BUNDLE_PARTS]
-    rows.append(("report_csv", t.spark.read.option("header", True).csv(path + "/reports/item_catalog_csv").count()))
-    rows.append(("report_json", t.spark.read.json(path + "/reports/item_catalog_json").count()))
-    return t.spark.createDataFrame(rows, "part string, rows long")
+    K.write_report(report, path + "/reports/csv", "csv")
+    K.write_report(report, path + "/reports/json", "json")
+    pairs = [(name, parts[name], back[name]) for name in K.BUNDLE_PARTS]
+    pairs.append(("report_csv", report, t.spark.read.schema(report.schema).option("header", True).csv(path + "/reports/csv")))
+    pairs.append(("report_json", report, t.spark.read.schema(report.schema).json(path + "/reports/json")))
+    rows = [(name, *K.difference(a, b).first()) for name, a, b in pairs]  # one row for each part
+    K.remove_path(t.spark, path)
+    return t.spark.createDataFrame(rows, "part string, rows long, differing long")

@@ -58,11 +58,6 @@ TRANSACTION_COLUMNS = ["userId", "gameName", "categoryName", "providerName_raw",
                        "betAmount", "result", "timestamp", "hourOfDay", "dayOfWeek"]
 
 
-def read_collection(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Read a raw collection with a declared schema (never inferred)."""
-    return spark.read.schema(schema).format(fmt).load(path)
-
-
 def require_columns(df: DataFrame, columns, what: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -121,14 +116,16 @@ def load_users(raw: DataFrame) -> DataFrame:
 
 
 def load_sessions(raw: DataFrame, source: str | None = "livecasino", closed_only: bool = True,
-                  user_col: str = "user_id", game_col: str = "game_id") -> DataFrame:
-    """A4 + B11: closed sessions of one source with their duration in seconds."""
+                  user_col: str = "user_id", game_col: str = "game_id", keep=()) -> DataFrame:
+    """A4 + B11: closed sessions of one source with their duration in seconds
+    (``keep`` names extra pass-through columns, e.g. a row id)."""
     df = raw
     if closed_only and "status" in raw.columns:
         df = df.where(F.col("status") == "Closed")
     if source is not None:
         df = df.where(F.col("source") == source)
     return df.select(
+        *keep,
         M.clean_id(user_col).alias("userId"),
         M.clean_id(game_col).alias("gameId"),
         F.col("source").alias("entryPoint_raw"),

@@ -29,7 +29,7 @@ def write_bundle(path: str, parts: dict[str, DataFrame], check: bool = True) ->
     if missing:
         raise ArtifactError(f"bundle parts missing: {missing}")
     if check and parts["interactions"].isEmpty():
-        raise DataValidationError("Refusing to export empty interactions matrix.")
+        raise DataValidationError("the bundle would hold no interactions")
     for name in BUNDLE_PARTS:
         parts[name].write.mode("overwrite").parquet(os.path.join(path, name))
     return path
@@ -46,6 +46,20 @@ def read_bundle(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return out
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system holds it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One row: number of rows of ``a``, and of rows that only one of the two tables holds."""
+    both = a.select(F.xxhash64(F.to_json(F.struct(*a.columns))).alias("h"), F.lit(1).alias("n")).unionByName(
+        b.select(F.xxhash64(F.to_json(F.struct(*[F.col(c).cast(t).alias(c) for c, t in a.dtypes]))).alias("h"), F.lit(-1).alias("n")))
+    per_row = both.groupBy("h").agg(F.sum("n").alias("d"), F.count_if(F.col("n") > 0).alias("rows"))
+    return per_row.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.abs("d")), F.lit(0)).alias("differing"))
+
+
 def id_map_check(id_map: DataFrame, key: str, idx: str = "idx") -> DataFrame:
     """One row: n, max idx, distinct idx and whether ids are 0..n-1."""
     return id_map.agg(F.count("*").alias("n"), F.max(idx).alias("max_idx"),

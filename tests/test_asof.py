@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from stakeflow.operators.asof import asof_join, next_event_gap
 
@@ -97,3 +98,17 @@ def test_previous_event_gap_matches_lag(spark):
     exp = ((pdf["ts"] - prev).dt.total_seconds() / 60).fillna(1e6)
     for sid, e in zip(pdf["sid"], exp):
         assert abs(got[sid] - e) < 1e-9
+
+
+def test_null_keys_stay_out_of_the_window(spark):
+    """Half of the left rows have no key: they keep their partitions, and no window task holds them."""
+    left = spark.range(20_000, numPartitions=8).selectExpr(
+        "id as lid", "if(id % 2 = 0, null, concat('k', id % 50)) as k", "timestamp_ntz '2024-01-01' + make_interval(0,0,0,0,0,0,id) as t")
+    right = spark.range(500, numPartitions=4).selectExpr(
+        "concat('k', id % 50) as k", "timestamp_ntz '2024-01-01' + make_interval(0,0,0,0,0,0,id * 40) as rt", "id as rid", "id as val")
+    out = asof_join(left, right, "t", "rt", [("k", "k")], {"val": "val"}, 3600, right_tie="rid")
+    rows = out.withColumn("p", F.spark_partition_id()).groupBy("p").agg(
+        F.count("*").alias("n"), F.count_if(F.col("k").isNull()).alias("nulls")).collect()
+    assert sum(r.n for r in rows) == 20_000 and sum(r.nulls for r in rows) == 10_000
+    assert max(r.nulls for r in rows) <= 2_500
+    assert out.where("k is null and val is not null").count() == 0 and out.where("k is not null and val is not null").count() > 5_000
