@@ -52,17 +52,15 @@ def holdout_pairs(events: DataFrame, check_fallback: bool = True) -> DataFrame:
 
 def split_events(events: DataFrame, holdout: DataFrame, check_fallback: bool = True):
     """Events of holdout pairs are test, the rest train.  If train ends up
-    empty while test is not, train := test (the source system's fallback)."""
-    test = events.join(holdout, ["userId", "gameId"], "left_semi")
-    train = events.join(holdout, ["userId", "gameId"], "left_anti")
-    if check_fallback:
-        # both emptiness checks in one aggregation job
-        flags = (events.select("userId", "gameId")
-                 .join(holdout.select("userId", "gameId", F.lit(1).alias("__h")), ["userId", "gameId"], "left")
-                 .agg(F.count_if(F.col("__h").isNull()).alias("n_train"),
-                      F.count_if(F.col("__h").isNotNull()).alias("n_test")).first())
-        if flags["n_train"] == 0 and flags["n_test"] > 0:
-            train = test
+    empty while test is not, train := test (the source system's fallback).
+
+    One join marks the events; the marked table is written once and read by both sides."""
+    mark = holdout.select("userId", "gameId", F.lit(True).alias("__h"))
+    marked = cut_lineage(events.join(mark, ["userId", "gameId"], "left"))
+    train = marked.where(F.col("__h").isNull()).select(events.columns)
+    test = marked.where(F.col("__h").isNotNull()).select(events.columns)
+    if check_fallback and train.isEmpty() and not test.isEmpty():
+        train = test
     return train, test
 
 

@@ -109,12 +109,6 @@ def top_by_abs(df: DataFrame, value: str, n: int, partition: list[str] | None =
     return rows.withColumn("abs_rank", F.row_number().over(w)).where(F.col("abs_rank") <= n)
 
 
-def global_attribution(contribs: DataFrame, weight: str) -> DataFrame:
-    """Weighted mean contribution per (side, feature) over all pairs."""
-    return contribs.groupBy("side", "feature").agg(
-        (F.sum(F.col(weight) * F.col("contribution")) / F.greatest(F.sum(weight), F.lit(1e-9))).alias("contribution"))
-
-
 def sample_keep(cols, sample):
     """Deterministic ~70 % selection of a pair for stability sample ``sample``
     (an int or a Column holding the sample id)."""
@@ -123,28 +117,58 @@ def sample_keep(cols, sample):
     return F.substring(F.md5(key), 1, 4) < F.lit(SAMPLE_HEX_CUT)
 
 
-def stability(contribs: DataFrame, weight: str, samples: int = 6) -> DataFrame:
-    """Attribution on ``samples`` hash samples, then per (side, feature)
-    mean, population std, stability = |m| / (|m| + s + 1e-9), sign consistency
-    (share of non-zero sample values with the mean's sign; 1.0 if none or the
-    mean is zero) and the number of samples that saw the feature."""
-    # one scan: every contribution row is offered to each sample, the hash keeps ~70 %
-    ids = F.explode(F.array(*[F.lit(s) for s in range(samples)]))
-    parts = contribs.withColumn("sample_id", ids).where(sample_keep(["userId", "gameId"], F.col("sample_id")))
-    per = parts.groupBy("sample_id", "side", "feature").agg(
-        (F.sum(F.col(weight) * F.col("contribution")) / F.greatest(F.sum(weight), F.lit(1e-9))).alias("c"))
-    g = per.groupBy("side", "feature").agg(
-        F.avg("c").alias("mean_contribution"), F.stddev_pop("c").alias("std_deviation"),
-        F.count("*").alias("samples_observed"),
-        F.collect_list("c").alias("__cs"))  # at most ``samples`` values per feature
+def attribution(pairs: DataFrame, u_ef: DataFrame, i_ef: DataFrame, u_fv: DataFrame, i_fv: DataFrame,
+                u_rep: DataFrame, i_rep: DataFrame, weight: str, samples: int = 0) -> DataFrame:
+    """H25 (and the samples of H26): per (side, feature) the weighted mean contribution ``c`` over all
+    pairs, and ``c0 .. c<samples - 1>`` over each hash sample (NULL where it has no such pair).
+
+    Weights are summed by (feature, other side's entity) before any vector is
+    attached, so the vectors meet that small table and not pairs x tokens rows."""
+    keeps = {f"__k{s}": sample_keep(["userId", "gameId"], s) for s in range(samples)}
+    p = pairs.select("userId", "gameId", F.col(weight).alias("__w"), *[k.alias(n) for n, k in keeps.items()])
+    parts = []
+    for side, own, other, ef, fv, rep in (("user", "userId", "gameId", u_ef, u_fv, i_rep), ("item", "gameId", "userId", i_ef, i_fv, u_rep)):
+        j = p.join(ef.where("is_token").select(own, "feature", "value"), own)
+        x = F.col("__w") * F.col("value")
+        sums = j.groupBy("feature", other).agg(
+            F.sum(x).alias("a"), F.sum("__w").alias("w"),
+            *[f for s in range(samples) for f in (F.sum(F.when(F.col(f"__k{s}"), x)).alias(f"a{s}"),
+                                                  F.sum(F.when(F.col(f"__k{s}"), F.col("__w"))).alias(f"w{s}"))])
+        t = (sums.join(fv.select("feature", F.col("embedding").alias("__fv"), F.coalesce("bias", F.lit(0.0)).alias("__fb")), "feature")
+             .join(rep.select(other, F.col("embedding").alias("__o")), other)
+             .withColumn("d", F.col("__fb") + M.dot("__fv", "__o")))
+
+        def mean(n):
+            return F.sum(F.col(f"a{n}") * F.col("d")) / F.greatest(F.sum(f"w{n}"), F.lit(1e-9))
+        parts.append(t.groupBy("feature").agg(
+            mean("").alias("c"), *[F.when(F.count(f"w{s}") > 0, mean(s)).alias(f"c{s}") for s in range(samples)])
+            .select(F.lit(side).alias("side"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
+def global_attribution(table: DataFrame) -> DataFrame:
+    """(side, feature, contribution) of an ``attribution`` table."""
+    return table.select("side", "feature", F.col("c").alias("contribution"))
+
+
+def stability(table: DataFrame, samples: int = 6) -> DataFrame:
+    """H26 from an ``attribution`` table: per (side, feature) mean and
+    population std over the samples, stability = |m| / (|m| + s + 1e-9), sign
+    consistency (share of non-zero sample values with the mean's sign; 1.0 if
+    none or the mean is zero) and the number of samples that saw the feature."""
+    cs = F.array_compact(F.array(*[F.col(f"c{s}") for s in range(samples)]))
+    g = table.select("side", "feature", cs.alias("__cs")).where(F.size("__cs") > 0)
+    n = F.size("__cs")
+    total = F.aggregate("__cs", F.lit(0.0), lambda a, x: a + x)
+    g = g.withColumn("mean_contribution", total / n)
     m = F.col("mean_contribution")
-    sign_m = F.signum(m)
+    g = g.withColumn("std_deviation", F.sqrt(F.aggregate("__cs", F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / n))
     nz = F.filter("__cs", lambda x: F.abs(x) > 1e-9)
-    agree = F.size(F.filter(nz, lambda x: F.signum(x) == sign_m))
+    agree = F.size(F.filter(nz, lambda x: F.signum(x) == F.signum(m)))
     cons = F.when((F.size(nz) == 0) | (F.abs(m) <= 1e-9), F.lit(1.0)).otherwise(agree / F.size(nz))
     return g.select("side", "feature", "mean_contribution", "std_deviation",
                     (F.abs(m) / (F.abs(m) + F.col("std_deviation") + 1e-9)).alias("stability_score"),
-                    cons.alias("sign_consistency"), "samples_observed")
+                    cons.alias("sign_consistency"), n.cast("long").alias("samples_observed"))
 
 
 def vector_norms(fv: DataFrame, side: str) -> DataFrame:

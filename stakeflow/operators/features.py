@@ -17,6 +17,7 @@ from stakeflow.config import DEFAULT, Settings
 from stakeflow.errors import DataValidationError
 from stakeflow.functions import mappers as M
 from stakeflow.operators.stats import quantiles
+from stakeflow.session import cut_lineage
 
 # fixed values: defaults for modes of empty groups
 USER_MODE_DEFAULTS = {"preferred_time_of_day": "late_night", "preferred_day_of_week": "friday",
@@ -115,6 +116,7 @@ def user_game_base(fe: DataFrame, max_ts=None) -> DataFrame:
 def with_implicit_score(user_game: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """B27 + B28: implicit preference score; the engagement cap is the 0.95
     quantile of the pair-level engagement (exact, distributed)."""
+    user_game = cut_lineage(user_game)  # read for the cap and by every use of the scores
     (p95,) = quantiles(user_game, "avg_engagement_intensity", [0.95])
     return user_game.withColumn(
         "implicit_score",

@@ -52,11 +52,12 @@ def test_contribs(t):
         m["d"].test_pairs, m["u_ef"], m["i_ef"], m["u_fv"], m["i_fv"], m["u_rep"], m["i_rep"]))
 
 
-def train_contribs(t):
+def attribution(t):
+    """Weighted mean contributions of all train pairs and of the stability samples, written once."""
     m = fixture_model(t)
-    return P._memo(t, "train_contribs", lambda: X.contributions(
+    return P._memo(t, "attribution", lambda: cut_lineage(X.attribution(
         m["d"].train_pairs, m["u_ef"], m["i_ef"], m["u_fv"], m["i_fv"], m["u_rep"], m["i_rep"],
-        weight="implicit_score"))
+        "implicit_score", DEFAULT.stability_samples)))
 
 
 def _side_sql(side, vocab, base, ident_src, key, idx, tok):
@@ -138,7 +139,7 @@ ga as (select side, feature, sum(implicit_score * contribution) / greatest(sum(i
 @register("global_attribution", "H25", f"""with {EXPLAIN_CTES}, {GLOBAL_SQL}
 select side, feature, round(contribution, 6) as contribution from ga""")
 def q_global(t):
-    return rounded(X.global_attribution(train_contribs(t), "implicit_score"))
+    return rounded(X.global_attribution(attribution(t)))
 
 
 @register("attribution_top_features", "F3 H25 (top 8 per side and overall)", f"""with {EXPLAIN_CTES}, {GLOBAL_SQL},
@@ -148,7 +149,7 @@ select 'side' as scope, side, feature, contribution, abs_rank from (select *, ro
 union all select 'overall', side, feature, contribution, abs_rank from (select *, row_number() over
   (order by abs(contribution) desc, side, feature) as abs_rank from g) where abs_rank <= 8""")
 def q_top_attr(t):
-    g = rounded(X.global_attribution(train_contribs(t), "implicit_score"))
+    g = rounded(X.global_attribution(attribution(t)))
     n = DEFAULT.top_attribution_features
     a = X.top_by_abs(g, "contribution", n, ["side"], ["feature"]).withColumn("scope", F.lit("side"))
     b = X.top_by_abs(g, "contribution", n, None, ["side", "feature"]).withColumn("scope", F.lit("overall"))
@@ -175,7 +176,7 @@ select a.side, a.feature, round(m, 6) as mean_contribution, round(s, 6) as std_d
   round(case when nz = 0 or abs(m) <= 1e-9 then 1.0 else agree / nz end, 6) as sign_consistency, samples_observed
 from agg a join sg on sg.side = a.side and sg.feature = a.feature""")
 def q_stability(t):
-    return rounded(X.stability(train_contribs(t), "implicit_score", DEFAULT.stability_samples))
+    return rounded(X.stability(attribution(t), DEFAULT.stability_samples))
 
 
 @register("feature_vector_norms", "H30", f"""with {EXPLAIN_CTES}
@@ -210,6 +211,7 @@ def q_diverse(t):
     picks = X.diverse_pick(cand, counts, n)
     pk = t.spark.createDataFrame(picks, "userId string, gameId string, score double, pick_order int")
     m = fixture_model(t)
+    X.require_known(pk, m["u_ef"], m["i_ef"])
     c = X.contributions(pk, m["u_ef"], m["i_ef"], m["u_fv"], m["i_fv"], m["u_rep"], m["i_rep"])
     top = X.top_by_abs(c.select("userId", "gameId", "side", "feature", "contribution"), "contribution",
                        DEFAULT.local_explanation_features, ["userId", "gameId"], ["side", "feature"])

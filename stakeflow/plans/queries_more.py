@@ -24,7 +24,7 @@ from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, round6, rounded
 from stakeflow.plans.oracle import pipeline_ctes
 from stakeflow.plans.queries_analytics import PLAYS_CTES, UB_SQL, ub
-from stakeflow.plans.queries_explain import EXPLAIN_CTES, GLOBAL_SQL, fixture_model, train_contribs
+from stakeflow.plans.queries_explain import EXPLAIN_CTES, GLOBAL_SQL, attribution, fixture_model
 from stakeflow.plans.queries_scoring import RECS_CTES, SCORE_CTES, _lists, _per_user_sql, _ranked_sql, model, recommendations
 from stakeflow.plans.queries_sinks import RAW_CTES, raw_bets, raw_games
 
@@ -218,7 +218,7 @@ def q_ablation(t):
     """Drop the top-3 attributed features (no re-normalisation), recompute the
     representations and report the drops of test P@K / AUC (full - ablated)."""
     m = fixture_model(t)
-    g = X.global_attribution(train_contribs(t), "implicit_score")
+    g = X.global_attribution(attribution(t))
     top = [r["feature"] for r in X.top_by_abs(g, "contribution", DEFAULT.ablation_top_features, None,
                                               ["side", "feature"]).orderBy("abs_rank").collect()]
     full = _eval_variant(t, m["u_ef"], m["i_ef"])
@@ -310,7 +310,7 @@ def q_permutation(t):
     (base - permuted), joined to the attribution table."""
     m = fixture_model(t)
     d = m["d"]
-    g = X.global_attribution(train_contribs(t), "implicit_score")
+    g = X.global_attribution(attribution(t))
     top = X.top_by_abs(g, "contribution", DEFAULT.permutation_top_features, None, ["side", "feature"]).collect()
     # all user-side variants are rows of one evaluation against the same item blocks
     u_side = [r["feature"] for r in top if r["side"] == "user"]
