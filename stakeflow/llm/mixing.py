@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from stakeflow.llm.tables import materialise, read
 
 DIMS = ("source", "lang", "topic")
-TEMPER = 0.7
+TEMPER = 0.9
 ROUNDS = 10
 #: Rounds of the fit in one job; then the table of cells is written.
 ROUNDS_PER_JOB = 2
@@ -92,9 +92,8 @@ def fit(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper: f
         # shares of the values that have tokens; one row per value moves
         held = cells.where("tokens > 0").select(F.col(dim).alias("value")).distinct()
         goal = goal.join(held, "value").withColumn("target", F.col("target").cast("double"))
-        total = goal.agg(F.sum("target").alias("all"))
-        goal = goal.crossJoin(F.broadcast(total))  # one row
-        now = now.join(goal.select(F.col("value").alias(dim), (F.col("target") / F.col("all")).alias(f"t_{dim}")), dim, "left")
+        share = F.col("target") / goal.agg(F.sum("target")).scalar()
+        now = now.join(goal.select(F.col("value").alias(dim), share.alias(f"t_{dim}")), dim, "left")
     now = materialise(now, "cells")
     for done in range(rounds):
         for dim in DIMS:
@@ -103,10 +102,9 @@ def fit(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper: f
                                  .otherwise(F.col("factor")))
         if (done + 1) % ROUNDS_PER_JOB == 0 or done + 1 == rounds:
             now = materialise(now, "fitted")
-    top = now.where("tokens > 0").agg(F.max("factor").alias("top"))
-    return (now.crossJoin(F.broadcast(top))  # one row
-            .select(*DIMS, "tokens", "factor",
-                    F.least(F.coalesce(F.col("factor") / F.col("top"), F.lit(1.0)), F.lit(1.0)).alias("probability")))
+    top = now.where("tokens > 0").agg(F.max("factor")).scalar()
+    probability = F.least(F.coalesce(F.col("factor") / top, F.lit(1.0)), F.lit(1.0))
+    return now.select(*DIMS, "tokens", "factor", probability.alias("probability"))
 
 
 def cells_of(rows: DataFrame) -> DataFrame:
