@@ -50,8 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, lang, ids, decoded, n_tokens``."""
-    path = bpe.public_path()
-    out = bpe.bpe_decode(bpe.bpe_encode(docs, path, carry=("source", "lang")), path)
+    out = bpe.bpe_round_trip(docs, bpe.public_path(), carry=("source", "lang"))
     return out.withColumn("n_tokens", F.size("ids").cast("long"))
 
 

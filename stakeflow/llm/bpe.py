@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stakeflow.llm.tables import read
+from stakeflow.llm.textnum import frugal
 
-#: Fragments and words that a worker remembers before it starts anew.
-REMEMBERED = 50_000
+#: Entries of one generation of the tables in which a worker remembers words and fragments.
+REMEMBERED = 75_000
 #: Bytes of text that become one output batch.
 BATCH_BYTES = 4 << 20
 
@@ -50,16 +51,22 @@ def byte_symbols() -> list[str]:
 
 
 class _Memo(dict):
-    """A table filled on demand and emptied when it holds ``REMEMBERED`` entries."""
+    """A table filled on demand.  At ``REMEMBERED`` entries it becomes the old generation and a new
+    one begins; what is asked for again moves over, so frequent entries stay."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.old: dict = {}
 
     def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= REMEMBERED:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
@@ -181,10 +188,8 @@ def token_texts(path: str) -> pa.Array:
     return pa.array([tokens.get(i) for i in range(max(tokens) + 1)])
 
 
-def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-               carry: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, ids array<int>`` and the columns to carry, per input row."""
-
+def _encode_batches(tokenizer_path: str):
+    """Batches with ``text`` become batches with ``ids``."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(tokenizer_path)
         for batch in batches:
@@ -201,28 +206,49 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                     part = batch.slice(begin, len(held)).drop_columns(["text"])
                     yield part.append_column("ids", ids)
                     begin, held, size = i + 1, [], 0
-
-    rows = docs.select(F.col(id_col).alias("doc_id"), *carry, F.col(text_col).alias("text"))
-    return rows.mapInArrow(encode, T.StructType([*rows.drop("text").schema, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return encode
 
 
-def bpe_decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
-    """The rows with ``decoded``: the tokens' texts joined by a space (the file names no decoder)."""
-
+def _decode_batches(tokenizer_path: str):
+    """Batches with ``ids`` get ``decoded``."""
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = token_texts(tokenizer_path)
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                ids = pc.fill_null(part.column("ids"), pa.scalar([], pa.list_(pa.int32()))) \
-                    if part.column("ids").null_count else part.column("ids")
-                flat = ids.flatten()
+                ids = part.column("ids")
+                if ids.null_count:
+                    ids = pc.fill_null(ids, pa.scalar([], pa.list_(pa.int32())))
                 off = np.zeros(len(ids) + 1, np.int32)
                 np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False), out=off[1:])
-                tokens = pa.ListArray.from_arrays(pa.array(off), texts.take(flat))
+                tokens = pa.ListArray.from_arrays(pa.array(off), texts.take(ids.flatten()))
                 yield part.append_column("decoded", pc.binary_join(tokens, " "))
+    return decode
+
+
+_IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
+_DECODED = T.StructField("decoded", T.StringType())
+
 
-    return encoded.mapInArrow(decode, T.StructType([*encoded.schema, T.StructField("decoded", T.StringType())]))
+def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+               carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, ids array<int>`` and the columns to carry, per input row."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), *carry, F.col(text_col).alias("text"))
+    return rows.mapInArrow(frugal(_encode_batches(tokenizer_path)), T.StructType([*rows.drop("text").schema, _IDS]))
+
+
+def bpe_decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
+    """The rows with ``decoded``: the tokens' texts joined by a space (the file names no decoder)."""
+    return encoded.mapInArrow(frugal(_decode_batches(tokenizer_path)), T.StructType([*encoded.schema, _DECODED]))
+
+
+def bpe_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+                   carry: tuple[str, ...] = ()) -> DataFrame:
+    """``bpe_decode(bpe_encode(docs))`` with both steps in one Python worker."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), *carry, F.col(text_col).alias("text"))
+    encode, decode = _encode_batches(tokenizer_path), _decode_batches(tokenizer_path)
+    return rows.mapInArrow(frugal(lambda batches: decode(encode(batches))),
+                           T.StructType([*rows.drop("text").schema, _IDS, _DECODED]))
 
 
 def public_path(name: str = "word_bpe_49k.json") -> str:
@@ -232,7 +258,7 @@ def public_path(name: str = "word_bpe_49k.json") -> str:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_path()
-    out = bpe_decode(bpe_encode(read(spark, sf_dir, "documents"), path), path)
+    out = bpe_round_trip(read(spark, sf_dir, "documents"), path)
     return out.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -105,6 +105,7 @@ def _block_grams(order: int):
                 total[at[len(held):]] += n
                 held, counts = both, total
         block = docs.column("block")[0].as_py() if docs.num_rows else 0
+        T.release_memory()
         return pa.table({"block": np.full(len(held), block, np.int64), "code": held, "n": counts})
     return count
 
@@ -125,6 +126,7 @@ def _block_scores(order: int):
                     "n_bytes": np.diff(off), "bits": total[off[1:]] - total[off[:-1]]}))
         schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_bytes", pa.int64()),
                             ("bits", pa.float64())])
+        T.release_memory()
         return pa.concat_tables([t.cast(schema) for t in out]) if out else schema.empty_table()
     return score
 
@@ -181,7 +183,7 @@ def score_documents(docs: DataFrame, trusted: DataFrame, order: int = ORDER,
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = -(-size // BLOCK_BYTES) + 1
     blobs = (rows.withColumn("block", _block(F.col("doc_id"), n_blocks))
-             .mapInArrow(_pack, "block bigint, blob binary"))
+             .mapInArrow(T.frugal(_pack), "block bigint, blob binary"))
     known = trusted.select(_block(F.col("doc_id"), n_blocks).alias("block"), F.col("doc_id").alias("trusted_id"))
     held = materialise(
         blobs.groupBy("block").cogroup(known.groupBy("block"))
@@ -211,9 +213,8 @@ def quality(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: fl
 
     def with_limit(df: DataFrame, limits: DataFrame, name: str) -> DataFrame:
         own = limits.where("l <> '*all*'").select(F.col("l").alias("lang"), F.col(name).alias("own"))
-        every = limits.where("l = '*all*'").select(F.col(name).alias("every"))
-        return (df.join(own, "lang", "left").join(F.broadcast(every), F.lit(True), "left")  # one row
-                .withColumn(name, F.coalesce("own", "every")).drop("own", "every"))
+        every = limits.where("l = '*all*'").select(name).scalar()
+        return df.join(own, "lang", "left").withColumn(name, F.coalesce(F.col("own"), every)).drop("own")
 
     def adjust(df: DataFrame) -> DataFrame:
         return df.withColumn("adjusted_bits", (F.col("bits") + PRIOR_BYTES * F.coalesce("median", "rate"))

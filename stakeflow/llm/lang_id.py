@@ -171,7 +171,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     names=["doc_id", "held_out", "lang_pred", "score"])
 
     return (rows.select("doc_id", "held_out", "letters", "text")
-            .mapInArrow(predict, "doc_id bigint, held_out boolean, lang_pred string, score double"))
+            .mapInArrow(T.frugal(predict), "doc_id bigint, held_out boolean, lang_pred string, score double"))
 
 
 def _document_means(net: ByteCnn, data: np.ndarray, off: np.ndarray, docs: np.ndarray) -> np.ndarray:

@@ -383,18 +383,18 @@ def open_classes(rows: DataFrame, prints: DataFrame, k: int, percent: int) -> Da
     n_docs, n_tokens = prints.agg(F.count("*"), F.coalesce(F.sum("n_sampled"), F.lit(0))).first()
     none = np.zeros((0, 2), np.int64)
     token_row = "token bigint, k bigint, c int"
-    common = _common(_sample(rows, n_docs).select("text").mapInArrow(_sampled_rows(k, share, none), token_row)
+    common = _common(_sample(rows, n_docs).select("text").mapInArrow(T.frugal(_sampled_rows(k, share, none)), token_row)
                      .groupBy("token").agg(F.count("*").alias("c")))
     tasks = max(1, -(-n_tokens // ROWS_PER_TASK))
-    shared = (rows.select("text").mapInArrow(_sampled_rows(k, share, common), token_row)
-              .repartition(tasks, "token").mapInArrow(_shared_counts, "k bigint, shared bigint")
+    shared = (rows.select("text").mapInArrow(T.frugal(_sampled_rows(k, share, common)), token_row)
+              .repartition(tasks, "token").mapInArrow(T.frugal(_shared_counts), "k bigint, shared bigint")
               .groupBy("k").agg(F.sum("shared").alias("shared")))
     classes = (prints.where("k is not null and doc_id is not null").groupBy("k")
                .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("n_sampled").alias("n_sampled")))
     least = F.ceil(percent * F.col("n") / 100)
     still = (classes.join(shared, "k", "left")
              .where(F.col("n_sampled") - F.coalesce("shared", F.lit(0)) <= F.col("n") - least).select("doc_id", "k"))
-    packed = rows.where("doc_id is not null").mapInArrow(_pack, "doc_id bigint, packed binary")
+    packed = rows.where("doc_id is not null").mapInArrow(T.frugal(_pack), "doc_id bigint, packed binary")
     return packed.join(still.hint("shuffle_hash"), "doc_id")
 
 
@@ -402,16 +402,16 @@ def ordered_sets(classes: DataFrame, k: int, percent: int) -> DataFrame:
     """Sets that may link with another, as rows of ``_SET``, from ``doc_id, k, packed``."""
     tokens = classes.select("k", "packed")
     n_docs = classes.count()
-    common = _common(_sample(classes, n_docs).select("k", "packed").mapInArrow(_token_rows(k, np.zeros((0, 2), np.int64)), _TOKEN_ROW)
+    common = _common(_sample(classes, n_docs).select("k", "packed").mapInArrow(T.frugal(_token_rows(k, np.zeros((0, 2), np.int64))), _TOKEN_ROW)
                      .groupBy("token").agg(F.count("*").alias("c")))
-    tokens = tokens.mapInArrow(_token_rows(k, common), _TOKEN_ROW)
+    tokens = tokens.mapInArrow(T.frugal(_token_rows(k, common)), _TOKEN_ROW)
     # an upper bound of the tokens: two compressed bytes or more for each
     size = classes.agg(F.sum(F.octet_length("packed"))).first()[0] or 0
     tasks = max(1, -(-size // (2 * ROWS_PER_TASK)))
-    shared = tokens.where("df = 0").repartition(tasks, "token").mapInArrow(_shared_tokens, _TOKEN_ROW)
+    shared = tokens.where("df = 0").repartition(tasks, "token").mapInArrow(T.frugal(_shared_tokens), _TOKEN_ROW)
     frequent = tokens.where("df > 0")
     share = max(1, n_docs // SAMPLED_DOCS)
-    return shared.union(frequent).repartition(tasks, "k").mapInArrow(_ordered_sets(percent, share), _SET)
+    return shared.union(frequent).repartition(tasks, "k").mapInArrow(T.frugal(_ordered_sets(percent, share)), _SET)
 
 
 def ngram_join(docs: DataFrame, k: int = 4, percent: int = 85, id_col="doc_id", text_col="text",
@@ -419,7 +419,7 @@ def ngram_join(docs: DataFrame, k: int = 4, percent: int = 85, id_col="doc_id",
     """``doc_id, n_shingles, component_id`` per input row: components of the documents whose sets of
     ``k``-word shingles have Jaccard similarity ``percent`` / 100 or more."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    prints = materialise(rows.mapInArrow(_fingerprints(k, sampling(percent)),
+    prints = materialise(rows.mapInArrow(T.frugal(_fingerprints(k, sampling(percent))),
                                          "doc_id bigint, n_shingles bigint, k bigint, n_sampled bigint"), "prints")
     classes = materialise(open_classes(rows, prints, k, percent), "open_classes")
     sets = materialise(ordered_sets(classes, k, percent), "sets")

@@ -94,7 +94,7 @@ def document_stats(docs: DataFrame, id_col="doc_id", text_col="text", host_col="
     out = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"),
                       F.col(text_col).alias("text"))
     schema = f"doc_id bigint, host string, {', '.join(s + ' bigint' for s in STATS)}"
-    return out.mapInArrow(_stats, schema).withColumn("base_failed", base_failed())
+    return out.mapInArrow(T.frugal(_stats), schema).withColumn("base_failed", base_failed())
 
 
 def base_failed() -> Column:

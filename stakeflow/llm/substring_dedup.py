@@ -303,12 +303,12 @@ def broadcast_reference(rows: DataFrame, size: int) -> Reference | None:
     """Reference of the pieces that many sampled documents hold (at most sampled pieces / COMMON_IN_SAMPLE)."""
     share = max(1, rows.count() // SAMPLED_DOCS)
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
-    pieces = materialise(sample.mapInArrow(_pieces(size, None), _PIECE), "sampled_pieces")
+    pieces = materialise(sample.mapInArrow(T.frugal(_pieces(size, None)), _PIECE), "sampled_pieces")
     common = (pieces.groupBy("key", "ph").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "start", "cnt")).alias("p"))
               .where(F.col("c") >= COMMON_IN_SAMPLE).select("key", "p.*"))
     asked = common.groupBy("doc_id", "th").agg(F.collect_list(F.struct("key", "start", "cnt")).alias("asked"))
-    texts = (sample.mapInArrow(_pack, "doc_id bigint, th int, packed binary").join(asked, ["doc_id", "th"])
-             .mapInArrow(_cut_pieces(size), "key bigint, doc_id bigint, th int, start int, words binary"))
+    texts = (sample.mapInArrow(T.frugal(_pack), "doc_id bigint, th int, packed binary").join(asked, ["doc_id", "th"])
+             .mapInArrow(T.frugal(_cut_pieces(size)), "key bigint, doc_id bigint, th int, start int, words binary"))
     texts = [bytes(r["words"]) for r in texts.select("words").collect()]
     anchors = [r["key"] for r in pieces.groupBy("key").agg(F.count("*").alias("c"))
                .where(F.col("c") >= COMMON_IN_SAMPLE).select("key").collect()]
@@ -318,23 +318,23 @@ def broadcast_reference(rows: DataFrame, size: int) -> Reference | None:
 def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
     """``doc_id, th, start, cnt``: runs of ``cnt`` windows from word ``start`` on that also start earlier."""
     reference = broadcast_reference(rows, size)
-    pieces = rows.mapInArrow(_pieces(size, reference), _PIECE)
+    pieces = rows.mapInArrow(T.frugal(_pieces(size, reference)), _PIECE)
     tasks = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (24 * ROWS_PER_TASK)))
     repeats = materialise(pieces.repartition(tasks, "key").mapInArrow(
-        _repeats, "key bigint, doc_id bigint, th int, start int, cnt int, fresh boolean"), "repeats")
+        T.frugal(_repeats), "key bigint, doc_id bigint, th int, start int, cnt int, fresh boolean"), "repeats")
     asked = (repeats.where("fresh").groupBy("doc_id", "th")
              .agg(F.collect_list(F.struct("key", "start", "cnt")).alias("asked")))
-    shards = (rows.mapInArrow(_pack, "doc_id bigint, th int, packed binary").join(asked.hint("shuffle_hash"), ["doc_id", "th"])
-              .mapInArrow(_cut_pieces(size), "key bigint, doc_id bigint, th int, start int, words binary")
+    shards = (rows.mapInArrow(T.frugal(_pack), "doc_id bigint, th int, packed binary").join(asked.hint("shuffle_hash"), ["doc_id", "th"])
+              .mapInArrow(T.frugal(_cut_pieces(size)), "key bigint, doc_id bigint, th int, start int, words binary")
               .repartition(tasks, "key").sortWithinPartitions("key", "doc_id", "th", "start")
-              .mapInArrow(_shard_spans(size), _SPAN))
+              .mapInArrow(T.frugal(_shard_spans(size)), _SPAN))
     spans = repeats.where(~F.col("fresh")).select("doc_id", "th", "start", "cnt").union(shards)
     if reference is not None and len(reference.hashes):
-        places = (rows.mapInArrow(_first_places(reference), "state int, doc_id bigint, th int, start int")
+        places = (rows.mapInArrow(T.frugal(_first_places(reference)), "state int, doc_id bigint, th int, start int")
                   .groupBy("state").agg(F.min(F.struct("doc_id", "th", "start")).alias("p"))
                   .select("state", "p.*").collect())  # one row per state of the bounded automaton
         first = {r["state"]: (r["doc_id"], r["th"], r["start"]) for r in places}
-        spans = spans.union(rows.mapInArrow(_reference_spans(reference, first), _SPAN))
+        spans = spans.union(rows.mapInArrow(T.frugal(_reference_spans(reference, first)), _SPAN))
     return spans
 
 
@@ -344,9 +344,9 @@ def substring_dedup(docs: DataFrame, size: int = 20, id_col="doc_id", text_col="
                        F.col(text_col).alias("text"))
     spans = (repeated_spans(rows, size).groupBy("doc_id", "th")
              .agg(F.collect_list(F.struct("start", "cnt")).alias("spans")))
-    return (rows.mapInArrow(_pack, "doc_id bigint, th int, packed binary")
+    return (rows.mapInArrow(T.frugal(_pack), "doc_id bigint, th int, packed binary")
             .join(spans.hint("shuffle_hash"), ["doc_id", "th"], "left")
-            .mapInArrow(_remove(size), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+            .mapInArrow(T.frugal(_remove(size)), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
             .withColumn("doc_id", F.when(F.col("doc_id") != -2**63, F.col("doc_id"))))
 
 

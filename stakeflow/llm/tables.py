@@ -25,14 +25,26 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def _folder(spark: SparkSession) -> str:
+    """This application's folder of written tables in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{spark.sparkContext.applicationId}"
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete all tables that this application has written with ``materialise``; results that were not
+    written elsewhere cannot be read afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     The files survive the loss of any executor, take a column-compressed form
-    (smaller than an RDD checkpoint) and cut the lineage.
+    (smaller than an RDD checkpoint) and cut the lineage.  ``drop_written`` removes them.
     """
     spark = df.sparkSession
     _bound_batches(spark)
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

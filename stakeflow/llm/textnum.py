@@ -7,6 +7,8 @@ chunk or by the longest single text.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -76,6 +78,31 @@ def chunks(col: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.nda
         i = j
 
 
+@functools.cache
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library: nothing to call
+        return lambda _: 0
+
+
+def release_memory() -> None:
+    """Give freed memory back.  Spark keeps Python workers for the next task, and each would hold the
+    most that any of its tasks needed."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def frugal(run):
+    """A batch function that releases its memory when its task ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return wrapped
+
+
 @dataclass
 class Words:
     """Words of a run of texts: text index, byte range and 64-bit hash of each."""

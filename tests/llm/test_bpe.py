@@ -49,6 +49,7 @@ def test_rows(spark, library):
         ids = library.encode(t or "", add_special_tokens=False).ids
         want.add((i, tuple(ids), library.decode(ids, skip_special_tokens=False)))
     assert got == want
+    assert got == {(r.doc_id, tuple(r.ids), r.decoded) for r in bpe.bpe_round_trip(df.withColumn("decoded", bpe.F.lit(1)), PATH).collect()}
     assert bpe.bpe_encode(df.limit(0), PATH).count() == 0
 
 
