@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from stakeflow.functions import mappers as M
 from stakeflow.operators import stats as ST
-from stakeflow.operators.features import mode_or
 
 # fixed values: bucket edges and labels
 RECENCY_EDGES = [-1, 7, 30, 90, math.inf]

@@ -223,10 +223,5 @@ def feature_ctes(src: str, p: str = "") -> list[str]:
     return c
 
 
-def round_cols(cols, digits: int = 6) -> str:
-    """``round(c, 6) as c`` for float columns, plain names otherwise (list of (name, is_float))."""
-    return ", ".join(f"round({c}, {digits}) as {c}" if f else c for c, f in cols)
-
-
 def with_ctes(*bodies: str, final: str) -> str:
     return "with " + ",\n".join(b for b in bodies if b) + "\n" + final

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from stakeflow.functions import mappers as M
 from stakeflow.operators import analytics as A
 from stakeflow.operators import stats as ST
-from stakeflow.operators import scoring as S
 from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, rounded
 from stakeflow.plans.oracle import pipeline_ctes, sql_game_type, sql_mode

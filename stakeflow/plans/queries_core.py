@@ -10,7 +10,7 @@ from stakeflow.operators.events import enum_violations
 from stakeflow.operators.stats import positions
 from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, rounded
-from stakeflow.plans.oracle import (pipeline_ctes, sql_device, sql_entry, sql_game_type, sql_mode,
+from stakeflow.plans.oracle import (pipeline_ctes, sql_device, sql_entry, sql_game_type,
                                     sql_provider, with_ctes)
 from stakeflow.sources.fixtures import fixture_ctes
 from stakeflow.sources.ingest import load_sessions

@@ -14,7 +14,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from stakeflow.config import DEFAULT
-from stakeflow.functions import mappers as M
 from stakeflow.operators import dataset as D
 from stakeflow.operators import scoring as S
 from stakeflow.plans import stages as P

@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from stakeflow.operators import dataset as D

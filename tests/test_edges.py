@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from stakeflow.operators import dataset as D
 from stakeflow.operators import scoring as S
