@@ -30,6 +30,7 @@ they are separate documents in the order of a hash of the text; a null
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -350,6 +351,65 @@ def substring_dedup(docs: DataFrame, size: int = 20, id_col="doc_id", text_col="
             .withColumn("doc_id", F.when(F.col("doc_id") != -2**63, F.col("doc_id"))))
 
 
+#: Automata of a broadcast reference by its digest, kept for the next task of the worker.
+_SHARDS: dict[str, list[SuffixAutomaton]] = {}
+
+
+def _automata(digest: str, shards: list[list[bytes]]) -> list[SuffixAutomaton]:
+    if digest not in _SHARDS:
+        _SHARDS.clear()
+        built = []
+        for texts in shards:
+            automaton = SuffixAutomaton()
+            for text in texts:
+                automaton.add(text.split())
+            built.append(automaton)
+        _SHARDS[digest] = built
+    return _SHARDS[digest]
+
+
+def remove_reference(docs: DataFrame, reference: DataFrame, size: int = 20, max_bytes: int = 16 << 20,
+                     id_col="doc_id", text_col="text", reference_col="text") -> DataFrame:
+    """``doc_id, n_words, n_removed, kept_text``: documents without the words that a window of ``size``
+    words shares with a given reference (benchmark texts, for instance).
+
+    The reference is broadcast in shards, so its distinct texts may have ``max_bytes`` at most (checked
+    before they are collected; more is an error).  Every document is streamed through each shard's
+    automaton; nothing is shuffled."""
+    texts = reference.select(F.col(reference_col).alias("t")).where("t is not null").distinct()
+    held = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    if held > max_bytes:
+        raise ValueError(f"the reference has {held} bytes; up to {max_bytes} can be broadcast")
+    shards, words = [[]], 0
+    for text in sorted(r["t"].encode() for r in texts.collect()):
+        if words > SHARD_WORDS:
+            shards, words = [*shards, []], 0
+        shards[-1].append(text)
+        words += len(text.split())
+    digest = hashlib.md5(repr(shards).encode()).hexdigest()
+    broadcast = docs.sparkSession.sparkContext.broadcast(shards)
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automata = _automata(digest, broadcast.value)
+        for batch in batches:
+            total, removed, kept = [], [], []
+            for text in batch.column("text"):
+                words = (text.as_py() or "").encode().split()
+                gone = np.zeros(len(words), bool)
+                for automaton in automata:
+                    for start, count in _runs([s for s, _ in automaton.windows(words, size)]):
+                        gone[start:start + count + size - 1] = True
+                kept.append(b" ".join(w for w, g in zip(words, gone) if not g))
+                total.append(len(words))
+                removed.append(int(gone.sum()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
+                 pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(T.frugal(remove), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from stakeflow.llm import substring_dedup as S
 from stakeflow.llm.suffix_automaton import SuffixAutomaton
 
@@ -55,6 +57,32 @@ def test_repeated_rows_and_empty(spark):
     assert S.substring_dedup(df.limit(0)).count() == 0
 
 
+def test_given_reference(spark, monkeypatch):
+    rng = random.Random(8)
+    pool = [f"w{i}" for i in range(12)]
+    reference = [" ".join(rng.choice(pool) for _ in range(rng.randrange(60))) for _ in range(30)] + [None, "", "short one"]
+    windows = {tuple(t.split()[i:i + 6]) for t in reference if t for i in range(len(t.split()) - 5)}
+    rows = [(1, None), (2, ""), (3, "word " * 40)]
+    for i in range(40):
+        words = [rng.choice(pool) for _ in range(rng.randrange(40))]
+        words[5:5] = (rng.choice(reference) or "").split()[3:20]
+        rows.append((10 + i, "  ".join(words)))
+    want = {}
+    for i, t in rows:
+        words = (t or "").split()
+        gone = {j for k in range(len(words) - 5) if tuple(words[k:k + 6]) in windows for j in range(k, k + 6)}
+        want[i] = (len(words), len(gone), " ".join(w for j, w in enumerate(words) if j not in gone))
+    assert sum(n for _, n, _ in want.values()) > 300
+    monkeypatch.setattr(S, "SHARD_WORDS", 200)  # several shards
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id bigint, text string, n_words int")
+    refs = spark.createDataFrame([(t,) for t in reference], "text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in S.remove_reference(docs, refs, 6).collect()}
+    assert got == want
+    with pytest.raises(ValueError):
+        S.remove_reference(docs, refs, 6, max_bytes=100)
+    assert S.remove_reference(docs, refs.limit(0), 6).where("n_removed > 0").count() == 0
+
+
 def test_automaton():
     rng = random.Random(1)
     for _ in range(60):
