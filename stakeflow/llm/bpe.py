@@ -35,7 +35,7 @@ from stakeflow.llm.tables import read
 from stakeflow.llm.textnum import frugal
 
 #: Entries of one generation of the tables in which a worker remembers words and fragments.
-REMEMBERED = 75_000
+REMEMBERED = 150_000
 #: Bytes of text that become one output batch.
 BATCH_BYTES = 4 << 20
 
