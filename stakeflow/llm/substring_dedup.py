@@ -253,13 +253,16 @@ def _cut_pieces(size: int):
 
 def _shard_spans(size: int):
     """Streams the pieces of a shard, in corpus order for each anchor, through the automaton of the
-    earlier ones."""
+    earlier ones.  Equal rows of a document give each piece again: only the first counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, held, now = SuffixAutomaton(), 0, None
+        automaton, held, now, last = SuffixAutomaton(), 0, None, None
         for batch in batches:
             rows = []
             for key, doc, th, start, text in zip(*[batch.column(c).to_pylist() for c in
                                                    ("key", "doc_id", "th", "start", "words")]):
+                if (key, doc, th, start) == last:
+                    continue
+                last = key, doc, th, start
                 if key != now and held > SHARD_WORDS:
                     automaton, held = SuffixAutomaton(), 0
                 now = key

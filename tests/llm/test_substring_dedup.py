@@ -57,6 +57,22 @@ def test_repeated_rows_and_empty(spark):
     assert S.substring_dedup(df.limit(0)).count() == 0
 
 
+def test_repeated_rows_share_a_part(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (1, " ".join(words)),
+            (2, " ".join([f"a{i}" for i in range(15)] + words[20:] + [f"b{i}" for i in range(15)]))]
+    rng = random.Random(5)
+    for i in range(10, 40):
+        at = rng.randrange(30)
+        own = [f"d{i}_{j}" for j in range(25)] + words[at:at + 30] + [f"e{i % 7}_{j}" for j in range(25)]
+        rows += [(i, " ".join(own))] * rng.randrange(1, 4)
+    want = brute(dict(rows).items(), 20)
+    assert want[1][1] == 0 and want[2][1] == 40
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in S.substring_dedup(df).collect())
+    assert got == sorted((i, *want[i]) for i, _ in rows)
+
+
 def test_given_reference(spark, monkeypatch):
     rng = random.Random(8)
     pool = [f"w{i}" for i in range(12)]
