@@ -4,8 +4,10 @@ The model is trained on trusted text (labelled good and not toxic; nine tenths
 of it by hash, the rest calibrates).  All counts are rows sharded by n-gram:
 raw counts for the highest order, continuation counts below, discounts from
 the counts of counts, and one join per order for the interpolated probability
-of every n-gram that the documents hold.  Each document's perplexity is then
-held against its language's quantile of the calibration documents.
+of every n-gram that the documents hold.  Two scores of each document are then
+held against its language's quantiles of the calibration documents: its mean
+bits a byte, and the mean bits a byte of its worst word, which a few insults in
+otherwise clean text do not hide from.
 
 Texts move as compressed blocks of about ``BLOCK_BYTES``, dealt by a hash of
 ``doc_id``: once to meet the labels and give their n-grams, once to meet the
@@ -14,8 +16,10 @@ probabilities of just the n-grams that the block holds.  What is gathered
 hand, and a byte context has at most 256 continuations, so no shard is hot.
 
 Defined results: a null or empty text has no perplexity and is not kept; a
-language without calibration documents (null included) takes the limit of all
-languages together; without trusted text every text with bytes is kept; a
+language without calibration documents (null included) takes the limits of all
+languages together, one with too few for the quantile (under 1 / (1 - quantile))
+its own median plus that quantile of all documents' distances from their
+language's median; a text without long words has 0 bits in its worst word; without trusted text every text with bytes is kept; a
 ``doc_id`` labelled both ways is not trusted; rows repeating a ``doc_id`` are
 separate rows; other columns of the input are ignored.
 """
@@ -37,9 +41,8 @@ ORDER = 4
 BLOCK_BYTES = 16 << 20
 #: Share of the calibration documents of a language that its limit accepts.
 QUANTILE = 0.995
-#: Few calibration documents give that quantile too low: the limit is at least
-#: the median plus so many times the distance from median to 0.9 quantile.
-SPREAD = 4.0
+#: Shorter words (bytes) are left out of a document's worst word.
+WORD_BYTES = 4
 #: A text's bits per byte count with so many bytes at its language's median, so
 #: that a few words alone do not condemn it.
 PRIOR_BYTES = 100
@@ -121,11 +124,17 @@ def _block_scores(order: int):
                 total = np.zeros(len(data) + 1)
                 if len(data):
                     np.cumsum(bits[np.searchsorted(code, gram_codes(data, off, order))], out=total[1:])
+                w = T.words(data, off)
+                long = w.end - w.start >= WORD_BYTES
+                start, end = w.start[long], w.end[long]
+                worst = np.zeros(j - i)
+                np.maximum.at(worst, w.doc[long], (total[end] - total[start]) / (end - start))
                 out.append(pa.table({
                     "doc_id": batch.column("doc_id").slice(i, j - i), "lang": batch.column("lang").slice(i, j - i),
-                    "n_bytes": np.diff(off), "bits": total[off[1:]] - total[off[:-1]]}))
+                    "n_bytes": np.diff(off), "bits": total[off[1:]] - total[off[:-1]],
+                    "word_bits": worst}))
         schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_bytes", pa.int64()),
-                            ("bits", pa.float64())])
+                            ("bits", pa.float64()), ("word_bits", pa.float64())])
         T.release_memory()
         return pa.concat_tables([t.cast(schema) for t in out]) if out else schema.empty_table()
     return score
@@ -176,7 +185,8 @@ def probabilities(grams: DataFrame, order: int = ORDER) -> DataFrame:
 
 def score_documents(docs: DataFrame, trusted: DataFrame, order: int = ORDER,
                     id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
-    """``doc_id, lang, n_bytes, bits`` per row; ``bits`` is the text's whole code length.
+    """``doc_id, lang, n_bytes, bits, word_bits`` per row; ``bits`` is the text's whole code length,
+    ``word_bits`` the mean bits a byte of its worst word of ``WORD_BYTES`` or more.
 
     ``trusted`` has one ``doc_id`` per document to train on."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
@@ -192,24 +202,26 @@ def score_documents(docs: DataFrame, trusted: DataFrame, order: int = ORDER,
     bits = probabilities(grams, order).select("code", (-F.log2("p")).alias("bits"))
     slices = held.select("block", "code").join(bits, "code").select("block", "code", "bits")
     return (blobs.groupBy("block").cogroup(slices.groupBy("block"))
-            .applyInArrow(_block_scores(order), "doc_id bigint, lang string, n_bytes bigint, bits double"))
+            .applyInArrow(_block_scores(order), "doc_id bigint, lang string, n_bytes bigint, bits double, word_bits double"))
 
 
 def quality(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE,
             id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
-    """``doc_id, lang, n_bytes, perplexity, adjusted_bits, limit_bits, kept`` per row of ``docs``."""
+    """``doc_id, lang, n_bytes, perplexity, adjusted_bits, limit_bits, word_bits, word_limit_bits, kept``
+    per row of ``docs``."""
     trusted = (labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"))
                .where("q = 1 and t = 0 and doc_id is not null")
                .select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(10)) == 0).alias("held")))
     scores = materialise(score_documents(docs, trusted.where(~F.col("held")), order, id_col, text_col, lang_col),
                          "scores").withColumn("rate", F.col("bits") / F.when(F.col("n_bytes") > 0, F.col("n_bytes")))
     calibration = scores.where("n_bytes > 0").join(trusted.where("held").select("doc_id"), "doc_id", "left_semi")
-    calibration = materialise(calibration.select("lang", "n_bytes", "bits", "rate"), "calibration")
+    calibration = materialise(calibration.select("lang", "n_bytes", "bits", "rate", "word_bits"), "calibration")
 
     def by_lang(df: DataFrame, value: str, **shares: float) -> DataFrame:
         """Quantiles for each language and, in the row ``*all*``, for all together."""
         every = df.select(F.explode(F.array("lang", F.lit("*all*"))).alias("l"), value).where("l is not null")
-        return every.groupBy("l").agg(*[F.percentile_approx(value, q, 10_000).alias(n) for n, q in shares.items()])
+        return every.groupBy("l").agg(F.count(value).alias("n"),
+                                      *[F.percentile_approx(value, q, 10_000).alias(n) for n, q in shares.items()])
 
     def with_limit(df: DataFrame, limits: DataFrame, name: str) -> DataFrame:
         own = limits.where("l <> '*all*'").select(F.col("l").alias("lang"), F.col(name).alias("own"))
@@ -221,13 +233,23 @@ def quality(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: fl
                              / (F.col("n_bytes") + PRIOR_BYTES))
 
     medians = materialise(by_lang(calibration, "rate", median=0.5), "medians")
-    spread = by_lang(adjust(with_limit(calibration, medians, "median")), "adjusted_bits", mid=0.5, high=0.9, top=quantile)
-    limits = materialise(spread.select("l", F.greatest("top", F.col("mid") + SPREAD * (F.col("high") - F.col("mid")))
-                                       .alias("limit_bits")), "limits")
-    judged = with_limit(adjust(with_limit(scores, medians, "median")), limits, "limit_bits")
+    adjusted = materialise(adjust(with_limit(calibration, medians, "median")).select("lang", "adjusted_bits", "word_bits"),
+                           "adjusted")
+
+    def limits(value: str, name: str) -> DataFrame:
+        own = materialise(by_lang(adjusted, value, mid=0.5, top=quantile), f"quantiles_{value}")
+        distance = with_limit(adjusted, own, "mid").agg(
+            F.percentile_approx(F.col(value) - F.col("mid"), quantile, 10_000).alias("d")).scalar()
+        enough = (F.col("l") == "*all*") | (F.col("n") * (1 - quantile) >= 1)
+        return materialise(own.select("l", F.when(enough, F.col("top")).otherwise(F.col("mid") + distance).alias(name)), name)
+
+    judged = with_limit(adjust(with_limit(scores, medians, "median")), limits("adjusted_bits", "limit_bits"), "limit_bits")
+    judged = with_limit(judged, limits("word_bits", "word_limit_bits"), "word_limit_bits")
     return judged.select(
         "doc_id", "lang", "n_bytes", F.pow(F.lit(2.0), "rate").alias("perplexity"), "adjusted_bits", "limit_bits",
-        ((F.col("n_bytes") > 0) & F.coalesce(F.col("adjusted_bits") <= F.col("limit_bits"), F.lit(True))).alias("kept"))
+        "word_bits", "word_limit_bits",
+        ((F.col("n_bytes") > 0) & F.coalesce(F.col("adjusted_bits") <= F.col("limit_bits"), F.lit(True))
+         & F.coalesce(F.col("word_bits") <= F.col("word_limit_bits"), F.lit(True))).alias("kept"))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

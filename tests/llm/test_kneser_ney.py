@@ -66,6 +66,15 @@ def test_verdicts(spark):
     assert sum(good) / len(good) >= 0.97 and sum(bad) / len(bad) <= 0.1
 
 
+def test_toxic_and_clean_apart(spark):
+    got = {r.doc_id: r for r in K.op5_quality_classifier(spark, SF).collect()}
+    labels = [(r.toxic, got[r.doc_id].kept) for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.quality == 1]
+    caught = [not kept for toxic, kept in labels if toxic == 1]
+    lost = [not kept for toxic, kept in labels if toxic == 0]
+    print(f"toxic caught {sum(caught)} of {len(caught)}, clean lost {sum(lost)} of {len(lost)}")
+    assert sum(caught) / len(caught) >= 0.6 and sum(lost) / len(lost) <= 0.03
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, None), (2, "", "en"), (3, "some text", "en"), (None, "no id", "en")],
                                  "doc_id bigint, text string, lang string")
