@@ -16,8 +16,7 @@ def library():
 
 
 def ids_of(text):
-    import numpy as np
-    return np.frombuffer(bpe.vocabulary(PATH).encode(text), np.int32).tolist()
+    return bpe.vocabulary(PATH).encode(text)
 
 
 CASES = ["", " ", "Hello, World's 123 don't", "<|endoftext|>x <|startoftext|>", "a<|b|>", "ΑΣ Σ ΟΔΟΣ",
@@ -34,9 +33,9 @@ def test_cases(library, text):
 def test_random_texts(library):
     rng = random.Random(5)
     pools = [range(32, 127), range(160, 400), range(0x370, 0x530), range(0x3040, 0x30ff), range(0x1f300, 0x1f340),
-             range(0, 32), range(0x300, 0x320)]
+             range(0, 32), range(0x300, 0x320), range(0x10000, 0x20000), range(0xe000, 0x10000)]
     for _ in range(400):
-        text = "".join(chr(rng.choice(pools[min(int(rng.expovariate(0.7)), 6)])) for _ in range(rng.randrange(60)))
+        text = "".join(chr(rng.choice(pools[min(int(rng.expovariate(0.5)), 8)])) for _ in range(rng.randrange(60)))
         assert ids_of(text) == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
@@ -53,9 +52,36 @@ def test_rows(spark, library):
     assert bpe.bpe_encode(df.limit(0), PATH).count() == 0
 
 
+def test_every_code_point(library):
+    texts = [f"a{chr(c)}b {chr(c)}" for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    ids, count = bpe.vocabulary(PATH).encode_batch(texts)
+    off = [0, *count.cumsum().tolist()]
+    ids = ids.tolist()
+    wrong = [t for t, want, i, j in zip(texts, library.encode_batch(texts, add_special_tokens=False), off, off[1:]) if want.ids != ids[i:j]]
+    assert not wrong
+
+
+def test_batches_forget_and_agree(library, monkeypatch):
+    """The table of known words is bounded; special tokens keep their places."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    v = bpe.BpeVocabulary(PATH)
+    for texts in (["one two", "", "three <|endoftext|> four"], ["five six seven eight", "one <|startoftext|>one"], [], ["two"]):
+        ids, count = v.encode_batch(texts)
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert count.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+        assert len(v.known) <= 12
+
+
+def test_long_fragments(library):
+    rng = random.Random(3)
+    for text in ("the" * 400, "x" * 1001, "".join(rng.choice("thesandig") for _ in range(3000)), "漢字" * 700, "á" * 300 + "b"):
+        assert ids_of(text) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_forced_boundaries_change_nothing():
     v = bpe.vocabulary(PATH)
     word = "zqxjthekwvqzñçthing".encode()
     assert len(v.cuts(word)) > 1
-    joined = [i for f in v.cuts(word)[:-1] for i in v.pieces[f, False]] + v.pieces[v.cuts(word)[-1], True]
-    assert joined == v._encode_piece((word, True))
+    symbols = v.inner[list(word)].tolist()
+    symbols[-1] = int(v.final[word[-1]])
+    assert v.encode_words([word])[0].tolist() == v.merge_long(symbols)
