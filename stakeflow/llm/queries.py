@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeflow.llm import bpe, html_extract, kneser_ney, lang_id, lattice_dedup, line_dedup, mixing, ngram_join, quality_rules, substring_dedup
+from stakeflow.llm import best_fit_packing, bpe, hard_negatives, html_extract, kneser_ney, lang_id, lattice_dedup, line_dedup, mixing, ngram_join, quality_rules, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -19,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": lang_id.op8_language_id,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_bpe": bpe.op10_bpe,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_best_fit_packing": best_fit_packing.op12_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -28,4 +30,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_lattice_dedup": lattice_dedup.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
 }
