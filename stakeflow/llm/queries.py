@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeflow.llm import best_fit_packing, bpe, hard_negatives, html_extract, kneser_ney, lang_id, lattice_dedup, line_dedup, mixing, ngram_join, quality_rules, substring_dedup
+from stakeflow.llm import ball_tree_search, best_fit_packing, bpe, hard_negatives, html_extract, kneser_ney, lang_id, lattice_dedup, line_dedup, mixing, ngram_join, quality_rules, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe": bpe.op10_bpe,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_best_fit_packing": best_fit_packing.op12_best_fit_packing,
+    "op13_lexical_search": ball_tree_search.op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -31,4 +32,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_mixing": mixing.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
     "op11_hard_negatives": hard_negatives.ORACLE,
+    "op13_lexical_search": ball_tree_search.ORACLE,
 }

@@ -128,11 +128,12 @@ class Words:
         return at, mix(h[at])
 
 
-def words(data: np.ndarray, off: np.ndarray) -> Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of the texts ``data[off[i]:off[i + 1]]``."""
+def words(data: np.ndarray, off: np.ndarray, separators: np.ndarray = IS_SEP) -> Words:
+    """Maximal runs of bytes that are no separators (``[^\\x20\\x09-\\x0D]+``, unless others are given)
+    in the texts ``data[off[i]:off[i + 1]]``."""
     n = len(data)
     token = np.zeros(n + 1, bool)
-    token[:n] = ~IS_SEP[data]
+    token[:n] = ~separators[data]
     before = np.zeros(n + 1, bool)
     before[1:] = token[:n]
     before[off[:-1]] = False  # a text starts anew
