@@ -24,8 +24,9 @@ Texts move compressed, twice.  Pieces compare by 128-bit hashes.
 
 Defined results: a null text has no words; rows repeating a ``doc_id`` with
 equal text are one document and each gets the same result, with other texts
-they are separate documents in the order of a hash of the text; a null
-``doc_id`` comes before all others; other columns of the input are ignored.
+they are separate documents in the order of a 64-bit hash of the text (which
+also tells them apart; it plays no part where ids are unique); a null ``doc_id``
+comes before all others; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -46,6 +47,9 @@ from stakeflow.llm.tables import materialise, read
 
 SAMPLED_DOCS = 16_384
 COMMON_IN_SAMPLE = 32
+#: Text of the broadcast reference, and anchors known to be common, at most.
+REFERENCE_BYTES = 2 << 20
+COMMON_ANCHORS = 500_000
 #: Piece rows that one task sorts in memory.
 ROWS_PER_TASK = 500_000
 #: Words of references that one shard's automaton holds at once (single anchors may exceed it).
@@ -122,7 +126,7 @@ def _pieces(size: int, reference: Reference | None):
     return run
 
 
-_PIECE = "key bigint, ph bigint, doc_id bigint, th int, start int, cnt int"
+_PIECE = "key bigint, ph bigint, doc_id bigint, th bigint, start int, cnt int"
 
 
 def _reference_windows(reference: Reference):
@@ -164,7 +168,7 @@ def _first_places(reference: Reference):
             if first:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(first), pa.int32()), *[pa.array([p[c] for p in first.values()], t)
-                     for c, t in enumerate((pa.int64(), pa.int32(), pa.int32()))]],
+                     for c, t in enumerate((pa.int64(), pa.int64(), pa.int32()))]],
                     names=["state", "doc_id", "th", "start"])
     return run
 
@@ -192,12 +196,12 @@ def _reference_spans(reference: Reference, first: dict[int, tuple]):
                 rows += [(ids[row], ths[row], s, n) for s, n in _runs(later)]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.int32()))],
+                    [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
                     names=["doc_id", "th", "start", "cnt"])
     return run
 
 
-_SPAN = "doc_id bigint, th int, start int, cnt int"
+_SPAN = "doc_id bigint, th bigint, start int, cnt int"
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +250,7 @@ def _cut_pieces(size: int):
                     out["start"].append(piece["start"])
                     out["words"].append(b" ".join(words[piece["start"]:piece["start"] + piece["cnt"] + size - 1]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["key"], pa.int64()), pa.array(out["doc_id"], pa.int64()), pa.array(out["th"], pa.int32()),
+                [pa.array(out["key"], pa.int64()), pa.array(out["doc_id"], pa.int64()), pa.array(out["th"], pa.int64()),
                  pa.array(out["start"], pa.int32()), pa.array(out["words"], pa.binary())], names=list(out))
     return run
 
@@ -274,7 +278,7 @@ def _shard_spans(size: int):
                     held += len(words)
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.int32()))],
+                    [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
                     names=["doc_id", "th", "start", "cnt"])
     return run
 
@@ -303,19 +307,33 @@ def _remove(size: int):
     return run
 
 
+def _up_to(rows: DataFrame, measure, weight, limit: int, largest: bool = False) -> DataFrame:
+    """The rows of the smallest (``largest``: the largest) measures whose weights add up to ``limit`` at most,
+    cut between two powers of two: one row per power reaches the driver."""
+    power = F.floor(F.log2(measure)).cast("int")
+    held, cut = 0, None
+    for r in rows.groupBy(power.alias("p")).agg(F.sum(weight).alias("w")).orderBy(F.desc("p") if largest else "p").collect():
+        held += r.w
+        if held > limit:
+            cut = r.p
+            break
+    return rows if cut is None else rows.where(power > cut if largest else power < cut)
+
+
 def broadcast_reference(rows: DataFrame, size: int) -> Reference | None:
-    """Reference of the pieces that many sampled documents hold (at most sampled pieces / COMMON_IN_SAMPLE)."""
+    """Reference of the pieces that many sampled documents hold, within its bounds."""
     share = max(1, rows.count() // SAMPLED_DOCS)
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
+    sample = rows.where(F.pmod(F.xxhash64("doc_id", "th"), F.lit(share)) == 0)
     pieces = materialise(sample.mapInArrow(T.frugal(_pieces(size, None)), _PIECE), "sampled_pieces")
     common = (pieces.groupBy("key", "ph").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "start", "cnt")).alias("p"))
               .where(F.col("c") >= COMMON_IN_SAMPLE).select("key", "p.*"))
     asked = common.groupBy("doc_id", "th").agg(F.collect_list(F.struct("key", "start", "cnt")).alias("asked"))
-    texts = (sample.mapInArrow(T.frugal(_pack), "doc_id bigint, th int, packed binary").join(asked, ["doc_id", "th"])
-             .mapInArrow(T.frugal(_cut_pieces(size)), "key bigint, doc_id bigint, th int, start int, words binary"))
-    texts = [bytes(r["words"]) for r in texts.select("words").collect()]
-    anchors = [r["key"] for r in pieces.groupBy("key").agg(F.count("*").alias("c"))
-               .where(F.col("c") >= COMMON_IN_SAMPLE).select("key").collect()]
+    texts = materialise(sample.mapInArrow(T.frugal(_pack), "doc_id bigint, th bigint, packed binary").join(asked, ["doc_id", "th"])
+                        .mapInArrow(T.frugal(_cut_pieces(size)), "key bigint, doc_id bigint, th bigint, start int, words binary")
+                        .select("words").distinct(), "common_pieces")
+    texts = [bytes(r["words"]) for r in _up_to(texts, F.octet_length("words"), F.octet_length("words"), REFERENCE_BYTES).collect()]
+    anchors = materialise(pieces.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") >= COMMON_IN_SAMPLE), "common_anchors")
+    anchors = [r["key"] for r in _up_to(anchors, F.col("c"), F.lit(1), COMMON_ANCHORS, largest=True).collect()]
     return Reference(texts, anchors, size) if anchors else None
 
 
@@ -325,16 +343,16 @@ def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
     pieces = rows.mapInArrow(T.frugal(_pieces(size, reference)), _PIECE)
     tasks = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (24 * ROWS_PER_TASK)))
     repeats = materialise(pieces.repartition(tasks, "key").mapInArrow(
-        T.frugal(_repeats), "key bigint, doc_id bigint, th int, start int, cnt int, fresh boolean"), "repeats")
+        T.frugal(_repeats), "key bigint, doc_id bigint, th bigint, start int, cnt int, fresh boolean"), "repeats")
     asked = (repeats.where("fresh").groupBy("doc_id", "th")
              .agg(F.collect_list(F.struct("key", "start", "cnt")).alias("asked")))
-    shards = (rows.mapInArrow(T.frugal(_pack), "doc_id bigint, th int, packed binary").join(asked.hint("shuffle_hash"), ["doc_id", "th"])
-              .mapInArrow(T.frugal(_cut_pieces(size)), "key bigint, doc_id bigint, th int, start int, words binary")
+    shards = (rows.mapInArrow(T.frugal(_pack), "doc_id bigint, th bigint, packed binary").join(asked.hint("shuffle_hash"), ["doc_id", "th"])
+              .mapInArrow(T.frugal(_cut_pieces(size)), "key bigint, doc_id bigint, th bigint, start int, words binary")
               .repartition(tasks, "key").sortWithinPartitions("key", "doc_id", "th", "start")
               .mapInArrow(T.frugal(_shard_spans(size)), _SPAN))
     spans = repeats.where(~F.col("fresh")).select("doc_id", "th", "start", "cnt").union(shards)
     if reference is not None and len(reference.hashes):
-        places = (rows.mapInArrow(T.frugal(_first_places(reference)), "state int, doc_id bigint, th int, start int")
+        places = (rows.mapInArrow(T.frugal(_first_places(reference)), "state int, doc_id bigint, th bigint, start int")
                   .groupBy("state").agg(F.min(F.struct("doc_id", "th", "start")).alias("p"))
                   .select("state", "p.*").collect())  # one row per state of the bounded automaton
         first = {r["state"]: (r["doc_id"], r["th"], r["start"]) for r in places}
@@ -344,11 +362,11 @@ def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
 
 def substring_dedup(docs: DataFrame, size: int = 20, id_col="doc_id", text_col="text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` per input row."""
-    rows = docs.select(F.coalesce(F.col(id_col), F.lit(-2**63)).alias("doc_id"), F.hash(F.col(text_col)).alias("th"),
+    rows = docs.select(F.coalesce(F.col(id_col), F.lit(-2**63)).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"),
                        F.col(text_col).alias("text"))
     spans = (repeated_spans(rows, size).groupBy("doc_id", "th")
              .agg(F.collect_list(F.struct("start", "cnt")).alias("spans")))
-    return (rows.mapInArrow(T.frugal(_pack), "doc_id bigint, th int, packed binary")
+    return (rows.mapInArrow(T.frugal(_pack), "doc_id bigint, th bigint, packed binary")
             .join(spans.hint("shuffle_hash"), ["doc_id", "th"], "left")
             .mapInArrow(T.frugal(_remove(size)), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
             .withColumn("doc_id", F.when(F.col("doc_id") != -2**63, F.col("doc_id"))))

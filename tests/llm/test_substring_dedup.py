@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from stakeflow.llm import substring_dedup as S
 from stakeflow.llm.suffix_automaton import SuffixAutomaton
@@ -73,6 +74,37 @@ def test_repeated_rows_share_a_part(spark):
     assert got == sorted((i, *want[i]) for i, _ in rows)
 
 
+def test_rows_of_one_id_with_colliding_short_hashes(spark):
+    """Texts of one id differ although their 32-bit hashes are equal."""
+    words = " ".join(f"w{i}" for i in range(5, 30))
+    texts = spark.range(300_000).selectExpr(f"concat('n', id, ' {words} end tail more last') as t")
+    pair = texts.groupBy(F.hash("t")).agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").first()
+    other = " ".join(f"z{i}" for i in range(30))
+    for doc in (7, None):
+        rows = [(doc, pair.a), (doc, other), (9, pair.b)]
+        got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in S.substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+        assert got == [(doc or 0, 30, 0), (doc or 0, 30, 0), (9, 30, 29)]
+    rows = [(7, pair.a), (7, pair.b)]
+    got = sorted((r.n_words, r.n_removed) for r in S.substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == [(30, 0), (30, 29)]
+
+
+def test_bounds_of_the_broadcast_reference(spark, monkeypatch):
+    rng = random.Random(11)
+    shared = [" ".join(rng.choice("abcdefgh") + rng.choice("abcdefgh") for _ in range(25 + 10 * i)) for i in range(6)]
+    rows = [(i, f"x{i} {shared[i % 6]} y{i} {shared[(i * 5 + 1) % 6]}") for i in range(150)]
+    monkeypatch.setattr(S, "COMMON_IN_SAMPLE", 4)
+    prepared = spark.createDataFrame([(d, d, t) for d, t in rows], "doc_id bigint, th bigint, text string")
+    whole = S.broadcast_reference(prepared, 20)
+    held = sum(len(t.encode()) for t in shared)
+    for reference_bytes, anchors in ((held // 2, 10**6), (0, 3), (10**6, 0)):
+        monkeypatch.setattr(S, "REFERENCE_BYTES", reference_bytes)
+        monkeypatch.setattr(S, "COMMON_ANCHORS", anchors)
+        small = S.broadcast_reference(prepared, 20)
+        assert small is None or (len(small.anchors) <= anchors and len(small.hashes) <= len(whole.hashes) * (reference_bytes > 0))
+        check(spark, rows)
+
+
 def test_given_reference(spark, monkeypatch):
     rng = random.Random(8)
     pool = [f"w{i}" for i in range(12)]
