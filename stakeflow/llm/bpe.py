@@ -168,80 +168,89 @@ class BpeVocabulary:
                 heapq.heappush(heap, (s, h))
         return [x for x in ids if x >= 0]
 
-    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, number of ids of each); no word is empty."""
-        raw = np.frombuffer(b"".join(words), np.uint8)
-        length = np.fromiter(map(len, words), np.int64, len(words))
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each); no word is empty or holds a line feed."""
+        raw = np.frombuffer("\n".join([*words, ""]).encode(), np.uint8)
+        line = raw == 10
+        length = np.diff(np.append(-1, np.flatnonzero(line))) - 1
+        raw = raw[~line]
         last = np.cumsum(length) - 1
         ids = self.inner[raw]
         ids[last] = self.final[raw[last]]
-        word = np.repeat(np.arange(len(words)), length)
         # a fragment ends with its word or at a forced boundary
-        ends = np.append(~self.joined[raw[:-1], raw[1:]], True)
+        ends = np.append(~self.joined[raw[:-1], raw[1:]], True)[:len(raw)]
         ends[last] = True
         part = np.cumsum(ends) - ends
         size = np.bincount(part)
-        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         at = np.arange(len(raw))
+        done: list[tuple[np.ndarray, np.ndarray]] = [(at[:0], ids[:0])]
         first = np.cumsum(size) - size
         for f in np.flatnonzero(size > LONG):
             own = np.array(self.merge_long(ids[first[f]:first[f] + size[f]].tolist()), np.int64)
-            done.append((first[f] + np.arange(len(own)), own, np.full(len(own), word[first[f]])))
-        keep = (size <= LONG)[part]
-        at, ids, part, word = at[keep], ids[keep], part[keep], word[keep]
-        if len(ids):
-            inside = np.append(part[1:] == part[:-1], False)
-            step = np.full(len(ids), NONE)
-            i = np.flatnonzero(inside)
-            step[i] = self._step_of(ids[i], ids[i + 1])
+            done.append((first[f] + np.arange(len(own)), own))
+        short = np.flatnonzero((size <= LONG)[part])
+        at, ids, part = at[short], ids[short], part[short]
+        step = np.full(len(ids), NONE)  # of each symbol with the next one of its fragment
+        i = np.flatnonzero(part[1:] == part[:-1])
+        step[i] = self._step_of(ids[i], ids[i + 1])
         while len(ids):
             new = np.append(True, part[1:] != part[:-1])
-            least = np.minimum.reduceat(step, np.flatnonzero(new))
-            lowest = least[np.cumsum(new) - 1]
-            over = lowest == NONE
-            if over.any():
-                done.append((at[over], ids[over], word[over]))
-                at, ids, part, word, step, lowest = (x[~over] for x in (at, ids, part, word, step, lowest))
-                if not len(ids):
-                    break
-            hit = step == lowest
+            lowest = np.minimum.reduceat(step, np.flatnonzero(new))[np.cumsum(new) - 1]
+            i = np.flatnonzero((step == lowest) & (step != NONE))
             # in a run such as aaa the pairs overlap: every other one merges, from the left
-            i = np.flatnonzero(hit)
-            run = np.append(True, np.diff(i) > 1)
-            offset = np.arange(len(i)) - np.maximum.accumulate(np.where(run, np.arange(len(i)), 0))
-            i = i[offset % 2 == 0]
+            if (ids[i] == ids[np.minimum(i + 1, len(ids) - 1)]).any():
+                run = np.append(True, np.diff(i) > 1)
+                nth = np.arange(len(i))
+                i = i[(nth - np.maximum.accumulate(np.where(run, nth, 0))) % 2 == 0]
+            over = lowest == NONE
+            done.append((at[over], ids[over]))
             ids[i] = step[i] & 0xFFFFFFFF
-            gone = np.zeros(len(ids), bool)
-            gone[i + 1] = True
+            stay = ~over
+            stay[i + 1] = False
             stale = np.zeros(len(ids), bool)
             stale[i] = True
-            at, ids, part, word, step, stale = (x[~gone] for x in (at, ids, part, word, step, stale))
+            keep = np.flatnonzero(stay)
+            at, ids, part, step, stale = at[keep], ids[keep], part[keep], step[keep], stale[keep]
             stale[:-1] |= stale[1:]
             j = np.flatnonzero(stale)
             step[j] = NONE
             j = j[j < len(ids) - 1]
             j = j[part[j] == part[j + 1]]
             step[j] = self._step_of(ids[j], ids[j + 1])
-        if not done:
-            return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
-        at, ids, word = (np.concatenate(x) for x in zip(*done))
-        return ids[np.argsort(at)].astype(np.int32), np.bincount(word, minlength=len(words))
+        at, ids = (np.concatenate(x) for x in zip(*done))
+        of = np.zeros(len(raw), bool)
+        of[at] = True
+        out = np.zeros(len(raw), np.int32)
+        out[at] = ids
+        total = np.append(0, np.cumsum(of))
+        return out[of], total[last + 1] - total[last + 1 - length]
+
+    def _add(self, keys: list[str], flat: np.ndarray, count: np.ndarray) -> None:
+        self.known.update(zip(keys, range(len(self.known), len(self.known) + len(keys))))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(count)])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def _ids_of(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of entries of the table."""
+        first = self.first[number]
+        size = self.first[number + 1] - first
+        end = np.cumsum(size)
+        return self.flat[np.arange(end[-1] if len(end) else 0) + np.repeat(first - (end - size), size)], size
 
     def _learn(self, chunks: list[str]) -> None:
-        """Give the ids of runs of text without white space to the table."""
-        words, of = [], []
-        for k, chunk in enumerate(chunks):
-            if chunk.isascii():
-                parts = [chunk] if chunk.isalpha() else self.pre_token.findall(chunk)
-            else:
-                parts = self.pre_token.findall(chunk.translate(LOWER) if _RARE.search(chunk) else chunk)
-            words += parts
-            of += [k] * len(parts)
-        flat, count = self.encode_words([w.encode() for w in words])
-        total = np.bincount(np.array(of, np.int64), count, len(chunks)).astype(np.int64)
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks))))
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(total)])
-        self.flat = np.concatenate([self.flat, flat])
+        """Give the ids of runs of text without white space to the table: words first, then what holds several."""
+        mixed = [c for c in chunks if not c.isalpha()]
+        parts = [self.pre_token.findall(c if c.isascii() or not _RARE.search(c) else c.translate(LOWER)) for c in mixed]
+        words = dict.fromkeys(c for c in chunks if c.isalpha())
+        words.update(dict.fromkeys(itertools.chain.from_iterable(parts)))
+        words = [w for w in words if w not in self.known]
+        self._add(words, *self.encode_words(words))
+        left = [k for k, (c, p) in enumerate(zip(mixed, parts)) if p != [c]]
+        number = [self.known[w] for k in left for w in parts[k]]
+        ids, size = self._ids_of(np.array(number, np.int64))
+        per = np.fromiter((len(parts[k]) for k in left), np.int64, len(left))
+        total = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(per))]
+        self._add([mixed[k] for k in left], ids, np.diff(total))
 
     def _plain(self, text: str) -> list[str]:
         """The runs of ``text`` without white space, after normalisation."""
@@ -265,15 +274,14 @@ class BpeVocabulary:
         parts = [self._parts(t) for t in texts]
         chunks = list(itertools.chain.from_iterable(parts))
         per_text = np.fromiter(map(len, parts), np.int64, len(parts))
-        number = np.fromiter(map(self.known.get, chunks, itertools.repeat(-1)), np.int64, len(chunks))
-        unknown = np.flatnonzero(number < 0)
-        if len(unknown):
-            self._learn(list(dict.fromkeys(map(chunks.__getitem__, unknown.tolist()))))
-            number[unknown] = [self.known[chunks[i]] for i in unknown.tolist()]
-        first, size = self.first[number], self.first[number + 1] - self.first[number]
-        end = np.cumsum(size)
-        ids = self.flat[np.repeat(first - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
-        total = np.append(0, end)[np.append(0, np.cumsum(per_text))]
+        distinct = dict.fromkeys(chunks)
+        unknown = [c for c in distinct if c not in self.known]
+        if unknown:
+            self._learn(unknown)
+        distinct.update(zip(distinct, map(self.known.__getitem__, list(distinct))))
+        number = np.fromiter(map(distinct.__getitem__, chunks), np.int64, len(chunks))
+        ids, size = self._ids_of(number)
+        total = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(per_text))]
         if len(self.known) > REMEMBERED:
             self._forget()
         return ids, np.diff(total)

@@ -84,4 +84,4 @@ def test_forced_boundaries_change_nothing():
     assert len(v.cuts(word)) > 1
     symbols = v.inner[list(word)].tolist()
     symbols[-1] = int(v.final[word[-1]])
-    assert v.encode_words([word])[0].tolist() == v.merge_long(symbols)
+    assert v.encode_words([word.decode()])[0].tolist() == v.merge_long(symbols)
