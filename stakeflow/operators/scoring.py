@@ -3,19 +3,21 @@
 Physical plan at scale:
 * Items are a table of blocks: their dense index cuts the catalog into runs of
   ``item_block_bytes`` bytes of vectors, one row per block.
-* Users are a table of chunks of about ``CHUNK_ROWS`` rows.  Each chunk meets
-  each block through an equi-join on the block number; a joined row is one
-  matrix product in an Arrow batch, and only its best ``k`` rows, or one row
-  per positive item, leave it.  Neither side passes through the driver and no
-  user x item pair becomes a row.
-* Partial results of the blocks are merged per user (k rows per block).
+* Groups of users meet groups of blocks on a grid (``operators.grid``), both of
+  bounded size: the number of tasks grows with the users even where the catalog
+  is one block.  A task multiplies its users with one block after the other, and
+  only the best ``k`` rows per user, or one row per positive item, leave it.
+  Neither side passes through the driver and no user x item pair becomes a row.
+* Partial results of the columns of the grid are merged per user; where the
+  whole catalog fits one column, there is nothing to merge, and the scores of
+  the positives and their ranks come from one pass.
 * Scores are integers of 6 decimal digits before ranking, so every engine
   orders them the same; ties are broken by item id (ascending index).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,22 +26,31 @@ from pyspark.sql import functions as F
 
 from stakeflow.config import DEFAULT, Settings
 from stakeflow.functions import mappers as M
+from stakeflow.operators.grid import Grid, cogroup_on_grid, grid_for
 from stakeflow.operators.stats import dense_index, positions
 from stakeflow.session import cut_lineage
 
 SCORE_DIGITS = 6
+#: Users of one matrix product, users and blocks of one cell of the grid.
 CHUNK_ROWS = 256
+GROUP_ROWS = 16_384
+GROUP_BLOCKS = 16
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "double": pa.float64()}
+#: Below all scores; its negative exists too.
+LOWEST = -(1 << 62)
+#: Scores that one task should compute where there are more tasks than cores.
+TASK_SCORES = 200_000_000
 
 
 @dataclass
 class ItemBlocks:
-    """``table`` (block, first, ids, vecs, bias), ``index`` (gameId, idx) and the two counts."""
+    """``table`` (block, first, ids, vecs, bias), ``index`` (gameId, idx), the two counts and the bytes of all vectors."""
 
     table: DataFrame
     index: DataFrame
     n_items: int
     n_blocks: int
-    size: int
+    bytes: int
 
 
 def item_blocks(items: DataFrame, key: str = "gameId", vec: str = "embedding", bias: str | None = None,
@@ -56,7 +67,7 @@ def item_blocks(items: DataFrame, key: str = "gameId", vec: str = "embedding", b
         F.sort_array(F.collect_list(F.struct("idx", "gameId", "v", "b"))).alias("r"))  # ``size`` rows at most
     table = rows.select("block", F.col("r")[0]["idx"].alias("first"), F.col("r.gameId").alias("ids"),
                         F.flatten("r.v").alias("vecs"), F.col("r.b").alias("bias"))
-    return ItemBlocks(cut_lineage(table), index, n, max(1, -(-n // size)), size)
+    return ItemBlocks(cut_lineage(table), index, n, max(1, -(-n // size)), 8 * max(dim or 1, 1) * n)
 
 
 def _indexes(rows: DataFrame, blocks: ItemBlocks, rid: str, column: str, out: str) -> DataFrame:
@@ -65,13 +76,34 @@ def _indexes(rows: DataFrame, blocks: ItemBlocks, rid: str, column: str, out: st
     return ids.join(blocks.index, "gameId").groupBy("rid").agg(F.sort_array(F.collect_set("idx")).alias(out))
 
 
-def _chunks(rows: DataFrame, blocks: ItemBlocks, columns: list[str]) -> DataFrame:
-    """Rows in chunks, each next to every block: ``chunk`` (array of structs) and the block's columns."""
-    n = max(1, -(-rows.count() // CHUNK_ROWS))
-    chunk = F.pmod(F.xxhash64("rid"), F.lit(n))
-    packed = rows.groupBy(chunk.alias("__c")).agg(F.collect_list(F.struct(*columns)).alias("chunk"))
-    return packed.select("chunk", F.explode(F.sequence(F.lit(0), F.lit(blocks.n_blocks - 1))).alias("block")).join(
-        blocks.table, "block")
+def score_grid(n_rows: int, blocks: ItemBlocks, cores: int) -> Grid:
+    """The grid for so many users."""
+    row_bytes = blocks.bytes / max(blocks.n_items, 1)
+    tasks = max(-(-n_rows * blocks.n_items // TASK_SCORES), min(cores, -(-n_rows // (CHUNK_ROWS // 8))))
+    return grid_for(n_rows, GROUP_ROWS, blocks.n_blocks, GROUP_BLOCKS, row_bytes, blocks.bytes / blocks.n_blocks, tasks)
+
+
+def _on_blocks(rows: DataFrame, blocks: ItemBlocks, grid: Grid, run, schema: str) -> DataFrame:
+    """``run(columns of the users, blocks)`` for runs of ``CHUNK_ROWS`` users of each cell; its batches are the result."""
+    names = rows.columns
+    out = pa.schema([(n, _ARROW[kind]) for n, kind in (c.split() for c in schema.split(", "))])
+
+    def cell(users: pa.Table, table: pa.Table) -> pa.Table:
+        found = []
+        if users.num_rows and table.num_rows:
+            held = sorted(({n: table.column(n)[r] for n in table.column_names if not n.startswith("__")} for r in range(table.num_rows)),
+                          key=lambda x: x["first"].as_py())
+            users = users.combine_chunks()
+            for i in range(0, users.num_rows, CHUNK_ROWS):
+                part = users.slice(i, CHUNK_ROWS)
+                found += run({n: part.column(n).combine_chunks() for n in names}, held)
+        return pa.Table.from_batches(found, out) if found else out.empty_table()
+
+    return cogroup_on_grid(rows, blocks.table, F.xxhash64("rid"), F.col("block"), grid, cell, schema)
+
+
+def _cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
 
 
 def _vectors(rows: DataFrame, rid: str, vec: str, bias: str | None) -> DataFrame:
@@ -80,21 +112,15 @@ def _vectors(rows: DataFrame, rid: str, vec: str, bias: str | None) -> DataFrame
                        *[c for c in rows.columns if c.startswith("__")]).where(F.col("v").isNotNull())
 
 
-def _each(batches, names):
-    """For each joined row: the chunk's columns by name, the block's ids and first index, and the
-    integer scores of chunk x block."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            chunk = batch.column("chunk")[r].values
-            col = {n: chunk.field(n) for n in names}
-            bias = batch.column("bias")[r].values.to_numpy()
-            scores = None
-            if "v" in col:
-                users = col["v"].flatten().to_numpy().reshape(len(chunk), -1)
-                items = batch.column("vecs")[r].values.to_numpy().reshape(len(bias), -1)
-                s = users @ items.T + col["b"].to_numpy()[:, None] + bias[None, :]
-                scores = np.rint(s * 10**SCORE_DIGITS).astype(np.int64)
-            yield col, batch.column("ids")[r].values, batch.column("first")[r].as_py(), scores
+def _scores(col, block) -> np.ndarray:
+    """Integer scores of users x block."""
+    bias = block["bias"].values.to_numpy()
+    users = col["v"].flatten().to_numpy().reshape(len(col["v"]), -1)
+    items = block["vecs"].values.to_numpy().reshape(len(bias), -1)
+    s = users @ items.T
+    s += col["b"].to_numpy()[:, None] + bias[None, :]
+    s *= 10**SCORE_DIGITS
+    return np.rint(s, out=s).astype(np.int64)
 
 
 def _inside(lists, first: int, n: int):
@@ -107,28 +133,36 @@ def _inside(lists, first: int, n: int):
     return row[here], flat[here] - first, np.flatnonzero(here)
 
 
-def _best(batches):
-    for col, ids, first, scores in _each(batches, ("rid", "v", "b", "k", "excl")):
-        n = len(ids)
+def _best(col, blocks):
+    """The best ``k`` rows of each user in the blocks."""
+    k = col["k"].to_numpy()
+    n = len(k)
+    width = int(max(k.max(initial=0), 0))
+    score, idx = np.zeros((n, 0), np.int64), np.zeros((n, 0), np.int64)
+    for block in blocks if width else []:
+        first, size = block["first"].as_py(), len(block["ids"])
+        own = _scores(col, block)
         # one key per cell: score, then the smaller index; keys differ, so the cut is exact
-        key = scores * n + (n - 1 - np.arange(n))
-        low = -(1 << 62)  # its negative exists too
-        row, at, _ = _inside(col["excl"], first, n)
-        key[row, at] = low
-        k = col["k"].to_numpy()
-        width = int(min(n, max(k.max(initial=0), 0)))
-        if not width:
-            continue
-        top = np.argpartition(-key, width - 1, axis=1)[:, :width] if width < n else np.tile(np.arange(n), (len(key), 1))
-        picked = np.take_along_axis(key, top, 1)
-        order = np.argsort(-picked, axis=1)
-        top, picked = np.take_along_axis(top, order, 1), np.take_along_axis(picked, order, 1)
-        keep = (picked > low) & (np.arange(width)[None, :] < k[:, None])
-        r, c = np.nonzero(keep)
-        items = top[r, c]
-        yield pa.RecordBatch.from_arrays(
-            [col["rid"].take(pa.array(r)), ids.take(pa.array(items)), pa.array(items + first),
-             pa.array(scores[r, items] / 10**SCORE_DIGITS)], names=["rid", "gameId", "idx", "score"])
+        key = own * size + (size - 1 - np.arange(size))
+        row, at, _ = _inside(col["excl"], first, size)
+        key[row, at] = LOWEST
+        top = np.argpartition(-key, width - 1, axis=1)[:, :width] if width < size else np.tile(np.arange(size), (n, 1))
+        own = np.where(np.take_along_axis(key, top, 1) > LOWEST, np.take_along_axis(own, top, 1), LOWEST)
+        score, idx = np.concatenate([score, own], 1), np.concatenate([idx, top + first], 1)
+        order = np.lexsort((idx, -score), axis=1)[:, :width]
+        score, idx = np.take_along_axis(score, order, 1), np.take_along_axis(idx, order, 1)
+    r, c = np.nonzero((score > LOWEST) & (np.arange(score.shape[1])[None, :] < k[:, None]))
+    return [pa.RecordBatch.from_arrays([col["rid"].take(pa.array(r)), _names(blocks, idx[r, c]), pa.array(idx[r, c]),
+                                        pa.array(score[r, c] / 10**SCORE_DIGITS)], names=["rid", "gameId", "idx", "score"])]
+
+
+def _names(blocks, idx: np.ndarray) -> pa.Array:
+    """The ids of item indexes that lie in the blocks."""
+    first = np.array([b["first"].as_py() for b in blocks])
+    size = np.array([len(b["ids"]) for b in blocks])
+    at = np.searchsorted(first, idx, "right") - 1
+    ids = pa.concat_arrays([b["ids"].values for b in blocks])
+    return ids.take(pa.array((np.cumsum(size) - size)[at] + idx - first[at]))
 
 
 def top_k(rows: DataFrame, blocks: ItemBlocks, k_max: int, rid: str, vec: str = "embedding",
@@ -140,42 +174,58 @@ def top_k(rows: DataFrame, blocks: ItemBlocks, k_max: int, rid: str, vec: str =
     inp = _vectors(rows.withColumn("__k", F.coalesce(wanted, F.lit(k_max))), rid, vec, bias).select("rid", "v", "b", F.col("__k").alias("k"))
     excl = _indexes(rows, blocks, rid, exclude, "excl") if exclude else inp.select("rid", F.lit(None).cast("array<bigint>").alias("excl")).limit(0)
     inp = inp.join(excl, "rid", "left").withColumn("excl", F.coalesce("excl", F.array().cast("array<bigint>")))
-    part = _chunks(inp, blocks, ["rid", "v", "b", "k", "excl"]).mapInArrow(
-        _best, "rid string, gameId string, idx bigint, score double")
+    grid = score_grid(rows.count(), blocks, _cores(rows))
+    part = _on_blocks(inp, blocks, grid, _best, "rid string, gameId string, idx bigint, score double")
     w = Window.partitionBy("rid").orderBy(F.desc("score"), "idx")  # k rows per block at most
     out = part.withColumn("rank", F.row_number().over(w)).join(inp.select("rid", "k"), "rid")
     return out.where(F.col("rank") <= F.col("k")).select("rid", "gameId", "score", "rank")
 
 
-def _positive_scores(batches):
-    for col, ids, first, scores in _each(batches, ("rid", "v", "b", "pos")):
-        row, at, _ = _inside(col["pos"], first, len(ids))
-        yield pa.RecordBatch.from_arrays([col["rid"].take(pa.array(row)), pa.array(at + first), pa.array(scores[row, at])],
-                                         names=["rid", "idx", "q"])
-
-
-def _counts(batches):
-    """Per positive: candidates of the block with a higher score, with the same one, and of these
-    those before it."""
-    for col, ids, first, scores in _each(batches, ("rid", "v", "b", "excl", "at", "q")):
-        n = len(ids)
+def _positive_scores(col, blocks):
+    """The scores of the positives that lie in the blocks."""
+    for block in blocks:
+        first = block["first"].as_py()
+        row, at, _ = _inside(col["pos"], first, len(block["ids"]))
+        if len(row):
+            yield pa.RecordBatch.from_arrays(
+                [col["rid"].take(pa.array(row)), pa.array(at + first), pa.array(_scores(col, block)[row, at])], names=["rid", "idx", "q"])
+
+
+def _counts(col, blocks):
+    """Per positive (index ``at``, score ``q``): candidates of the blocks with a higher score, with the same
+    one, and of these those before it."""
+    off = col["at"].offsets.to_numpy() - col["at"].offsets[0].as_py()
+    places, qs = col["at"].flatten().to_numpy(), col["q"].flatten().to_numpy()
+    owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    out = np.zeros((3, len(owner)), np.int64)
+    for block in blocks:
+        first, n = block["first"].as_py(), len(block["ids"])
+        scores = _scores(col, block)
         row, at, _ = _inside(col["excl"], first, n)
         scores[row, at] = np.iinfo(np.int64).min
         order = np.argsort(scores, axis=1, kind="stable")
         ranked = np.take_along_axis(scores, order, 1)
-        off = col["at"].offsets.to_numpy() - col["at"].offsets[0].as_py()
-        places, qs = col["at"].flatten().to_numpy(), col["q"].flatten().to_numpy()
-        owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
-        out = np.zeros((3, len(owner)), np.int64)
         for r in np.unique(owner):
             mine = slice(off[r], off[r + 1])
             lo, hi = np.searchsorted(ranked[r], qs[mine], "left"), np.searchsorted(ranked[r], qs[mine], "right")
-            out[0, mine], out[1, mine] = n - hi, hi - lo
+            out[0, mine] += n - hi
+            out[1, mine] += hi - lo
             # of equal scores the stable order is by index
-            out[2, mine] = [np.searchsorted(order[r, a:b], p - first) for a, b, p in zip(lo, hi, places[mine])]
-        yield pa.RecordBatch.from_arrays(
-            [col["rid"].take(pa.array(owner)), pa.array(places), *[pa.array(x) for x in out]],
-            names=["rid", "idx", "higher", "equal", "before"])
+            out[2, mine] += [np.searchsorted(order[r, a:b], p - first) for a, b, p in zip(lo, hi, places[mine])]
+    return [pa.RecordBatch.from_arrays([col["rid"].take(pa.array(owner)), pa.array(places), pa.array(qs), *[pa.array(x) for x in out]],
+                                       names=["rid", "idx", "q", "higher", "equal", "before"])]
+
+
+def _scores_and_counts(col, blocks):
+    """Both at once, where the blocks are the whole catalog."""
+    n = len(col["rid"])
+    off = np.append(0, np.cumsum(col["pos"].value_lengths().to_numpy(zero_copy_only=False)))
+    q = np.zeros(off[-1], np.int64)
+    for block in blocks:
+        row, at, place = _inside(col["pos"], block["first"].as_py(), len(block["ids"]))
+        q[place] = _scores(col, block)[row, at]
+    asked = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), col["pos"].flatten())
+    return _counts(col | {"at": asked, "q": pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(q))}, blocks) if n else []
 
 
 def positive_ranks(rows: DataFrame, blocks: ItemBlocks, rid: str, positives: str, vec: str = "embedding",
@@ -203,16 +253,19 @@ def positive_ranks(rows: DataFrame, blocks: ItemBlocks, rid: str, positives: str
     else:
         base = base.withColumn("excl", empty)
     with_vector = cut_lineage(base.where("v is not null").join(pos, "rid"))
-    found = _chunks(with_vector, blocks, ["rid", "v", "b", "pos"]).mapInArrow(_positive_scores, "rid string, idx bigint, q bigint")
-    found = cut_lineage(found)
-    ask = found.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("idx", "q"))).alias("p")).select(
-        "rid", F.col("p.idx").alias("at"), F.col("p.q").alias("q"))  # one entry per positive of the row
-    counted = _chunks(with_vector.join(ask, "rid"), blocks, ["rid", "v", "b", "excl", "at", "q"]).mapInArrow(
-        _counts, "rid string, idx bigint, higher bigint, equal bigint, before bigint")
-    counted = counted.groupBy("rid", "idx").agg(*[F.sum(c).alias(c) for c in ("higher", "equal", "before")])
+    grid = score_grid(with_vector.count(), blocks, _cores(rows))
+    counted_schema = "rid string, idx bigint, q bigint, higher bigint, equal bigint, before bigint"
+    if grid.cols == 1:
+        counted = _on_blocks(with_vector, blocks, grid, _scores_and_counts, counted_schema)
+    else:
+        found = _on_blocks(with_vector.select("rid", "v", "b", "pos"), blocks, grid, _positive_scores, "rid string, idx bigint, q bigint")
+        ask = found.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("idx", "q"))).alias("p")).select(
+            "rid", F.col("p.idx").alias("at"), F.col("p.q").alias("q"))  # one entry per positive of the row
+        counted = _on_blocks(with_vector.drop("pos").join(ask, "rid"), blocks, grid, _counts, counted_schema)
+        counted = counted.groupBy("rid", "idx", "q").agg(*[F.sum(c).alias(c) for c in ("higher", "equal", "before")])
     # an excluded positive is no candidate and not level with itself
     masked = with_vector.select("rid", F.explode("excl").alias("idx"), F.lit(1).alias("masked"))
-    scored = (found.join(counted, ["rid", "idx"]).join(masked, ["rid", "idx"], "left")
+    scored = (counted.join(masked, ["rid", "idx"], "left")
               .withColumn("own", F.coalesce(1 - F.col("masked"), F.lit(1))))
     sizes = base.select("rid", F.when(F.col("v").isNotNull(), F.lit(blocks.n_items) - F.size("excl")).otherwise(F.lit(0))
                         .cast("long").alias("n_valid"))
@@ -313,24 +366,24 @@ def _hash48(text) -> F.Column:
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
 
 
-def _nearest_keys(batches):
-    """The ``n`` smallest ``row hash xor item hash`` of each row in the block, without its excluded items."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            chunk = batch.column("chunk")[r].values
-            first, ids = batch.column("first")[r].as_py(), batch.column("ids")[r].values
-            key = chunk.field("uh").to_numpy()[:, None] ^ batch.column("hashes")[r].values.to_numpy()[None, :]
-            row, at, _ = _inside(chunk.field("excl"), first, len(ids))
-            top = np.iinfo(np.int64).max
-            key[row, at] = top
-            want = chunk.field("n").to_numpy()
-            order = np.argsort(key, axis=1, kind="stable")[:, :int(min(len(ids), want.max(initial=0)))]
-            keep = (np.take_along_axis(key, order, 1) < top) & (np.arange(order.shape[1])[None, :] < want[:, None])
-            rr, cc = np.nonzero(keep)
-            items = order[rr, cc]
-            yield pa.RecordBatch.from_arrays(
-                [chunk.field("rid").take(pa.array(rr)), ids.take(pa.array(items)), pa.array(items + first), pa.array(key[rr, items])],
-                names=["rid", "gameId", "idx", "key"])
+def _nearest_keys(col, blocks):
+    """The ``n`` smallest ``row hash xor item hash`` of each row in the blocks, without its excluded items."""
+    want = col["n"].to_numpy()
+    width, top = int(want.max(initial=0)), np.iinfo(np.int64).max
+    best, idx = np.zeros((len(want), 0), np.int64), np.zeros((len(want), 0), np.int64)
+    for block in blocks if width else []:
+        first, size = block["first"].as_py(), len(block["ids"])
+        key = col["uh"].to_numpy()[:, None] ^ block["hashes"].values.to_numpy()[None, :]
+        row, at, _ = _inside(col["excl"], first, size)
+        key[row, at] = top
+        order = np.argsort(key, axis=1, kind="stable")[:, :width]
+        best = np.concatenate([best, np.take_along_axis(key, order, 1)], 1)
+        idx = np.concatenate([idx, order + first], 1)
+        order = np.lexsort((idx, best), axis=1)[:, :width]
+        best, idx = np.take_along_axis(best, order, 1), np.take_along_axis(idx, order, 1)
+    r, c = np.nonzero((best < top) & (np.arange(best.shape[1])[None, :] < want[:, None]))
+    return [pa.RecordBatch.from_arrays([col["rid"].take(pa.array(r)), _names(blocks, idx[r, c]), pa.array(idx[r, c]), pa.array(best[r, c])],
+                                       names=["rid", "gameId", "idx", "key"])]
 
 
 def hashed_negatives(rows: DataFrame, blocks: ItemBlocks, rid: str, n_col: str, exclude: str, seed: int = 42) -> DataFrame:
@@ -343,10 +396,10 @@ def hashed_negatives(rows: DataFrame, blocks: ItemBlocks, rid: str, n_col: str,
                       _hash48(F.col(rid).cast("string")).alias("uh"))
     inp = inp.join(_indexes(rows, blocks, rid, exclude, "excl"), "rid", "left").withColumn(
         "excl", F.coalesce("excl", F.array().cast("array<bigint>")))
-    hashed = ItemBlocks(blocks.table.select("block", "first", "ids", F.transform(
-        "ids", lambda g: _hash48(F.concat(g, F.lit(f"/{seed}")))).alias("hashes")), blocks.index, blocks.n_items, blocks.n_blocks, blocks.size)
-    part = _chunks(inp, hashed, ["rid", "n", "uh", "excl"]).mapInArrow(
-        _nearest_keys, "rid string, gameId string, idx bigint, key bigint")
+    hashes = F.transform("ids", lambda g: _hash48(F.concat(g, F.lit(f"/{seed}"))))
+    hashed = replace(blocks, table=blocks.table.select("block", "first", "ids", hashes.alias("hashes")), bytes=16 * blocks.n_items)
+    part = _on_blocks(inp, hashed, score_grid(rows.count(), hashed, _cores(rows)), _nearest_keys,
+                      "rid string, gameId string, idx bigint, key bigint")
     w = Window.partitionBy("rid").orderBy("key", "idx")
     return (part.withColumn("__r", F.row_number().over(w)).join(inp.select("rid", "n"), "rid")
             .where(F.col("__r") <= F.col("n")).select("rid", "gameId"))
