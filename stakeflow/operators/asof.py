@@ -1,31 +1,39 @@
 """Backward as-of join with a tolerance (C2) and the per-user "next event" window.
 
-Design (no pair explosion, hot keys split by time):
-
-* Time is cut into buckets of width ``tolerance / sub_buckets``.  A right row in
-  bucket ``b`` is also copied into buckets ``b+1 .. b+sub_buckets`` so every left
-  row finds all right rows of its tolerance window inside its own
-  ``(key, bucket)`` partition.
-* Left and right rows are unioned and one window, partitioned by
-  ``(key, bucket)`` and ordered by ``(time, side, tie)``, carries the latest
-  right row forward with ``last(..., ignorenulls)``.  That is one shuffle and an
-  O(n log n) sort; no left x right pairs are ever produced.
-* A key holding a third of all rows is spread over its time buckets, four per
-  tolerance unless ``sub_buckets`` says otherwise; more of them cut the
-  per-task share further (copies grow as ``1 + sub_buckets`` on the right side
-  only).
-* Left rows with a NULL key or time cannot match; they go around the window and
-  are united with its result, so they never meet in one task.
+Design (no pair explosion, no copied rows, hot keys split wherever their rows lie):
+
+* Left and right rows are united; in the order ``(key, time, side, tie)`` the
+  match of a left row is the last right row before it, if its key and the
+  tolerance agree.
+* The rows of each key are counted first (map-side combined).  Keys up to
+  ``hot_rows`` rows go through one window per key: one shuffle.
+* Hotter keys are range-partitioned by that same order, so even a key whose
+  rows all lie inside one tolerance, or at one instant, spreads evenly.  The
+  last right row of each partition is carried into the next ones: a prefix scan
+  over one row per partition, which is all that reaches the driver.  Each
+  partition then scans its rows once in Arrow batches.
+* Left rows with a NULL key or time cannot match; they go around both ways and
+  are united with the result, so they never meet in one task.
 * The matched right row is carried as a struct, so a match whose payload is
   NULL still counts as the match (it is not skipped for an older row).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stakeflow.functions.mappers import epoch_micros
+from stakeflow.session import cut_lineage
+
+#: Rows of a key that one task may sort.
+HOT_ROWS = 1_000_000
 
 
 def asof_join(
@@ -37,8 +45,8 @@ def asof_join(
     payload: dict[str, str],
     tolerance_seconds: float,
     right_tie: str | None = None,
-    sub_buckets: int = 4,
     matched_time_as: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """For every left row, the latest right row with the same keys and
     ``left_time - tolerance <= right_time <= left_time`` (exact match allowed).
@@ -48,64 +56,101 @@ def asof_join(
     Left rows with a NULL time or key never match; right rows with a NULL time
     or key are ignored.  All left rows and columns are kept.
     """
-    if sub_buckets < 1:
-        raise ValueError("sub_buckets must be >= 1")
     tol_us = int(round(tolerance_seconds * 1_000_000))
-    width = max(1, -(-tol_us // sub_buckets))  # ceil
     left_cols = left.columns
-    lkeys = [f"__k{i}" for i in range(len(by))]
-
-    lt = epoch_micros(left_time)
+    keys = [f"__k{i}" for i in range(len(by))]
     l = left.select(
-        *[F.col(lk).cast("string").alias(k) for (lk, _), k in zip(by, lkeys)],
-        lt.alias("__t"),
-        F.lit(1).alias("__side"),
-        F.struct(*[F.col(c) for c in left_cols]).alias("__left"),
-    ).withColumn("__b", F.floor(F.col("__t") / F.lit(width)))
-
-    tie = F.col(right_tie) if right_tie else F.lit(None).cast("string")
+        *[F.col(lk).cast("string").alias(k) for (lk, _), k in zip(by, keys)],
+        epoch_micros(left_time).alias("__t"), F.lit(1).alias("__side"),
+        F.struct(*[F.col(c) for c in left_cols]).alias("__left"))
     r = right.select(
-        *[F.col(rk).cast("string").alias(k) for (_, rk), k in zip(by, lkeys)],
-        epoch_micros(right_time).alias("__t"),
-        tie.alias("__tie"),
-        F.struct(
-            epoch_micros(right_time).alias("t"),
-            *[F.col(src).alias(dst) for src, dst in payload.items()],
-        ).alias("__m"),
-    ).where(F.col("__t").isNotNull())
-    for k in lkeys:
-        r = r.where(F.col(k).isNotNull())
-    r = (
-        r.withColumn("__b0", F.floor(F.col("__t") / F.lit(width)))
-        .withColumn("__b", F.explode(F.sequence(F.col("__b0"), F.col("__b0") + F.lit(sub_buckets))))
-        .drop("__b0")
-        .withColumn("__side", F.lit(0))
-    )
-
+        *[F.col(rk).cast("string").alias(k) for (_, rk), k in zip(by, keys)],
+        epoch_micros(right_time).alias("__t"), F.lit(0).alias("__side"),
+        (F.col(right_tie) if right_tie else F.lit(None).cast("string")).alias("__tie"),
+        F.struct(epoch_micros(right_time).alias("t"), *[F.col(src).alias(dst) for src, dst in payload.items()]).alias("__m"))
     can_match = F.col("__t").isNotNull()
-    for k in lkeys:
+    for k in keys:
         can_match = can_match & F.col(k).isNotNull()
-    apart = l.where(~can_match)
-    l2 = l.where(can_match).select(*lkeys, "__b", "__t", "__side", F.lit(None).cast(r.schema["__tie"].dataType).alias("__tie"),
-                  F.lit(None).cast(r.schema["__m"].dataType).alias("__m"), "__left")
-    r2 = r.select(*lkeys, "__b", "__t", "__side", "__tie", "__m",
-                  F.lit(None).cast(l.schema["__left"].dataType).alias("__left"))
-    w = (
-        Window.partitionBy(*lkeys, "__b")
-        .orderBy("__t", "__side", "__tie")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    u = l2.unionByName(r2).withColumn("__hit", F.last("__m", ignorenulls=True).over(w))
-    u = u.where(F.col("__side") == 1)
-    ok = F.col("__hit").isNotNull() & (F.col("__hit.t") >= F.col("__t") - F.lit(tol_us))
+    r, apart = r.where(can_match), l.where(~can_match)
+    none = {c: F.lit(None).cast(t) for c, t in (("__tie", r.schema["__tie"].dataType), ("__m", r.schema["__m"].dataType),
+                                                ("__left", l.schema["__left"].dataType))}
+    rows = l.where(can_match).withColumns({c: none[c] for c in ("__tie", "__m")}).unionByName(r.withColumn("__left", none["__left"]))
+
+    hot = cut_lineage(rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > hot_rows))
+    n_hot = hot.agg(F.sum("__n")).first()[0] or 0
+    if n_hot:
+        hits = _windowed(rows.join(hot, keys, "left_anti"), keys).unionByName(
+            _carried(rows.join(hot.select(*keys), keys, "left_semi"), keys, -(-2 * n_hot // hot_rows)))
+    else:
+        hits = _windowed(rows, keys)
+    hits = hits.unionByName(apart.select("__left", "__t", none["__m"].alias("__hit")))
+    ok = F.col("__hit.t") >= F.col("__t") - F.lit(tol_us)
     outs = [F.col(f"__left.{c}").alias(c) for c in left_cols]
     outs += [F.when(ok, F.col(f"__hit.{dst}")).alias(dst) for dst in payload.values()]
     if matched_time_as:
         outs.append(F.when(ok, F.col("__hit.t")).alias(matched_time_as))
-    nothing = u.select(*outs).schema
-    alone = [F.col(f"__left.{c}").alias(c) for c in left_cols]
-    alone += [F.lit(None).cast(nothing[c].dataType).alias(c) for c in [*payload.values(), *([matched_time_as] if matched_time_as else [])]]
-    return u.select(*outs).union(apart.select(*alone))
+    return hits.select(*outs)
+
+
+def _windowed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``__left, __t, __hit``: the last right row before each left row, one window per key."""
+    w = (Window.partitionBy(*keys).orderBy("__t", "__side", "__tie")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (rows.withColumn("__hit", F.last("__m", ignorenulls=True).over(w)).where(F.col("__side") == 1)
+            .select("__left", "__t", "__hit"))
+
+
+def _carried(rows: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """The same by ranges of ``(key, time, side, tie)`` and the last right row of earlier ranges."""
+    # left rows of one instant are alike in the order: a random number parts them
+    order = [*keys, "__t", "__side", "__tie", "__r"]
+    spread = rows.withColumn("__r", F.rand(17)).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    spread = cut_lineage(spread.withColumn("__p", F.spark_partition_id()).drop("__r"))
+    place = F.struct(*keys, "__t", "__tie")
+    last = (spread.where(F.col("__side") == 0).groupBy("__p")
+            .agg(F.max_by(F.struct(*keys, "__m"), place).alias("last")).select("__p", "last.*").orderBy("__p").toArrow())
+    schema = T.StructType([spread.schema["__left"], spread.schema["__t"], T.StructField("__hit", spread.schema["__m"].dataType)])
+    return spread.mapInArrow(_scan(keys, last), schema)
+
+
+def _scan(keys: list[str], last: pa.Table):
+    """Forward fill inside a partition, from the last right row of the partitions before it."""
+    before = last.column("__p").to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = None  # the last right row so far: keys and __m, one row
+        began = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if not began:
+                began = True
+                at = int(np.searchsorted(before, batch.column("__p")[0].as_py())) - 1
+                if at >= 0:
+                    state = last.slice(at, 1).select([*keys, "__m"]).combine_chunks().to_batches()[0]
+            n = batch.num_rows
+            side = batch.column("__side").to_numpy()
+            new = np.zeros(n, bool)
+            new[0] = True
+            for k in keys:
+                col = batch.column(k)
+                new[1:] |= pc.not_equal(col.slice(1), col.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            hit = np.maximum.accumulate(np.where(side == 0, np.arange(n), -1))
+            hit = np.where(hit >= group, hit, -1)
+            source = batch.column("__m")
+            if state is not None and all(state.column(k)[0].as_py() == batch.column(k)[0].as_py() for k in keys):
+                # the batch goes on with the key of the row before it
+                source = pa.concat_arrays([source, state.column("__m").cast(source.type)])
+                hit = np.where((hit < 0) & (group == 0), n, hit)
+            own = np.flatnonzero(side == 1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("__left").take(pa.array(own)), batch.column("__t").take(pa.array(own)),
+                 source.take(pa.array(hit[own], mask=hit[own] < 0))], names=["__left", "__t", "__hit"])
+            rights = np.flatnonzero(side == 0)
+            if len(rights):
+                state = batch.slice(int(rights[-1]), 1).select([*keys, "__m"])
+    return run
 
 
 def next_event_gap(

@@ -80,7 +80,6 @@ def enrich_sessions(
     tolerance_minutes: float | None = None,
     settings: Settings = DEFAULT,
     session_tie: str | None = None,
-    sub_buckets: int = 4,
 ) -> DataFrame:
     """C2 + C3: ``session_duration_sec`` and ``entryPoint_raw`` from the latest
     session (by ``updated_at``) of the same user and game, at most the tolerance
@@ -98,7 +97,7 @@ def enrich_sessions(
         tx, s, "timestamp", "updated_at",
         by=[("__uid", "__suid"), ("__gid", "__sgid")],
         payload={"session_duration_sec": "session_duration_sec", "entryPoint_raw": "entryPoint_raw"},
-        tolerance_seconds=tol * 60.0, right_tie=session_tie, sub_buckets=sub_buckets,
+        tolerance_seconds=tol * 60.0, right_tie=session_tie,
     )
     return out.drop("__gid", "__uid")
 
@@ -125,7 +124,6 @@ def enrich_device(
     tolerance_hours: float | None = None,
     settings: Settings = DEFAULT,
     activity_tie: str | None = None,
-    sub_buckets: int = 4,
     id_col: str | None = None,
 ) -> DataFrame:
     """C4 + C5: ``deviceType_raw`` by a cascade of backward as-of joins.
@@ -172,7 +170,7 @@ def enrich_device(
             right = r if right is None else right.unionByName(r)
         m = asof_join(narrow, right, "timestamp", "_activity_ts", by=[("__p", "__rp"), ("__k", "__rk")],
                       payload={"deviceType_raw": "__dev"}, tolerance_seconds=tol * 3600.0,
-                      right_tie=activity_tie, sub_buckets=sub_buckets)
+                      right_tie=activity_tie)
         first = (m.where(F.col("__dev").isNotNull()).groupBy("__id")
                  .agg(F.min_by("__dev", "__p").alias("deviceType_raw")))
         out = tx.join(first, tx[id_col] == first["__id"], "left").drop("__id")
@@ -184,8 +182,7 @@ def enrich_device(
         act = activity.select(key(ak).alias("__ak"), "_activity_ts", "deviceType_raw", *tie_cols)
         tx = asof_join(tx, act, "timestamp", "_activity_ts", by=[(f"__k{i}", "__ak")],
                        payload={"deviceType_raw": f"__dev{i}"},
-                       tolerance_seconds=tol * 3600.0, right_tie=activity_tie,
-                       sub_buckets=sub_buckets).drop(f"__k{i}")
+                       tolerance_seconds=tol * 3600.0, right_tie=activity_tie).drop(f"__k{i}")
         fills.append(F.col(f"__dev{i}"))
     out = tx.withColumn("deviceType_raw", F.coalesce(*fills))
     return out.drop(*[f"__dev{i}" for i in range(len(pairs))], "playerId_bridge")

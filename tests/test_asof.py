@@ -33,9 +33,9 @@ def test_asof_matches_brute_force(spark):
     rdf = spark.createDataFrame(right, "rid int, rk string, rt timestamp_ntz, val string")
     tol = dt.timedelta(minutes=45)
     exp = _brute(left, right, tol)
-    for sub in (1, 3):
+    for hot_rows in (10**6, 150, 7):  # one window per key, some keys hot, all keys hot
         got = asof_join(ldf, rdf, "t", "rt", [("k", "rk")], {"val": "val", "rid": "mrid"},
-                        tolerance_seconds=45 * 60, right_tie="rid", sub_buckets=sub).collect()
+                        tolerance_seconds=45 * 60, right_tie="rid", hot_rows=hot_rows).collect()
         assert len(got) == len(left)
         for r in got:
             val, matched = exp[r["lid"]]
@@ -56,6 +56,47 @@ def test_asof_edges(spark):
     assert got[2]["mrid"] == 2 and got[2]["val"] == "late-id-wins"
 
 
+def test_two_keys_and_all_types_across_ranges(spark):
+    """Hot pairs of keys, few right rows (a match may lie many partitions back), left columns of several types."""
+    rnd = random.Random(19)
+    left = [(i, rnd.choice("ab"), rnd.choice(["x", "y", None]), T0 + dt.timedelta(seconds=rnd.randint(0, 4000)), [i, None], {"q": i}) for i in range(400)]
+    right = [(i, rnd.choice("ab"), rnd.choice("xy"), T0 + dt.timedelta(seconds=rnd.randint(0, 4000)), rnd.choice([None, i])) for i in range(9)]
+    ldf = spark.createDataFrame(left, "lid int, k string, g string, t timestamp_ntz, list array<int>, m map<string,int>")
+    rdf = spark.createDataFrame(right, "rid int, k string, g string, rt timestamp_ntz, val int")
+    args = ("t", "rt", [("k", "k"), ("g", "g")], {"rid": "rid", "val": "val"}, 1500)
+    want = {r.lid: tuple(r) for r in asof_join(ldf, rdf, *args, right_tie="rid", matched_time_as="at").collect()}
+    got = {r.lid: tuple(r) for r in asof_join(ldf, rdf, *args, right_tie="rid", matched_time_as="at", hot_rows=20).collect()}
+    exp = _brute([(i, (k, g) if g else None, t) for i, k, g, t, *_ in left], [(i, (k, g), t, v) for i, k, g, t, v in right], dt.timedelta(seconds=1500))
+    assert got == want and len(got) == 400
+    assert {i: (r[7], r[6] is not None) for i, r in got.items()} == exp
+    nothing = asof_join(ldf, rdf.limit(0), *args, right_tie="rid", hot_rows=20).collect()
+    assert len(nothing) == 400 and all(r.rid is None for r in nothing)
+
+
+def test_one_key_inside_one_tolerance_spreads_evenly(spark, monkeypatch):
+    """All rows have one key; half of the left rows lie at one instant, the others within the tolerance."""
+    from stakeflow.operators import asof
+    left = spark.range(60_000, numPartitions=6).selectExpr(
+        "id as lid", "'k' as k", "timestamp_ntz '2024-01-01' + make_interval(0,0,0,0,0,0,if(id % 2 = 0, 500, id % 1000)) as t")
+    right = spark.range(600, numPartitions=2).selectExpr(
+        "'k' as k", "timestamp_ntz '2024-01-01' + make_interval(0,0,0,0,0,0,id % 300 * 2) as rt", "id as rid")
+    seen = []
+    cut = asof.cut_lineage
+
+    def watched(df, *a):
+        out = cut(df, *a)
+        if "__p" in out.columns:
+            seen.append([r["count"] for r in out.groupBy("__p").count().collect()])
+        return out
+
+    monkeypatch.setattr(asof, "cut_lineage", watched)
+    out = asof_join(left, right, "t", "rt", [("k", "k")], {"rid": "rid"}, 3600, right_tie="rid", hot_rows=10_000)
+    assert out.where("rid is null").count() == 0
+    assert out.where("lid % 2 = 0 and rid <> 550").count() == 0  # second 500: rows 250 and 550
+    sizes = seen[0]
+    assert sum(sizes) == 60_600 and len(sizes) >= 10 and max(sizes) < 1.6 * 60_600 / len(sizes)
+
+
 def test_next_event_gap_matches_window(spark):
     rnd = random.Random(3)
     rows = [(f"u{rnd.randint(0, 5)}", T0 + dt.timedelta(seconds=rnd.randint(0, 4 * 3600)), f"s{i:04d}")
