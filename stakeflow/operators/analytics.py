@@ -294,8 +294,8 @@ def spearman_matrix(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame
     Long form (col_a, col_b, rho) over the upper triangle incl. the diagonal.
 
     All columns are unpivoted and ranked in one pass over (column, value)."""
-    nd = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
-    keep = [c for c in columns if nd[c] > 1]
+    differ = df.agg(*[(F.min(c) < F.max(c)).alias(c) for c in columns]).first()
+    keep = [c for c in columns if differ[c]]
     if not keep:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, rho double")
     long = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in keep]).unpivot(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stakeflow.config import DEFAULT, Settings
 from stakeflow.errors import DataValidationError
 from stakeflow.functions import mappers as M
-from stakeflow.operators.stats import quantiles
+from stakeflow.operators.stats import distinct_in_group, quantiles
 from stakeflow.session import cut_lineage
 
 # fixed values: defaults for modes of empty groups
@@ -53,9 +53,9 @@ def user_features(fe: DataFrame, max_ts=None) -> DataFrame:
     max_ts = max_ts if max_ts is not None else max_time(fe)
     out = fe.groupBy("userId").agg(
         F.count("sessionId").alias("total_sessions"),
-        F.count_distinct("gameId").alias("unique_games"),
-        F.count_distinct("provider").alias("unique_providers"),
-        F.count_distinct("gameType").alias("unique_game_types"),
+        distinct_in_group("gameId").alias("unique_games"),
+        distinct_in_group("provider").alias("unique_providers"),
+        distinct_in_group("gameType").alias("unique_game_types"),
         F.avg("durationSeconds").alias("avg_duration_sec"),
         F.avg("roundsPlayed").alias("avg_rounds"),
         F.avg("is_quick_exit").alias("quick_exit_rate"),

@@ -429,17 +429,17 @@ select (select count(*) from events) as n_events,
 def q_overview(t):
     d = P.dataset(t)
     e = P.events(t)
-    spu = e.groupBy("userId").agg(F.count("*").alias("n"), F.count_distinct("gameId").alias("g"))
+    spu = e.groupBy("userId").agg(F.count("*").alias("n"), ST.distinct_in_group("gameId").alias("g"))
     (med_n,) = ST.quantiles(spu, "n", [0.5])
     (med_g,) = ST.quantiles(spu, "g", [0.5])
     (med_s,) = ST.quantiles(d.train_pairs, "implicit_score", [0.5])
     cnt = lambda df: df.agg(F.count("*")).scalar()
-    out = e.agg(F.count("*").alias("n_events"), F.count_distinct("userId").alias("n_active_users"),
-                F.count_distinct("gameId").alias("n_active_games"),
+    out = e.agg(F.count("*").alias("n_events"),
                 F.min("timestamp").alias("timestamp_min"), F.max("timestamp").alias("timestamp_max"))
     full = cnt(d.full_pairs)
     out = out.select(
-        "n_events", "n_active_users", "n_active_games",
+        "n_events", e.agg(F.count_distinct("userId")).scalar().alias("n_active_users"),
+        e.agg(F.count_distinct("gameId")).scalar().alias("n_active_games"),
         cnt(d.train_pairs).alias("train_nnz"), cnt(d.test_pairs).alias("test_nnz"), full.alias("full_nnz"),
         (full / F.greatest(cnt(d.active_users) * cnt(d.active_items), F.lit(1)) * 100.0).alias("interaction_density_pct"),
         cnt(d.user_vocab).alias("user_feature_vocab_size"), cnt(d.item_vocab).alias("item_feature_vocab_size"),

@@ -478,8 +478,8 @@ def q_readiness(t):
     rates = e.agg(*[known_rate(c).alias(c) for c in ["deviceType", "entryPoint", "provider", "gameType"]])
     rates = rates.unpivot([], rates.columns, "item", "value").select(F.lit("known_rate").alias("section"), "item",
                                                                      round6(F.col("value")).alias("value"))
-    counts = e.agg(F.count("*").cast("double").alias("events"), F.count_distinct("userId").cast("double").alias("users"),
-                   F.count_distinct("gameId").cast("double").alias("games"))
+    counts = e.agg(F.count("*").cast("double").alias("events")).select(
+        "events", *[e.agg(F.count_distinct(c)).scalar().cast("double").alias(n) for c, n in (("userId", "users"), ("gameId", "games"))])
     counts = counts.unpivot([], counts.columns, "item", "value").select(F.lit("count").alias("section"), "item", "value")
     return viol.unionByName(schema).unionByName(rates).unionByName(counts)
 

@@ -62,9 +62,8 @@ def difference(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def id_map_check(id_map: DataFrame, key: str, idx: str = "idx") -> DataFrame:
     """One row: n, max idx, distinct idx and whether ids are 0..n-1."""
-    return id_map.agg(F.count("*").alias("n"), F.max(idx).alias("max_idx"),
-                      F.count_distinct(idx).alias("n_distinct_idx"),
-                      F.count_distinct(key).alias("n_distinct_keys")).withColumn(
+    distinct = [id_map.agg(F.count_distinct(c)).scalar().alias(n) for c, n in ((idx, "n_distinct_idx"), (key, "n_distinct_keys"))]
+    return id_map.agg(F.count("*").alias("n"), F.max(idx).alias("max_idx")).select("n", "max_idx", *distinct).withColumn(
         "contiguous", (F.col("max_idx") + 1 == F.col("n")) & (F.col("n") == F.col("n_distinct_idx"))
         & (F.col("n") == F.col("n_distinct_keys")))
 

@@ -18,6 +18,57 @@ def test_quantiles_match_numpy(spark):
     assert np.allclose(got, exp, rtol=0, atol=1e-12)
 
 
+def test_quantiles_narrow_their_brackets(spark):
+    """With room for few values, sketches of the brackets narrow them until the values fit."""
+    rng = np.random.default_rng(4)
+    vals = np.concatenate([rng.normal(size=30_000), np.full(20_000, 0.25), rng.integers(0, 50, 10_000) / 10.0, [-1e300, 1e300]])
+    df = spark.createDataFrame([(float(v), None if v > 2 else 1) for v in vals], "x double, y int").repartition(6)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.65, 0.9999, 1.0]
+    exp = np.quantile(vals, probs)
+    for limit in (100_000, 300, 40):
+        assert np.allclose(ST.quantiles(df, "x", probs, limit=limit), exp, rtol=0, atol=1e-12)
+    assert ST.quantiles(df, "y", [0.1, 0.9]) == [1.0, 1.0]
+    assert ST.quantiles(df.where("x is null"), "x", [0.5]) == [None]
+    sketch = ST.quantiles(df, "x", [0.25, 0.65], exact=False)
+    ranks = [(vals < v).mean() for v in sketch], [(vals <= v).mean() for v in sketch]
+    assert all(lo - 0.02 <= p <= hi + 0.02 for p, lo, hi in zip([0.25, 0.65], *ranks))
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    monkeypatch.setattr(ST, "BRACKET", -0.2)  # every bracket lies beside its rank
+    vals = [float(i * i % 997) for i in range(2000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    assert np.allclose(ST.quantiles(df, "x", [0.3, 0.7]), np.quantile(vals, [0.3, 0.7]))
+
+
+def test_distinct_counts_do_not_copy_rows(spark):
+    rows = [(f"u{i % 3}", f"g{i % 7}", None if i % 2 else f"p{i % 4}") for i in range(200)]
+    df = spark.createDataFrame(rows, "u string, g string, p string")
+    out = df.groupBy("u").agg(ST.distinct_in_group("g").alias("g"), ST.distinct_in_group("p").alias("p"), F.count("*").alias("n"))
+    want = pd.DataFrame(rows, columns=["u", "g", "p"]).groupby("u").agg(g=("g", "nunique"), p=("p", "nunique"), n=("g", "size"))
+    assert {r.u: (r.g, r.p, r.n) for r in out.collect()} == {u: tuple(r) for u, r in want.iterrows()}
+    assert dict(out.dtypes)["g"] == "bigint"
+
+
+def test_user_features_plan_has_no_expand(spark):
+    import __spark_entry__ as E
+    for name in ("user_features", "game_features", "provider_features"):
+        plan = E.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan, name
+
+
+def test_cumulative_sums_in_one_written_sort(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, int(rng.integers(0, 9)), float(rng.normal())) for i in range(777)]
+    df = spark.createDataFrame(rows, "i int, n int, v double").repartition(5)
+    got = ST.cumulative_sums(df, ["v", "i"], ["n", "v"]).orderBy("__pos").collect()
+    want = sorted(rows, key=lambda r: (r[2], r[0]))
+    assert [r["__pos"] for r in got] == list(range(777)) and [r.i for r in got] == [w[0] for w in want]
+    assert [r.cum_n for r in got] == np.cumsum([w[1] for w in want]).tolist()
+    assert np.allclose([r.cum_v for r in got], np.cumsum([w[2] for w in want]))
+    assert ST.cumulative_sums(df.limit(0), ["v"], ["n"]).count() == 0
+
+
 def test_grouped_quantiles_hot_group(spark):
     rnd = random.Random(2)
     rows = [("hot", rnd.random()) for _ in range(3000)] + [(f"g{i % 5}", rnd.random()) for i in range(300)]
