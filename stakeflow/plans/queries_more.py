@@ -27,6 +27,7 @@ from stakeflow.plans.queries_analytics import PLAYS_CTES, UB_SQL, ub
 from stakeflow.plans.queries_explain import EXPLAIN_CTES, GLOBAL_SQL, attribution, fixture_model
 from stakeflow.plans.queries_scoring import RECS_CTES, SCORE_CTES, _lists, _per_user_sql, _ranked_sql, model, recommendations
 from stakeflow.plans.queries_sinks import RAW_CTES, raw_bets, raw_games
+from stakeflow.session import cut_lineage
 
 K = DEFAULT.eval_k
 #: Numeric columns of a pair that are held against its predicted score.
@@ -353,18 +354,23 @@ def ablation_tokens(t):
     return u, i.withColumn("top_pop_flags", F.when(F.col("popularity_bucket") == "blockbuster", "top"))
 
 
-@register("feature_group_ablation", "H29 B33 F5 (rows; WARP retrained on each variant's token groups)")
+@register("feature_group_ablation", "H29 B33 F5 (rows; WARP trained on all variants' token groups at once)")
 def q_group_ablation(t):
     """Variants without one side's token groups, each trained anew; metric deltas
     against the full model and the best / worst variant flags."""
     from stakeflow.operators import warp as W
     d = P.dataset(t)
     u, i = ablation_tokens(t)
+    tokens = [reduce(lambda a, b: a.unionByName(b), [
+        table.select(F.lit(v[0]).alias("variant"), key, M.tokens(v[side]).alias("tokens")) for v in X.ABLATION_VARIANTS])
+        for side, key, table in ((1, "userId", u), (2, "gameId", i))]
+    # all variants train in the same jobs
+    params, _ = W.train_warp(d.train_pairs, *tokens, d.user_index, d.item_index, epochs=ABLATION_EPOCHS, local_epochs=ABLATION_EPOCHS)
+    params = cut_lineage(params)
     rows = []
-    for name, user_groups, item_groups in X.ABLATION_VARIANTS:
-        ut, it = u.select("userId", M.tokens(user_groups).alias("tokens")), i.select("gameId", M.tokens(item_groups).alias("tokens"))
-        params, _ = W.train_warp(d.train_pairs, ut, it, d.user_index, d.item_index, epochs=ABLATION_EPOCHS, local_epochs=ABLATION_EPOCHS)
-        ur, ir = W.representations(params, ut, d.user_index, it, d.item_index)
+    for name, *_ in X.ABLATION_VARIANTS:
+        ut, it = (x.where(F.col("variant") == name).drop("variant") for x in tokens)
+        ur, ir = W.representations(params.where(F.col("variant") == name), ut, d.user_index, it, d.item_index)
         ask = ur.join(_lists(d.test_pairs, "pos"), "userId").join(_lists(d.train_pairs, "seen"), "userId", "left")
         m = MT.mean_metrics(MT.per_user_metrics(S.positive_ranks(
             ask, S.item_blocks(ir, bias="bias"), "userId", "pos", exclude="seen", bias="bias"), ABLATION_K)).first()
