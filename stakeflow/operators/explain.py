@@ -11,8 +11,8 @@ Everything below is joins and aggregations over those two tables:
 * a side token's contribution to a (user, item) score is
   ``value * (bias_f + vector_f . other side's representation)``;
 * attribution (H25) and stability (H26) aggregate those contributions over
-  all train pairs - no sampling cap; stability samples are md5-hash selections
-  (``substr(md5(pair/sample), 1, 4) < 'b333'`` keeps ~70 %) that every engine
+  all train pairs - no sampling cap; a stability sample is the seven tenths of
+  the pairs with the smallest ``md5(pair/sample)``, which every engine
   reproduces.
 
 Spark broadcasts the vocabulary (token vectors) below its own byte threshold;
@@ -21,13 +21,15 @@ pairs and entities stay partitioned.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stakeflow.errors import DataValidationError
 from stakeflow.functions import mappers as M
 
-SAMPLE_HEX_CUT = "b333"  # fixed value: 0xb333 / 0x10000 = 0.7 keep share
+SAMPLE_TENTHS = 7  # fixed value: share of the pairs in a stability sample
 
 
 def entity_features(index: DataFrame, key: str, token_table: DataFrame) -> DataFrame:
@@ -109,22 +111,45 @@ def top_by_abs(df: DataFrame, value: str, n: int, partition: list[str] | None =
     return rows.withColumn("abs_rank", F.row_number().over(w)).where(F.col("abs_rank") <= n)
 
 
-def sample_keep(cols, sample):
-    """Deterministic ~70 % selection of a pair for stability sample ``sample``
-    (an int or a Column holding the sample id)."""
-    sid = sample.cast("string") if not isinstance(sample, int) else F.lit(str(sample))
-    key = F.concat_ws("/", *[F.col(c).cast("string") for c in cols], sid)
-    return F.substring(F.md5(key), 1, 4) < F.lit(SAMPLE_HEX_CUT)
+def sample_key(cols: list[str], sample: int) -> Column:
+    """The hash that orders rows for a sample."""
+    return F.md5(F.concat_ws("/", *[F.col(c).cast("string") for c in cols], F.lit(str(sample))))
+
+
+def sample_cutoffs(rows: DataFrame, cols: list[str], samples: int, tenths: int = SAMPLE_TENTHS) -> list[str | None]:
+    """For each sample the ``ceil(tenths / 10 * n)``-th smallest ``sample_key``: the rows up to it are a sample of
+    exactly that size (keys of different ``cols`` differ).
+
+    One pass counts the hash prefixes and finds the one that holds the cut, a second ranks the few rows of that
+    prefix; one row per sample reaches the driver each time."""
+    keyed = rows.select(F.explode(F.array(*[F.struct(F.lit(s).alias("sample"), sample_key(cols, s).alias("h")) for s in range(samples)])).alias("x"))
+    keyed = keyed.select("x.sample", "x.h", F.substring("x.h", 1, 4).alias("prefix"))
+    counts = keyed.groupBy("sample", "prefix").agg(F.count("*").alias("n"))
+    w = Window.partitionBy("sample").orderBy("prefix")  # 65,536 prefixes at most
+    whole = Window.partitionBy("sample")
+    upto = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    size = F.floor((F.sum("n").over(whole) * tenths + 9) / 10)
+    cut = counts.withColumn("upto", upto).withColumn("size", size).where("upto >= size and upto - n < size").select(
+        "sample", "prefix", (F.col("size") - F.col("upto") + F.col("n")).alias("place")).collect()
+    if not cut:
+        return [None] * samples
+    inside = reduce(lambda x, y: x | y, [(F.col("sample") == r.sample) & (F.col("prefix") == r.prefix) for r in cut])
+    place = F.create_map(*[F.lit(v) for r in cut for v in (r.sample, r.place)])[F.col("sample")]
+    ranked = keyed.where(inside).withColumn("at", F.row_number().over(Window.partitionBy("sample").orderBy("h")))
+    found = {r.sample: r.h for r in ranked.where(F.col("at") == place).collect()}
+    return [found.get(s) for s in range(samples)]
 
 
 def attribution(pairs: DataFrame, u_ef: DataFrame, i_ef: DataFrame, u_fv: DataFrame, i_fv: DataFrame,
                 u_rep: DataFrame, i_rep: DataFrame, weight: str, samples: int = 0) -> DataFrame:
     """H25 (and the samples of H26): per (side, feature) the weighted mean contribution ``c`` over all
-    pairs, and ``c0 .. c<samples - 1>`` over each hash sample (NULL where it has no such pair).
+    pairs, and ``c0 .. c<samples - 1>`` over each sample of seven tenths of the pairs (NULL where it has no such pair).
 
     Weights are summed by (feature, other side's entity) before any vector is
     attached, so the vectors meet that small table and not pairs x tokens rows."""
-    keeps = {f"__k{s}": sample_keep(["userId", "gameId"], s) for s in range(samples)}
+    cols = ["userId", "gameId"]
+    cutoffs = sample_cutoffs(pairs, cols, samples) if samples else []
+    keeps = {f"__k{s}": sample_key(cols, s) <= F.lit(cutoffs[s]) for s in range(samples)}
     p = pairs.select("userId", "gameId", F.col(weight).alias("__w"), *[k.alias(n) for n, k in keeps.items()])
     parts = []
     for side, own, other, ef, fv, rep in (("user", "userId", "gameId", u_ef, u_fv, i_rep), ("item", "gameId", "userId", i_ef, i_fv, u_rep)):

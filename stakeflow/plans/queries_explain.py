@@ -61,16 +61,16 @@ def attribution(t):
 
 
 def _side_sql(side, vocab, base, ident_src, key, idx, tok):
-    return f"""{side}fv as (select v.token as feature, cast(e.embedding as double[]) as embedding, 0.0 as bias
+    return f"""{side}fv as materialized (select v.token as feature, cast(e.embedding as double[]) as embedding, 0.0 as bias
     from {vocab} v join embeddings e on e.vec_id = (v.token_idx + {base}) % (select count(*) from embeddings)
   union all select concat('id:', {key}), cast(embedding as double[]), 0.0 from {ident_src}),
-{side}ef as (select x.{key}, concat('id:', x.{key}) as feature, 1.0 / (len(coalesce(t.tokens, [])) + 1) as value,
+{side}ef as materialized (select x.{key}, concat('id:', x.{key}) as feature, 1.0 / (len(coalesce(t.tokens, [])) + 1) as value,
     false as is_token from {idx} x left join {tok} t on t.{key} = x.{key}
   union all select x.{key}, unnest(t.tokens), 1.0 / (len(t.tokens) + 1), true
     from {idx} x join {tok} t on t.{key} = x.{key}),
-{side}rx as (select ef.{key}, ef.value, unnest(fv.embedding) as x, generate_subscripts(fv.embedding, 1) as i
+{side}rx as materialized (select ef.{key}, ef.value, unnest(fv.embedding) as x, generate_subscripts(fv.embedding, 1) as i
   from {side}ef ef join {side}fv fv on fv.feature = ef.feature),
-{side}rep as (select {key}, list(v order by i) as embedding, 0.0 as bias
+{side}rep as materialized (select {key}, list(v order by i) as embedding, 0.0 as bias
   from (select {key}, i, sum(value * x) as v from {side}rx group by {key}, i) group by {key})"""
 
 
@@ -158,7 +158,9 @@ def q_top_attr(t):
 
 def _stability_sql(samples):
     parts = " union all ".join(
-        f"select {s} as sample_id, * from c where substr(md5(concat_ws('/', userId, gameId, '{s}')), 1, 4) < 'b333'"
+        f"select {s} as sample_id, c.* from c join (select userId, gameId from train_pairs "
+        f"qualify row_number() over (order by md5(concat_ws('/', userId, gameId, '{s}'))) <= (7 * (select count(*) from train_pairs) + 9) // 10)"
+        f" k on k.userId = c.userId and k.gameId = c.gameId"
         for s in range(samples))
     return f"""sp as ({parts}),
 per as (select sample_id, side, feature,

@@ -20,7 +20,7 @@ from stakeflow.plans import stages as P
 from stakeflow.plans.catalog import register, round6, rounded
 from stakeflow.plans.queries_dataset import DATASET_CTES
 from stakeflow.plans.queries_explain import EXPLAIN_CTES, fixture_model
-from stakeflow.session import shared_path
+from stakeflow.session import cut_lineage, shared_path
 from stakeflow.sources import ingest as I
 from stakeflow.sources import sinks as K
 from stakeflow.sources.fixtures import fixture_ctes
@@ -189,30 +189,46 @@ def q_graph(t):
     return u.unionByName(g)
 
 
-@register("graph_matched_update", "A11", f"""with {EXPLAIN_CTES},
-nodes as (select cast(c_custkey as varchar) as id from customer where c_custkey % 2 = 0),
-b as (select userId as id, (row_number() over (order by userId) - 1) // {DEFAULT.graph_batch_size} as batch_id from urep)
+_UPDATES_SQL = """up as (select concat('Player:', userId) as id, embedding, bias from urep
+  union all select concat('Game:', gameId), embedding, bias from irep)"""
+
+
+def graph_updates(t):
+    """Fresh rows of players and games; the node table below holds all customers and no game, so games don't match."""
+    m = fixture_model(t)
+    ts = P.events(t).agg(F.max("timestamp")).scalar()
+    rows = m["u_rep"].select(F.concat(F.lit("Player:"), "userId").alias("key"), "embedding", "bias").unionByName(
+        m["i_rep"].select(F.concat(F.lit("Game:"), "gameId").alias("key"), "embedding", "bias"))
+    return K.graph_node_rows(rows, "key", updated_at=ts)
+
+
+def graph_nodes(t):
+    return t.customer.select(F.concat(F.lit("Player:"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_mktsegment").alias("segment"))
+
+
+@register("graph_matched_update", "A11", f"""with {EXPLAIN_CTES}, {_UPDATES_SQL},
+nodes as (select concat('Player:', cast(c_custkey as varchar)) as id from customer),
+b as (select id, (row_number() over (order by id) - 1) // {DEFAULT.graph_batch_size} as batch_id from up)
 select batch_id, count(*) as matched from b where id in (select id from nodes) group by batch_id""")
 def q_graph_update(t):
-    m = fixture_model(t)
-    nodes = t.customer.where(F.col("c_custkey") % 2 == 0).select(F.col("c_custkey").cast("string").alias("id"))
-    rows = K.graph_node_rows(m["u_rep"], "userId", updated_at=P.events(t).agg(F.max("timestamp")).scalar())
-    _, per_batch = K.matched_update(nodes, rows)
+    _, per_batch = K.matched_update(graph_nodes(t), graph_updates(t))
     return per_batch
 
 
-@register("graph_updated_nodes", "A11 (the updated node table)", f"""with {EXPLAIN_CTES}
-select cast(c.c_custkey as varchar) as id, c.c_mktsegment as segment, round(list_sum(u.embedding), 6) as component_sum,
-  u.bias, case when u.userId is not null then (select max(timestamp) from events) end as updated_at
-from customer c left join urep u on u.userId = cast(c.c_custkey as varchar) where c.c_custkey % 2 = 0""")
+@register("graph_updated_nodes", "A11 (the node table, written by bucket, updated in place and read back)", f"""with {EXPLAIN_CTES}, {_UPDATES_SQL}
+select concat('Player:', cast(c.c_custkey as varchar)) as id, c.c_mktsegment as segment, round(list_sum(u.embedding), 6) as component_sum,
+  u.bias, case when u.id is not null then (select max(timestamp) from events) end as updated_at
+from customer c left join up u on u.id = concat('Player:', cast(c.c_custkey as varchar))""")
 def q_graph_nodes(t):
-    m = fixture_model(t)
-    nodes = t.customer.where(F.col("c_custkey") % 2 == 0).select(
-        F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("segment"))
-    rows = K.graph_node_rows(m["u_rep"], "userId", updated_at=P.events(t).agg(F.max("timestamp")).scalar())
-    updated, _ = K.matched_update(nodes, rows)
-    return rounded(updated.select("id", "segment", F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).alias("component_sum"),
-                                  "bias", "updated_at"))
+    path = shared_path(t.spark, f"nodes-{uuid.uuid4().hex}")
+    fresh = graph_updates(t)
+    empty = [F.lit(None).cast(k).alias(c) for c, k in fresh.dtypes if c != "id"]
+    K.write_node_table(graph_nodes(t).select("*", *empty), path)
+    K.update_node_table(t.spark, path, fresh)
+    out = cut_lineage(K.read_node_table(t.spark, path))
+    K.remove_path(t.spark, path)
+    return rounded(out.select("id", "segment", F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).alias("component_sum"),
+                              "bias", "updated_at"))
 
 
 @register("model_bundle_roundtrip", "A7 A8 A12 F1 H23 (contents compared)", f"""with {DATASET_CTES}

@@ -128,6 +128,62 @@ def matched_update(nodes: DataFrame, new_rows: DataFrame, key: str = "id", batch
     return updated, per_batch
 
 
+#: Hash buckets of a written node table.
+NODE_BUCKETS = 64
+
+
+def _bucket(key: str, buckets: int):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def write_node_table(nodes: DataFrame, path: str, key: str = "id", buckets: int = NODE_BUCKETS) -> None:
+    """A node table that can be updated in part: files by hash bucket of the key, and a manifest with the
+    version of each bucket.  Version 0 holds all buckets."""
+    nodes.withColumn("bucket", _bucket(key, buckets)).repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/data/version=0")
+    nodes.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"), F.lit(0).alias("version")).write.parquet(
+        f"{path}/manifest/number=0")
+
+
+def _manifest(spark, path: str) -> tuple[int, DataFrame]:
+    """(number, rows ``bucket, version``) of the newest manifest."""
+    all_ = spark.read.parquet(f"{path}/manifest")
+    number = all_.agg(F.max("number")).first()[0]
+    return number, all_.where(F.col("number") == number).select("bucket", "version")
+
+
+def read_node_table(spark, path: str, with_place: bool = False) -> DataFrame:
+    """The newest version of every bucket; with ``with_place`` also ``bucket`` and ``version``."""
+    _, manifest = _manifest(spark, path)
+    # one row per bucket: the broadcast is bounded and prunes the partitions that are read
+    rows = spark.read.parquet(f"{path}/data").join(F.broadcast(manifest), ["bucket", "version"], "left_semi")
+    return rows if with_place else rows.drop("bucket", "version")
+
+
+def update_node_table(spark, path: str, new_rows: DataFrame, key: str = "id") -> int:
+    """A11 as a write: copy on write by bucket.  ``new_rows`` replace the like-named columns of existing nodes;
+    keys without a node are skipped.  Only buckets with a match are written again, under a new version; the
+    new manifest is written last, so readers see the old table or the new one.  Returns the buckets rewritten."""
+    number, manifest = _manifest(spark, path)
+    buckets = manifest.count()
+    fresh = new_rows.withColumn("bucket", _bucket(key, buckets))
+    now = read_node_table(spark, path, True)
+    touched = now.select(key, "bucket").join(fresh.select(key, "bucket"), [key, "bucket"], "left_semi").select("bucket").distinct()
+    touched = [r.bucket for r in touched.collect()]  # at most one row per bucket
+    if not touched:
+        return 0
+    news = [c for c in new_rows.columns if c != key and c in now.columns]
+    new = fresh.where(F.col("bucket").isin(touched)).select(key, F.struct(*news).alias("__new"))
+    out = now.where(F.col("bucket").isin(touched)).join(new, key, "left")
+    hit = F.col("__new").isNotNull()
+    out = out.select(*[F.when(hit, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) if c in news else F.col(c)
+                       for c in now.columns if c not in ("version", "bucket")], "bucket")
+    version = number + 1
+    out.repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/data/version={version}")
+    manifest.select("bucket", F.when(F.col("bucket").isin(touched), version).otherwise(F.col("version")).alias("version")).write.parquet(
+        f"{path}/manifest/number={version}")
+    return len(touched)
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> str:
     """Diagnostics table as CSV (header) or JSON lines."""
     if fmt == "csv":
