@@ -1,8 +1,11 @@
 """Quality rules per host.
 
 Each document gets its base counts; the failures are summed by host (here the
-``source``), each host's failure rate is shrunk with a beta prior fitted to all
-hosts, and the host's verdict goes back to its documents.
+``source``), each host's failure rate is shrunk with a beta prior fitted to the
+other hosts, and the host's verdict goes back to its documents.  A host goes
+when its shrunk rate lies ``LIMIT_SDS`` standard deviations of that prior above
+its mean: the limit follows the hosts, and a bad host does not raise it for
+itself.
 
 The counts come from numpy over whole texts; per host only one partial row per
 task moves.  The prior is one row of sums over hosts, and the verdicts join
@@ -29,8 +32,8 @@ from stakeflow.llm.tables import materialise, read
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-#: A host goes when its shrunk failure rate is above this.
-MAX_HOST_RATE = 0.8
+#: Standard deviations of the other hosts' prior above its mean, beyond which a host goes.
+LIMIT_SDS = 4.0
 
 _IS_SYMBOL = np.zeros(256, np.int64)
 _IS_SYMBOL[list(SYMBOLS)] = 1
@@ -102,30 +105,40 @@ def base_failed() -> Column:
             | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
 
 
-def host_verdicts(stats: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """``host, host_docs, host_failed, host_rate, host_ok``.
+def host_verdicts(stats: DataFrame, limit_sds: float = LIMIT_SDS) -> DataFrame:
+    """``host, host_docs, host_failed, host_rate, host_limit, host_ok``.
 
-    The beta prior is fitted by moments of the hosts' raw rates: with mean m
-    and variance v, strength s = m(1-m)/v - 1 (at least 1; 1 where v is 0),
-    alpha = m s, beta = (1-m) s.
+    The beta prior of a host is fitted by moments of the other hosts' raw rates, each weighted by its documents:
+    mean m (not below 1 / (their documents + 2)), variance v (not below m(1-m) over their documents per host,
+    what chance alone gives), strength s = m(1-m)/v - 1 (at least 1), alpha = m s, beta = (1-m) s.  A host alone
+    stays.
     """
     hosts = stats.groupBy("host").agg(F.count("*").alias("host_docs"),
                                       F.sum(F.col("base_failed").cast("long")).alias("host_failed"))
     hosts = materialise(hosts, "hosts").withColumn("raw", F.col("host_failed") / F.col("host_docs"))
-    m, v = hosts.agg(F.avg("raw"), F.var_pop("raw")).first()
-    if m is None:
-        m, v = 0.0, 0.0
-    strength = max(1.0, m * (1 - m) / v - 1) if v else 1.0
-    rate = (F.col("host_failed") + F.lit(m * strength)) / (F.col("host_docs") + F.lit(strength))
-    return hosts.select("host", "host_docs", "host_failed", rate.alias("host_rate"),
-                        (rate <= max_rate).alias("host_ok"))
+    # the sums over all hosts, one row, less the host's own share
+    n, docs, failed, squares = hosts.agg(F.count("*"), F.sum("host_docs"), F.sum("host_failed"), F.sum(F.col("host_failed") * F.col("raw"))).first()
+    others = F.lit(n - 1)
+    rest = F.lit(docs or 0) - F.col("host_docs")
+    mean = F.greatest((F.lit(failed or 0) - F.col("host_failed")) / rest, 1 / (rest + 2))
+    spread = (F.lit(squares or 0.0) - F.col("host_failed") * F.col("raw")) / rest - mean * mean
+    chance = mean * (1 - mean)
+    strength = F.greatest(F.lit(1.0), chance / F.greatest(spread, chance * others / rest) - 1)
+    rate = (F.col("host_failed") + F.col("m") * F.col("s")) / (F.col("host_docs") + F.col("s"))
+    limit = F.col("m") + F.lit(limit_sds) * F.sqrt(F.col("m") * (1 - F.col("m")) / (F.col("s") + 1))
+    if n < 2:
+        return hosts.select("host", "host_docs", "host_failed", F.col("raw").alias("host_rate"), F.lit(1.0).alias("host_limit"),
+                            F.lit(True).alias("host_ok"))
+    return (hosts.withColumn("m", mean).withColumn("s", F.when(F.col("m") < 1, strength).otherwise(1.0))
+            .select("host", "host_docs", "host_failed", rate.alias("host_rate"), limit.alias("host_limit"))
+            .withColumn("host_ok", F.col("host_rate") <= F.col("host_limit")))
 
 
 def quality_rules(docs: DataFrame, id_col="doc_id", text_col="text", host_col="source",
-                  max_rate: float = MAX_HOST_RATE) -> DataFrame:
+                  limit_sds: float = LIMIT_SDS) -> DataFrame:
     """Counts, ``base_failed``, the host's figures and ``kept`` per input row."""
     stats = materialise(document_stats(docs, id_col, text_col, host_col), "doc_stats")
-    hosts = host_verdicts(stats, max_rate).withColumnRenamed("host", "h")
+    hosts = host_verdicts(stats, limit_sds).withColumnRenamed("host", "h")
     return (stats.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h")
             .withColumn("kept", ~F.col("base_failed") & F.col("host_ok")))
 
@@ -165,11 +178,16 @@ with d as (
   select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from s
 ), h as (
   select source, count(*) as n, count(*) filter (where base_failed) as k from f group by source
+), t as (
+  select count(*) as hosts, sum(n) as docs, sum(k) as failed, sum(k * (k / n)) as squares from h
+), m as (
+  select source, n, k, hosts - 1 as others, docs - n as rest, squares,
+    greatest((failed - k) / (docs - n), 1 / (docs - n + 2)) as m from h, t
 ), p as (
-  select m, case when v > 0 then greatest(1, m * (1 - m) / v - 1) else 1 end as s
-  from (select avg(k / n) as m, var_pop(k / n) as v from h)
+  select *, case when m < 1 then greatest(1, m * (1 - m) / greatest((squares - k * (k / n)) / rest - m * m,
+    m * (1 - m) * others / rest) - 1) else 1 end as s from m
 ), v as (
-  select h.source, (k + m * s) / (n + s) <= 0.8 as ok from h, p
+  select source, others = 0 or (k + m * s) / (n + s) <= m + 4 * sqrt(m * (1 - m) / (s + 1)) as ok from p
 )
 select f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and ok as kept

@@ -42,9 +42,10 @@ def test_quality(spark, stages):
 def test_lines(stages):
     _, before, after, _ = stages["line_dedup"]
     want = {i: t for i, _, _, t in test_line_dedup.brute([(r.doc_id, r.text) for r in before])}
-    assert {r.doc_id: r.text for r in after} == want
+    left = {i: t for i, t in want.items() if t.split()}
+    assert {r.doc_id: r.text for r in after} == left and 0 < len(want) - len(left) < 0.05 * len(want)
     assert all(r.n_chars == len(r.text) for r in after)
-    assert {(r.doc_id, r.source, r.lang) for r in after} == {(r.doc_id, r.source, r.lang) for r in before}
+    assert {(r.doc_id, r.source, r.lang) for r in after} == {(r.doc_id, r.source, r.lang) for r in before if r.doc_id in left}
 
 
 def test_near_duplicates(stages):
@@ -66,7 +67,7 @@ def test_tokens(stages):
     _, before, after, _ = stages["bpe"]
     library = Tokenizer.from_file(bpe.public_path())
     assert {r.doc_id: r.ids for r in after} == {r.doc_id: library.encode(r.text, add_special_tokens=False).ids for r in before}
-    assert all(r.n_tokens == len(r.ids) and r.decoded == library.decode(r.ids, skip_special_tokens=False) for r in after)
+    assert all(r.n_tokens == len(r.ids) > 0 and r.decoded == library.decode(r.ids, skip_special_tokens=False) for r in after)
 
 
 def test_run(spark, stages):
