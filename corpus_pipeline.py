@@ -6,8 +6,8 @@ weights, and what is left becomes token ids.  Each stage works on all that its
 predecessor kept; its result is written as Parquet and read again.
 
 Defined results: an empty table passes through; a null or empty text is
-rejected by the classifier; a document whose lines all go stays with an empty
-text; a ``doc_id`` with several rows is kept by a stage if the operator keeps
+rejected by the classifier; a document of which no word is left when the common
+lines are gone leaves with them; a ``doc_id`` with several rows is kept by a stage if the operator keeps
 any of them; extra columns of the documents pass through to the last stage.
 """
 
@@ -32,8 +32,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that three or more of them share."""
-    out = line_dedup.without_common_lines(docs)
+    """The documents without the lines that three or more of them share; those with a word left."""
+    out = line_dedup.without_common_lines(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns) if "n_chars" in docs.columns else out
 
 
@@ -50,7 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, lang, ids, decoded, n_tokens``."""
-    out = bpe.bpe_round_trip(docs, bpe.public_path(), carry=("source", "lang"))
+    out = bpe.bpe_round_trip(docs, bpe.PUBLIC, carry=("source", "lang"))
     return out.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
