@@ -3,14 +3,20 @@
 Pass 1 parses each page, scores its containers and votes for the best one's
 generalised path (tags and classes from the root, digits removed).  The votes
 are summed per host and path, and each host's winning path is found.  Pass 2
-parses the pages again and takes the text below the host's winning path; a page
-that lacks it, or holds next to nothing there, uses its own best container.
+parses the pages again and takes the text below the host's winning path where it
+holds most of what the page's own best container holds; elsewhere the page uses
+its own best container, and the winning path's text with it.
 
 Votes are one small row per page, summed before the shuffle.  The winners are
 one row per host in a written table, so Spark knows their size and broadcasts
 them only below its own threshold; beyond it the join shuffles, and a hot host
 splits on the pages' side.
 
+Class names are evidence, not a veto by a single word: a name marks surroundings
+only if all its words do (``share-buttons``, not ``share-of-market``).  Paths are
+numbers per page (parent's number and step) and sums run once over the elements,
+so time and memory stay linear in the page, however deep or broken it is.
+
 Defined results: a null or empty page gives an empty text; a page whose url has
 no host (or is null) votes within the host ``''``; rows repeating a ``page_id``
 are separate rows; other columns of the input are ignored.
@@ -20,6 +26,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -51,6 +58,12 @@ ALWAYS = frozenset("ad ads advert advertisement adverts advertising banner-ad br
                    "replies reply share sharing signup sponsor sponsored subscribe subscription".split())
 USUALLY = frozenset("aside banner bottombar header masthead notice notification alert sidebar sidenav social "
                     "toolbar topbar widget widgets rail outbrain taboola search".split())
+#: Words that name the form of a part, not its content.
+FORM = frozenset("area bar block bottom box btn button buttons col column container content frame group head icon icons "
+                 "inner item items layer left line link links list menu nav outer panel right row section slot text title "
+                 "top unit wrap wrapper".split())
+#: Share of the own container's text that the host's path has to hold to stand alone.
+MOST = 2 / 3
 CONTENT = frozenset("article body content entry main page post story text wrapper container layout".split())
 #: The end tag may be left out: a start tag closes the open element of these kinds.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -75,7 +88,8 @@ WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 @dataclass
 class Element:
     tag: str
-    path: str
+    #: number of the generalised path (``Page.paths``)
+    path: int
     parent: int
     #: 0 article text, 1 header inside an article (only headings count), 2 surroundings, 3 no text
     state: int
@@ -90,6 +104,42 @@ class Page:
     elements: list[Element] = field(default_factory=list)
     #: (element, text, characters in links)
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
+    #: path numbers by (number of the path above, step), and back
+    numbers: dict[tuple[int, str], int] = field(default_factory=dict)
+    steps: list[tuple[int, str]] = field(default_factory=lambda: [(-1, "")])
+
+    def number(self, above: int, step: str) -> int:
+        key = above, step
+        if key not in self.numbers:
+            self.numbers[key] = len(self.steps)
+            self.steps.append(key)
+        return self.numbers[key]
+
+    def path_text(self, number: int) -> str:
+        out = []
+        while number:
+            number, step = self.steps[number]
+            out.append(step)
+        return "".join(f">{step}" for step in reversed(out))
+
+    def find(self, path: str) -> int | None:
+        """The number of a path given as text, if the page has it."""
+        at = 0
+        for step in path.split(">")[1:]:
+            at = self.numbers.get((at, step))
+            if at is None:
+                return None
+        return at
+
+
+def _marks(names: str, words: frozenset) -> set[str]:
+    """The words of ``words`` in those class or id names of which every word marks surroundings or names a form."""
+    out: set[str] = set()
+    for name in names.split():
+        parts = {w.lower() for w in WORD.findall(name)}
+        if parts & words and parts <= ALWAYS | USUALLY | FORM:
+            out |= parts & words
+    return out
 
 
 def _kind(tag: str, rest: str, state: int, inside: bool) -> tuple[int, str, float]:
@@ -101,7 +151,7 @@ def _kind(tag: str, rest: str, state: int, inside: bool) -> tuple[int, str, floa
     if classes or "id" in attrs:
         words = {w.lower() for w in WORD.findall(f"{classes} {attrs.get('id', '')}")}
         names = frozenset(words)
-        marks = sorted({re.sub(r"\d+", "", c).strip("-_").lower() for c in classes.split()} - {""})
+        marks = sorted({re.sub(r"[\d>]+", "", c).strip("-_").lower() for c in classes.split()} - {""})
         step = ".".join([tag, *marks])
     bonus = 1.25 if tag in ("article", "main") or attrs.get("role") == "main" else \
         1.1 if names & {"article", "content", "entry", "post", "story"} else 1.0
@@ -111,19 +161,22 @@ def _kind(tag: str, rest: str, state: int, inside: bool) -> tuple[int, str, floa
         return 3, step, bonus
     if "style" in attrs and HIDDEN.search(attrs["style"]):
         return 3, step, bonus
+    given = f"{classes} {attrs.get('id', '')}"
+    always, usually = _marks(given, ALWAYS) if names else set(), _marks(given, USUALLY) if names else set()
     surrounds = (tag in BOILER or attrs.get("role") in ROLES
-                 or (tag not in ("html", "body", "main", "article") and bool(names & ALWAYS))
-                 or (tag not in ("html", "body", "main") and bool(names & USUALLY) and not names & CONTENT)
-                 or (tag == "article" and bool(names & {"comment", "comments", "reply", "ad", "sponsored"})))
-    if tag == "header" and inside and state == 0 and not names & ALWAYS:
+                 or (tag not in ("html", "body", "main", "article") and bool(always))
+                 or (tag not in ("html", "body", "main") and bool(usually) and not names & CONTENT)
+                 or (tag == "article" and bool(always & {"comment", "comments", "reply", "ad", "sponsored"})))
+    if tag == "header" and inside and state == 0 and not always:
         return 1, step, bonus
     return (2 if surrounds else state), step, bonus
 
 
 def parse(source: str) -> Page:
-    page = Page([Element("#root", "", -1, 0, False)])
+    page = Page([Element("#root", 0, -1, 0, False)])
     elements, blocks = page.elements, page.blocks
     stack = [0]
+    open_: Counter = Counter()  # open elements by tag
     inside = 0  # open article and main elements
     text: list[str] = []
     linked = 0
@@ -142,14 +195,18 @@ def parse(source: str) -> Page:
         nonlocal inside
         for e in stack[at:]:
             inside -= elements[e].tag in ("article", "main")
+            open_[elements[e].tag] -= 1
         del stack[at:]
 
+    def any_open(tags) -> bool:
+        return any(open_[t] > 0 for t in tags)
+
     pos, n = 0, len(source)
     while pos < n:
         m = TOKEN.search(source, pos)
         stop = m.start() if m else n
         top = elements[stack[-1]]
-        if stop > pos and top.state < 2 and (top.state == 0 or any(elements[e].tag in HEADINGS for e in stack)):
+        if stop > pos and top.state < 2 and (top.state == 0 or any_open(HEADINGS)):
             part = html_lib.unescape(source[pos:stop])
             if not text:
                 owner = stack[-1]
@@ -167,7 +224,7 @@ def parse(source: str) -> Page:
                 flush()
             elif tag in ("td", "th") and text:
                 text.append(" ")
-            for at in range(len(stack) - 1, 0, -1):
+            for at in range(len(stack) - 1, 0, -1) if open_[tag] > 0 else ():
                 open_tag = elements[stack[at]].tag
                 if open_tag == tag:
                     close(at)
@@ -183,7 +240,7 @@ def parse(source: str) -> Page:
         if tag in BLOCK:
             flush()
             # a block ends an open paragraph, and inline elements left open in it
-            for at in range(len(stack) - 1, 0, -1):
+            for at in range(len(stack) - 1, 0, -1) if open_["p"] > 0 or tag in HEADINGS and any_open(HEADINGS) else ():
                 open_tag = elements[stack[at]].tag
                 if open_tag == "p" or open_tag in HEADINGS and tag in HEADINGS:
                     close(at)
@@ -191,7 +248,7 @@ def parse(source: str) -> Page:
                 if open_tag in BARRIER:
                     break
         if tag in CLOSES:
-            for at in range(len(stack) - 1, 0, -1):
+            for at in range(len(stack) - 1, 0, -1) if any_open(CLOSES[tag]) else ():
                 open_tag = elements[stack[at]].tag
                 if open_tag in CLOSES[tag]:
                     close(at)
@@ -202,21 +259,22 @@ def parse(source: str) -> Page:
             continue
         if tag == "article" or tag == "main":
             # an article is no part of a menu or header that was left open
-            for at in range(1, len(stack)):
+            for at in range(1, len(stack)) if any_open(("nav", "header", "menu", "head")) else ():
                 if elements[stack[at]].tag in ("nav", "header", "menu", "head"):
                     close(at)
                     break
         if tag == "body":
-            for at in range(1, len(stack)):
+            for at in range(1, len(stack)) if open_["head"] > 0 else ():
                 if elements[stack[at]].tag == "head":
                     close(at)
                     break
         parent = elements[stack[-1]]
         state, step, bonus = _kind(tag, m[3], parent.state, inside > 0)
         block = tag in CONTAINER
-        elements.append(Element(tag, f"{parent.path}>{step}" if block else parent.path, stack[-1], state,
+        elements.append(Element(tag, page.number(parent.path, step) if block else parent.path, stack[-1], state,
                                 parent.link or tag == "a", bonus=bonus if block else 1.0))
         stack.append(len(elements) - 1)
+        open_[tag] += 1
         inside += tag in ("article", "main")
         if tag in RAW_END:
             end = RAW_END[tag].search(source, pos)
@@ -230,13 +288,13 @@ def score(page: Page) -> int:
     elements = page.elements
     for owner, text, linked in page.blocks:
         size = len(text)
-        good = max(0, size - linked)
-        bad = size if 2 * linked > size else 0
-        e = owner
-        while e >= 0:
-            elements[e].good += 0 if bad else good
-            elements[e].bad += bad
-            e = elements[e].parent
+        if 2 * linked > size:
+            elements[owner].bad += size
+        else:
+            elements[owner].good += max(0, size - linked)
+    for e in reversed(elements[1:]):  # children come after their parents
+        elements[e.parent].good += e.good
+        elements[e.parent].bad += e.bad
     best, value = 0, -1.0
     for i, e in enumerate(elements):
         if e.state < 2 and (i == 0 or e.tag in CONTAINER) and e.good > 0:
@@ -258,13 +316,12 @@ def main_text(page: Page, path: str | None) -> str:
     """Text below the host's winning path, or below the page's own best container."""
     best = score(page)
     own = page.elements[best]
-    if path is not None and path != own.path:
+    voted = page.find(path) if path is not None else None
+    if path is not None and voted != own.path:
         same = {i for i, e in enumerate(page.elements)
-                if e.path == path and e.tag in CONTAINER and page.elements[max(e.parent, 0)].path != path}
+                if e.path == voted and e.tag in CONTAINER and page.elements[max(e.parent, 0)].path != voted}
         held = sum(page.elements[i].good for i in same)
-        if same and 4 * held >= own.good:
-            return text_below(page, same)
-        return text_below(page, {best})
+        return text_below(page, same if held >= MOST * own.good and same else same | {best})
     same = {i for i, e in enumerate(page.elements)
             if e.path == own.path and e.tag == own.tag and e.parent == own.parent and e.good > 0}
     return text_below(page, same | {best})
@@ -276,7 +333,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for source in batch.column("html"):
             page = parse(source.as_py() or "")
             best = page.elements[score(page)]
-            paths.append(best.path if best.good > 0 else None)
+            paths.append(page.path_text(best.path) if best.good > 0 else None)
         yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(paths, pa.string())],
                                          names=["host", "path"])
 

@@ -70,3 +70,50 @@ def test_host_vote(spark):
     assert [g for g in got if g[0] >= 9] == [(9, ""), (9, "Brief, but it is the story.\n\nBrief tip, to look at."),
                                              (10, ""), (11, ""), (12, "alone")]
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_class_names_are_evidence_not_a_veto():
+    body = "<article><p>Start of it, with words.</p><div class='share-of-market'><p>A fifth of it, they say.</p></div><section id='login-design'><p>How to log in, well.</p></section><div class='share-buttons'><p>Tell others, now!</p></div><div id='promo_box2'><p>Buy, please.</p></div></article>"
+    assert H.main_text(H.parse(body), None) == "Start of it, with words.\n\nA fifth of it, they say.\n\nHow to log in, well."
+
+
+def test_split_article_stays_whole(spark):
+    """On a host whose pages mostly use one container, an article over two of them loses neither part."""
+    part = "Some words of the story, told at length. "
+    one = f"<body><div id=w><div class='story'><p>{part * 12}</p></div><div class='tip'><p><a href=x>{part}</a></p></div></div></body>"
+    split = f"<body><div id=w><div class='story'><p>{part * 4}</p></div><section class='more'><p>{part * 8}</p></section></div></body>"
+    rows = [(i, f"http://h.org/{i}", one) for i in range(6)] + [(9, "http://h.org/9", split)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[0] == (part * 12).strip() and got[9] == f"{(part * 4).strip()}\n\n{(part * 8).strip()}"
+
+
+def test_vote_replaces_a_page_s_own_choice(spark):
+    """One page whose sidebar-like box outweighs its article: the host's path takes the article with it, and where
+    the article holds most of the page's container, the article alone."""
+    story, note = "The story goes on, in many words. ", "A note, by the way. "
+    page = "<body><div class='wrap'><div class='story'><p>{a}</p></div><div class='note'><p>{b}</p></div></div></body>"
+    plain = "<body><div class='wrap'><div class='story'><p>{a}</p></div></div></body>"
+    rows = [(i, f"http://h.org/{i}", plain.format(a=story * 9)) for i in range(5)]
+    rows += [(7, "http://h.org/7", page.format(a=story * 9, b=note * 2))]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[7] == (story * 9).strip()
+    assert note.strip() in H.main_text(H.parse(rows[-1][2]), None)
+
+
+def test_deep_and_broken_pages_stay_linear():
+    import time
+    import tracemalloc
+    deep = "<div class='a1'>" * 20_000 + "<p>word</p>" + "</div>" * 20_000
+    tracemalloc.start()
+    H.main_text(H.parse(deep), ">div.a>div.a")
+    assert tracemalloc.get_traced_memory()[1] < 50e6
+    tracemalloc.stop()
+
+    def seconds(n):
+        t = time.process_time()
+        H.main_text(H.parse("<p>" + "<b>x</i> " * n + "<font><em>y</u>" * n + "<p>z</p>" * n), None)
+        return time.process_time() - t
+
+    seconds(1000)
+    assert seconds(40_000) < 30 * max(seconds(4000), 0.05)
+    H.main_text(H.parse("".join(f"<div><p>t{i}" for i in range(20_000))), None)
