@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from stakeflow.errors import DataValidationError
 from stakeflow.functions import mappers as M
+from stakeflow.session import cut_lineage
 
 SAMPLE_TENTHS = 7  # fixed value: share of the pairs in a stability sample
 
@@ -242,24 +243,66 @@ def diverse_pick(candidates: DataFrame, order_users: DataFrame, n_users: int) ->
     return out
 
 
-def permute_feature(ef: DataFrame, index: DataFrame, key: str, feature: str, seed: int = 42) -> DataFrame:
-    """Shuffle one feature column over all entities (zeros included).
+def permuted_changes(ef: DataFrame, index: DataFrame, key: str, features: list[str], seed: int = 42) -> DataFrame:
+    """(key, changes): what each entity's value of each feature changes by when the feature's column is
+    shuffled over all entities (zeros included).
 
-    The value held by the entity at position i of the id order moves to the
-    entity at position i of the md5(id/feature/seed) order.  Positions come
-    from the distributed ``positions`` helper, so no entity set is collected.
-    """
+    The value held by the entity at place i of the md5(id/feature/seed) order moves to the entity at place i of
+    the id order, which is its dense ``idx``.  One sort by (feature, hash) places all features at once."""
     from stakeflow.operators.stats import positions
-    col = index.select(key).join(ef.where(F.col("feature") == feature).select(key, "value"), key, "left") \
-        .fillna(0.0, subset=["value"])
-    by_id = positions(col, [key], "__pa")
-    by_hash = positions(col.withColumn("__h", F.md5(F.concat_ws("/", F.col(key), F.lit(feature), F.lit(str(seed))))),
-                        ["__h", key], "__pb")
-    moved = by_id.select("__pa", F.col(key).alias("__dst")).join(
-        by_hash.select(F.col("__pb").alias("__pa"), F.col("value").alias("__v")), "__pa")
-    new_rows = moved.where(F.col("__v") > 0).select(F.col("__dst").alias(key), F.lit(feature).alias("feature"),
-                                                    F.col("__v").alias("value"), F.lit(True).alias("is_token"))
-    return ef.where(F.col("feature") != feature).unionByName(new_rows)
+    n = index.count()
+    names = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.lit(x).alias("feature")) for i, x in enumerate(features)]))
+    col = index.select(key, "idx", names.alias("x")).select(key, "idx", "x.f", "x.feature").join(
+        ef.select(key, "feature", "value"), [key, "feature"], "left").fillna(0.0, subset=["value"])
+    col = cut_lineage(col)
+    by_hash = positions(col.withColumn("__h", F.md5(F.concat_ws("/", F.col(key), F.col("feature"), F.lit(str(seed))))), ["f", "__h", key], "__p")
+    moved = by_hash.select("f", (F.col("__p") - F.col("f") * F.lit(n)).alias("idx"), F.col("value").alias("new"))
+    change = F.struct("f", (F.col("new") - F.col("value")).alias("by"))
+    return col.join(moved, ["f", "idx"]).groupBy(key).agg(F.array_sort(F.collect_list(change)).alias("c")).select(key, F.col("c.by").alias("changes"))
+
+
+def feature_products(rep: DataFrame, key: str, vectors: DataFrame, features: list[str]) -> DataFrame:
+    """(key, products): product of each feature's vector (plus its bias) with each entity's representation."""
+    few = vectors.join(F.broadcast(rep.sparkSession.createDataFrame(list(enumerate(features)), "f int, feature string")), "feature")
+    few = few.select("f", F.col("embedding").alias("__v"), F.coalesce("bias", F.lit(0.0)).alias("__b"))  # one row per feature
+    x = F.struct("f", (M.dot("__v", "embedding") + F.col("__b")).alias("by"))
+    return rep.select(key, "embedding").crossJoin(F.broadcast(few)).groupBy(key).agg(
+        F.array_sort(F.collect_list(x)).alias("c")).select(key, F.col("c.by").alias("products"))
+
+
+def permuted_models(u_rep: DataFrame, i_rep: DataFrame, u_ef: DataFrame, i_ef: DataFrame, u_fv: DataFrame, i_fv: DataFrame,
+                    users: DataFrame, items: DataFrame, top: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
+    """H27 for all features (side, feature) at once: (feature, userId, embedding) and (gameId, embedding).
+
+    A shuffled feature adds a product to each score: an entity's change of value times the feature vector's product
+    with the other side.  It is one more dimension of both sides: items hold all of them, and a user row per feature
+    (``''``: none) holds only its own.  Nothing is derived anew, and one evaluation ranks all variants."""
+    width = len(top)
+    sides = {}
+    for side, own, other, rep, ef, fv, index in (("user", "userId", "gameId", i_rep, u_ef, u_fv, users), ("item", "gameId", "userId", u_rep, i_ef, i_fv, items)):
+        at = [k for k, (s, _) in enumerate(top) if s == side]
+        names = [top[k][1] for k in at]
+        if names:
+            sides[side] = at, permuted_changes(ef, index, own, names), feature_products(rep, other, fv, names)
+
+    def extra(rep, key, own, other):
+        """Array of ``width`` numbers: changes of the own side's features, products with the other's."""
+        out = rep.select(key, "embedding")
+        parts = [F.lit(0.0)] * width
+        for side, column, name in ((own, 1, "changes"), (other, 2, "products")):
+            if side in sides:
+                at, table = sides[side][0], sides[side][column]
+                out = out.join(table, key, "left")
+                for i, k in enumerate(at):
+                    parts[k] = F.coalesce(F.col(name)[i], F.lit(0.0))
+        return out.select(key, "embedding", F.array(*parts).cast("array<double>").alias("extra"))
+
+    u = extra(u_rep, "userId", "user", "item")
+    i = extra(i_rep, "gameId", "item", "user")
+    which = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(f).alias("feature")) for k, f in enumerate([*(f for _, f in top), ""])]))
+    u = u.withColumn("w", which).select("w.feature", "userId", F.concat("embedding", F.transform(
+        "extra", lambda x, j: F.when(j == F.col("w.k"), x).otherwise(0.0))).alias("embedding"))
+    return u, i.select("gameId", F.concat("embedding", "extra").alias("embedding"))
 
 
 # fixed values: token groups that each variant of the feature-group ablation keeps

@@ -202,7 +202,26 @@ def q_eligible(t):
     return X.eligible_users(d.train_pairs, 20, 50, seed=42, count_col="interaction_count")
 
 
-@register("diverse_local_explanations", "F4 H24 (rows)")
+def _picks_sql(n: int) -> str:
+    """Greedy picks: each user's best candidate that no earlier user took, else the best of its own."""
+    parts = [f"""un as (select userId, row_number() over (order by n desc, userId) as o from (select userId, count(*) as n from full_pairs group by userId)),
+cand as materialized (select s.userId, s.gameId, s.score, row_number() over (partition by s.userId order by s.score desc, s.gameId) as rank
+  from sc s join un on un.userId = s.userId and un.o <= {n}
+  where not exists (select 1 from full_pairs f where f.userId = s.userId and f.gameId = s.gameId)),
+pick0 as (select null::varchar as userId, null::varchar as gameId, null::double as score, 0 as pick_order where false)"""]
+    for k in range(1, n + 1):
+        parts.append(f"""pick{k} as materialized (select * from pick{k - 1} union all
+  (select c.userId, c.gameId, c.score, {k} from cand c join un on un.userId = c.userId and un.o = {k} where c.rank <= {n + 1}
+   order by c.gameId in (select gameId from pick{k - 1}), c.rank limit 1))""")
+    return ",\n".join(parts) + f",\npk as (select * from pick{n})"
+
+
+@register("diverse_local_explanations", "F4 H24", f"""with {EXPLAIN_CTES}, {_picks_sql(DEFAULT.local_explanation_users)},
+c as ({_contrib_sql('pk')}),
+r as (select userId, gameId, side, feature, contribution, row_number() over (partition by userId, gameId
+  order by abs(contribution) desc, side, feature) as abs_rank from c)
+select pk.userId, pk.gameId, round(pk.score, 6) as score, pk.pick_order, r.side, r.feature, round(r.contribution, 6) as contribution, r.abs_rank
+from pk left join r on r.userId = pk.userId and r.gameId = pk.gameId and r.abs_rank <= {DEFAULT.local_explanation_features}""")
 def q_diverse(t):
     from stakeflow.plans.queries_scoring import _lists, model
     d, users, blocks = model(t)

@@ -304,31 +304,44 @@ def _metrics_by(t, u_rep, i_rep):
         F.avg("precision_at_k").alias("precision_at_k"), F.avg("auc").alias("auc"))
 
 
-@register("permutation_importance", "H27 C16 (rows)")
+_SEP = "chr(1)"
+
+#: A permuted feature changes a score by (new value - old value) times the product of its vector with the other side.
+_PERMUTED = f"""top8 as (select side, feature, contribution from ga order by abs(contribution) desc, side, feature limit {DEFAULT.permutation_top_features}),
+""" + ",\n".join(f"""{s}val as (select f.feature, x.{key}, coalesce(e.value, 0.0) as v from top8 f join {idx} x on true
+  left join {s}ef e on e.{key} = x.{key} and e.feature = f.feature where f.side = '{side}'),
+{s}pos as (select *, row_number() over (partition by feature order by {key}) as pa,
+    row_number() over (partition by feature order by md5(concat_ws('/', {key}, feature, '42')), {key}) as pb from {s}val),
+{s}perm as materialized (select a.feature, a.{key}, b.v - a.v as dv from {s}pos a join {s}pos b on b.feature = a.feature and b.pb = a.pa),
+{s}prod as materialized (select f.feature, r.{other}, list_inner_product(fv.embedding, r.embedding) + fv.bias as d
+  from top8 f join {s}fv fv on fv.feature = f.feature join {orep} r on true where f.side = '{side}')"""
+    for s, side, key, idx, other, orep in (("u", "user", "userId", "uidx", "gameId", "irep"), ("i", "item", "gameId", "iidx", "userId", "urep"))) + f""",
+raw as materialized (select u.userId, i.gameId, list_inner_product(u.embedding, i.embedding) + u.bias + i.bias as s from urep u join irep i on true
+  where not exists (select 1 from train_pairs t where t.userId = u.userId and t.gameId = i.gameId)),
+vs as (select concat({_SEP}, userId) as userId, gameId, round(s, 6) as score from raw
+  union all select concat(p.feature, {_SEP}, r.userId), r.gameId, round(r.s + p.dv * d.d, 6) from raw r
+    join uperm p on p.userId = r.userId join uprod d on d.feature = p.feature and d.gameId = r.gameId
+  union all select concat(p.feature, {_SEP}, r.userId), r.gameId, round(r.s + p.dv * d.d, 6) from raw r
+    join iperm p on p.gameId = r.gameId join iprod d on d.feature = p.feature and d.userId = r.userId),
+rv as ({_ranked_sql('vs')}),
+pv as (select r.* from rv r join test_pairs p on p.userId = split_part(r.userId, {_SEP}, 2) and p.gameId = r.gameId),
+mv as (select split_part(userId, {_SEP}, 1) as feature, avg(precision_at_k) as p, avg(auc) as a from ({_per_user_sql('pv')}) group by 1)"""
+
+
+@register("permutation_importance", "H27 C16", f"""with {EXPLAIN_CTES}, {GLOBAL_SQL}, {_PERMUTED}
+select t.side, t.feature, round(t.contribution, 6) as contribution, round(b.p - v.p, 6) as precision_drop, round(b.a - v.a, 6) as auc_drop
+from top8 t join mv v on v.feature = t.feature join mv b on b.feature = ''""")
 def q_permutation(t):
-    """Shuffle each of the top-8 attributed features over its side's entities,
-    recompute the representations and report the precision / AUC drop
-    (base - permuted), joined to the attribution table."""
+    """Shuffle each of the top-8 attributed features over its side's entities and report the precision / AUC drop
+    (base - permuted), joined to the attribution table.  All variants are rows of one evaluation."""
     m = fixture_model(t)
     d = m["d"]
     g = X.global_attribution(attribution(t))
-    top = X.top_by_abs(g, "contribution", DEFAULT.permutation_top_features, None, ["side", "feature"]).collect()
-    # all user-side variants are rows of one evaluation against the same item blocks
-    u_side = [r["feature"] for r in top if r["side"] == "user"]
-    i_rep = X.representations(m["i_ef"], m["i_fv"], "gameId")
-    u_reps = [X.representations(X.permute_feature(m["u_ef"], d.user_index, "userId", f) if f else m["u_ef"], m["u_fv"], "userId")
-              .select(F.lit(f or "").alias("feature"), "userId", "embedding") for f in [None, *u_side]]
-    found = {r["feature"]: r for r in _metrics_by(t, reduce(lambda a, b: a.unionByName(b), u_reps), i_rep).collect()}
+    top = [(r["side"], r["feature"]) for r in X.top_by_abs(g, "contribution", DEFAULT.permutation_top_features, None, ["side", "feature"]).collect()]
+    found = {r["feature"]: r for r in _metrics_by(t, *X.permuted_models(
+        m["u_rep"], m["i_rep"], m["u_ef"], m["i_ef"], m["u_fv"], m["i_fv"], d.user_index, d.item_index, top)).collect()}
     base = found[""]
-    u_base = u_reps[0].withColumn("feature", F.lit(""))
-    rows = []
-    for r in top:
-        if r["side"] == "user":
-            v = found[r["feature"]]
-        else:
-            i_perm = X.permute_feature(m["i_ef"], d.item_index, "gameId", r["feature"])
-            v = _metrics_by(t, u_base, X.representations(i_perm, m["i_fv"], "gameId")).first()
-        rows.append((r["side"], r["feature"], base["precision_at_k"] - v["precision_at_k"], base["auc"] - v["auc"]))
+    rows = [(side, f, base["precision_at_k"] - found[f]["precision_at_k"], base["auc"] - found[f]["auc"]) for side, f in top]
     perm = t.spark.createDataFrame(rows, "side string, feature string, precision_drop double, auc_drop double")
     return rounded(g.join(perm, ["side", "feature"], "inner"))
 

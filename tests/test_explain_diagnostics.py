@@ -1,5 +1,7 @@
 """Explanations: unknown ids, diverse picks, permutation, PCA against numpy; schema coverage."""
 
+import hashlib
+
 import numpy as np
 import pytest
 
@@ -38,11 +40,48 @@ def test_diverse_pick_prefers_games_not_taken(spark):
     assert [(p["userId"], p["gameId"]) for p in picks] == [("u1", "g1"), ("u2", "g2"), ("u3", "g1")]
 
 
-def test_permutation_moves_a_column_whole(spark):
-    ef = spark.createDataFrame([(f"u{i}", "t", 0.5, True) for i in range(0, 20, 2)], "userId string, feature string, value double, is_token boolean")
-    index = spark.createDataFrame([(f"u{i}", i) for i in range(20)], "userId string, idx long")
-    out = X.permute_feature(ef, index, "userId", "t").collect()
-    assert len(out) == 10 and {r.value for r in out} == {0.5} and {r.userId for r in out} != {r.userId for r in ef.collect()}
+def test_permutation_moves_columns_whole(spark):
+    rows = [(f"u{i:02d}", "t", 0.5, True) for i in range(0, 20, 2)] + [(f"u{i:02d}", "s", 1 / (i + 2), True) for i in range(5)]
+    ef = spark.createDataFrame(rows, "userId string, feature string, value double, is_token boolean")
+    index = spark.createDataFrame([(f"u{i:02d}", i) for i in range(20)], "userId string, idx long")
+    changes = {r.userId: r.changes for r in X.permuted_changes(ef, index, "userId", ["t", "s"]).collect()}
+    assert len(changes) == 20
+    for k, f in enumerate(["t", "s"]):
+        old = {u: next((v for x, g, v, _ in rows if x == u and g == f), 0.0) for u in changes}
+        by_hash = sorted(old, key=lambda u: (hashlib.md5(f"{u}/{f}/42".encode()).hexdigest(), u))
+        for u, source in zip(sorted(old), by_hash):
+            assert abs(old[u] + changes[u][k] - old[source]) < 1e-12
+        assert any(c[k] for c in changes.values())
+
+
+def test_permuted_models_equal_models_derived_anew(spark):
+    """Scores of the variant with one more dimension are those of representations built from the shuffled column."""
+    rng = np.random.default_rng(3)
+    u_fv = spark.createDataFrame([(f, rng.normal(size=4).tolist(), 0.1) for f in ("a", "b")], "feature string, embedding array<double>, bias double")
+    i_fv = spark.createDataFrame([("c", rng.normal(size=4).tolist(), 0.2)], "feature string, embedding array<double>, bias double")
+    users = spark.createDataFrame([(f"u{i}", i) for i in range(6)], "userId string, idx long")
+    items = spark.createDataFrame([(f"g{i}", i) for i in range(5)], "gameId string, idx long")
+    u_ef = spark.createDataFrame([(f"u{i}", "ab"[i % 2], 0.5) for i in range(5)], "userId string, feature string, value double")
+    i_ef = spark.createDataFrame([("g0", "c", 1.0), ("g3", "c", 0.25)], "gameId string, feature string, value double")
+    P, Q = rng.normal(size=(6, 4)), rng.normal(size=(5, 4))
+    u_rep = spark.createDataFrame([(f"u{i}", P[i].tolist()) for i in range(6)], "userId string, embedding array<double>")
+    i_rep = spark.createDataFrame([(f"g{i}", Q[i].tolist()) for i in range(5)], "gameId string, embedding array<double>")
+    top = [("user", "b"), ("item", "c"), ("user", "a")]
+    u, i = X.permuted_models(u_rep, i_rep, u_ef, i_ef, u_fv, i_fv, users, items, top)
+    got = {(r.feature, r.userId): np.array(r.embedding) for r in u.collect()}
+    item = {r.gameId: np.array(r.embedding) for r in i.collect()}
+    assert len(got) == 24 and len(item) == 5
+    fv = {r.feature: (np.array(r.embedding), r.bias) for r in u_fv.union(i_fv).collect()}
+    du = {r.userId: r.changes for r in X.permuted_changes(u_ef, users, "userId", ["b", "a"]).collect()}
+    di = {r.gameId: r.changes for r in X.permuted_changes(i_ef, items, "gameId", ["c"]).collect()}
+    for k in range(6):
+        for j in range(5):
+            x, y = f"u{k}", f"g{j}"
+            base = P[k] @ Q[j]
+            want = {"": base, "b": base + du[x][0] * (fv["b"][0] @ Q[j] + 0.1), "a": base + du[x][1] * (fv["a"][0] @ Q[j] + 0.1),
+                    "c": base + di[y][0] * (fv["c"][0] @ P[k] + 0.2)}
+            for f, w in want.items():
+                assert abs(got[f, x] @ item[y] - w) < 1e-9
 
 
 def test_pca_matches_numpy(spark):
