@@ -263,12 +263,41 @@ def q_token_labels(t):
     return k.withColumn("label", M.token_label("token"))
 
 
-@register("pca_projection", "H31 E6 (rows)")
-def q_pca(t):
-    """2-D PCA of the user representations (centred first: Spark's PCA does not
-    centre its output), explained variance, tertile label on the first axis."""
-    m = fixture_model(t)
-    rep = m["u_rep"]
+def _axis_sql(k: int, cov: str) -> str:
+    """First axis of the matrix ``cov`` (one row ``m``): 20 squarings, then the column of the largest diagonal
+    entry, with its largest component positive; and what is left of the matrix without it."""
+    return f"""sq{k} as (select 0 as step, m from {cov}
+  union all select step + 1, [[v / s for v in r] for r in q] from (
+    select step, q, list_sum([q[i][i] for i in range(1, len(q) + 1)]) as s from (
+      select step, [[list_dot_product(a, b) for b in m] for a in m] as q from sq{k} where step < 20))),
+col{k} as (select m[list_position([m[i][i] for i in range(1, len(m) + 1)], list_max([m[i][i] for i in range(1, len(m) + 1)]))] as c
+  from sq{k} where step = 20),
+ax{k} as materialized (select [x * s for x in c] as v from (select c, sign(c[list_position([abs(x) for x in c], list_max([abs(x) for x in c]))])
+  / sqrt(list_dot_product(c, c)) as s from col{k})),
+la{k} as materialized (select list_dot_product(v, [list_dot_product(r, v) for r in m]) as l from ax{k}, {cov}),
+left{k} as materialized (select [[m[i][j] - l * v[i] * v[j] for j in range(1, len(m) + 1)] for i in range(1, len(m) + 1)] as m from {cov}, ax{k}, la{k})"""
+
+
+def _pca_sql(rep: str, key: str) -> str:
+    return f"""with recursive {EXPLAIN_CTES},
+px as (select {key}, unnest(embedding) as v, generate_subscripts(embedding, 1) as i from {rep}),
+mu as (select i, avg(v) as m from px group by i),
+pz as materialized (select {key}, px.i, v - m as v from px join mu on mu.i = px.i),
+cv as materialized (select a.i, b.i as j, sum(a.v * b.v) / ((select count(*) from {rep}) - 1) as c from pz a join pz b on a.{key} = b.{key} group by 1, 2),
+c0 as materialized (select list(r order by i) as m from (select i, list(c order by j) as r from cv group by i)),
+{_axis_sql(1, 'c0')},
+{_axis_sql(2, 'left1')},
+pr as (select {key}, list_dot_product(e, a.v) as pc1, list_dot_product(e, b.v) as pc2, len(e) as dims,
+    row_number() over (order by list_dot_product(e, a.v), {key}) - 1 as p, count(*) over () as n
+  from (select {key}, list(v order by i) as e from pz group by {key}), ax1 a, ax2 b)
+select {key}, round(pc1, 6) as pc1, round(pc2, 6) as pc2, round((select l from la1) / (select sum(c) from cv where i = j), 6) as explained_var_1,
+  round((select l from la2) / (select sum(c) from cv where i = j), 6) as explained_var_2, cast(dims as integer) as dims,
+  (['low', 'mid', 'high'])[case when n <= 1 then 1 else greatest(1, (p * least(n, 3) + n - 2) // (n - 1)) end] as pc1_tertile from pr"""
+
+
+def _projection(rep, key):
+    """2-D PCA of representations: distributed Gramian and mean, the small eigenproblem on the driver (Spark's PCA).
+    The largest component of each axis is positive, which makes the axes unique."""
     dims = len(rep.first()["embedding"])
     mean = rep.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m"))
     mean_arr = [r["m"] for r in mean.orderBy("i").collect()]  # one value per model dimension
@@ -276,11 +305,25 @@ def q_pca(t):
         "embedding", F.array(*[F.lit(v) for v in mean_arr]), lambda a, b: a - b)))
     model_ = PCA(k=2, inputCol="v", outputCol="pc").fit(centred)
     var = list(model_.explainedVariance.toArray())
-    out = model_.transform(centred).select("userId", vector_to_array("pc").alias("pc"))
-    out = out.select("userId", F.col("pc")[0].alias("pc1"), F.col("pc")[1].alias("pc2"),
+    axes = model_.pc.toArray()
+    sign = [1.0 if axes[abs(axes[:, k]).argmax(), k] > 0 else -1.0 for k in (0, 1)]
+    out = model_.transform(centred).select(key, vector_to_array("pc").alias("pc"))
+    out = out.select(key, (F.col("pc")[0] * sign[0]).alias("pc1"), (F.col("pc")[1] * sign[1]).alias("pc2"),
                      F.lit(var[0]).alias("explained_var_1"), F.lit(var[1]).alias("explained_var_2"),
                      F.lit(dims).alias("dims"))
-    return rounded(quantile_bucket(out, "userId", "pc1", ["low", "mid", "high"], "pc1_tertile"))
+    return rounded(quantile_bucket(out, key, "pc1", ["low", "mid", "high"], "pc1_tertile"))
+
+
+@register("pca_projection", "H31 E6", _pca_sql("urep", "userId"))
+def q_pca(t):
+    """2-D PCA of the user representations, explained variance, tertile label on the first axis."""
+    return _projection(fixture_model(t)["u_rep"], "userId")
+
+
+@register("pca_projection_items", "H31 E6 (items)", _pca_sql("irep", "gameId"))
+def q_pca_items(t):
+    """The same of the item representations."""
+    return _projection(fixture_model(t)["i_rep"], "gameId")
 
 
 def _eval_variant(t, u_ef, i_ef):
