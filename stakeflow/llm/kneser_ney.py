@@ -39,6 +39,8 @@ from stakeflow.llm.tables import materialise, read
 
 ORDER = 4
 BLOCK_BYTES = 16 << 20
+#: Blocks over which the rows of one id are dealt.
+SALTS = 8
 #: Share of the calibration documents of a language that its limit accepts.
 QUANTILE = 0.995
 #: Shorter words (bytes) are left out of a document's worst word.
@@ -49,8 +51,14 @@ PRIOR_BYTES = 100
 _DOC = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("text", pa.string())])
 
 
-def _block(doc_id: Column, n_blocks: int) -> Column:
-    return F.pmod(F.coalesce(F.xxhash64(doc_id), F.lit(0)), F.lit(n_blocks)).cast("long")
+def _block(doc_id: Column, salt: Column, n_blocks: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id, salt), F.lit(n_blocks)).cast("long")
+
+
+def _salt(doc_id: Column, text: Column) -> Column:
+    """Rows of one id are dealt into ``SALTS`` blocks by their text; rows without id, which are never trusted, into all."""
+    own = F.xxhash64(text)
+    return F.when(doc_id.isNull(), own).otherwise(F.pmod(own, F.lit(SALTS)))
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,9 +200,11 @@ def score_documents(docs: DataFrame, trusted: DataFrame, order: int = ORDER,
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = -(-size // BLOCK_BYTES) + 1
-    blobs = (rows.withColumn("block", _block(F.col("doc_id"), n_blocks))
+    blobs = (rows.withColumn("block", _block(F.col("doc_id"), _salt(F.col("doc_id"), F.col("text")), n_blocks))
              .mapInArrow(T.frugal(_pack), "block bigint, blob binary"))
-    known = trusted.select(_block(F.col("doc_id"), n_blocks).alias("block"), F.col("doc_id").alias("trusted_id"))
+    # an id's trust goes to each block that may hold a row of it
+    known = (trusted.select(F.col("doc_id").alias("trusted_id"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")).alias("salt"))
+             .select(_block(F.col("trusted_id"), F.col("salt"), n_blocks).alias("block"), "trusted_id").distinct())
     held = materialise(
         blobs.groupBy("block").cogroup(known.groupBy("block"))
         .applyInArrow(_block_grams(order), "block bigint, code bigint, n bigint"), "block_grams")

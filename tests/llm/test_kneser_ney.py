@@ -3,6 +3,8 @@
 import math
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from stakeflow.llm import kneser_ney as K
 
 SF = "/root/testdata/sf0.01"
@@ -75,6 +77,20 @@ def test_toxic_and_clean_apart(spark):
     assert sum(caught) / len(caught) >= 0.6 and sum(lost) / len(lost) <= 0.03
 
 
+def test_many_rows_without_or_with_one_id_are_dealt_out(spark):
+    """10,000 rows without an id fill all blocks, 10,000 of one id ``SALTS`` of them; each row meets its label."""
+    rows = spark.range(20_000).selectExpr("if(id < 10000, null, 7L) as doc_id", "concat('text ', id) as text")
+    block = K._block(F.col("doc_id"), K._salt(F.col("doc_id"), F.col("text")), 40)
+    sizes = {(r.doc_id, r.b): r["count"] for r in rows.groupBy("doc_id", block.alias("b")).count().collect()}
+    nulls, one = ([n for (i, _), n in sizes.items() if i == d] for d in (None, 7))
+    assert len(nulls) == 40 and max(nulls) < 400 and 5 <= len(one) <= K.SALTS and max(one) < 3500
+    docs = spark.createDataFrame([(7, f"words {i} and more of them", "en") for i in range(60)] + [(None, "words of none", "en")] * 2,
+                                 "doc_id bigint, text string, lang string")
+    trained = K.score_documents(docs, spark.createDataFrame([(7,)], "doc_id bigint")).collect()
+    want = brute_bits([r.text for r in docs.collect() if r.doc_id == 7], [r.text for r in docs.collect()], K.ORDER)
+    assert sorted(round(r.bits, 6) for r in trained) == sorted(round(b, 6) for b in want)
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, None), (2, "", "en"), (3, "some text", "en"), (None, "no id", "en")],
                                  "doc_id bigint, text string, lang string")
