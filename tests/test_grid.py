@@ -3,10 +3,11 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from stakeflow.operators import scoring as S
-from stakeflow.operators.grid import Grid, cogroup_on_grid, grid_for
+from stakeflow.operators.grid import Grid, cogroup_on_grid, grid_for, task_key, task_keys
 
 
 @pytest.mark.parametrize("left,right,tasks", [(1, 1, 8), (256_000, 1, 64), (10, 1000, 40), (10**9, 10**5, 1000), (50_000, 33, 8), (0, 0, 8)])
@@ -49,3 +50,22 @@ def test_one_block_and_many_users_fill_many_tasks(spark):
     sizes = [r.users for r in seen]
     assert sum(sizes) == 256_000 and max(sizes) < 1.1 * 256_000 / grid.rows
     assert S.score_grid(2_560_000, blocks, 40).rows > grid.rows
+
+
+@pytest.mark.parametrize("n", [1, 8, 50])
+def test_every_group_has_a_task_of_its_own(spark, n):
+    keys = task_keys(spark, n)
+    cells = spark.range(n).withColumn("key", task_key(F.col("id"), keys)).repartition(n, "key")
+    assert cells.select(F.spark_partition_id()).distinct().count() == n
+
+
+def test_cells_of_the_grid_fill_all_tasks(spark):
+    """Eight cells dealt by the hash of their row and column fill five or six of eight tasks."""
+    left, right = spark.range(800).withColumnRenamed("id", "a"), spark.range(8).withColumnRenamed("id", "b")
+
+    def task(x, y):
+        return pa.table({"task": [TaskContext.get().partitionId()], "rows": [x.num_rows]})
+
+    for grid in (Grid(8, 1), Grid(1, 8), Grid(4, 2)):
+        seen = cogroup_on_grid(left, right, F.col("a"), F.col("b"), grid, task, "task bigint, rows bigint").collect()
+        assert len({r.task for r in seen}) == 8 and sum(r.rows for r in seen) == 800 * grid.cols

@@ -1,11 +1,12 @@
 """The shared folder: taken from the session, required on a cluster, below the warehouse in local sessions."""
 
+import threading
 from types import SimpleNamespace
 
 import pytest
 
 from stakeflow.errors import ArtifactError
-from stakeflow.session import ensure_checkpoint_dir
+from stakeflow.session import at_once, ensure_checkpoint_dir
 
 
 def fake(master, **conf):
@@ -35,3 +36,15 @@ def test_a_folder_that_is_set_stays():
     spark, state = fake("yarn")
     state.dir = "s3a://bucket/ckpt"
     assert ensure_checkpoint_dir(spark) == "s3a://bucket/ckpt"
+
+
+def test_independent_parts_run_side_by_side(spark):
+    """Each part waits until all have begun; results keep the order of the parts."""
+    begun = threading.Barrier(3, timeout=30)
+
+    def run(n):
+        begun.wait()
+        return spark.range(n).count()
+
+    assert at_once(spark, run, [3, 1, 2]) == [3, 1, 2]
+    assert at_once(spark, run, []) == []
